@@ -11,39 +11,44 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .bind import bind
 from .text import text_strip
 
 _ENTITY = r"(?s)&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);|[^&]+|&"
-
-
-def _named_entities() -> Column:
-    pairs = [(k[:-1], v) for k, v in html5.items() if k.endswith(";")]
-    return F.map_from_arrays(F.lit([k for k, _ in pairs]), F.lit([v for _, v in pairs]))
+# All named references in one text, "\x01name\x02character\x01", from the standard library's table.
+_NAMED = "\x01" + "\x01".join(f"{name[:-1]}\x02{char}" for name, char in html5.items() if name.endswith(";")) + "\x01"
 
 
 def decode_entities(c: Column) -> Column:
     """Character references to characters, each read once (`&amp;lt;` becomes `&lt;`)."""
     common = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\xa0"}
-    named = _named_entities()
 
     def code_point(digits: Column) -> Column:  # 8 hex digits -> one character
         return F.decode(F.unhex(digits), "UTF-32")
 
+    def named(body: Column, whole: Column) -> Column:
+        key = F.concat(F.lit("\x01"), body, F.lit("\x02"))
+        at = F.call_function("instr", F.lit(_NAMED), key)
+        tail = F.substring(F.lit(_NAMED), at + F.length(key), F.lit(8))
+        return F.when(at > 0, F.substring_index(tail, "\x01", 1)).otherwise(whole)
+
     def token(t: Column) -> Column:
         body = F.substring(t, F.lit(2), F.length(t) - 2)
         special = F.when(F.length(t) < 3, t)
         for entity, char in common.items():
             special = special.when(t == entity, F.lit(char))
         special = (
-            special.when(F.startswith(body, F.lit("#x")) | F.startswith(body, F.lit("#X")),
-                         code_point(F.lpad(F.substring(body, 3, 8), 8, "0")))
+            special.when(body.rlike("^#[xX]"), code_point(F.lpad(F.substring(body, 3, 8), 8, "0")))
             .when(F.startswith(body, F.lit("#")),
                   code_point(F.lpad(F.hex(F.substring(body, 2, 8).try_cast("bigint")), 8, "0")))
-            .otherwise(F.coalesce(F.try_element_at(named, body), t)))
+            .otherwise(named(body, t)))
         return F.when(F.startswith(t, F.lit("&")), special).otherwise(t)
 
-    decoded = F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0)), token), "")
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+    def decoded(v: Column) -> Column:
+        tokens = F.regexp_extract_all(v, F.lit(_ENTITY), F.lit(0))
+        return F.when(F.contains(v, F.lit("&")), F.array_join(F.transform(tokens, token), "")).otherwise(v)
+
+    return bind(c, decoded)
 
 
 def visible_text(c: Column) -> Column:
@@ -54,7 +59,7 @@ def visible_text(c: Column) -> Column:
 
 def _match(html: Column, pattern: str) -> Column:
     """The first match, NULL when there is none."""
-    return F.nullif(F.regexp_extract(html, pattern, 0), F.lit(""))
+    return bind(F.regexp_extract(html, pattern, 0), lambda m: F.when(m != "", m))
 
 
 def _value(attr: str, value: str) -> str:
@@ -83,7 +88,7 @@ def attribute(tag: Column, name: str) -> Column:
 def meta_content(html: Column, attr: str, value: str) -> Column:
     """Content of the first `<meta attr="value">`; '' without content, NULL without the tag."""
     tag = _match(html, rf"(?is)<meta\b[^>]*{_value(attr, value)}[^>]*>")
-    return F.when(tag.isNotNull(), text_strip(F.coalesce(attribute(tag, "content"), F.lit(""))))
+    return bind(tag, lambda t: F.when(t.isNotNull(), text_strip(F.coalesce(attribute(t, "content"), F.lit("")))))
 
 
 def page_title(html: Column) -> Column:
@@ -106,19 +111,24 @@ def labelled_value(html: Column, label: str) -> Column:
     whole = rf"(?s)(?:<((?i:div|li))\b[^>]*>([^<]*))?{holder}(.*)"
     chunk = F.when(F.contains(html, F.lit(label)), _match(html, whole))
 
-    def part(i: int) -> Column:
-        return F.regexp_extract(chunk, "^" + whole, i)
+    def value(found: Column) -> Column:
+        parts = F.array(*[F.regexp_extract(found, "^" + whole, i) for i in range(1, 6)])
+        return F.when(found.isNotNull(), bind(parts, lambda p: _beside(p, label)))
+
+    return bind(chunk, value)
+
 
-    rest = part(5)
+def _beside(part: Column, label: str) -> Column:
+    """The value for the pieces (parent tag, text before, holder tag, holder text, rest)."""
+    parent, before, holder, held, rest = (part[i] for i in range(5))
     cell = _match(rest, r"(?is)^\s*<td\b[^>]*>.*?</td\s*>")
     sibling = _match(rest, r"(?is)^[^<]*<([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>")
     sibling = F.regexp_replace(sibling, r"^[^<]*", "")
     tail = _match(rest, r"(?is)^[^<]*</(?:div|li)\s*>")
-    own = F.replace(F.concat(visible_text(part(2)), visible_text(part(4)), visible_text(tail)), F.lit(label), F.lit(""))
+    own = F.replace(F.concat(visible_text(before), visible_text(held), visible_text(tail)), F.lit(label), F.lit(""))
     own = text_strip(F.replace(own, F.lit(":"), F.lit("")))
-    inside = F.when((part(1) != "") & (F.length(own) > 2), own)
-    return F.when(chunk.isNotNull(), F.coalesce(
-        F.when(F.lower(part(3)) == "th", visible_text(cell)), visible_text(sibling), inside))
+    inside = F.when(parent != "", bind(own, lambda o: F.when(F.length(o) > 2, o)))
+    return F.coalesce(F.when(F.lower(holder) == "th", visible_text(cell)), visible_text(sibling), inside)
 
 
 def links(html: Column) -> Column:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .bind import bind
+
 MASK_CHARS = 61
 
 
@@ -19,24 +21,27 @@ def chars(c: Column) -> Column:
 
 
 def char_masks(c: Column) -> Column:
-    """MAP<character, BIGINT of its positions>; empty for names over `MASK_CHARS`."""
-    letters = F.when(F.length(c) <= MASK_CHARS, chars(c)).otherwise(F.array().cast("array<string>"))
-    places = F.when(F.size(letters) > 0, F.sequence(F.lit(0), F.size(letters) - 1)).otherwise(
-        F.array().cast("array<int>"))
-    kinds = F.array_distinct(letters)
-
-    def mask(ch: Column) -> Column:
+    """MAP<character, BIGINT of its positions> of a name of at most `MASK_CHARS` characters."""
+    def mask(letters: Column, places: Column, ch: Column) -> Column:
         return F.aggregate(
             places, F.lit(0).cast("bigint"),
-            lambda m, i: F.when(F.get(letters, i) == ch,
-                                m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), i)))
-            .otherwise(m))
+            lambda m, i: F.when(F.get(letters, i) == ch, m.bitwiseOR(_bit(i))).otherwise(m))
+
+    def masks(letters: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(letters) - 1)
+        return bind(F.array_distinct(letters), lambda kinds: F.map_from_arrays(
+            kinds, F.transform(kinds, lambda ch: mask(letters, places, ch))))
 
-    return F.map_from_arrays(kinds, F.transform(kinds, mask))
+    return F.when(F.length(c) > 0, bind(F.split(c, ""), masks)).otherwise(
+        F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>")))
+
+
+def _bit(i: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), i)
 
 
 def _lcs_by_masks(masks: Column, la: Column, b: Column) -> Column:
-    full = F.call_function("shiftleft", F.lit(1).cast("bigint"), la) - F.lit(1).cast("bigint")
+    full = _bit(la) - F.lit(1).cast("bigint")
     steps = F.transform(chars(b), lambda ch: F.coalesce(F.try_element_at(masks, ch),
                                                          F.lit(0).cast("bigint")))
     left = F.aggregate(
@@ -60,21 +65,19 @@ def _lcs_by_rows(a: Column, b: Column) -> Column:
     return F.get(F.aggregate(chars(a), zeros, row), lb)
 
 
-def lcs_length(a: Column, b: Column, masks: Column | None = None) -> Column:
-    """Length of the longest common subsequence; `masks` may hold a prepared `char_masks(a)`."""
+def lcs_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence."""
     la = F.length(a)
-    masks = char_masks(a) if masks is None else masks
     return (
         F.when((la == 0) | (F.length(b) == 0), F.lit(0))
         .when(a == b, la)
-        .when(la <= MASK_CHARS, _lcs_by_masks(masks, la, b))
+        .when(la <= MASK_CHARS, bind(char_masks(a), lambda masks: _lcs_by_masks(masks, la, b)))
         .otherwise(_lcs_by_rows(a, b))
     )
 
 
-def similarity(a: Column, b: Column, masks: Column | None = None) -> Column:
+def similarity(a: Column, b: Column) -> Column:
     """0-100; equal names 100 (two empty names too), one empty name 0."""
     total = F.length(a) + F.length(b)
-    share = F.lit(1.0) - (total - 2 * lcs_length(a, b, masks)) / total
+    share = F.lit(1.0) - (total - 2 * lcs_length(a, b)) / total
     return F.when(a == b, F.lit(100)).otherwise(F.rint(F.lit(100.0) * share).cast("int"))
-

@@ -82,22 +82,23 @@ def similar_pairs(left: DataFrame, right: DataFrame, min_score: int) -> DataFram
 
 
 def best_match(names: DataFrame, targets: DataFrame, min_score: int) -> DataFrame:
-    """Best target per name: highest score, then smallest position.
+    """Best target per name: lowest tier, then highest score, then smallest position.
 
-    `names(a)` distinct; `targets(b, std_pos, var_pos, standard)`. Returns
-    (a, standard, std_pos, score). Equal names are settled by a hash join first. The best per name
-    is an aggregate with map-side combine, so no name's candidates have to meet in one sorted group.
+    `names(a)` distinct; `targets(b, tier, std_pos, var_pos, standard)`. Returns
+    (a, standard, std_pos, score, tier). Names equal to a target of tier 0 are settled by a hash
+    join first. The best per name is an aggregate with map-side combine, so no name's candidates
+    have to meet in one sorted group.
     """
-    first = targets.groupBy("b").agg(F.min_by(
-        F.struct("std_pos", "standard", "var_pos"), F.struct("std_pos", "var_pos")).alias("t"))
-    same = names.join(first, names["a"] == first["b"]).select(
-        "a", "t.standard", "t.std_pos", F.lit(100).alias("score"))
-    rest = names.join(first, names["a"] == first["b"], "left_anti")
-    pairs = similar_pairs(rest, first.select("b"), min_score).join(first, "b")
+    best = F.min_by(F.struct("tier", "std_pos", "standard", "var_pos"), F.struct("tier", "std_pos", "var_pos"))
+    first = targets.groupBy("b", "tier").agg(best.alias("t"))
+    top = first.where("tier = 0").withColumnRenamed("b", "a")
+    same = names.join(top, "a").select("a", "t.standard", "t.std_pos", F.lit(100).alias("score"), F.col("tier"))
+    rest = names.join(top, "a", "left_anti")
+    pairs = similar_pairs(rest, first.select("b").distinct(), min_score).join(first, "b")
     near = pairs.groupBy("a").agg(F.max_by(
-        F.struct("t.standard", "t.std_pos", "score"),
-        F.struct("score", -F.col("t.std_pos"), -F.col("t.var_pos"))).alias("m"))
-    return same.unionByName(near.select("a", "m.standard", "m.std_pos", "m.score"))
+        F.struct("t.standard", "t.std_pos", "score", "tier"),
+        F.struct(-F.col("tier"), "score", -F.col("t.std_pos"), -F.col("t.var_pos"))).alias("m"))
+    return same.unionByName(near.select("a", "m.standard", "m.std_pos", "m.score", "m.tier"))
 
 
 # ---- strategies on distinct original names ------------------------------------------------------
@@ -120,19 +121,28 @@ def _first_standard(hits: DataFrame) -> DataFrame:
 
 def match_fuzzy(names: DataFrame, variations: DataFrame, min_score: int = defaults.RESOLVE_SCORE) -> DataFrame:
     """(name, standard, std_pos, score) by normalised similarity to any variation."""
-    keyed = names.withColumn("a", text.normal_name(F.col("name")))
-    targets = variations.select(text.normal_name(F.col("variation")).alias("b"),
-                                "std_pos", "var_pos", "standard")
-    best = best_match(keyed.select("a").distinct(), targets, min_score)
-    return keyed.join(best, "a").select("name", "standard", "std_pos", "score")
+    return _match_normal(names, _targets(variations, "variation", 0), min_score).drop("tier")
 
 
 def match_standard_name(names: DataFrame, variations: DataFrame,
                         min_score: int = defaults.RESOLVE_SCORE) -> DataFrame:
     """Like `match_fuzzy`, against the standards' own names."""
-    own = variations.select("std_pos", "standard").distinct().select(
-        "std_pos", "standard", F.lit(0).alias("var_pos"), F.col("standard").alias("variation"))
-    return match_fuzzy(names, own, min_score)
+    return _match_normal(names, _targets(_own_names(variations), "standard", 0), min_score).drop("tier")
+
+
+def _own_names(variations: DataFrame) -> DataFrame:
+    return variations.groupBy("std_pos", "standard").agg(F.lit(0).cast("bigint").alias("var_pos"))
+
+
+def _targets(variations: DataFrame, column: str, tier: int) -> DataFrame:
+    return variations.select(text.normal_name(F.col(column)).alias("b"), F.lit(tier).alias("tier"),
+                             "std_pos", "var_pos", "standard")
+
+
+def _match_normal(names: DataFrame, targets: DataFrame, min_score: int) -> DataFrame:
+    keyed = names.withColumn("a", text.normal_name(F.col("name")))
+    best = best_match(keyed.select("a").distinct(), targets, min_score)
+    return keyed.join(best, "a").select("name", "standard", "std_pos", "score", "tier")
 
 
 def resolve_names(names: DataFrame, variations: DataFrame,
@@ -150,24 +160,11 @@ def resolve_names(names: DataFrame, variations: DataFrame,
         F.when(F.col("m.rank") == 0, F.lit("exact")).otherwise(F.lit("case_insensitive")).alias("strategy"),
         F.lit(100).alias("score"))
     rest = names.join(listed, "name", "left_anti")
-
-    # One fuzzy join serves both lists: a hit on a variation outranks any hit on a standard's name.
-    keyed = rest.withColumn("a", text.normal_name(F.col("name")))
-    by_variation = match_targets(variations, "variation")
-    own = variations.groupBy("std_pos", "standard").agg(F.lit(0).alias("var_pos")).withColumn(
-        "variation", F.col("standard"))
-    by_name = match_targets(own, "variation")
-    todo = keyed.select("a").distinct()
-    first = best_match(todo, by_variation, min_score).withColumn("strategy", F.lit("fuzzy"))
-    second = best_match(todo.join(first, "a", "left_anti"), by_name, min_score).withColumn(
-        "strategy", F.lit("standard_name"))
-    fuzzy = keyed.join(first.unionByName(second), "a").select(
-        "name", "standard", "std_pos", "strategy", "score")
-    return listed.unionByName(fuzzy)
-
-
-def match_targets(variations: DataFrame, column: str) -> DataFrame:
-    return variations.select(text.normal_name(F.col(column)).alias("b"), "std_pos", "var_pos", "standard")
+    # One fuzzy join serves both lists: any hit on a variation outranks a hit on a standard's name.
+    targets = _targets(variations, "variation", 0).unionByName(_targets(_own_names(variations), "standard", 1))
+    fuzzy = _match_normal(rest, targets, min_score)
+    strategy = F.when(F.col("tier") == 0, F.lit("fuzzy")).otherwise(F.lit("standard_name"))
+    return listed.unionByName(fuzzy.select("name", "standard", "std_pos", strategy.alias("strategy"), "score"))
 
 
 def resolve_columns(columns: DataFrame, variations: DataFrame,

@@ -119,8 +119,8 @@ def assign_unmapped(names: DataFrame, standards: DataFrame, above: int = default
     low = above + 1
     keyed = materialize(names.select("name").distinct().withColumn("a", text.squeezed_name(F.col("name"))))
     forms = keyed.groupBy("a").agg(F.min("name").alias("head"))  # only the first name of a form can found
-    given = standards.select(F.replace(F.lower("standard"), F.lit("_"), F.lit("")).alias("b"), "std_pos",
-                             F.lit(0).alias("var_pos"), "standard")
+    given = standards.select(F.replace(F.lower("standard"), F.lit("_"), F.lit("")).alias("b"), F.lit(0).alias("tier"),
+                             "std_pos", F.lit(0).alias("var_pos"), "standard")
     home = materialize(forms.join(match.best_match(forms.select("a"), given, low), "a", "left"))
     possible = home.where("standard IS NULL").select("a", "head")
 
