@@ -168,7 +168,7 @@ def schema_document(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_path(spark, "schema")
     ready = unify.parse_proposals(inputs.schema_responses(spark, sf)).where("parsed")
     ready.select(F.to_json("document").alias("value")).write.text(folder)
-    _, variations = unify.explode_schema(sinks.read_schema(spark, folder))
+    _, variations = unify.explode_schema(sinks.read_schema(spark, folder, lines=True))
     return variations.groupBy("std_pos", "standard", "var_pos", "variation").agg(F.count(F.lit(1)).alias("n_documents"))
 
 

@@ -49,9 +49,12 @@ def write_sidecars(records: DataFrame, path: str, mode: str = "errorifexists") -
     record_json(records).write.mode(mode).partitionBy(DATASET).text(path)
 
 
-def read_schema(spark: SparkSession, path: str) -> DataFrame:
-    """Schema documents (multi-line JSON) as rows of the schema type; key order is kept."""
-    return spark.read.schema(SCHEMA_TYPE).option("multiLine", True).json(path)
+def read_schema(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Schema documents as rows of the schema type; key order is kept.
+
+    One (indented) document per file, or with `lines` one document per line.
+    """
+    return spark.read.schema(SCHEMA_TYPE).option("multiLine", not lines).json(path)
 
 
 def write_schema(spark: SparkSession, schema: UnifiedSchema, path: str, mode: str = "errorifexists") -> None:
