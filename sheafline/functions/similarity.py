@@ -21,7 +21,7 @@ def chars(c: Column) -> Column:
 
 
 def char_masks(c: Column) -> Column:
-    """MAP<character, BIGINT of its positions> of a name of at most `MASK_CHARS` characters."""
+    """MAP<character, BIGINT of its positions>; NULL for empty names and beyond `MASK_CHARS`."""
     def mask(letters: Column, places: Column, ch: Column) -> Column:
         return F.aggregate(
             places, F.lit(0).cast("bigint"),
@@ -32,8 +32,7 @@ def char_masks(c: Column) -> Column:
         return bind(F.array_distinct(letters), lambda kinds: F.map_from_arrays(
             kinds, F.transform(kinds, lambda ch: mask(letters, places, ch))))
 
-    return F.when(F.length(c) > 0, bind(F.split(c, ""), masks)).otherwise(
-        F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>")))
+    return F.when(F.length(c).between(1, MASK_CHARS), bind(F.split(c, ""), masks))
 
 
 def _bit(i: Column) -> Column:
@@ -65,19 +64,23 @@ def _lcs_by_rows(a: Column, b: Column) -> Column:
     return F.get(F.aggregate(chars(a), zeros, row), lb)
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence."""
+def lcs_length(a: Column, b: Column, masks: Column | None = None) -> Column:
+    """Length of the longest common subsequence; `masks` may be a column with `char_masks(a)`."""
     la = F.length(a)
+    if masks is None:
+        short = bind(char_masks(a), lambda m: _lcs_by_masks(m, la, b))
+    else:
+        short = _lcs_by_masks(masks, la, b)
     return (
         F.when((la == 0) | (F.length(b) == 0), F.lit(0))
         .when(a == b, la)
-        .when(la <= MASK_CHARS, bind(char_masks(a), lambda masks: _lcs_by_masks(masks, la, b)))
+        .when(la <= MASK_CHARS, short)
         .otherwise(_lcs_by_rows(a, b))
     )
 
 
-def similarity(a: Column, b: Column) -> Column:
+def similarity(a: Column, b: Column, masks: Column | None = None) -> Column:
     """0-100; equal names 100 (two empty names too), one empty name 0."""
     total = F.length(a) + F.length(b)
-    share = F.lit(1.0) - (total - 2 * lcs_length(a, b)) / total
+    share = F.lit(1.0) - (total - 2 * lcs_length(a, b, masks)) / total
     return F.when(a == b, F.lit(100)).otherwise(F.rint(F.lit(100.0) * share).cast("int"))

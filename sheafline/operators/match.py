@@ -71,34 +71,44 @@ def right_parts(names: DataFrame, name: str, min_score: int) -> DataFrame:
 def candidate_pairs(left: DataFrame, right: DataFrame, min_score: int) -> DataFrame:
     """Distinct pairs (a, b) of distinct names `a` and distinct names `b` that may reach the score."""
     probes = left.select("a", F.explode(left_pieces(F.col("a"), min_score)).alias("p")).select("a", "p.*")
-    return probes.join(right_parts(right, "b", min_score), ["la", "piece", "part"]).select("a", "b").distinct()
+    met = probes.join(right_parts(right, "b", min_score), ["la", "piece", "part"]).select("a", "b")
+    # A pair is a few bytes but costs a scoring loop: a fixed number of partitions keeps the scoring
+    # spread out, where merging partitions by size would put it into one task.
+    spark = left.sparkSession
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return met.repartition(width, "a", "b").distinct()
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, min_score: int) -> DataFrame:
     """All pairs (a, b, score) with score >= `min_score`, for distinct names `a` and `b`."""
-    pairs = candidate_pairs(left, right, min_score)
-    scored = pairs.withColumn("score", sim.similarity(F.col("a"), F.col("b")))
+    masks = left.select("a", sim.char_masks(F.col("a")).alias("masks"))  # once per name, not per pair
+    pairs = candidate_pairs(left, right, min_score).join(masks, "a")
+    scored = pairs.select("a", "b", sim.similarity(F.col("a"), F.col("b"), F.col("masks")).alias("score"))
     return scored.where(F.col("score") >= min_score)
 
 
-def best_match(names: DataFrame, targets: DataFrame, min_score: int) -> DataFrame:
-    """Best target per name: lowest tier, then highest score, then smallest position.
+def nearest(names: DataFrame, targets: DataFrame, min_score: int) -> DataFrame:
+    """Best similar target per name: lowest tier, then highest score, then smallest position.
 
     `names(a)` distinct; `targets(b, tier, std_pos, var_pos, standard)`. Returns
-    (a, standard, std_pos, score, tier). Names equal to a target of tier 0 are settled by a hash
-    join first. The best per name is an aggregate with map-side combine, so no name's candidates
-    have to meet in one sorted group.
+    (a, standard, std_pos, score, tier). The best per name is an aggregate with map-side combine, so
+    no name's candidates have to meet in one sorted group.
     """
-    best = F.min_by(F.struct("tier", "std_pos", "standard", "var_pos"), F.struct("tier", "std_pos", "var_pos"))
-    first = targets.groupBy("b", "tier").agg(best.alias("t"))
-    top = first.where("tier = 0").withColumnRenamed("b", "a")
-    same = names.join(top, "a").select("a", "t.standard", "t.std_pos", F.lit(100).alias("score"), F.col("tier"))
-    rest = names.join(top, "a", "left_anti")
-    pairs = similar_pairs(rest, first.select("b").distinct(), min_score).join(first, "b")
-    near = pairs.groupBy("a").agg(F.max_by(
+    first = targets.groupBy("b", "tier").agg(F.min_by(
+        F.struct("std_pos", "standard", "var_pos"), F.struct("std_pos", "var_pos")).alias("t"))
+    pairs = similar_pairs(names, targets.select("b").distinct(), min_score).join(first, "b")
+    return pairs.groupBy("a").agg(F.max_by(
         F.struct("t.standard", "t.std_pos", "score", "tier"),
-        F.struct(-F.col("tier"), "score", -F.col("t.std_pos"), -F.col("t.var_pos"))).alias("m"))
-    return same.unionByName(near.select("a", "m.standard", "m.std_pos", "m.score", "m.tier"))
+        F.struct(-F.col("tier"), "score", -F.col("t.std_pos"), -F.col("t.var_pos"))).alias("m")).select("a", "m.*")
+
+
+def best_match(names: DataFrame, targets: DataFrame, min_score: int) -> DataFrame:
+    """`nearest` over targets of one tier, with equal names settled by a hash join first."""
+    equal = targets.groupBy(F.col("b").alias("a")).agg(F.min_by(
+        F.struct("standard", "std_pos"), F.struct("std_pos", "var_pos")).alias("t"))
+    same = names.join(equal, "a").select("a", "t.standard", "t.std_pos", F.lit(100).alias("score"))
+    near = nearest(names.join(equal, "a", "left_anti"), targets.withColumn("tier", F.lit(0)), min_score)
+    return same.unionByName(near.drop("tier"))
 
 
 # ---- strategies on distinct original names ------------------------------------------------------
@@ -121,28 +131,31 @@ def _first_standard(hits: DataFrame) -> DataFrame:
 
 def match_fuzzy(names: DataFrame, variations: DataFrame, min_score: int = defaults.RESOLVE_SCORE) -> DataFrame:
     """(name, standard, std_pos, score) by normalised similarity to any variation."""
-    return _match_normal(names, _targets(variations, "variation", 0), min_score).drop("tier")
+    keyed = names.withColumn("a", text.normal_name(F.col("name")))
+    best = best_match(keyed.select("a").distinct(), _targets(variations, "variation"), min_score)
+    return keyed.join(best, "a").select("name", "standard", "std_pos", "score")
 
 
 def match_standard_name(names: DataFrame, variations: DataFrame,
                         min_score: int = defaults.RESOLVE_SCORE) -> DataFrame:
     """Like `match_fuzzy`, against the standards' own names."""
-    return _match_normal(names, _targets(_own_names(variations), "standard", 0), min_score).drop("tier")
+    return match_fuzzy(names, _own_names(variations), min_score)
 
 
 def _own_names(variations: DataFrame) -> DataFrame:
-    return variations.groupBy("std_pos", "standard").agg(F.lit(0).cast("bigint").alias("var_pos"))
+    return variations.groupBy("std_pos", "standard").agg(
+        F.lit(0).cast("bigint").alias("var_pos"), F.first("standard").alias("variation"))
 
 
-def _targets(variations: DataFrame, column: str, tier: int) -> DataFrame:
+def _targets(variations: DataFrame, column: str, tier: int = 0) -> DataFrame:
     return variations.select(text.normal_name(F.col(column)).alias("b"), F.lit(tier).alias("tier"),
                              "std_pos", "var_pos", "standard")
 
 
-def _match_normal(names: DataFrame, targets: DataFrame, min_score: int) -> DataFrame:
-    keyed = names.withColumn("a", text.normal_name(F.col("name")))
-    best = best_match(keyed.select("a").distinct(), targets, min_score)
-    return keyed.join(best, "a").select("name", "standard", "std_pos", "score", "tier")
+def _keys(table: DataFrame, name: str, ignoring_case: Column, *rest: str) -> DataFrame:
+    """Three spellings per name, by rank: as it is, without regard to case, normalised."""
+    spellings = F.array(F.col(name), ignoring_case, text.normal_name(F.col(name)))
+    return table.select(*rest, F.posexplode(spellings).alias("rank", "key"))
 
 
 def resolve_names(names: DataFrame, variations: DataFrame,
@@ -150,21 +163,23 @@ def resolve_names(names: DataFrame, variations: DataFrame,
     """(name, standard, std_pos, strategy, score) for every name that some strategy resolves.
 
     A name-list hit (exact or ignoring case) in the earliest standard wins; fuzzy is tried only for
-    names without such a hit, and the standards' own names only after that.
+    names without such a hit, and the standards' own names only after that. One hash join settles
+    the exact, case-insensitive and equal-when-normalised names; the rest go to the fuzzy join.
     """
-    exact = match_exact(names, variations).select("name", "standard", "std_pos", F.lit(0).alias("rank"))
-    ci = match_ignoring_case(names, variations).select("name", "standard", "std_pos", F.lit(1).alias("rank"))
-    listed = exact.unionByName(ci).groupBy("name").agg(
-        F.min_by(F.struct("standard", "std_pos", "rank"), F.struct("std_pos", "rank")).alias("m")).select(
-        "name", "m.standard", "m.std_pos",
-        F.when(F.col("m.rank") == 0, F.lit("exact")).otherwise(F.lit("case_insensitive")).alias("strategy"),
-        F.lit(100).alias("score"))
-    rest = names.join(listed, "name", "left_anti")
+    left = _keys(names, "name", text.lower_strip(F.col("name")), "name")
+    right = _keys(variations, "variation", F.lower("variation"), "std_pos", "var_pos", "standard")
+    order = F.struct(F.col("rank") == 2, "std_pos", "rank", "var_pos")
+    equal = left.join(right, ["rank", "key"]).groupBy("name").agg(
+        F.min_by(F.struct("standard", "std_pos", "rank"), order).alias("m")).select("name", "m.*")
+    listed = equal.select("name", "standard", "std_pos", F.element_at(
+        F.lit(["exact", "case_insensitive", "fuzzy"]), F.col("rank") + 1).alias("strategy"), F.lit(100).alias("score"))
+
+    keyed = names.join(listed.select("name"), "name", "left_anti").withColumn("a", text.normal_name(F.col("name")))
     # One fuzzy join serves both lists: any hit on a variation outranks a hit on a standard's name.
-    targets = _targets(variations, "variation", 0).unionByName(_targets(_own_names(variations), "standard", 1))
-    fuzzy = _match_normal(rest, targets, min_score)
+    targets = _targets(variations, "variation").unionByName(_targets(_own_names(variations), "standard", 1))
+    near = keyed.join(nearest(keyed.select("a").distinct(), targets, min_score), "a")
     strategy = F.when(F.col("tier") == 0, F.lit("fuzzy")).otherwise(F.lit("standard_name"))
-    return listed.unionByName(fuzzy.select("name", "standard", "std_pos", strategy.alias("strategy"), "score"))
+    return listed.unionByName(near.select("name", "standard", "std_pos", strategy.alias("strategy"), "score"))
 
 
 def resolve_columns(columns: DataFrame, variations: DataFrame,

@@ -119,8 +119,8 @@ def assign_unmapped(names: DataFrame, standards: DataFrame, above: int = default
     low = above + 1
     keyed = materialize(names.select("name").distinct().withColumn("a", text.squeezed_name(F.col("name"))))
     forms = keyed.groupBy("a").agg(F.min("name").alias("head"))  # only the first name of a form can found
-    given = standards.select(F.replace(F.lower("standard"), F.lit("_"), F.lit("")).alias("b"), F.lit(0).alias("tier"),
-                             "std_pos", F.lit(0).alias("var_pos"), "standard")
+    given = standards.select(F.replace(F.lower("standard"), F.lit("_"), F.lit("")).alias("b"), "std_pos",
+                             F.lit(0).alias("var_pos"), "standard")
     home = materialize(forms.join(match.best_match(forms.select("a"), given, low), "a", "left"))
     possible = home.where("standard IS NULL").select("a", "head")
 
@@ -148,15 +148,18 @@ def assign_unmapped(names: DataFrame, standards: DataFrame, above: int = default
 
 def _first_founders(possible: DataFrame, later: DataFrame) -> DataFrame:
     """The forms that found a standard; `later(a, b)` pairs a possible founder with a later form."""
-    founders = possible.sparkSession.createDataFrame([], "a STRING")
-    todo = possible.select("a")
-    while not todo.isEmpty():
-        waiting = later.join(todo, "a", "left_semi").select(F.col("b").alias("a"))
-        new = materialize(todo.join(waiting, "a", "left_anti"))
-        beaten = later.join(new, "a", "left_semi").select(F.col("b").alias("a"))
-        todo = materialize(todo.join(new, "a", "left_anti").join(beaten, "a", "left_anti"))
-        founders = founders.unionByName(new)
-    return founders
+    state = possible.select("a", F.lit("open").alias("fate"))
+    while True:
+        todo = state.where("fate = 'open'").select("a")
+        reached = later.join(todo, "a", "left_semi").select(F.col("b").alias("a")).distinct().withColumn("waits", F.lit(True))
+        judged = state.join(reached, "a", "left").withColumn("new", (F.col("fate") == "open") & F.col("waits").isNull())
+        beaten = later.join(judged.where("new").select("a"), "a", "left_semi").select(
+            F.col("b").alias("a")).distinct().withColumn("beaten", F.lit(True))
+        fate = (F.when(F.col("new"), F.lit("founder")).when((F.col("fate") == "open") & F.col("beaten"), F.lit("joins"))
+                .otherwise(F.col("fate")))
+        state = materialize(judged.join(beaten, "a", "left").select("a", fate.alias("fate")))
+        if state.where("fate = 'open'").isEmpty():
+            return state.where("fate = 'founder'").select("a")
 
 
 # ---- fallback -----------------------------------------------------------------------------------
