@@ -131,19 +131,35 @@ def _any_value(cells: list[Column]) -> Column:
 
 # ---- profile ------------------------------------------------------------------------------------
 
-def _cell(source: str, raw: T.DataType, dtype: T.DataType, opts: CleanOptions) -> Column:
-    """The cleaned cell of one source column, before number extraction."""
-    c = col(source)
-    if isinstance(raw, T.StringType):
-        if opts.infer:
-            c = infer.read_nulls(c)
-            if not isinstance(dtype, T.StringType):
-                return infer.parse(c, dtype)
-        c = text.flag_nulls(text.clean_cell(c), opts.null_flags)
-        return numbers.ascii_digits(c) if opts.indic_digits else c
-    if isinstance(raw, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(c), c)
-    return c
+def _typed_cells(df: DataFrame, sources: list[tuple[str, T.DataType, T.DataType]], carry: list[Column],
+                 prefix: str, opts: CleanOptions) -> DataFrame:
+    """Cleaned cells `prefix0`, `prefix1`, … of columns (name, raw type, strict type), before number
+    extraction, after the `carry` columns.
+
+    Cleaning and flagging are two projections: a cell is mentioned several times when it is flagged,
+    and would be cleaned as often in one.
+    """
+    first, second = [], []
+    for i, (source, raw, dtype) in enumerate(sources):
+        name = f"{prefix}{i}"
+        c = col(source)
+        flag = False
+        if isinstance(raw, T.StringType):
+            if opts.infer:
+                c = infer.read_nulls(c)
+            if isinstance(dtype, T.StringType):
+                c, flag = text.clean_cell(c), True
+                if opts.indic_digits:
+                    c = numbers.ascii_digits(c)
+            else:
+                c = infer.parse(c, dtype)
+        elif isinstance(raw, (T.DoubleType, T.FloatType)):
+            c = F.when(~F.isnan(c), c)
+        first.append(c.alias(name))
+        second.append(text.flag_nulls(F.col(name), opts.null_flags).alias(name) if flag else F.col(name))
+    cells = df.select(*carry, *first)
+    kept = cells.columns[:len(cells.columns) - len(first)]
+    return cells.select(*[col(c) for c in kept], *second)
 
 
 def _lifted(c: Column, opts: CleanOptions) -> tuple[Column, Column]:
@@ -163,15 +179,14 @@ def _facts(i: int, f: T.StructField, opts: CleanOptions) -> list[Column]:
     r, v = F.col(f"r{i}"), F.col(f"v{i}")
     year = "year" in f.name.lower()
     out = [F.count(r).alias(f"raw{i}"), F.count(v).alias(f"val{i}")]
-    plain = numbers.coerce_double(v, f.dataType)
+    if not isinstance(f.dataType, T.StringType):
+        return out + _number_facts("plain", i, numbers.coerce_double(v, f.dataType), year)
+    hit, whole, point, plain = (F.col(f"n{i}_{k}") for k in ("hit", "int", "point", "plain"))
     out += _number_facts("plain", i, plain, year)
-    if isinstance(f.dataType, T.StringType):
-        whole, point = _lifted(v, opts)
-        out += [F.count_if(numbers.looks_numeric(v, opts.decoration)).alias(f"hit{i}"),
-                F.count(whole).alias(f"int{i}"), F.count(point).alias(f"flt{i}")]
-        out += _number_facts("lifted", i, F.coalesce(whole.cast("double"), point, plain), year)
-        if opts.infer:
-            out += [fact.alias(f"{kind}{i}") for kind, fact in infer.type_tests(r).items()]
+    out += _number_facts("lifted", i, F.coalesce(whole.cast("double"), point, plain), year)
+    out += [F.count_if(hit).alias(f"hit{i}"), F.count(whole).alias(f"int{i}"), F.count(point).alias(f"flt{i}")]
+    if opts.infer:
+        out += [fact.alias(f"{kind}{i}") for kind, fact in infer.type_tests(r).items()]
     return out
 
 
@@ -200,9 +215,11 @@ def profile_each(df: DataFrame, by: str, ids: tuple[str, ...] = (),
 def _cells(df: DataFrame, fields, keys: tuple[str, ...], opts: CleanOptions) -> DataFrame:
     raw = [infer.read_nulls(col(f.name)) if opts.infer and isinstance(f.dataType, T.StringType) else col(f.name)
            for f in fields]
-    cleaned = [_cell(f.name, f.dataType, T.StringType(), opts) for f in fields]
-    return df.select(*[col(k) for k in keys], *[r.alias(f"r{i}") for i, r in enumerate(raw)],
-                     *[c.alias(f"v{i}") for i, c in enumerate(cleaned)])
+    carry = [col(k) for k in keys] + [r.alias(f"r{i}") for i, r in enumerate(raw)]
+    sources = [(f.name, f.dataType, f.dataType) for f in fields]
+    cells = _typed_cells(df, sources, carry, "v", opts)
+    texts = {f"n{i}": f"v{i}" for i, f in enumerate(fields) if isinstance(f.dataType, T.StringType)}
+    return numbers.parse_cells(cells, texts, opts.decoration)
 
 
 def _aggregates(fields, opts: CleanOptions) -> list[Column]:
@@ -240,12 +257,12 @@ def _judge_by_sample(df: DataFrame, c: ColumnProfile, opts: CleanOptions) -> Col
     """Numeric or not by the first `sample_size` values in `order_by` order."""
     if not c.is_text or not c.values:
         return c
-    cell = _cell(c.source, c.dtype, c.dtype, opts).alias("v")
-    cells = df.select(cell, *([col(opts.order_by).alias("o")] if opts.order_by else [])).where("v IS NOT NULL")
+    carry = [col(opts.order_by).alias("o")] if opts.order_by else []
+    cells = _typed_cells(df, [(c.source, c.dtype, c.dtype)], carry, "v", opts).where("v0 IS NOT NULL")
     if opts.order_by:
         cells = cells.orderBy("o")
     seen = cells.limit(opts.sample_size).agg(
-        F.count("*").alias("n"), F.count_if(numbers.looks_numeric(F.col("v"), opts.decoration)).alias("h")).first()
+        F.count("*").alias("n"), F.count_if(numbers.looks_numeric(F.col("v0"), opts.decoration)).alias("h")).first()
     return replace(c, numeric=seen.h >= seen.n * opts.numeric_share)
 
 
@@ -253,7 +270,7 @@ def numeric_likeness(df: DataFrame, ids: tuple[str, ...] = (), options: CleanOpt
     """One row per text column: values, number-like values, share, verdict."""
     opts = options or CleanOptions()
     texts = [f for f in df.schema.fields if f.name not in ids and isinstance(f.dataType, T.StringType)]
-    cells = df.select(*[_cell(f.name, f.dataType, f.dataType, opts).alias(f"v{i}") for i, f in enumerate(texts)])
+    cells = _typed_cells(df, [(f.name, f.dataType, f.dataType) for f in texts], [], "v", opts)
     one = cells.agg(*[
         F.struct(F.lit(tidy_name(f.name)).alias("column"), F.count(f"v{i}").alias("n_values"),
                  F.count_if(numbers.looks_numeric(F.col(f"v{i}"), opts.decoration)).alias("n_numeric"),
@@ -293,8 +310,7 @@ def apply_profile(df: DataFrame, prof: TableProfile, ids: tuple[str, ...] = (),
     if not kept:
         return df.where(F.lit(False)).select(*id_cols)
     raw = {f.name: f.dataType for f in df.schema.fields}
-    cells = df.select(*id_cols, *[
-        _cell(p.source, raw[p.source], p.dtype, opts).alias(f"_cell{i}") for i, p in enumerate(kept)])
+    cells = _typed_cells(df, [(p.source, raw[p.source], p.dtype) for p in kept], id_cols, "_cell", opts)
     cells = cells.where(_any_value([F.col(f"_cell{i}") for i in range(len(kept))]))
     return cells.select(*id_cols, *[
         _final_cell(p, F.col(f"_cell{i}"), opts).alias(p.name) for i, p in enumerate(kept)])

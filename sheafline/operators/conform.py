@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from .. import defaults
 from ..functions import numbers
 from ..functions.names import col, unique_names
+from .clean import TableProfile
 from .match import resolve_columns
 from .unify import UnifiedSchema
 
@@ -89,6 +90,12 @@ def failing_integers(df: DataFrame, columns: list[str]) -> set[str]:
     return {c for i, c in enumerate(unsure) if not fits[i]}
 
 
+def failing_by_profile(prof: TableProfile, mapping: dict[str, str]) -> set[str]:
+    """The same answer, under final names, from the cleaning profile: no job."""
+    names = unique_names([mapping.get(c.name, c.name) for c in prof.kept])
+    return {name for name, c in zip(names, prof.kept) if not c.fits_integer}
+
+
 def cast_types(df: DataFrame, column_types: dict[str, str], null_as_text: str | None = None,
                failing: set[str] | None = None) -> tuple[DataFrame, list[tuple[str, str]]]:
     """Cast the columns that have a target type; unknown types leave a column untouched.

@@ -94,10 +94,7 @@ def harmonize(raw: dict[str, DataFrame], proposal: str | None = None, responses:
 
     frames, issues, table_stats = {}, [], None
     for name, df in cleaned.items():
-        fits = {c.name: c.fits_integer for c in profiles[name].kept}
-        renamed = con.rename_project(df, by_dataset[name], ids=ids)
-        data = [c for c in renamed.columns if c not in ids]
-        failing = {new for new, old in zip(data, [c.name for c in profiles[name].kept]) if not fits[old]}
+        failing = con.failing_by_profile(profiles[name], by_dataset[name])
         done = con.conform(df, schema, by_dataset[name], ids, null_as_text, failing=failing)
         frames[name] = done.df
         issues += [(name, c, t) for c, t in done.issues]

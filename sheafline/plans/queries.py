@@ -277,7 +277,11 @@ CONFORM_SCHEMA = UnifiedSchema(
 
 
 def conform_table(spark: SparkSession, sf: str) -> DataFrame:
-    return conform.conform(clean.clean(inputs.messy_table(spark, sf), ROW), CONFORM_SCHEMA, ids=ROW).df
+    raw = inputs.messy_table(spark, sf)
+    prof = clean.profile(raw, ROW)
+    cleaned = clean.apply_profile(raw, prof, ROW)
+    mapping = conform.resolve_table(cleaned, CONFORM_SCHEMA, ROW)
+    return conform.conform(cleaned, CONFORM_SCHEMA, mapping, ROW, failing=conform.failing_by_profile(prof, mapping)).df
 
 
 def conform_stream_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.clean import CleanOptions, TableProfile, apply_profile
-from ..operators.conform import conform
+from ..operators.conform import conform, failing_by_profile
 from ..operators.unify import UnifiedSchema
 
 
@@ -18,5 +18,4 @@ def conform_stream(stream: DataFrame, prof: TableProfile, schema: UnifiedSchema,
                    ids: tuple[str, ...] = (), options: CleanOptions | None = None) -> DataFrame:
     """Clean and conform a stream with a known profile and mapping; no state, no shuffle."""
     cleaned = apply_profile(stream, prof, ids, options)
-    failing = {mapping.get(c.name, c.name) for c in prof.kept if not c.fits_integer}
-    return conform(cleaned, schema, mapping, ids, failing=failing).df
+    return conform(cleaned, schema, mapping, ids, failing=failing_by_profile(prof, mapping)).df
