@@ -144,14 +144,17 @@ def absolute_url(href: Column, base: str) -> Column:
     scheme = base.split(":", 1)[0]
     path = F.regexp_extract(href, r"^[^?#]*", 0)
     rest = F.substring(href, F.length(path) + 1, F.length(href))
-    steps = F.split(F.regexp_replace(path, r"^/+", ""), "/")
+    rooted = F.startswith(path, F.lit("/"))
+    steps = F.split(F.regexp_replace(path, r"^/", ""), "/")
+    # Empty steps inside a relative path vanish; a rooted path keeps them.
+    named = F.filter(steps, lambda s, i: rooted | (s != "") | (i == F.size(steps) - 1))
 
     def walk(done: Column, step: Column) -> Column:
         return (F.when(step == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
-                .when(step.isin("", "."), done).otherwise(F.array_append(done, step)))
+                .when(step == ".", done).otherwise(F.array_append(done, step)))
 
-    kept = F.aggregate(steps, F.array().cast("array<string>"), walk)
-    closing = F.when(path.rlike(r"(^|/)\.{0,2}$") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    kept = F.aggregate(named, F.array().cast("array<string>"), walk)
+    closing = F.when(path.rlike(r"(^|/)\.{1,2}$") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
     on_site = F.concat(F.lit(base + "/"), F.array_join(kept, "/"), closing, rest)
     return (F.when(F.startswith(href, F.lit("http")) | href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
             .when(F.startswith(href, F.lit("//")), F.concat(F.lit(scheme + ":"), href))

@@ -131,6 +131,12 @@ def _any_value(cells: list[Column]) -> Column:
 
 # ---- profile ------------------------------------------------------------------------------------
 
+def _addressable(df: DataFrame) -> DataFrame:
+    """Columns that share a name (or differ in case only) get suffixes, so each can be referred to."""
+    names = unique_names(df.columns)
+    return df if names == df.columns else df.toDF(*names)
+
+
 def _typed_cells(df: DataFrame, sources: list[tuple[str, T.DataType, T.DataType]], carry: list[Column],
                  prefix: str, opts: CleanOptions) -> DataFrame:
     """Cleaned cells `prefix0`, `prefix1`, … of columns (name, raw type, strict type), before number
@@ -192,12 +198,13 @@ def _facts(i: int, f: T.StructField, opts: CleanOptions) -> list[Column]:
 
 def profile(df: DataFrame, ids: tuple[str, ...] = (), options: CleanOptions | None = None) -> TableProfile:
     """All whole-column facts of a raw table in one aggregate."""
-    opts = options or CleanOptions()
+    opts, written, df = options or CleanOptions(), df.columns, _addressable(df)
+    labels = dict(zip(df.columns, written))
     fields = [f for f in df.schema.fields if f.name not in ids]
     if not fields:
         return TableProfile(df.count())
     got = _cells(df, fields, (), opts).agg(*_aggregates(fields, opts)).first().asDict()
-    return _read_profile(df, fields, got, opts)
+    return _read_profile(df, fields, labels, got, opts)
 
 
 def profile_each(df: DataFrame, by: str, ids: tuple[str, ...] = (),
@@ -206,10 +213,11 @@ def profile_each(df: DataFrame, by: str, ids: tuple[str, ...] = (),
 
     Brings one row per dataset to the driver; map-side combine keeps a huge dataset from skewing it.
     """
-    opts = options or CleanOptions()
+    opts, written, df = options or CleanOptions(), df.columns, _addressable(df)
+    labels = dict(zip(df.columns, written))
     fields = [f for f in df.schema.fields if f.name not in ids and f.name != by]
     rows = _cells(df, fields, (by,), opts).groupBy(by).agg(*_aggregates(fields, opts)).collect()
-    return {r[by]: _read_profile(df.where(col(by) == r[by]), fields, r.asDict(), opts) for r in rows}
+    return {r[by]: _read_profile(df.where(col(by) == r[by]), fields, labels, r.asDict(), opts) for r in rows}
 
 
 def _cells(df: DataFrame, fields, keys: tuple[str, ...], opts: CleanOptions) -> DataFrame:
@@ -227,7 +235,7 @@ def _aggregates(fields, opts: CleanOptions) -> list[Column]:
     return [F.count_if(alive).alias("rows")] + [a for i, f in enumerate(fields) for a in _facts(i, f, opts)]
 
 
-def _read_profile(df: DataFrame, fields, got: dict, opts: CleanOptions) -> TableProfile:
+def _read_profile(df: DataFrame, fields, labels: dict[str, str], got: dict, opts: CleanOptions) -> TableProfile:
     columns = []
     for i, f in enumerate(fields):
         dtype, values, hits = f.dataType, got[f"val{i}"], got.get(f"hit{i}")
@@ -246,8 +254,8 @@ def _read_profile(df: DataFrame, fields, got: dict, opts: CleanOptions) -> Table
     # Only columns that stay reach the output, so only their names have to differ.
     kept = [c for c in columns if c.raw_values]
     names = dict(zip([c.source for c in kept],
-                     unique_names([tidy_name(c.source) for c in kept], opts.on_collision)))
-    columns = [replace(c, name=names.get(c.source, tidy_name(c.source))) for c in columns]
+                     unique_names([tidy_name(labels[c.source]) for c in kept], opts.on_collision)))
+    columns = [replace(c, name=names.get(c.source, tidy_name(labels[c.source]))) for c in columns]
     if opts.sample_size:
         columns = [_judge_by_sample(df, c, opts) for c in columns]
     return TableProfile(got["rows"], columns)
@@ -304,7 +312,7 @@ def _final_cell(p: ColumnProfile, c: Column, opts: CleanOptions) -> Column:
 def apply_profile(df: DataFrame, prof: TableProfile, ids: tuple[str, ...] = (),
                   options: CleanOptions | None = None) -> DataFrame:
     """Clean with a known profile: a narrow projection and a filter, also fit for a stream."""
-    opts = options or CleanOptions()
+    opts, df = options or CleanOptions(), _addressable(df)
     kept = prof.kept
     id_cols = [col(c) for c in ids]
     if not kept:

@@ -1,15 +1,18 @@
 """Tolerant CSV source: headers as data, no aborted runs, one scan per distinct header.
 
-A survey job reads the folder once as lines and yields, per file, its header line, whether every
-line is valid UTF-8 and its line count. Files that cannot be used are reported, not raised. Data is
-then read all-text with an explicit schema plus one overflow column, so rows with too many fields
-can be told apart from short rows, which are padded with NULL.
+A survey reads the folder once as lines and tells, per file, whether every line is valid UTF-8 and
+how many lines there are; header lines are fetched from the start of each file. Files that cannot be
+used are reported, not raised. Data is then read all-text with an explicit schema plus one overflow
+column, so rows with too many fields can be told apart from short rows, which are padded with NULL.
 """
 
 from __future__ import annotations
 
 import csv
+import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,31 +26,47 @@ DATASET = "dataset_id"
 
 def parse_header(line: str) -> list[str]:
     """Column names of a header line: blanks are named by position, repeats get a suffix."""
-    cells = next(csv.reader([line.removeprefix("﻿")]), [])
+    cells = next(csv.reader([line.removeprefix("\ufeff")]), [])
     return unique_names([c if c.strip() else f"Unnamed: {i}" for i, c in enumerate(cells)])
 
 
+def _lines(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
+    return spark.read.option("pathGlobFilter", pattern).text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
+
+
 def survey(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """One row per file: dataset_id, path, bytes, header, lines, status (`ok` or why it is skipped).
+    """(path, lines, decodable) per file that is not empty.
 
-    One aggregate over the lines with map-side combine; a huge file costs one partial row per task.
+    One hash aggregate over the lines; a huge file costs one partial row per task.
     """
-    listed = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-              .select("path", F.col("length").alias("bytes")))  # content is pruned: a listing only
-    lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(
-        "value", F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
-    is_text = F.trim(F.regexp_replace("value", "^﻿", "")) != ""
-    facts = lines.groupBy("path").agg(
-        F.min_by(F.when(is_text, F.col("value")), F.when((F.col("block") == 0) & is_text, F.col("seq"))).alias("header"),
-        F.bool_and(F.is_valid_utf8("value")).alias("decodable"), F.count(F.lit(1)).alias("lines"))
-    status = (F.when(F.col("header").isNull(), F.lit("skipped: no columns"))
-              .when(~F.col("decodable"), F.lit("skipped: not UTF-8")).otherwise(F.lit("ok")))
-    # Both sides name a file by its full URI; the scheme's slashes may differ in number.
-    key = F.regexp_replace("path", "^file:/+", "/")
-    found = listed.withColumn("path", key).join(facts.withColumn("path", key), "path", "left")
-    return found.select(F.element_at(F.split("path", "/"), -1).alias(DATASET), "path", "bytes", "header",
-                        F.coalesce("lines", F.lit(0)).alias("lines"), status.alias("status"))
+    return _lines(spark, folder, pattern).groupBy("path").agg(
+        F.count(F.lit(1)).alias("lines"), F.bool_and(F.is_valid_utf8("value")).alias("decodable"))
+
+
+def header_lines(spark: SparkSession, paths: list[str], few: int = 1000) -> dict[str, str]:
+    """The first line with text of each file.
+
+    Few files: one `first` per file, which reads no further than the line. Many files: one job that
+    takes the first line of every file by position.
+    """
+    has_text = F.trim(F.regexp_replace("value", "^\ufeff", "")) != ""
+    if len(paths) <= few:
+        def first(path: str):
+            row = spark.read.text(_readable(path)).where(has_text).first()
+            return path, row.value if row else None
+
+        with ThreadPoolExecutor(16) as pool:
+            found = list(pool.map(first, paths))
+    else:
+        at_start = _lines(spark, [_readable(p) for p in paths]).withColumn("seq", F.monotonically_increasing_id()).where((F.col("block") == 0) & has_text)
+        found = [(r.path, r.header) for r in at_start.groupBy("path").agg(F.min_by("value", "seq").alias("header")).collect()]
+    return {path: line for path, line in found if line is not None}
+
+
+def _readable(uri: str) -> str:
+    """A file URI from `_metadata` as a reader path: decoded, with glob characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
 
 def read_text_table(spark: SparkSession, paths: list[str], columns: list[str], bad_rows: str = "drop_long",
@@ -60,9 +79,11 @@ def read_text_table(spark: SparkSession, paths: list[str], columns: list[str], b
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, OVERFLOW]])
     raw = (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").option("escape", '"')
-           .option("mode", "PERMISSIVE").option("multiLine", multi_line).csv(paths))
+           .option("mode", "PERMISSIVE").option("multiLine", multi_line).csv([_readable(p) for p in paths]))
     keep = F.col(OVERFLOW).isNotNull() if bad_rows == "quarantine" else F.col(OVERFLOW).isNull()
-    tags = [F.col("_metadata.file_name").alias(DATASET)]
+    # The file name comes percent-encoded; a plus sign stands for itself there.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    tags = [name.alias(DATASET)]
     if with_order:
         tags.append(F.struct(F.col("_metadata.file_block_start").alias("block"),
                              F.monotonically_increasing_id().alias("seq")).alias("row_order"))
@@ -70,12 +91,20 @@ def read_text_table(spark: SparkSession, paths: list[str], columns: list[str], b
     return raw.select(*tags, *named, OVERFLOW).where(keep).drop(OVERFLOW)
 
 
+@dataclass(frozen=True)
+class FileState:
+    dataset_id: str
+    path: str
+    lines: int
+    status: str        # `ok`, or why the file is skipped
+
+
 @dataclass
 class Folder:
-    """`files`: the survey rows. `groups`: (paths, columns) per distinct header."""
+    """`files`: what became of each file. `groups`: (paths, columns) per distinct header."""
 
     spark: SparkSession
-    files: list
+    files: list[FileState]
     groups: list[tuple[list[str], list[str]]]
 
     def tables(self, **options) -> list[DataFrame]:
@@ -85,7 +114,7 @@ class Folder:
     def datasets(self, **options) -> dict[str, DataFrame]:
         """One all-text table per usable file, without tags; nothing is read yet."""
         drop = [DATASET]
-        return {p.rsplit("/", 1)[-1]: read_text_table(self.spark, [p], columns, **options).drop(*drop)
+        return {_name(p): read_text_table(self.spark, [p], columns, **options).drop(*drop)
                 for paths, columns in self.groups for p in paths}
 
 
@@ -94,16 +123,31 @@ def open_folder(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Fol
 
     Raises only when the folder holds no usable file.
     """
-    files = survey(spark, folder, pattern).orderBy(DATASET).collect()
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        if f.status == "ok":
-            groups.setdefault(tuple(parse_header(f.header)), []).append(f.path)
+    listed = spark.read.option("pathGlobFilter", pattern).text(folder).inputFiles()
+    facts = {_name(r.path): r for r in survey(spark, folder, pattern).collect()}
+    usable = sorted(r.path for r in facts.values() if r.decodable)
+    headers = {_name(path): line for path, line in header_lines(spark, usable).items()}
+    files, groups = [], {}
+    for name in sorted(_name(path) for path in listed):
+        fact = facts.get(name)
+        if fact and not fact.decodable:
+            status = "skipped: not UTF-8"
+        elif name not in headers:
+            status = "skipped: no columns"
+        else:
+            status = "ok"
+            groups.setdefault(tuple(parse_header(headers[name])), []).append(fact.path)
+        files.append(FileState(name, fact.path if fact else name, fact.lines if fact else 0, status))
     if not groups:
         raise ValueError(f"no usable file in {folder}")
     return Folder(spark, files, [(paths, list(columns)) for columns, paths in groups.items()])
 
 
+def _name(path: str) -> str:
+    """File name of a URI, as the file source reports it."""
+    return unquote(path.rsplit("/", 1)[-1])
+
+
 def file_profile(df: DataFrame, dataset_id: str, order: str | None = None, rows: int = 3,
                  path: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """One row: dataset_id, path, columns, row_count and the first rows as JSON text.
