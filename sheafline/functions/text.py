@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import defaults
+from .bind import bind
 
 # Unicode white space plus the four ASCII separators that also count as space.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
@@ -18,7 +19,9 @@ def squeeze(c: Column) -> Column:
 
 def clean_cell(c: Column) -> Column:
     """Squeeze, blank to NULL, then delete NUL characters."""
-    return F.replace(F.nullif(squeeze(c), F.lit("")), F.lit("\x00"), F.lit(""))
+    # The blank test looks at the raw cell: testing the squeezed one would squeeze it twice.
+    blank = ~c.rlike(r"(?U)[^\s\x1c-\x1f]")
+    return F.when(~blank, F.replace(squeeze(c), F.lit("\x00"), F.lit("")))
 
 
 def flag_nulls(c: Column, flags=None) -> Column:
@@ -54,6 +57,9 @@ def slug(title: Column, max_chars: int = defaults.SLUG_CHARS) -> Column:
     """A safe file name from a title: ASCII letters, digits and `_`, cut at a word boundary."""
     s = F.regexp_replace(F.lower(title), r"(?U)[^a-z0-9\s\x1c-\x1f]", "")
     s = F.regexp_replace(s, SPACE, "_")
-    s = F.trim(s, F.lit("_"))
-    cut = F.substring(s, 1, max_chars)
-    return F.when(F.length(s) > max_chars, F.regexp_replace(cut, r"_[^_]*$", "")).otherwise(s)
+
+    def cut(whole: Column) -> Column:
+        head = F.substring(whole, 1, max_chars)
+        return F.when(F.length(whole) > max_chars, F.regexp_replace(head, r"_[^_]*$", "")).otherwise(whole)
+
+    return bind(F.trim(s, F.lit("_")), cut)

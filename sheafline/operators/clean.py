@@ -310,18 +310,26 @@ def _final_cell(p: ColumnProfile, c: Column, opts: CleanOptions) -> Column:
 
 
 def apply_profile(df: DataFrame, prof: TableProfile, ids: tuple[str, ...] = (),
-                  options: CleanOptions | None = None) -> DataFrame:
-    """Clean with a known profile: a narrow projection and a filter, also fit for a stream."""
+                  options: CleanOptions | None = None, only: list[str] | None = None) -> DataFrame:
+    """Clean with a known profile: a narrow projection and a row filter, also fit for a stream.
+
+    `only` names the cleaned columns to look at; rows are not dropped then, as that takes all columns.
+    """
     opts, df = options or CleanOptions(), _addressable(df)
-    kept = prof.kept
+    kept = [p for p in prof.kept if only is None or p.name in only]
     id_cols = [col(c) for c in ids]
     if not kept:
         return df.where(F.lit(False)).select(*id_cols)
     raw = {f.name: f.dataType for f in df.schema.fields}
     cells = _typed_cells(df, [(p.source, raw[p.source], p.dtype) for p in kept], id_cols, "_cell", opts)
-    cells = cells.where(_any_value([F.col(f"_cell{i}") for i in range(len(kept))]))
-    return cells.select(*id_cols, *[
-        _final_cell(p, F.col(f"_cell{i}"), opts).alias(p.name) for i, p in enumerate(kept)])
+    final = [_final_cell(p, F.col(f"_cell{i}"), opts).alias(p.name) for i, p in enumerate(kept)]
+    if only is not None:
+        return cells.select(*id_cols, *final)
+    # A filter would be pushed below the cleaning and clean every cell a second time there. A row that
+    # unfolds into one row or none is dropped after its cells are computed once.
+    some = _any_value([F.col(f"_cell{i}") for i in range(len(kept))])
+    rows = F.when(some, F.array(F.struct(*[F.col(f"_cell{i}") for i in range(len(kept))])))
+    return cells.select(*id_cols, F.inline(rows)).select(*id_cols, *final)
 
 
 def clean(df: DataFrame, ids: tuple[str, ...] = (), options: CleanOptions | None = None,

@@ -131,7 +131,7 @@ def _first_standard(hits: DataFrame) -> DataFrame:
 
 def match_fuzzy(names: DataFrame, variations: DataFrame, min_score: int = defaults.RESOLVE_SCORE) -> DataFrame:
     """(name, standard, std_pos, score) by normalised similarity to any variation."""
-    keyed = names.withColumn("a", text.normal_name(F.col("name")))
+    keyed = materialize(names.withColumn("a", text.normal_name(F.col("name"))))
     best = best_match(keyed.select("a").distinct(), _targets(variations, "variation"), min_score)
     return keyed.join(best, "a").select("name", "standard", "std_pos", "score")
 
@@ -166,6 +166,7 @@ def resolve_names(names: DataFrame, variations: DataFrame,
     names without such a hit, and the standards' own names only after that. One hash join settles
     the exact, case-insensitive and equal-when-normalised names; the rest go to the fuzzy join.
     """
+    names = materialize(names)  # headers only, used three times; their source may be a scan of everything
     left = _keys(names, "name", text.lower_strip(F.col("name")), "name")
     right = _keys(variations, "variation", F.lower("variation"), "std_pos", "var_pos", "standard")
     order = F.struct(F.col("rank") == 2, "std_pos", "rank", "var_pos")
@@ -185,8 +186,7 @@ def resolve_names(names: DataFrame, variations: DataFrame,
 def resolve_columns(columns: DataFrame, variations: DataFrame,
                     min_score: int = defaults.RESOLVE_SCORE) -> DataFrame:
     """The `mappings` table: one row per dataset column that resolves to a standard."""
-    names = materialize(columns.select("name").distinct())  # headers only; used by every strategy
-    resolved = resolve_names(names, variations, min_score)
+    resolved = resolve_names(columns.select("name").distinct(), variations, min_score)
     return columns.join(resolved, "name").select(
         "dataset_id", "col_pos", F.col("name").alias("original"), "standard", "std_pos", "strategy", "score")
 

@@ -11,11 +11,11 @@ from ..functions.session import materialize
 
 def title_slugs(records: DataFrame, title: str = "title") -> DataFrame:
     """Adds `slug` and `status`: `ok`, `no title` or `invalid title`."""
-    slug = text.slug(F.col(title))
     has_title = F.coalesce(F.col(title) != "", F.lit(False))
-    return records.withColumn("slug", F.when(has_title, F.nullif(slug, F.lit("")))).withColumn(
+    slugged = records.withColumn("_slug", text.slug(F.col(title)))
+    return slugged.withColumn("slug", F.when(F.col("_slug") != "", F.col("_slug"))).withColumn(
         "status", F.when(~has_title, F.lit("no title")).when(F.col("slug").isNull(), F.lit("invalid title"))
-        .otherwise(F.lit("ok")))
+        .otherwise(F.lit("ok"))).drop("_slug")
 
 
 def rank_in_group(df: DataFrame, group: str, order: str, rank: str = "rank") -> DataFrame:

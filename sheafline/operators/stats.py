@@ -67,10 +67,15 @@ def temporal_range(df: DataFrame) -> DataFrame:
 
 
 def top_locations(df: DataFrame, column: str, k: int = defaults.TOP_LOCATIONS) -> DataFrame:
-    """The first `k` distinct place names in code-point order, totals and single letters left out."""
-    place = numbers.as_text(col(column), df.schema[column].dataType).alias("location")
-    return (df.select(place).where((F.lower("location") != "total") & (F.length("location") > 1))
-            .distinct().orderBy("location").limit(k))
+    """The first `k` distinct place names in code-point order, totals and single letters left out.
+
+    Unwanted names become NULL and sort last, rather than being filtered: a filter would move below
+    the cleaning of the column and repeat it.
+    """
+    place = df.select(numbers.as_text(col(column), df.schema[column].dataType).alias("location"))
+    wanted = F.when((F.lower("location") != "total") & (F.length("location") > 1), F.col("location"))
+    return (place.select(wanted.alias("location")).distinct().orderBy(F.col("location").asc_nulls_last())
+            .limit(k).where("location IS NOT NULL"))
 
 
 def spatial_summary(df: DataFrame, k: int = defaults.TOP_LOCATIONS) -> DataFrame:
@@ -99,8 +104,11 @@ def completeness(df: DataFrame, ids: tuple[str, ...] = ()) -> DataFrame:
                       completeness_score(cells - filled, cells).alias("completeness_score"))
 
 
-def table_stats(df: DataFrame, prof: TableProfile, ids: tuple[str, ...] = ()) -> DataFrame:
-    """The statistics record of one cleaned table as a one-row DataFrame of `STATS_SCHEMA`."""
+def table_stats(df: DataFrame, prof: TableProfile) -> DataFrame:
+    """The statistics record of one cleaned table as a one-row DataFrame of `STATS_SCHEMA`.
+
+    Only the place columns of `df` are read; everything else is in the profile.
+    """
     spark = df.sparkSession
     kept = prof.kept
     rows, cells = prof.rows, prof.rows * len(kept)

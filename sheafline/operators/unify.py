@@ -164,37 +164,34 @@ def _first_founders(possible: DataFrame, later: DataFrame) -> DataFrame:
 
 # ---- fallback -----------------------------------------------------------------------------------
 
-def fallback_hits(names: DataFrame, patterns=None) -> DataFrame:
-    """(name, std_pos, standard) for every pattern group found in a name.
-
-    The patterns are a parameter table, so they become expressions of one projection - no join.
-    """
-    patterns = defaults.FALLBACK_PATTERNS if patterns is None else patterns
+def _pattern_hits(patterns) -> Column:
+    """ARRAY<STRUCT<std_pos, standard, type>> of the pattern groups found in `name`."""
     key = text.squeezed_name(F.col("name"))
     tests = []
     for pos, (standard, regexes) in enumerate(patterns):
         regex = "|".join(f"(?:{r.replace('_', '').replace(' ', '')})" for r in regexes)
         tests.append(F.when(key.rlike(regex), F.struct(
-            F.lit(pos).cast("bigint").alias("std_pos"), F.lit(standard).alias("standard"))))
-    hits = F.filter(F.array(*tests), lambda h: h.isNotNull())
-    return names.select("name", F.explode(hits).alias("h")).select("name", "h.*")
+            F.lit(pos).cast("bigint").alias("std_pos"), F.lit(standard).alias("standard"),
+            F.lit(fallback_type(standard)).alias("type"))))
+    return F.filter(F.array(*tests), lambda h: h.isNotNull())
 
 
-def fallback_type(standard: Column) -> Column:
-    return F.when(F.contains(standard, F.lit("count")) | (standard == "year"), F.lit("integer")).otherwise(
-        F.lit("string"))
+def fallback_type(standard: str) -> str:
+    return "integer" if "count" in standard or standard == "year" else "string"
 
 
 def fallback_schema(names: DataFrame, patterns=None) -> DataFrame:
-    """(name, std_pos, standard, type): pattern hits, and every other name as its own standard.
+    """(name, std_pos, standard, type): every pattern hit, or the name as its own standard.
 
+    The patterns are a parameter table, so they become expressions of one projection - no join.
     Pass-through standards have no fixed position (NULL); they follow in name order.
     """
-    hits = fallback_hits(names, patterns)
-    rest = names.join(hits.select("name").distinct(), "name", "left_anti").select(
-        "name", F.lit(None).cast("bigint").alias("std_pos"), text.snake_name(F.col("name")).alias("standard"))
-    matched = hits.withColumn("type", fallback_type(F.col("standard")))
-    return matched.unionByName(rest.withColumn("type", F.lit("string")))
+    patterns = defaults.FALLBACK_PATTERNS if patterns is None else patterns
+    itself = F.struct(F.lit(None).cast("bigint").alias("std_pos"), text.snake_name(F.col("name")).alias("standard"),
+                      F.lit("string").alias("type"))
+    found = names.select("name", _pattern_hits(patterns).alias("hits"))
+    taken = F.when(F.size("hits") > 0, F.col("hits")).otherwise(F.array(itself))
+    return found.select("name", F.explode(taken).alias("h")).select("name", "h.*")
 
 
 def effective_fallback(mapped: DataFrame) -> DataFrame:
@@ -206,7 +203,6 @@ def effective_fallback(mapped: DataFrame) -> DataFrame:
 
 def fallback_document(names: DataFrame, patterns=None) -> UnifiedSchema:
     """The fallback schema as a document (collects names: metadata-sized)."""
-    patterns = defaults.FALLBACK_PATTERNS if patterns is None else patterns
     rows = sorted(fallback_schema(names, patterns).collect(),
                   key=lambda r: (r.std_pos is None, r.std_pos or 0, r.name))
     mappings, types = {}, {}

@@ -98,7 +98,8 @@ def harmonize(raw: dict[str, DataFrame], proposal: str | None = None, responses:
         done = con.conform(df, schema, by_dataset[name], ids, null_as_text, failing=failing)
         frames[name] = done.df
         issues += [(name, c, t) for c, t in done.issues]
-        one = stats.table_stats(df, profiles[name], ids).select(F.lit(name).alias("dataset_id"), "*")
+        places = [c for c in stats.spatial_columns([p.name for p in profiles[name].kept]) if c]
+        one = stats.table_stats(apply_profile(raw[name], profiles[name], (), opts, only=places), profiles[name]).select(F.lit(name).alias("dataset_id"), "*")
         table_stats = one if table_stats is None else table_stats.unionByName(one)
 
     skipped = dict(skipped or {})

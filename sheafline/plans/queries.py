@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import similarity, text
-from ..functions.session import new_path
+from ..functions.session import materialize, new_path
 from ..operators import catalog as cat
 from ..operators import clean, conform, infer, match, merge, naming, pages, stats, unify
 from ..operators.unify import UnifiedSchema
@@ -325,7 +325,7 @@ def dataset_stats(spark: SparkSession, sf: str) -> DataFrame:
     """The full statistics record of the dirty table, from one profiling job."""
     raw = _gaps(spark, sf)
     prof = clean.profile(raw, ROW)
-    record = stats.table_stats(clean.apply_profile(raw, prof, ROW), prof, ROW)
+    record = stats.table_stats(clean.apply_profile(raw, prof, only=["district_raw"]), prof)
     return record.select(
         "row_count", "col_count", "temporal.min_year", "temporal.max_year", "temporal.range_str",
         F.concat_ws(",", "spatial.states").alias("states"), F.concat_ws(",", "spatial.districts").alias("districts"),
@@ -362,7 +362,7 @@ def locations_by_dataset(spark: SparkSession, sf: str) -> DataFrame:
 
 def _customer_datasets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(datasets, stats, mapping log) of the per-customer datasets."""
-    profiled = stats.profile_long(_customer_cells(spark, sf))
+    profiled = materialize(stats.profile_long(_customer_cells(spark, sf)))  # one row per column, used four times
     facts = stats.stats_by_dataset(profiled)
     columns = profiled.groupBy("dataset_id").agg(F.transform(
         F.sort_array(F.collect_list(F.struct("col_pos", "column"))), lambda c: c["column"]).alias("columns"))
