@@ -6,7 +6,7 @@ once. `profile_long` and the `*_by_dataset` forms do the same for any number of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,12 +104,11 @@ def completeness(df: DataFrame, ids: tuple[str, ...] = ()) -> DataFrame:
                       completeness_score(cells - filled, cells).alias("completeness_score"))
 
 
-def table_stats(df: DataFrame, prof: TableProfile) -> DataFrame:
-    """The statistics record of one cleaned table as a one-row DataFrame of `STATS_SCHEMA`.
+def table_facts(df: DataFrame, prof: TableProfile) -> tuple:
+    """The facts of one cleaned table, as a row for `stats_table`.
 
     Only the place columns of `df` are read; everything else is in the profile.
     """
-    spark = df.sparkSession
     kept = prof.kept
     rows, cells = prof.rows, prof.rows * len(kept)
     missing = cells - sum(c.values for c in kept)
@@ -121,14 +120,17 @@ def table_stats(df: DataFrame, prof: TableProfile) -> DataFrame:
     for kind, column in zip(("states", "districts"), spatial_columns(names)):
         # at most TOP_LOCATIONS values come back
         places[kind] = [r.location for r in top_locations(df, column).collect()] if column else []
-    fact = (rows, len(kept), low, high, places["states"], places["districts"], granularity(names),
-            missing, cells)
-    one = spark.createDataFrame([fact], """
-        row_count BIGINT, col_count BIGINT, lo BIGINT, hi BIGINT, states ARRAY<STRING>,
+    return (rows, len(kept), low, high, places["states"], places["districts"], granularity(names), missing, cells)
+
+
+def stats_table(spark: SparkSession, facts: dict[str, tuple]) -> DataFrame:
+    """(dataset_id, columns of `STATS_SCHEMA`): one statistics record per dataset."""
+    many = spark.createDataFrame([(name, *fact) for name, fact in facts.items()], """
+        dataset_id STRING, row_count BIGINT, col_count BIGINT, lo BIGINT, hi BIGINT, states ARRAY<STRING>,
         districts ARRAY<STRING>, granularity STRING, missing BIGINT, cells BIGINT""")
     empty = F.col("cells") == 0
-    return one.select(
-        "row_count", "col_count",
+    return many.select(
+        "dataset_id", "row_count", "col_count",
         F.struct(F.col("lo").alias("min_year"), F.col("hi").alias("max_year"),
                  range_text(F.col("lo"), F.col("hi")).alias("range_str")).alias("temporal"),
         F.struct("states", "districts", "granularity").alias("spatial"),
@@ -137,6 +139,11 @@ def table_stats(df: DataFrame, prof: TableProfile) -> DataFrame:
                  F.when(~empty, F.col("row_count")).alias("total_rows")).alias("quality"))
 
 
+def table_stats(df: DataFrame, prof: TableProfile) -> DataFrame:
+    """The statistics record of one cleaned table as a one-row DataFrame of `STATS_SCHEMA`."""
+    return stats_table(df.sparkSession, {"": table_facts(df, prof)}).drop("dataset_id")
+
+
 # ---- many datasets at once ----------------------------------------------------------------------
 
 def to_long(df: DataFrame, ids: tuple[str, ...], columns: list[str] | None = None) -> DataFrame:

@@ -8,11 +8,14 @@ record - are all that reaches the driver.
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.names import col
 from ..operators import catalog as cat
 from ..operators import conform as con
 from ..operators import match, merge, naming, stats, unify
@@ -20,6 +23,8 @@ from ..operators.clean import CleanOptions, TableProfile, apply_profile, profile
 from ..operators.unify import UnifiedSchema
 from ..sources import csv
 
+CONCURRENT_JOBS = 8
+
 
 @dataclass
 class Harmonized:
@@ -30,14 +35,21 @@ class Harmonized:
     datasets: DataFrame          # dataset_id, row_count, columns, status
     stats: DataFrame             # dataset_id + STATS_SCHEMA
     catalog: DataFrame
-    issues: list[tuple[str, str, str]] = field(default_factory=list)
-    skipped: dict[str, str] = field(default_factory=dict)
+    issues: list[tuple[str, str, str]] = field(default_factory=list)   # dataset, column, type not given
+    null_as_text: str | None = None
 
     def consistency(self) -> DataFrame:
         return merge.schema_consistency(self.datasets.where("status = 'ok'"))
 
     def merged(self, allow_missing: bool = False) -> DataFrame:
-        return merge.merge_union(self.frames, allow_missing)
+        """All conformed rows; text that stands for NULL becomes NULL again."""
+        parts = self.frames
+        if self.null_as_text is not None:
+            parts = {name: df.select(*[
+                F.nullif(col(f.name), F.lit(self.null_as_text)).alias(f.name)
+                if isinstance(f.dataType, T.StringType) else col(f.name) for f in df.schema.fields])
+                for name, df in parts.items()}
+        return merge.merge_union(parts, allow_missing)
 
     def summary(self) -> DataFrame:
         return merge.run_summary(self.datasets)
@@ -77,9 +89,9 @@ def harmonize(raw: dict[str, DataFrame], proposal: str | None = None, responses:
     opts = options or CleanOptions()
     spark = next(iter(raw.values())).sparkSession
     profiles = dict(profiles or {})
-    for name, df in raw.items():
-        if name not in profiles:
-            profiles[name] = profile(df, ids, opts)
+    todo = [name for name in raw if name not in profiles]
+    with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:  # independent jobs; the cluster is shared by them
+        profiles.update(zip(todo, pool.map(lambda name: profile(raw[name], ids, opts), todo)))
     raw = {name: df for name, df in raw.items() if profiles[name].kept}
     cleaned = {name: apply_profile(df, profiles[name], ids, opts) for name, df in raw.items()}
 
@@ -92,15 +104,19 @@ def harmonize(raw: dict[str, DataFrame], proposal: str | None = None, responses:
     for m in mappings.orderBy("dataset_id", "col_pos").collect():  # one row per column
         by_dataset[m.dataset_id][m.original] = m.standard
 
-    frames, issues, table_stats = {}, [], None
+    def facts(name: str) -> tuple:
+        places = [c for c in stats.spatial_columns([p.name for p in profiles[name].kept]) if c]
+        looked_at = apply_profile(raw[name], profiles[name], (), opts, only=places)
+        return stats.table_facts(looked_at, profiles[name])
+
+    with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:
+        table_stats = stats.stats_table(spark, dict(zip(cleaned, pool.map(facts, cleaned))))
+    frames, issues = {}, []
     for name, df in cleaned.items():
         failing = con.failing_by_profile(profiles[name], by_dataset[name])
         done = con.conform(df, schema, by_dataset[name], ids, null_as_text, failing=failing)
         frames[name] = done.df
         issues += [(name, c, t) for c, t in done.issues]
-        places = [c for c in stats.spatial_columns([p.name for p in profiles[name].kept]) if c]
-        one = stats.table_stats(apply_profile(raw[name], profiles[name], (), opts, only=places), profiles[name]).select(F.lit(name).alias("dataset_id"), "*")
-        table_stats = one if table_stats is None else table_stats.unionByName(one)
 
     skipped = dict(skipped or {})
     datasets = spark.createDataFrame(
@@ -108,7 +124,7 @@ def harmonize(raw: dict[str, DataFrame], proposal: str | None = None, responses:
         + [(name, None, None, why) for name, why in skipped.items()],
         "dataset_id STRING, row_count BIGINT, columns ARRAY<STRING>, status STRING")
     records = cat.catalog(datasets.where("status = 'ok'"), table_stats, match.mapping_log(mappings), responses, scraped)
-    return Harmonized(schema, frames, profiles, mappings, datasets, table_stats, records, issues, skipped)
+    return Harmonized(schema, frames, profiles, mappings, datasets, table_stats, records, issues, null_as_text)
 
 
 def harmonize_folder(spark: SparkSession, folder: str, options: CleanOptions | None = None, **more) -> Harmonized:

@@ -1,8 +1,8 @@
-"""Slow, plain re-statements of the rules, for small fixtures."""
+"""Plain re-statements of the rules over all pairs, for small fixtures."""
 
 from __future__ import annotations
 
-import re
+from itertools import count
 
 
 def similarity(a: str, b: str) -> int:
@@ -21,51 +21,44 @@ def similarity(a: str, b: str) -> int:
 
 
 def normal(name: str) -> str:
-    return re.sub(r"[^\w\s]", "", name.lower().strip()).replace("_", "").replace(" ", "")
+    """Letters and digits of the lower-cased name; white space other than blanks stays inside."""
+    return "".join(ch for ch in name.strip().lower() if ch.isalnum() or (ch.isspace() and ch != " "))
 
 
 def resolve(name: str, mappings: dict[str, list[str]], low: int = 85):
-    """(standard, strategy) by the documented intent, or None."""
-    for standard, variations in mappings.items():
+    """(standard, strategy): the smallest of all offers, each a sort key with its outcome."""
+    offers = []
+    for at, (standard, variations) in enumerate(mappings.items()):
         if name in variations:
-            return standard, "exact"
-        if name.lower().strip() in [v.lower() for v in variations]:
-            return standard, "case_insensitive"
-    for strategy, lists in (("fuzzy", mappings), ("standard_name", {s: [s] for s in mappings})):
-        best, found = 0, None
-        for standard, variations in lists.items():
-            for v in variations:
-                score = similarity(normal(name), normal(v))
-                if score > best:
-                    best, found = score, standard
-        if best >= low:
-            return found, strategy
-    return None
+            offers.append(((0, at, 0), (standard, "exact")))
+        if any(name.strip().lower() == v.lower() for v in variations):
+            offers.append(((0, at, 1), (standard, "case_insensitive")))
+        offers += [((1, -similarity(normal(name), normal(v)), at), (standard, "fuzzy")) for v in variations]
+        offers.append(((2, -similarity(normal(name), normal(standard)), at), (standard, "standard_name")))
+    good = [(key, outcome) for key, outcome in offers if key[0] == 0 or -key[1] >= low]
+    return min(good)[1] if good else None
 
 
 def assign(names: list[str], standards: list[str], above: int = 70) -> dict[str, str]:
     """name -> standard, one name after the other in sorted order."""
-    known, out = list(standards), {}
+    squeeze = str.maketrans("", "", "_ ")
+    homes = [(s, s.lower().replace("_", "")) for s in standards]
+    out = {}
     for name in sorted(names):
-        key = name.lower().replace("_", "").replace(" ", "")
-        scores = [similarity(key, s.lower().replace("_", "")) for s in known]
-        top = max(scores, default=0)
-        if top > above:
-            out[name] = known[scores.index(top)]
-        else:
-            out[name] = name.lower().replace(" ", "_")
-            if out[name] not in known:
-                known.append(out[name])
+        form = name.lower().translate(squeeze)
+        offers = [(-similarity(form, known), at) for at, (_, known) in enumerate(homes)]
+        score, at = min(offers, default=(0, None))
+        if -score <= above:
+            homes.append((name.lower().replace(" ", "_"), form))
+            at = len(homes) - 1
+        out[name] = homes[at][0]
     return out
 
 
 def free_names(items: list[tuple[int, str]], taken=()) -> dict[int, str]:
     used, out = set(taken), {}
     for i, slug in sorted(items):
-        name, k = slug, 0
-        while name in used:
-            k += 1
-            name = f"{slug}_{k}"
-        used.add(name)
-        out[i] = name
+        tries = (slug if k == 0 else f"{slug}_{k}" for k in count())
+        out[i] = next(t for t in tries if t not in used)
+        used.add(out[i])
     return out
