@@ -84,3 +84,26 @@ def similarity(a: Column, b: Column, masks: Column | None = None) -> Column:
     total = F.length(a) + F.length(b)
     share = F.lit(1.0) - (total - 2 * lcs_length(a, b, masks)) / total
     return F.when(a == b, F.lit(100)).otherwise(F.rint(F.lit(100.0) * share).cast("int"))
+
+
+def letter_bits(c: Column) -> Column:
+    """BIGINT telling which letters a-z occur once and twice and which digits occur, one bit each."""
+    def step(bits: Column, ch: Column) -> Column:
+        letter = F.call_function("instr", F.lit("abcdefghijklmnopqrstuvwxyz"), ch)
+        digit = F.call_function("instr", F.lit("0123456789"), ch)
+        once = _bit((letter - 1) * 2)
+        again = F.when(bits.bitwiseAND(once) == 0, once).otherwise(_bit((letter - 1) * 2 + 1))
+        return F.when(letter > 0, bits.bitwiseOR(again)).when(digit > 0, bits.bitwiseOR(_bit(digit + 51))).otherwise(bits)
+
+    return F.aggregate(chars(c), F.lit(0).cast("bigint"), step)
+
+
+def may_reach(score: int, a: Column, a_bits: Column, b: Column, b_bits: Column) -> Column:
+    """FALSE only if the two names cannot score `score`: they have too few characters in common.
+
+    Characters both bit sets show are counted exactly; of those a bit set does not show, no more can
+    be common than the poorer name has.
+    """
+    shown = F.bit_count(a_bits.bitwiseAND(b_bits))
+    hidden = F.least(F.length(a) - F.bit_count(a_bits), F.length(b) - F.bit_count(b_bits))
+    return 400 * (shown + hidden) >= (2 * score - 1) * (F.length(a) + F.length(b))

@@ -5,8 +5,9 @@ Tables: `columns(dataset_id, col_pos, name)`, `variations(std_pos, standard, var
 The fuzzy step never compares every name with every variation. If two names score at least `m`,
 their insert/delete distance is at most d, so of d+1 pieces of one name at least one occurs
 unchanged in the other, near its old place (the pigeonhole filter of segment joins, e.g. Pass-Join,
-Li et al. 2011). Pieces and nearby substrings meet in an equi-join, and only those pairs are scored.
-The filter loses no pair that reaches the threshold.
+Li et al. 2011). Pieces and nearby substrings meet in an equi-join; pairs with too few characters in
+common are dropped inside it, and only the rest is scored. Neither filter loses a pair that reaches
+the threshold.
 """
 
 from __future__ import annotations
@@ -48,15 +49,15 @@ def left_pieces(name: Column, min_score: int) -> Column:
     return F.transform(F.sequence(F.lit(0), n - 1), piece)
 
 
-def right_parts(names: DataFrame, name: str, min_score: int) -> DataFrame:
-    """Rows (`name`, la, piece, part): every substring that a left piece may meet."""
+def right_parts(names: DataFrame, name: str, min_score: int, *carry: str) -> DataFrame:
+    """Rows (`name`, `carry`, la, piece, part): every substring that a left piece may meet."""
     slack = _slack(min_score)
     lb = F.length(name)
     lengths = F.sequence(F.ceil(lb * (1000 - slack) / (1000 + slack)).cast("int"),
                          _div(lb * (1000 + slack), 1000 - slack))
-    by_length = names.select(name, F.explode(lengths).alias("la")).withColumn(
+    by_length = names.select(name, *carry, F.explode(lengths).alias("la")).withColumn(
         "n", _pieces(F.col("la"), slack))
-    by_piece = by_length.select(name, "la", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("piece"))
+    by_piece = by_length.select(name, *carry, "la", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("piece"))
     start, end = _div(F.col("piece") * F.col("la"), F.col("n")), _div((F.col("piece") + 1) * F.col("la"), F.col("n"))
     gap = lb - F.col("la")
     budget = _div((lb + F.col("la")) * slack, 1000)
@@ -65,13 +66,16 @@ def right_parts(names: DataFrame, name: str, min_score: int) -> DataFrame:
     placed = by_piece.withColumn("start", start).withColumn("size", end - start)
     parts = F.when(first <= last, F.array_distinct(F.transform(
         F.sequence(first, last), lambda p: F.substring(F.col(name), p + 1, F.col("size")))))
-    return placed.select(name, "la", "piece", F.explode(parts).alias("part"))
+    return placed.select(name, *carry, "la", "piece", F.explode(parts).alias("part"))
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, min_score: int) -> DataFrame:
     """Distinct pairs (a, b) of distinct names `a` and distinct names `b` that may reach the score."""
-    probes = left.select("a", F.explode(left_pieces(F.col("a"), min_score)).alias("p")).select("a", "p.*")
-    met = probes.join(right_parts(right, "b", min_score), ["la", "piece", "part"]).select("a", "b")
+    left = left.select("a", sim.letter_bits(F.col("a")).alias("a_bits"))
+    right = right.select("b", sim.letter_bits(F.col("b")).alias("b_bits"))
+    probes = left.select("a", "a_bits", F.explode(left_pieces(F.col("a"), min_score)).alias("p")).select("a", "a_bits", "p.*")
+    met = probes.join(right_parts(right, "b", min_score, "b_bits"), ["la", "piece", "part"])
+    met = met.where(sim.may_reach(min_score, F.col("a"), F.col("a_bits"), F.col("b"), F.col("b_bits"))).select("a", "b")
     # A pair is a few bytes but costs a scoring loop: a fixed number of partitions keeps the scoring
     # spread out, where merging partitions by size would put it into one task.
     spark = left.sparkSession
