@@ -7,6 +7,7 @@ a single pass, and the cleaned rows come out of a narrow projection without a sh
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from .. import defaults
 from ..functions import numbers, text
+from ..functions.bind import bind
 from ..functions.names import col, tidy_name, unique_names
 from . import infer
 
@@ -137,120 +139,128 @@ def _addressable(df: DataFrame) -> DataFrame:
     return df if names == df.columns else df.toDF(*names)
 
 
-def _typed_cells(df: DataFrame, sources: list[tuple[str, T.DataType, T.DataType]], carry: list[Column],
-                 prefix: str, opts: CleanOptions) -> DataFrame:
-    """Cleaned cells `prefix0`, `prefix1`, … of columns (name, raw type, strict type), before number
-    extraction, after the `carry` columns.
+def _clean(c: Column, opts: CleanOptions) -> Column:
+    """A raw text cell, cleaned but not yet flagged."""
+    cleaned = text.clean_cell(infer.read_nulls(c) if opts.infer else c)
+    return numbers.ascii_digits(cleaned) if opts.indic_digits else cleaned
 
-    Cleaning and flagging are two projections: a cell is mentioned several times when it is flagged,
-    and would be cleaned as often in one.
+
+def _clean_all(texts: list[Column], opts: CleanOptions) -> Column:
+    """The cleaned and flagged text cells of a row as one array: one expression for any width."""
+    cleaned = F.transform(F.array(*texts).cast("array<string>"), lambda c: _clean(c, opts))
+    return F.transform(cleaned, lambda c: text.flag_nulls(c, opts.null_flags))
+
+
+def _keeps_value(c: Column, opts: CleanOptions) -> Column:
+    """Does a raw text cell hold a value? Same as cleaning, flagging and testing it, but cheaper."""
+    space = r"[\s\x1c-\x1f]*"
+    empty = f"(?U)^{space}(?:{'|'.join(re.escape(w) for w in opts.null_flags if w.strip())})?{space}$"
+    exact = bind(_clean(c, opts), lambda v: text.flag_nulls(v, opts.null_flags).isNotNull())
+    plain = ~c.rlike(empty) & (~c.isin(defaults.READ_NULLS) if opts.infer else F.lit(True))
+    return c.isNotNull() & F.when(F.contains(c, F.lit("\x00")), exact).otherwise(plain)
+
+
+def _present(f: T.StructField) -> Column:
+    """Is there a value in a column that is no text?"""
+    c = col(f.name)
+    return c.isNotNull() & ~F.isnan(c) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else c.isNotNull()
+
+
+def _is_text(f: T.StructField) -> bool:
+    return isinstance(f.dataType, T.StringType)
+
+
+def _long_cells(df: DataFrame, fields: list[T.StructField], keys: tuple[str, ...], opts: CleanOptions) -> DataFrame:
+    """One row per cell: keys, `pos`, `r` and `v` (text before and after cleaning), `num` and `filled`
+    (other types). An extra cell at -1 is `filled` when its row keeps any value.
+
+    The same few expressions serve every column, so the generated code stays small for any width.
     """
-    first, second = [], []
-    for i, (source, raw, dtype) in enumerate(sources):
-        name = f"{prefix}{i}"
-        c = col(source)
-        flag = False
-        if isinstance(raw, T.StringType):
-            if opts.infer:
-                c = infer.read_nulls(c)
-            if isinstance(dtype, T.StringType):
-                c, flag = text.clean_cell(c), True
-                if opts.indic_digits:
-                    c = numbers.ascii_digits(c)
-            else:
-                c = infer.parse(c, dtype)
-        elif isinstance(raw, (T.DoubleType, T.FloatType)):
-            c = F.when(~F.isnan(c), c)
-        first.append(c.alias(name))
-        second.append(text.flag_nulls(F.col(name), opts.null_flags).alias(name) if flag else F.col(name))
-    cells = df.select(*carry, *first)
-    kept = cells.columns[:len(cells.columns) - len(first)]
-    return cells.select(*[col(c) for c in kept], *second)
-
-
-def _lifted(c: Column, opts: CleanOptions) -> tuple[Column, Column]:
-    return numbers.extract_int(c, opts.decoration), numbers.extract_float(c, opts.decoration)
-
-
-def _number_facts(prefix: str, i: int, c: Column, year: bool) -> list[Column]:
-    facts = [F.count_if(~numbers.is_whole(c)).alias(f"{prefix}_fractions{i}")]
-    if year:
-        believed = F.when((c > defaults.YEAR_ABOVE) & (c < defaults.YEAR_BELOW), c)
-        facts += [F.min(believed).alias(f"{prefix}_low{i}"), F.max(believed).alias(f"{prefix}_high{i}")]
-    return facts
-
-
-def _facts(i: int, f: T.StructField, opts: CleanOptions) -> list[Column]:
-    """The aggregates of one column; `r` is its cell before, `v` after cleaning."""
-    r, v = F.col(f"r{i}"), F.col(f"v{i}")
-    year = "year" in f.name.lower()
-    out = [F.count(r).alias(f"raw{i}"), F.count(v).alias(f"val{i}")]
-    if not isinstance(f.dataType, T.StringType):
-        return out + _number_facts("plain", i, numbers.coerce_double(v, f.dataType), year)
-    hit, whole, point, plain = (F.col(f"n{i}_{k}") for k in ("hit", "int", "point", "plain"))
-    out += _number_facts("plain", i, plain, year)
-    out += _number_facts("lifted", i, F.coalesce(whole.cast("double"), point, plain), year)
-    out += [F.count_if(hit).alias(f"hit{i}"), F.count(whole).alias(f"int{i}"), F.count(point).alias(f"flt{i}")]
-    if opts.infer:
-        out += [fact.alias(f"{kind}{i}") for kind, fact in infer.type_tests(r).items()]
-    return out
+    def cell(pos: int, raw=None, num=None, filled=None) -> Column:
+        return F.struct(F.lit(pos).alias("pos"), (F.lit(None).cast("string") if raw is None else raw).alias("raw"),
+                        (F.lit(None).cast("double") if num is None else num).alias("num"),
+                        (F.lit(False) if filled is None else filled).alias("filled"))
+
+    texts = [col(f.name) for f in fields if _is_text(f)]
+    others = [f for f in fields if not _is_text(f)]
+    some = F.exists(F.array(*texts), lambda c: _keeps_value(c, opts)) if texts else F.lit(False)
+    for f in others:
+        some = _present(f) | some
+    cells = [cell(i, raw=col(f.name)) if _is_text(f) else
+             cell(i, num=numbers.coerce_double(col(f.name), f.dataType), filled=_present(f))
+             for i, f in enumerate(fields)]
+    long = df.select(*[col(k) for k in keys], F.explode(F.array(cell(-1, filled=some), *cells)).alias("cell"))
+    long = long.select(*[col(k) for k in keys], "cell.*")
+    r = infer.read_nulls(F.col("raw")) if opts.infer else F.col("raw")
+    cleaned = _clean(F.col("raw"), opts)
+    # Two projections: a cell is mentioned several times when it is flagged.
+    long = long.select(*[col(k) for k in keys], "pos", "num", "filled", r.alias("r"), cleaned.alias("v"))
+    return long.withColumn("v", text.flag_nulls(F.col("v"), opts.null_flags))
+
+
+def _facts(opts: CleanOptions) -> list[Column]:
+    """The aggregates over the cells of one column."""
+    r, v, filled = F.col("r"), F.col("v"), F.col("filled")
+    plain = F.coalesce("n_plain", "num")
+    lifted = F.coalesce(F.col("n_int").cast("double"), "n_point", plain)
+    out = [F.count_if(r.isNotNull() | filled).alias("raw"), F.count_if(v.isNotNull() | filled).alias("values"),
+           F.count_if("n_hit").alias("hits"), F.count("n_int").alias("ints"), F.count("n_point").alias("floats")]
+    for name, c in (("plain", plain), ("lifted", lifted)):
+        year = F.when((c > defaults.YEAR_ABOVE) & (c < defaults.YEAR_BELOW), c)
+        out += [F.count_if(~numbers.is_whole(c)).alias(f"{name}_fractions"),
+                F.min(year).alias(f"{name}_low"), F.max(year).alias(f"{name}_high")]
+    return out + ([test.alias(kind) for kind, test in infer.type_tests(r).items()] if opts.infer else [])
 
 
 def profile(df: DataFrame, ids: tuple[str, ...] = (), options: CleanOptions | None = None) -> TableProfile:
     """All whole-column facts of a raw table in one aggregate."""
-    opts, written, df = options or CleanOptions(), df.columns, _addressable(df)
-    labels = dict(zip(df.columns, written))
-    fields = [f for f in df.schema.fields if f.name not in ids]
-    if not fields:
-        return TableProfile(df.count())
-    got = _cells(df, fields, (), opts).agg(*_aggregates(fields, opts)).first().asDict()
-    return _read_profile(df, fields, labels, got, opts)
+    return _profiles(df, (), ids, options or CleanOptions()).get((), TableProfile(0))
 
 
 def profile_each(df: DataFrame, by: str, ids: tuple[str, ...] = (),
                  options: CleanOptions | None = None) -> dict[str, TableProfile]:
-    """The profiles of many datasets with the same columns in one job, keyed by `by`.
-
-    Brings one row per dataset to the driver; map-side combine keeps a huge dataset from skewing it.
-    """
-    opts, written, df = options or CleanOptions(), df.columns, _addressable(df)
-    labels = dict(zip(df.columns, written))
-    fields = [f for f in df.schema.fields if f.name not in ids and f.name != by]
-    rows = _cells(df, fields, (by,), opts).groupBy(by).agg(*_aggregates(fields, opts)).collect()
-    return {r[by]: _read_profile(df.where(col(by) == r[by]), fields, labels, r.asDict(), opts) for r in rows}
+    """The profiles of many datasets with the same columns in one job, keyed by `by`."""
+    return {key: prof for (key,), prof in _profiles(df, (by,), ids, options or CleanOptions()).items()}
 
 
-def _cells(df: DataFrame, fields, keys: tuple[str, ...], opts: CleanOptions) -> DataFrame:
-    raw = [infer.read_nulls(col(f.name)) if opts.infer and isinstance(f.dataType, T.StringType) else col(f.name)
-           for f in fields]
-    carry = [col(k) for k in keys] + [r.alias(f"r{i}") for i, r in enumerate(raw)]
-    sources = [(f.name, f.dataType, f.dataType) for f in fields]
-    cells = _typed_cells(df, sources, carry, "v", opts)
-    texts = {f"n{i}": f"v{i}" for i, f in enumerate(fields) if isinstance(f.dataType, T.StringType)}
-    return numbers.parse_cells(cells, texts, opts.decoration)
-
-
-def _aggregates(fields, opts: CleanOptions) -> list[Column]:
-    alive = _any_value([F.col(f"v{i}") for i in range(len(fields))])
-    return [F.count_if(alive).alias("rows")] + [a for i, f in enumerate(fields) for a in _facts(i, f, opts)]
+def _profiles(df: DataFrame, keys: tuple[str, ...], ids: tuple[str, ...], opts: CleanOptions) -> dict[tuple, TableProfile]:
+    """Brings one row per dataset and column to the driver; map-side combine keeps a huge dataset
+    from skewing the job."""
+    written, df = df.columns, _addressable(df)
+    labels = dict(zip(df.columns, written))
+    fields = [f for f in df.schema.fields if f.name not in ids and f.name not in keys]
+    if not fields:
+        return {}
+    cells = numbers.parse_cells(_long_cells(df, fields, keys, opts), {"n": "v"}, opts.decoration)
+    found: dict[tuple, dict[int, dict]] = {}
+    for row in cells.groupBy(*keys, "pos").agg(*_facts(opts)).collect():
+        found.setdefault(tuple(row[k] for k in keys), {})[row["pos"]] = row.asDict()
+    out = {}
+    for key, got in found.items():
+        part = df
+        for k, value in zip(keys, key):
+            part = part.where(col(k) == value)
+        out[key] = _read_profile(part, fields, labels, got, opts)
+    return out
 
 
-def _read_profile(df: DataFrame, fields, labels: dict[str, str], got: dict, opts: CleanOptions) -> TableProfile:
-    columns = []
+def _read_profile(df: DataFrame, fields, labels: dict[str, str], got: dict[int, dict], opts: CleanOptions) -> TableProfile:
+    rows, columns = got[-1]["values"], []
     for i, f in enumerate(fields):
-        dtype, values, hits = f.dataType, got[f"val{i}"], got.get(f"hit{i}")
-        if hits is not None and opts.infer and f.name not in opts.keep_text:
-            kind = infer.strict_type(got[f"raw{i}"], got[f"bigint{i}"], got[f"double{i}"], got[f"boolean{i}"])
-            if kind == "bigint" and not opts.nullable_ints and values < got["rows"]:
+        fact, dtype = got[i], f.dataType
+        values = fact["values"]
+        if _is_text(f) and opts.infer and f.name not in opts.keep_text:
+            kind = infer.strict_type(fact["raw"], fact["bigint"], fact["double"], fact["boolean"])
+            if kind == "bigint" and not opts.nullable_ints and values < rows:
                 kind = "double"
             dtype = infer.spark_type(kind)
-        is_text = isinstance(dtype, T.StringType)
+        year = "year" in labels[f.name].lower()
         columns.append(ColumnProfile(
-            f.name, "", dtype, got[f"raw{i}"], values, hits or 0, got.get(f"int{i}", 0), got.get(f"flt{i}", 0),
-            numeric=is_text and values > 0 and hits >= values * opts.numeric_share,
-            plain_years=(got.get(f"plain_low{i}"), got.get(f"plain_high{i}")),
-            lifted_years=(got.get(f"lifted_low{i}"), got.get(f"lifted_high{i}")),
-            plain_fractions=got[f"plain_fractions{i}"], lifted_fractions=got.get(f"lifted_fractions{i}", 0)))
+            f.name, "", dtype, fact["raw"], values, fact["hits"], fact["ints"], fact["floats"],
+            numeric=isinstance(dtype, T.StringType) and values > 0 and fact["hits"] >= values * opts.numeric_share,
+            plain_years=(fact["plain_low"], fact["plain_high"]) if year else (None, None),
+            lifted_years=(fact["lifted_low"], fact["lifted_high"]) if year else (None, None),
+            plain_fractions=fact["plain_fractions"], lifted_fractions=fact["lifted_fractions"]))
     # Only columns that stay reach the output, so only their names have to differ.
     kept = [c for c in columns if c.raw_values]
     names = dict(zip([c.source for c in kept],
@@ -258,7 +268,7 @@ def _read_profile(df: DataFrame, fields, labels: dict[str, str], got: dict, opts
     columns = [replace(c, name=names.get(c.source, tidy_name(labels[c.source]))) for c in columns]
     if opts.sample_size:
         columns = [_judge_by_sample(df, c, opts) for c in columns]
-    return TableProfile(got["rows"], columns)
+    return TableProfile(rows, columns)
 
 
 def _judge_by_sample(df: DataFrame, c: ColumnProfile, opts: CleanOptions) -> ColumnProfile:
@@ -266,26 +276,22 @@ def _judge_by_sample(df: DataFrame, c: ColumnProfile, opts: CleanOptions) -> Col
     if not c.is_text or not c.values:
         return c
     carry = [col(opts.order_by).alias("o")] if opts.order_by else []
-    cells = _typed_cells(df, [(c.source, c.dtype, c.dtype)], carry, "v", opts).where("v0 IS NOT NULL")
+    cells = df.select(F.get(_clean_all([col(c.source)], opts), F.lit(0)).alias("v"), *carry).where("v IS NOT NULL")
     if opts.order_by:
         cells = cells.orderBy("o")
     seen = cells.limit(opts.sample_size).agg(
-        F.count("*").alias("n"), F.count_if(numbers.looks_numeric(F.col("v0"), opts.decoration)).alias("h")).first()
+        F.count("*").alias("n"), F.count_if(numbers.looks_numeric(F.col("v"), opts.decoration)).alias("h")).first()
     return replace(c, numeric=seen.h >= seen.n * opts.numeric_share)
 
 
 def numeric_likeness(df: DataFrame, ids: tuple[str, ...] = (), options: CleanOptions | None = None) -> DataFrame:
     """One row per text column: values, number-like values, share, verdict."""
     opts = options or CleanOptions()
-    texts = [f for f in df.schema.fields if f.name not in ids and isinstance(f.dataType, T.StringType)]
-    cells = _typed_cells(df, [(f.name, f.dataType, f.dataType) for f in texts], [], "v", opts)
-    one = cells.agg(*[
-        F.struct(F.lit(tidy_name(f.name)).alias("column"), F.count(f"v{i}").alias("n_values"),
-                 F.count_if(numbers.looks_numeric(F.col(f"v{i}"), opts.decoration)).alias("n_numeric"),
-                 ).alias(f"s{i}") for i, f in enumerate(texts)])
-    rows = one.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(texts))])).alias("s")).select("s.*")
-    return rows.select(
-        "column", "n_values", "n_numeric",
+    texts = [f for f in df.schema.fields if f.name not in ids and _is_text(f)]
+    counted = _long_cells(df, texts, (), opts).where("pos >= 0").groupBy("pos").agg(
+        F.count("v").alias("n_values"), F.count_if(numbers.looks_numeric(F.col("v"), opts.decoration)).alias("n_numeric"))
+    return counted.select(
+        F.element_at(F.lit([tidy_name(f.name) for f in texts]), F.col("pos") + 1).alias("column"), "n_values", "n_numeric",
         F.try_divide(F.col("n_numeric"), F.col("n_values")).alias("ratio"),
         ((F.col("n_values") > 0) & (F.col("n_numeric") >= F.col("n_values") * opts.numeric_share)).alias("is_numeric"))
 
@@ -295,17 +301,17 @@ def numeric_likeness(df: DataFrame, ids: tuple[str, ...] = (), options: CleanOpt
 def extract_numbers(c: Column, decoration: str = defaults.NUMBER_DECORATION) -> Column:
     """Canonical number text for cells that convert, the cell itself for the rest."""
     return F.coalesce(numbers.extract_int(c, decoration).cast("string"),
-                      numbers.float_text(numbers.extract_float(c, decoration)), c)
+                      bind(numbers.extract_float(c, decoration), numbers.float_text), c)
 
 
 def _final_cell(p: ColumnProfile, c: Column, opts: CleanOptions) -> Column:
     if not p.is_text or not p.numeric:
         return c
-    whole, point = _lifted(c, opts)
+    whole = numbers.extract_int(c, opts.decoration)
     if isinstance(p.final_type, T.LongType):
         return whole
     if isinstance(p.final_type, T.DoubleType):
-        return F.coalesce(point, whole.cast("double"))
+        return F.coalesce(numbers.extract_float(c, opts.decoration), whole.cast("double"))
     return extract_numbers(c, opts.decoration)
 
 
@@ -320,16 +326,29 @@ def apply_profile(df: DataFrame, prof: TableProfile, ids: tuple[str, ...] = (),
     id_cols = [col(c) for c in ids]
     if not kept:
         return df.where(F.lit(False)).select(*id_cols)
-    raw = {f.name: f.dataType for f in df.schema.fields}
-    cells = _typed_cells(df, [(p.source, raw[p.source], p.dtype) for p in kept], id_cols, "_cell", opts)
-    final = [_final_cell(p, F.col(f"_cell{i}"), opts).alias(p.name) for i, p in enumerate(kept)]
-    if only is not None:
-        return cells.select(*id_cols, *final)
-    # A filter would be pushed below the cleaning and clean every cell a second time there. A row that
-    # unfolds into one row or none is dropped after its cells are computed once.
-    some = _any_value([F.col(f"_cell{i}") for i in range(len(kept))])
-    rows = F.when(some, F.array(F.struct(*[F.col(f"_cell{i}") for i in range(len(kept))])))
-    return cells.select(*id_cols, F.inline(rows)).select(*id_cols, *final)
+    raw = {f.name: f for f in df.schema.fields}
+    texts = [p.source for p in kept if p.is_text]
+    cleaned = _clean_all([col(t) for t in texts], opts)
+
+    def typed(p: ColumnProfile) -> Column:
+        if _is_text(raw[p.source]):
+            return infer.parse(infer.read_nulls(col(p.source)), p.dtype)
+        return F.when(_present(raw[p.source]), col(p.source))
+
+    cells = df.select(*id_cols, cleaned.alias("_text"), *[
+        typed(p).alias(f"_cell{i}") for i, p in enumerate(kept) if not p.is_text])
+    cell = [F.get("_text", F.lit(texts.index(p.source))) if p.is_text else F.col(f"_cell{i}") for i, p in enumerate(kept)]
+    if only is None:
+        # A filter would be pushed below the cleaning and clean every cell a second time there. A row
+        # that unfolds into one row or none is dropped after its cells are computed once.
+        some = F.exists("_text", lambda c: c.isNotNull())
+        for i, p in enumerate(kept):
+            some = some if p.is_text else F.col(f"_cell{i}").isNotNull() | some
+        rows = F.when(some, F.array(F.struct(*[c.alias(f"_cell{i}") for i, c in enumerate(cell)])))
+        cells = cells.select(*id_cols, F.inline(rows))
+    else:
+        cells = cells.select(*id_cols, *[c.alias(f"_cell{i}") for i, c in enumerate(cell)])
+    return cells.select(*id_cols, *[_final_cell(p, F.col(f"_cell{i}"), opts).alias(p.name) for i, p in enumerate(kept)])
 
 
 def clean(df: DataFrame, ids: tuple[str, ...] = (), options: CleanOptions | None = None,

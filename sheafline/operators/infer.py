@@ -39,21 +39,17 @@ def strict_type(n: int, n_bigint: int, n_double: int, n_boolean: int) -> str:
 
 
 def infer_types(df: DataFrame, nulls=None, keep_text: tuple[str, ...] = ()) -> DataFrame:
-    """One row per column: position, name, values, inferred type. One aggregate over the table."""
-    cells = df.select(*[read_nulls(col(c), nulls).alias(f"v{i}") for i, c in enumerate(df.columns)])
-    parts = []
-    for i, name in enumerate(df.columns):
-        v = F.col(f"v{i}")
-        parts.append(F.struct(F.lit(i).cast("bigint").alias("col_pos"), F.lit(name).alias("column"),
-                              F.count(v).alias("n"), *[t.alias(k) for k, t in type_tests(v).items()]).alias(f"s{i}"))
-    one = cells.agg(*parts)
-    rows = one.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(parts))])).alias("s")).select("s.*")
-    n = F.col("n")
+    """One row per column: position, name, values, inferred type. One aggregate over the cells."""
+    cells = F.array(*[F.struct(F.lit(i).cast("bigint").alias("col_pos"), F.lit(c).alias("column"), col(c).alias("raw"))
+                      for i, c in enumerate(df.columns)])
+    long = df.select(F.explode(cells).alias("cell")).select("cell.col_pos", "cell.column", read_nulls(F.col("cell.raw"), nulls).alias("v"))
+    n, v = F.col("n"), F.col("v")
+    counted = long.groupBy("col_pos", "column").agg(F.count(v).alias("n"), *[t.alias(k) for k, t in type_tests(v).items()])
     kind = (F.when(F.col("column").isin(list(keep_text)), F.lit("string"))
             .when(n == 0, F.lit("double")).when(F.col("bigint") == n, F.lit("bigint"))
             .when(F.col("double") == n, F.lit("double")).when(F.col("boolean") == n, F.lit("boolean"))
             .otherwise(F.lit("string")))
-    return rows.select("col_pos", "column", n.alias("n_values"), kind.alias("inferred_type"))
+    return counted.select("col_pos", "column", n.alias("n_values"), kind.alias("inferred_type"))
 
 
 def parse(c: Column, dtype: T.DataType) -> Column:

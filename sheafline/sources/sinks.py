@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,20 +14,25 @@ DATASET = "dataset_id"
 
 
 def write_datasets(frames: dict[str, DataFrame], folder: str, names: dict[str, str] | None = None,
-                   fmt: str = "parquet", mode: str = "errorifexists") -> dict[str, str]:
-    """Write each dataset below `folder`; returns its status. One that cannot be written is skipped."""
+                   fmt: str = "parquet", mode: str = "errorifexists", at_once: int = 8) -> dict[str, str]:
+    """Write each dataset below `folder`; returns its status. One that cannot be written is skipped.
+
+    Up to `at_once` writes run side by side, so many small datasets keep the cluster busy.
+    """
     names = names or {}
-    status = {}
-    for dataset, df in frames.items():
-        writer = df.write.mode(mode)
+
+    def write(dataset: str) -> str:
+        writer = frames[dataset].write.mode(mode)
         if fmt == "csv":
             writer = writer.option("header", True).option("escape", '"')
         try:
             writer.format(fmt).save(f"{folder}/{names.get(dataset, dataset)}")
-            status[dataset] = "ok"
+            return "ok"
         except (PySparkException, OSError) as e:
-            status[dataset] = f"skipped: {type(e).__name__}"
-    return status
+            return f"skipped: {type(e).__name__}"
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(frames, pool.map(write, frames)))
 
 
 def write_merged(merged: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
