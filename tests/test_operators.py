@@ -377,3 +377,21 @@ def test_links_and_resources(spark):
         (3, "https://data.gov.in/c.csv", "my_data-set_2020_3.csv")]
     record = pages.page_metadata(df).where("page_id = 1").first()
     assert (record.title, record.source_portal, record.scraped_url) == ("My Data-Set, 2020!", "data.gov.in", "u")
+
+
+def test_fuzzy_join_without_broadcast(spark, monkeypatch):
+    a = spark.createDataFrame([("bedcapacity",), ("year",)], "a STRING")
+    b = spark.createDataFrame([("bedcapacty",), ("years",), ("other",)], "b STRING")
+    want = {tuple(r) for r in match.similar_pairs(a, b, 85).collect()}
+    monkeypatch.setattr(match, "BROADCAST_PARTS", 0)
+    assert {tuple(r) for r in match.similar_pairs(a, b, 85).collect()} == want == {
+        ("bedcapacity", "bedcapacty", brute.similarity("bedcapacity", "bedcapacty")), ("year", "years", 89)}
+
+
+def test_row_test_equals_cleaning(spark):
+    """The cheap test for rows that keep a value agrees with cleaning the cells."""
+    odd = [None, "", "  ", "NA", " NA ", "N\tA", "-", " . ", "\x00", "NA\x00", "NA \x00", "a", "<NA>", " <NA>", "Missing", "missing x", " nan ", "None\n"]
+    df = text_table(spark, ["v"], [(v,) for v in odd])
+    for opts in (CleanOptions(), CleanOptions(infer=True, keep_text=("v",))):
+        prof = clean.profile(df, options=opts)
+        assert prof.rows == prof.columns[0].values == clean.apply_profile(df, prof, options=opts).count()
