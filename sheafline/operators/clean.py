@@ -125,10 +125,8 @@ def _map_text(df: DataFrame, ids, fn) -> DataFrame:
 
 
 def _any_value(cells: list[Column]) -> Column:
-    some = cells[0].isNotNull()
-    for c in cells[1:]:
-        some = some | c.isNotNull()
-    return some
+    """Is any cell not NULL? A flat expression, as thousands of nested ORs would overflow the planner."""
+    return F.array_contains(F.array(*[c.isNotNull() for c in cells]), True)
 
 
 # ---- profile ------------------------------------------------------------------------------------
@@ -184,8 +182,8 @@ def _long_cells(df: DataFrame, fields: list[T.StructField], keys: tuple[str, ...
     texts = [col(f.name) for f in fields if _is_text(f)]
     others = [f for f in fields if not _is_text(f)]
     some = F.exists(F.array(*texts), lambda c: _keeps_value(c, opts)) if texts else F.lit(False)
-    for f in others:
-        some = _present(f) | some
+    if others:
+        some = F.array_contains(F.array(*[_present(f) for f in others]), True) | some
     cells = [cell(i, raw=col(f.name)) if _is_text(f) else
              cell(i, num=numbers.coerce_double(col(f.name), f.dataType), filled=_present(f))
              for i, f in enumerate(fields)]
@@ -342,8 +340,8 @@ def apply_profile(df: DataFrame, prof: TableProfile, ids: tuple[str, ...] = (),
         # A filter would be pushed below the cleaning and clean every cell a second time there. A row
         # that unfolds into one row or none is dropped after its cells are computed once.
         some = F.exists("_text", lambda c: c.isNotNull())
-        for i, p in enumerate(kept):
-            some = some if p.is_text else F.col(f"_cell{i}").isNotNull() | some
+        others = [F.col(f"_cell{i}") for i, p in enumerate(kept) if not p.is_text]
+        some = _any_value(others) | some if others else some
         rows = F.when(some, F.array(F.struct(*[c.alias(f"_cell{i}") for i, c in enumerate(cell)])))
         cells = cells.select(*id_cols, F.inline(rows))
     else:

@@ -98,7 +98,8 @@ def completeness(df: DataFrame, ids: tuple[str, ...] = ()) -> DataFrame:
     data = [c for c in df.columns if c not in ids]
     one = df.agg(F.count(F.lit(1)).alias("total_rows"),
                  *[F.count(col(c)).alias(f"c{i}") for i, c in enumerate(data)])
-    filled = sum((F.col(f"c{i}") for i in range(len(data))), F.lit(0).cast("bigint"))
+    counts = F.array(*[F.col(f"c{i}") for i in range(len(data))]).cast("array<bigint>")
+    filled = F.aggregate(counts, F.lit(0).cast("bigint"), lambda n, c: n + c)
     cells = F.col("total_rows") * len(data)
     return one.select("total_rows", (cells - filled).alias("missing_cells"),
                       completeness_score(cells - filled, cells).alias("completeness_score"))

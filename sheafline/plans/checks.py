@@ -19,6 +19,7 @@ def quoted(items) -> str:
     return ", ".join("'" + i.replace("'", "''") + "'" for i in items)
 
 
+# Fixed values, as in the parameter tables.
 NULL_FLAGS = quoted(["NA", "na", "N/A", "n/a", "-", "Null", "NULL", "null", ".", "None", "none", "", " ", "  ",
                      "NaN", "nan", "#N/A", "#NA", "Missing", "missing"])
 READ_NULLS = quoted(["", "NA", "N/A", "n/a", "null", "NULL", "nan", "NaN", "None", "#N/A", "#NA", "<NA>", "-NaN",

@@ -395,3 +395,11 @@ def test_row_test_equals_cleaning(spark):
     for opts in (CleanOptions(), CleanOptions(infer=True, keep_text=("v",))):
         prof = clean.profile(df, options=opts)
         assert prof.rows == prof.columns[0].values == clean.apply_profile(df, prof, options=opts).count()
+
+
+def test_wide_table(spark):
+    """Two thousand columns: the plan stays flat."""
+    wide = spark.range(3).select(*[F.concat(F.lit(f"{i},"), F.col("id").cast("string")).alias(f"c{i}") for i in range(2000)])
+    prof = clean.profile(wide)
+    assert prof.rows == 3 and all(c.numeric and c.values == 3 for c in prof.columns)
+    assert stats.completeness(wide).first().missing_cells == 0
