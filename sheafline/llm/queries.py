@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, urlrules, warc
+from . import examples, lm, mixing, quality, toxicity, urlrules, warc
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -20,12 +20,35 @@ def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
                           page(F.col("refers_to")).alias("refers_to"), "error")
 
 
+def op2_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Log10 probability of every text by a model of nine tenths of them."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text", lm.held_out(F.col("doc_id")).alias("held_out"))
+    model = lm.train(docs.where("NOT held_out"))
+    return lm.score(docs, model, keep=("doc_id", "held_out"))
+
+
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Expected grade and P(grade >= 1) of every document; selected where that is at least one half."""
+    docs = _table(spark, sf, "documents")
+    model = quality.train(docs, _table(spark, sf, "labels"), quality.grade_of(F.col("quality"), F.col("toxic")))
+    return (quality.score(docs, model).withColumn("held_out", examples.held_out(F.col("doc_id")))
+            .withColumn("selected", F.col("tail_probability") >= quality.SELECT))
+
+
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """How many words of every document the mix takes."""
     mixed = mixing.mix(_table(spark, sf, "documents"))["documents"]
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity score of every document, with the ids of the labelled examples it rests on."""
+    docs = _table(spark, sf, "documents")
+    index = toxicity.train(docs, _table(spark, sf, "labels"))
+    return (toxicity.score(docs, index).withColumn("held_out", examples.held_out(F.col("doc_id")))
+            .withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int")))
+
+
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -36,4 +59,4 @@ def op10_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return urlrules.judge(_table(spark, sf, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op7_mixing, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_language_model, op3_quality, op7_mixing, op9_toxicity, op10_url_filters)}

@@ -65,10 +65,9 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", keep: tuple[str,
     """
     spark = pages.sparkSession
     pages = pages.select(*keep, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    deepest = rules.select(F.max(F.size(F.split("host", r"\."))).alias("labels"))
-    places = (pages.select("host", "path").distinct().join(F.broadcast(deepest))
-              .withColumn("host_labels", _labels(F.col("host")))
-              .withColumn("n", F.explode(F.sequence(F.lit(1), F.least(F.size("host_labels"), F.coalesce("labels", F.lit(1))))))
+    deepest = F.coalesce(rules.select(F.max(F.size(F.split("host", r"\.")))).scalar(), F.lit(1))
+    places = (pages.select("host", "path").distinct().withColumn("host_labels", _labels(F.col("host")))
+              .withColumn("n", F.explode(F.sequence(F.lit(1), F.least(F.size("host_labels"), deepest))))
               .select(_key(F.slice("host_labels", 1, F.col("n")), F.col("path")).alias("key"), "host", "path"))
     bounds = _bounds(rules).withColumn("kind", F.lit(0))
     events = (bounds.unionByName(places.withColumn("kind", F.lit(1)), allowMissingColumns=True)
@@ -87,6 +86,6 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", keep: tuple[str,
              .join(handed, "part", "left").withColumn("top", F.coalesce("own", "handed")["top"]).where("top IS NOT NULL")
              .groupBy("host", "path").agg(F.max("top").alias("top")))
     found = store(found, "url-verdicts")
-    return (pages.join(found, ["host", "path"], "left")
+    return (pages.join(found.hint("merge"), ["host", "path"], "left")
             .select(*keep, "host", "path", F.col("top.rule").alias("rule"),
                     F.coalesce("top.verdict", F.lit(default)).alias("verdict")))
