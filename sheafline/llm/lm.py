@@ -32,11 +32,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.session import new_path
+from .passing import with_text
 from .shared import mapped, put
 from .tokens import Texts, mix, pair, slices
 
-FLUSH = 2_000_000
-BUCKET_BYTES = 32 << 20
+FLUSH = 1_000_000
+BUCKET_BYTES = 16 << 20
 SAMPLE = 128
 HOT_SHARE = 0.003
 HOT_MOST = 1024
@@ -332,7 +333,7 @@ class _Arrays:
 _arrays: dict[str, _Arrays] = {}
 
 
-def _score(model: Model, keep: int):
+def _score(model: Model, keep: int, at: int):
     d, dt = model.pair_discounts, model.token_discounts
     unseen = 1.0 / (model.distinct + 1)
 
@@ -342,7 +343,7 @@ def _score(model: Model, keep: int):
             size = batch.num_rows
             tokens, known = np.zeros(size, np.int64), np.zeros(size, np.int64)
             base, score = np.zeros(size), np.zeros(size)
-            for x in slices(batch.column(keep)):
+            for x in slices(batch.column(at)):
                 context, token, doc = sequence(x)
                 words, back = np.unique(token, return_inverse=True)
                 count, kinds = arrays.find("token", "tokenstats", 2, words).astype(np.float64).T
@@ -374,7 +375,6 @@ def _score(model: Model, keep: int):
 
 def score(texts: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """Columns `keep`, then n_tokens, n_known, train_tokens, base_score, score, perplexity of every row's text."""
-    rows = texts.select(*keep, F.col(text))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_score(model, len(keep)), f"{kept}, n_tokens BIGINT, n_known BIGINT, train_tokens BIGINT, "
-                                                      "base_score DOUBLE, score DOUBLE, perplexity DOUBLE")
+    rows, at, kept = with_text(texts, keep, text)
+    return rows.mapInArrow(_score(model, len(keep), at), f"{kept}, n_tokens BIGINT, n_known BIGINT, train_tokens BIGINT, "
+                                                          "base_score DOUBLE, score DOUBLE, perplexity DOUBLE")

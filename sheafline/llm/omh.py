@@ -156,10 +156,10 @@ def distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
 # ---- the operator -------------------------------------------------------------------------------
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> doc_id, node, words, order min-hashes."""
+    """(doc_id, text_key, text) -> doc_id, text_key, node, words, order min-hashes."""
     for batch in batches:
         nodes, sizes, keys = [], [], []
-        for x in slices(batch.column(1)):
+        for x in slices(batch.column(2)):
             size = np.diff(x.bounds)
             nodes.append(_nodes(x))
             sizes.append(size)
@@ -169,8 +169,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep = both != _NONE
             keys += [row[k].view(np.int64) for row, k in zip(both, keep)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes).astype(np.int32)),
-             pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node", "words", "keys"])
+            [batch.column(0), batch.column(1), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes).astype(np.int32)),
+             pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_key", "node", "words", "keys"])
 
 
 def _nodes(x: Texts) -> np.ndarray:
@@ -225,11 +225,12 @@ def _bits(nodes: DataFrame) -> np.ndarray:
 
 
 def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of `documents`: doc_id, class_id, node (equal for equal texts), words."""
-    docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    described = store(docs.mapInArrow(_describe, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node BIGINT, words INT, "
-                                                 "keys ARRAY<BIGINT>"), "omh-sketches")
-    texts = described.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("words").alias("words"), F.min("keys").alias("keys"))
+    """One row per row of `documents`: doc_id, text_key (a hash of its text), class_id, first (a struct: the key of the
+    class's first row by doc_id, null last, and text_key), node (equal for equal word sequences), words."""
+    docs = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    described = store(docs.mapInArrow(_describe, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key BIGINT, "
+                                                 "node BIGINT, words INT, keys ARRAY<BIGINT>"), "omh-sketches")
+    texts = described.groupBy("node").agg(F.min(_row_key()).alias("first"), F.min("words").alias("words"), F.min("keys").alias("keys"))
     bands = texts.select(F.explode("keys").alias("key"), "node", "words").withColumn("turn", F.xxhash64("node"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
     active = store(bands.join(store(shared, "omh-keys"), "key"), "omh-bands")
@@ -273,19 +274,30 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     for more in links[1:]:
         edges = edges.unionByName(more)
     group = components(edges.distinct())
-    named = texts.select("node", "doc_id").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    named = store(named.join(least, "component").select("node", "class_id"), "omh-classes")
-    return described.select("doc_id", "node", "words").join(named, "node").select("doc_id", "class_id", "node", "words")
+    named = texts.select("node", "first").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("first").alias("first"))
+    named = store(named.drop("first").join(least, "component").select("node", "first"), "omh-classes")
+    return (described.select("doc_id", "text_key", "node", "words").join(named, "node")
+            .select("doc_id", "text_key", F.col("first.doc_id").alias("class_id"), "first", "node", "words"))
+
+
+def _row_key():
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
-    """The rows of `documents` that stay: of each class the one with its smallest doc_id. Of rows that share this
-    doc_id one stays, the smallest by its columns. Classes whose ids are all null stay as they are."""
-    found = classes(documents)
-    gone = store(found.where("doc_id <> class_id OR doc_id IS NULL AND class_id IS NOT NULL").select("doc_id").distinct(), "omh-gone")
-    kept = documents.join(gone.withColumn("gone", F.lit(True)), documents.doc_id.eqNullSafe(gone.doc_id), "left_anti")
-    again = store(found.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "omh-again")
-    row = F.struct(*documents.columns)
-    one = kept.join(again, "doc_id").groupBy("doc_id").agg(F.min(row).alias("row")).select("row.*")
-    return kept.join(again, "doc_id", "left_anti").select(*documents.columns).unionByName(one)
+    """The rows of `documents` (doc_id, text, ..) that stay: the first of each class by doc_id, null last. Of rows with
+    this id and text one stays, the smallest by its columns."""
+    found = store(classes(documents).withColumn("stays", _row_key() == F.col("first")), "omh-found")
+    gone = found.where("NOT stays").select("doc_id", "text_key").distinct()
+    again = found.where("stays").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    apart = store(gone.withColumn("again", F.lit(False)).unionByName(again.withColumn("again", F.lit(True))), "omh-apart")
+
+    def same(keys: DataFrame):
+        return documents["doc_id"].eqNullSafe(keys["doc_id"]) & (F.xxhash64(documents["text"]) == keys["text_key"])
+
+    kept = documents.join(apart, same(apart), "left_anti")
+    several = apart.where("again")
+    one = (documents.join(several, same(several), "left_semi").groupBy("doc_id", F.xxhash64("text"))
+           .agg(F.min(F.struct(*documents.columns)).alias("row")).select("row.*"))
+    return kept.unionByName(one)

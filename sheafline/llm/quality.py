@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import examples
+from .passing import with_text
 from .tokens import _BYTE, Texts, slices
 
 PER_GRADE = 3000
@@ -156,25 +157,27 @@ def train(documents: DataFrame, labels: DataFrame, grade: Column, grades: int =
                 np.concatenate([none, *(np.frombuffer(r.parts, "<f4") for r in rows)]), grade_, weight, grades)
 
 
-def _score(model: Model, keep: int, cut: int):
+def _score(model: Model, keep: int, at: int, cut: int, prefix: str):
     weights, thresholds = model.weights.astype(np.float32), model.thresholds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             latent = np.zeros(batch.num_rows)
-            for x in slices(batch.column(keep)):
+            for x in slices(batch.column(at)):
                 doc, cell, value = features(x)
                 latent[x.first:x.first + x.count] = np.bincount(doc, weights=value * weights[cell], minlength=x.count)
             p = probabilities(latent, thresholds)
             more = {"expected_grade": p @ np.arange(p.shape[1]), "tail_probability": p[:, cut:].sum(1)}
             yield pa.RecordBatch.from_arrays([*batch.columns[:keep], *map(pa.array, more.values())],
-                                             names=[*batch.schema.names[:keep], *more])
+                                             names=[*batch.schema.names[:keep], *(prefix + c for c in more)])
 
     return run
 
 
-def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), cut: int = 1, text: str = "text") -> DataFrame:
-    """Columns `keep`, then expected_grade and tail_probability = P(grade >= cut) of every row's whole text."""
-    rows = documents.select(*keep, F.col(text))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_score(model, len(keep), cut), f"{kept}, expected_grade DOUBLE, tail_probability DOUBLE")
+def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), cut: int = 1, text: str = "text",
+          prefix: str = "") -> DataFrame:
+    """Columns `keep`, then expected_grade and tail_probability = P(grade >= cut) of every row's whole text, their
+    names after `prefix`."""
+    rows, at, kept = with_text(documents, keep, text)
+    return rows.mapInArrow(_score(model, len(keep), at, cut, prefix),
+                           f"{kept}, {prefix}expected_grade DOUBLE, {prefix}tail_probability DOUBLE")

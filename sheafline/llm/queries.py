@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import examples, lm, mixing, quality, toxicity, urlrules, warc
+from . import examples, leaks, lm, mixing, omh, quality, toxicity, urlrules, warc
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -35,6 +35,19 @@ def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
             .withColumn("selected", F.col("tail_probability") >= quality.SELECT))
 
 
+def op4_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """The class of near copies of every document; the first of each class is kept."""
+    found = omh.classes(_table(spark, sf, "documents"))
+    first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_key") == F.col("first.text_key"))
+    return found.select("doc_id", "class_id", first.alias("kept"))
+
+
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with every benchmark item that it holds."""
+    groups = leaks.build(_table(spark, sf, "benchmark"))
+    return leaks.scan(_table(spark, sf, "documents"), groups).select("doc_id", F.inline("leaks"))
+
+
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """How many words of every document the mix takes."""
     mixed = mixing.mix(_table(spark, sf, "documents"))["documents"]
@@ -59,4 +72,4 @@ def op10_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return urlrules.judge(_table(spark, sf, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_language_model, op3_quality, op7_mixing, op9_toxicity, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_language_model, op3_quality, op4_order_minhash, op5_decontamination, op7_mixing, op9_toxicity, op10_url_filters)}

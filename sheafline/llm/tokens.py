@@ -18,6 +18,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _WORD = np.ones(256, dtype=bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
+#: Another kind of word: a run of ASCII letters and digits and of bytes beyond ASCII.
+PLAIN = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -48,9 +50,9 @@ class Texts:
     words in `data`; `doc`: text of each word, from 0; `bounds`: first word of each text, and the end.
     """
 
-    def __init__(self, first: int, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, first: int, data: np.ndarray, offsets: np.ndarray, word: np.ndarray = _WORD):
         self.first, self.count, self.data = first, len(offsets) - 1, _LOWER[data]
-        self.word = _WORD[data]
+        self.word = word[data]
         begins = self.word.copy()
         begins[1:] &= ~self.word[:-1]
         edge = offsets[:-1][offsets[:-1] < len(data)]
@@ -85,7 +87,7 @@ class Texts:
         return self._hashes
 
 
-def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[Texts]:
+def slices(column: pa.Array | pa.ChunkedArray, word: np.ndarray = _WORD) -> Iterator[Texts]:
     """The texts of an Arrow column, in order, some at a time."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
@@ -97,5 +99,5 @@ def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[Texts]:
     at = 0
     while at < len(column):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE, side="right")) - 1)
-        yield Texts(at, data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at])
+        yield Texts(at, data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at], word)
         at = to

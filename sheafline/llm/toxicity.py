@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import examples
+from .passing import with_text
 
 PER_CLASS = 4000
 TERMS = 4096
@@ -225,7 +226,7 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
     return index
 
 
-def _scorer(index: Index, keep: int):
+def _scorer(index: Index, keep: int, place: int, prefix: str):
     state: dict = {}
 
     def judge(counts) -> tuple[float, list[int]]:
@@ -242,7 +243,7 @@ def _scorer(index: Index, keep: int):
         finder, seen = state["finder"], state["seen"]
         for batch in batches:
             out = []
-            for text in batch.column(keep):
+            for text in batch.column(place):
                 counts = finder(text.as_py())
                 got = seen.get(counts)
                 if got is None:
@@ -252,13 +253,13 @@ def _scorer(index: Index, keep: int):
                 out.append(got)
             score = pa.array([min(max(s, 0.0), 1.0) for s, _ in out], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:keep], score, pa.array([e for _, e in out], pa.list_(pa.int64()))],
-                                             names=[*batch.schema.names[:keep], "score", "evidence"])
+                                             names=[*batch.schema.names[:keep], prefix + "score", prefix + "evidence"])
 
     return run
 
 
-def score(documents: DataFrame, index: Index, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """Columns `keep`, then score (0 to 1) and evidence: the ids of the nearest examples, best first."""
-    rows = documents.select(*keep, F.col(text))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_scorer(index, len(keep)), f"{kept}, score DOUBLE, evidence ARRAY<BIGINT>")
+def score(documents: DataFrame, index: Index, keep: tuple[str, ...] = ("doc_id",), text: str = "text", prefix: str = "") -> DataFrame:
+    """Columns `keep`, then score (0 to 1) and evidence: the ids of the nearest examples, best first. The names of both
+    come after `prefix`."""
+    rows, place, kept = with_text(documents, keep, text)
+    return rows.mapInArrow(_scorer(index, len(keep), place, prefix), f"{kept}, {prefix}score DOUBLE, {prefix}evidence ARRAY<BIGINT>")

@@ -109,12 +109,15 @@ def test_corner_cases(spark):
     assert got == sorted([(0, 0), (1, 0), (2, 2), (3, 2), (4, 4), (5, 4), (5, 4), (None, 2), (None, None), (6, 6), (7, 7)], key=repr)
     kept = omh.deduplicated(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id for r in kept.collect() if r.doc_id is not None)) == [0, 2, 4, 6, 7]
+    assert sorted(((r.doc_id, (r.text or "")[:11]) for r in kept.collect()), key=repr) == sorted(
+        [(0, ""), (2, "one"), (4, "t0 t1 t2 t3"), (6, "a b c d"), (7, "a b c e"), (None, "alone here")], key=repr)
 
 
 def test_repeated_rows_leave_one(spark):
-    docs = table(spark, [(1, "the same words stand here again"), (1, "the same words stand here again"), (2, "something else")])
-    assert sorted(r.doc_id for r in omh.deduplicated(docs).collect()) == [1, 2]
+    docs = table(spark, [(1, "the same words stand here again"), (1, "the same words stand here again"), (2, "something else"),
+                         (2, "one id with another text"), (None, "no id"), (None, "no id")])
+    assert sorted(((r.doc_id, r.text) for r in omh.deduplicated(docs).collect()), key=repr) == sorted(
+        [(1, "the same words stand here again"), (2, "something else"), (2, "one id with another text"), (None, "no id")], key=repr)
 
 
 def test_empty_table(spark):
