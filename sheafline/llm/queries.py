@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import examples, leaks, lm, mixing, omh, quality, toxicity, urlrules, warc
+from . import examples, leaks, lm, mixing, multiindex, omh, quality, toxicity, urlrules, warc
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -48,6 +48,11 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.scan(_table(spark, sf, "documents"), groups).select("doc_id", F.inline("leaks"))
 
 
+def op6_multi_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Links of every embedding with cosine >= 0.9, and its component."""
+    return multiindex.links(_table(spark, sf, "embeddings"))
+
+
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """How many words of every document the mix takes."""
     mixed = mixing.mix(_table(spark, sf, "documents"))["documents"]
@@ -72,4 +77,4 @@ def op10_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return urlrules.judge(_table(spark, sf, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_language_model, op3_quality, op4_order_minhash, op5_decontamination, op7_mixing, op9_toxicity, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_language_model, op3_quality, op4_order_minhash, op5_decontamination, op6_multi_index, op7_mixing, op9_toxicity, op10_url_filters)}
