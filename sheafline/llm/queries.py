@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import examples, leaks, lm, mixing, multiindex, omh, quality, toxicity, urlrules, warc
+from . import examples, leaks, lm, mixing, multiindex, omh, quality, toxicity, urlrules, warc, wrappers
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -59,6 +59,11 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.extract(_table(spark, sf, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Toxicity score of every document, with the ids of the labelled examples it rests on."""
     docs = _table(spark, sf, "documents")
@@ -77,4 +82,4 @@ def op10_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return urlrules.judge(_table(spark, sf, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_language_model, op3_quality, op4_order_minhash, op5_decontamination, op6_multi_index, op7_mixing, op9_toxicity, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_language_model, op3_quality, op4_order_minhash, op5_decontamination, op6_multi_index, op7_mixing, op8_html_extraction, op9_toxicity, op10_url_filters)}
