@@ -87,8 +87,8 @@ def catalog(datasets: DataFrame, stats: DataFrame, mapping_log: DataFrame,
             responses: DataFrame | None = None, scraped: DataFrame | None = None) -> DataFrame:
     """One metadata record per dataset.
 
-    `responses(dataset_id, response)` are the texts of an external writer. No response: the
-    fallback record, without technical part. An unreadable response: facts only.
+    `responses(dataset_id, response)` are the texts of an external writer. No response, or JSON that
+    is no object: the fallback record, without technical part. An unreadable response: facts only.
     """
     if responses is None:
         base = datasets.withColumn("response", F.lit(None).cast("string"))
@@ -98,8 +98,8 @@ def catalog(datasets: DataFrame, stats: DataFrame, mapping_log: DataFrame,
     facts = stats.select("dataset_id", F.col("temporal.range_str").alias("range_str"),
                          F.col("spatial.granularity").alias("granularity"))
     joined = page_context(parsed.join(facts, "dataset_id", "left"), scraped, ["ministry"])
-    failed = F.col("response").isNull()
-    merged = precedence_merge(joined.withColumn("failed", failed)).join(
+    failed = F.col("response").isNull() | F.col("other")
+    merged = precedence_merge(joined.withColumn("failed", failed).drop("other")).join(
         technical_record(datasets, stats, mapping_log), "dataset_id", "left")
 
     def unless_failed(name: str) -> Column:

@@ -152,7 +152,9 @@ def _clean_all(texts: list[Column], opts: CleanOptions) -> Column:
 def _keeps_value(c: Column, opts: CleanOptions) -> Column:
     """Does a raw text cell hold a value? Same as cleaning, flagging and testing it, but cheaper."""
     space = r"[\s\x1c-\x1f]*"
-    empty = f"(?U)^{space}(?:{'|'.join(re.escape(w) for w in opts.null_flags if w.strip())})?{space}$"
+    # cleaning makes every run of blanks one space, so a flag's spaces meet any such run
+    flags = [r"[\s\x1c-\x1f]+".join(map(re.escape, w.split())) for w in opts.null_flags if w.strip() and w == " ".join(w.split())]
+    empty = f"(?U)^{space}(?:{'|'.join(flags)})?{space}$"
     exact = bind(_clean(c, opts), lambda v: text.flag_nulls(v, opts.null_flags).isNotNull())
     plain = ~c.rlike(empty) & (~c.isin(defaults.READ_NULLS) if opts.infer else F.lit(True))
     return c.isNotNull() & F.when(F.contains(c, F.lit("\x00")), exact).otherwise(plain)

@@ -225,8 +225,11 @@ def strip_fence(response: Column) -> Column:
 
 
 def parse_proposals(responses: DataFrame, body: str = "response", schema: str = SCHEMA_TYPE) -> DataFrame:
-    """Adds `parsed` (TRUE when the response holds a JSON object) and `document` (NULL if not)."""
+    """Adds `parsed` (TRUE when the response holds a JSON object), `document` (NULL if not) and `other` (TRUE when it
+    holds JSON of another kind: an array, a number, null)."""
     js = strip_fence(F.col(body))
-    marked = responses.withColumn("_json", js).withColumn(
-        "parsed", F.coalesce(F.startswith(F.schema_of_variant(F.try_parse_json("_json")), F.lit("OBJECT")), F.lit(False)))
+    kind = F.schema_of_variant(F.try_parse_json("_json"))
+    marked = responses.withColumn("_json", js).withColumn("_kind", kind).withColumn(
+        "parsed", F.coalesce(F.startswith("_kind", F.lit("OBJECT")), F.lit(False)))
+    marked = marked.withColumn("other", F.col("_kind").isNotNull() & ~F.col("parsed")).drop("_kind")
     return marked.withColumn("document", F.when(F.col("parsed"), F.from_json("_json", schema))).drop("_json")

@@ -162,6 +162,7 @@ STATS = f"""stats AS (SELECT dataset_id, max(n_cells) AS row_count, count(*) AS
   'District' AS granularity, sum(n_cells - n_values)::BIGINT AS missing_cells,
   {score('sum(n_cells - n_values)', 'sum(n_cells)')} AS completeness_score FROM profile GROUP BY dataset_id)"""
 CUSTOMERS = ", ".join([MESSY, CLEANED, LONG, PROFILE, STATS])
+Q = '","'
 LOG = "amount_raw->amount;census_year->year;district_raw->district;priority_raw->priority"
 
 SCHEMA_RESPONSES = f"""responses AS (SELECT *, {sql_text(inputs.FENCED)} AS response FROM (
@@ -308,7 +309,7 @@ SQL = {
             "supplier": ["s_suppkey", "s_name"]}.items()),
     "drop_null_rows": with_(MESSY, GAPS) + f"SELECT *, NULL::VARCHAR AS remarks FROM gaps WHERE {_GAP_ROWS}",
     "drop_null_columns": with_(MESSY, GAPS) + "SELECT * FROM gaps",
-    "clean_names": with_(HEADERS) + "SELECT name, count(*) AS n_columns FROM headers GROUP BY name",
+    "clean_names": "SELECT p_partkey, p_name AS \"part name\", p_size AS \"part size\", p_brand AS \"part size_1\" FROM part",
     "clean_cells": with_(MESSY) + "SELECT row_id, " + ", ".join(f"{clean_cell(c)} AS {c}" for c in CELLS) + " FROM messy",
     "clean_documents": f"SELECT doc_id, length({clean_cell('text')}) AS n_clean, md5({clean_cell('text')}) AS clean_md5 FROM documents",
     "null_flags": with_(MESSY, CLEANED) + f"SELECT row_id, {', '.join(CELLS)} FROM cleaned",
@@ -399,18 +400,23 @@ SQL = {
       'Harmonized dataset with ' || count(*) || ' records.' AS description, 'Unknown' AS sector
       FROM (SELECT 'customer_' || o_custkey || '.csv' AS dataset_id FROM messy) GROUP BY dataset_id""",
     "catalog": with_(CUSTOMERS, RECORD_RESPONSES, CONTEXT) + """SELECT dataset_id,
-      CASE WHEN k = 5 THEN 'Government Dataset - ' || dataset_id WHEN k < 3 THEN 'Orders of ' || c_name END AS title,
-      CASE WHEN k = 5 THEN 'Unknown' WHEN k < 3 THEN c_mktsegment END AS sector,
-      CASE WHEN k < 5 THEN coalesce(nullif(ministry, ''), CASE WHEN k < 3 THEN 'proposed' END) END AS source,
-      CASE WHEN k < 5 THEN CASE WHEN ministry <> '' THEN 'Government of India (via data.gov.in)' WHEN k < 3 THEN 'someone' END END AS publisher,
-      CASE WHEN k < 5 THEN coalesce(nullif(range_str, 'Unknown'), CASE WHEN k < 3 THEN 'guess' END) END AS temporal_coverage,
-      CASE WHEN k < 5 THEN granularity END AS granularity, CASE WHEN k < 5 THEN row_count END AS row_count,
-      CASE WHEN k < 5 THEN completeness_score END AS completeness_score
-      FROM (SELECT *, c_custkey % 6 AS k FROM stats JOIN responses USING (dataset_id) LEFT JOIN context USING (dataset_id))""",
-    "fact_sheet": with_(CUSTOMERS, CONTEXT) + """SELECT dataset_id, dataset_id AS original_filename, ministry, title, range_str AS temporal_range, granularity,
-      first_row FROM stats LEFT JOIN context USING (dataset_id) JOIN (
-        SELECT 'customer_' || o_custkey || '.csv' AS dataset_id, min_by(CASE WHEN priority_raw IS NULL THEN '{"row_id":' || row_id || '}'
-          ELSE '{"row_id":' || row_id || ',"priority_raw":"' || priority_raw || '"}' END, row_id) AS first_row FROM messy GROUP BY o_custkey) USING (dataset_id)""",
+      CASE WHEN failed THEN 'Government Dataset - ' || dataset_id ELSE doc->'catalog_info'->>'title' END AS title,
+      CASE WHEN failed THEN 'Unknown' ELSE doc->'catalog_info'->>'sector' END AS sector,
+      CASE WHEN NOT failed THEN coalesce(nullif(ministry, ''), doc->'provenance'->>'source') END AS source,
+      CASE WHEN NOT failed THEN CASE WHEN ministry <> '' THEN 'Government of India (via data.gov.in)' ELSE doc->'provenance'->>'publisher' END END AS publisher,
+      CASE WHEN NOT failed THEN coalesce(nullif(range_str, 'Unknown'), doc->'spatial_temporal'->>'temporal_coverage') END AS temporal_coverage,
+      CASE WHEN NOT failed THEN granularity END AS granularity, CASE WHEN NOT failed THEN row_count END AS row_count,
+      CASE WHEN NOT failed THEN completeness_score END AS completeness_score
+      FROM (SELECT *, response IS NULL OR coalesce(json_type(doc) <> 'OBJECT', false) AS failed
+        FROM (SELECT *, try_cast(answer AS JSON) AS doc FROM (SELECT *, trim(CASE WHEN contains(response, '```json') THEN split_part(split_part(response, '```json', 2), '```', 1)
+              WHEN contains(response, '```') THEN split_part(response, '```', 2) ELSE response END) AS answer
+          FROM stats JOIN responses USING (dataset_id) LEFT JOIN context USING (dataset_id))))""",
+    "fact_sheet": with_(CUSTOMERS, CONTEXT) + f"""SELECT dataset_id, dataset_id AS original_filename, ministry, title, range_str AS temporal_range, granularity,
+      shown[1] AS first_row, shown[2] AS second_row, '["{Q.join(CELLS)}"]' AS columns,
+      '["' || 'District ' || o_custkey || '","State of ' || o_custkey || '"]' AS locations
+      FROM stats LEFT JOIN context USING (dataset_id) JOIN (
+        SELECT 'customer_' || o_custkey || '.csv' AS dataset_id, o_custkey, list(CASE WHEN priority_raw IS NULL THEN '{{"row_id":' || row_id || '}}'
+          ELSE '{{"row_id":' || row_id || ',"priority_raw":"' || priority_raw || '"}}' END ORDER BY row_id) AS shown FROM messy GROUP BY o_custkey) USING (dataset_id)""",
     "schema_consistency": with_(HEADERS) + """, listed AS (SELECT dataset_id, list(name ORDER BY col_pos, name) AS cols FROM headers GROUP BY dataset_id),
       first AS (SELECT cols AS first_cols FROM listed ORDER BY dataset_id LIMIT 1)
       SELECT dataset_id, cols = first_cols AS consistent, len(list_filter(first_cols, lambda x: NOT list_contains(cols, x)))::BIGINT AS n_lacks,
@@ -420,7 +426,15 @@ SQL = {
     "run_summary": "SELECT count(*) FILTER (s_acctbal > 0) AS processed, count(*) AS found FROM supplier",
     "run_list": with_(HEADERS) + """SELECT dataset_id AS original, replace(dataset_id, '.csv', '') || '_harmonized' AS harmonized, count(*) AS columns
       FROM headers GROUP BY dataset_id HAVING count(*) % 5 > 0""",
-    "write_sidecars": with_(CUSTOMERS) + "SELECT dataset_id AS original_filename, row_count, 4::BIGINT AS column_count FROM stats",
+    "write_sidecars": with_(CUSTOMERS) + "SELECT dataset_id, dataset_id AS original_filename, row_count, 4::BIGINT AS column_count FROM stats",
+    "write_records": with_(CUSTOMERS) + "SELECT dataset_id AS original_filename, row_count, 4::BIGINT AS column_count FROM stats",
+    "write_merged": with_(PARTS) + "SELECT customer_id, name, balance, dataset_id FROM parts",
+    "harmonize_folder": """WITH c AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN 'north' WHEN c_custkey % 3 = 1 THEN 'south' END AS file FROM customer)
+      SELECT file, count(*) AS row_count, 'ok' AS status, 'id,name,note' AS columns FROM c WHERE file IS NOT NULL GROUP BY file
+      UNION ALL SELECT 'suppliers', count(*), 'ok', 'id,name' FROM supplier
+      UNION ALL SELECT 'bare', NULL, 'skipped: no rows', NULL UNION ALL SELECT 'void', NULL, 'skipped: no data', NULL""",
+    "page_context": """SELECT n_nationkey, n_name, r_name AS ministry, NULL::VARCHAR AS title FROM nation JOIN region ON n_regionkey = r_regionkey
+      UNION ALL SELECT n_nationkey, n_name, 'AFRICA', 'All of them' FROM nation""",
     "title_slug": f"""SELECT page_id, nullif({SLUG}, '') AS slug, CASE WHEN coalesce(title, '') = '' THEN 'no title'
       WHEN nullif({SLUG}, '') IS NULL THEN 'invalid title' ELSE 'ok' END AS status FROM (SELECT *, {SLUG_STEM} AS s FROM (
         SELECT page_id, trim(split_part({decode(inner('html', '<title[^>]*>(.*?)</title>'))}, '|', 1)) AS title FROM pages

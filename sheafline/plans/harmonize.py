@@ -87,11 +87,12 @@ def harmonize(raw: dict[str, DataFrame], proposal: str | None = None, responses:
               null_as_text: str | None = None, skipped: dict[str, str] | None = None) -> Harmonized:
     """Harmonize raw tables, keyed by dataset name. `ids` are carried along in every table."""
     opts = options or CleanOptions()
-    spark = next(iter(raw.values())).sparkSession
+    spark = next(iter(raw.values())).sparkSession if raw else SparkSession.active()
     profiles = dict(profiles or {})
     todo = [name for name in raw if name not in profiles]
     with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:  # independent jobs; the cluster is shared by them
         profiles.update(zip(todo, pool.map(lambda name: profile(raw[name], ids, opts), todo)))
+    skipped = dict(skipped or {}) | {name: "skipped: no data" for name in raw if not profiles[name].kept}
     raw = {name: df for name, df in raw.items() if profiles[name].kept}
     cleaned = {name: apply_profile(df, profiles[name], ids, opts) for name, df in raw.items()}
 
@@ -118,7 +119,6 @@ def harmonize(raw: dict[str, DataFrame], proposal: str | None = None, responses:
         frames[name] = done.df
         issues += [(name, c, t) for c, t in done.issues]
 
-    skipped = dict(skipped or {})
     datasets = spark.createDataFrame(
         [(name, profiles[name].rows, [c for c in df.columns if c not in ids], "ok") for name, df in frames.items()]
         + [(name, None, None, why) for name, why in skipped.items()],
@@ -127,10 +127,11 @@ def harmonize(raw: dict[str, DataFrame], proposal: str | None = None, responses:
     return Harmonized(schema, frames, profiles, mappings, datasets, table_stats, records, issues, null_as_text)
 
 
-def harmonize_folder(spark: SparkSession, folder: str, options: CleanOptions | None = None, **more) -> Harmonized:
-    """Harmonize all CSV files of a folder. Files with one header are profiled in one job."""
+def harmonize_folder(spark: SparkSession, folder: str, options: CleanOptions | None = None, pattern: str = "*.csv",
+                     recursive: bool = False, **more) -> Harmonized:
+    """Harmonize all CSV files of a folder, with a status for each. Files with one header are profiled in one job."""
     opts = options or CleanOptions(infer=True)
-    source = csv.open_folder(spark, folder)
+    source = csv.open_folder(spark, folder, pattern, recursive)
     profiles: dict[str, TableProfile] = {}
     for table in source.tables(with_order=bool(opts.order_by)):
         ids = (opts.order_by,) if opts.order_by else ()

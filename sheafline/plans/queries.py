@@ -19,6 +19,7 @@ from ..sources import csv, sinks
 from ..streaming.incremental import conform_stream
 from . import inputs
 from .harmonize import harmonize as run_harmonize
+from .harmonize import harmonize_folder as run_folder
 
 ROW = ("row_id",)
 
@@ -91,9 +92,9 @@ def drop_null_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_names(spark: SparkSession, sf: str) -> DataFrame:
-    noisy = inputs.headers(spark, sf).select(
-        F.concat(F.lit(" \t"), F.replace("name", F.lit(" "), F.lit("  ")), F.lit("\n")).alias("raw"))
-    return noisy.groupBy(text.squeeze(F.col("raw")).alias("name")).agg(F.count(F.lit(1)).alias("n_columns"))
+    """Parts under untidy names, two of which are the same when tidied."""
+    part = inputs.table(spark, sf, "part").select("p_partkey", "p_name", "p_size", "p_brand")
+    return clean.clean_names(part.toDF("p_partkey ", " part\t name", "part size\n", "part   size"))
 
 
 def clean_cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -417,9 +418,13 @@ def catalog(spark: SparkSession, sf: str) -> DataFrame:
 def fact_sheet(spark: SparkSession, sf: str) -> DataFrame:
     datasets, records, _ = _customer_datasets(spark, sf)
     shown = F.to_json(F.struct("row_id", "priority_raw"))
-    first = inputs.messy_by_customer(spark, sf).groupBy("dataset_id").agg(
-        F.min_by(shown, "row_id").alias("shown")).select("dataset_id", F.array("shown").alias("sample"))
-    sheet = cat.fact_sheet(datasets.join(first, "dataset_id"), records, inputs.page_context(spark, sf))
+    first = inputs.messy_by_customer(spark, sf).groupBy("dataset_id").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("row_id", shown.alias("shown")))), lambda r: r["shown"]).alias("sample"))
+    number = F.regexp_extract("dataset_id", "[0-9]+", 0)
+    placed = records.withColumn("spatial", F.struct(
+        F.array(F.concat(F.lit("State of "), number)).alias("states"), F.array(F.concat(F.lit("District "), number)).alias("districts"),
+        F.col("spatial.granularity").alias("granularity")))
+    sheet = cat.fact_sheet(datasets.join(first, "dataset_id"), placed, inputs.page_context(spark, sf))
 
     def fact(path: str) -> Column:
         return F.get_json_object("facts", f"$.{path}")
@@ -427,7 +432,19 @@ def fact_sheet(spark: SparkSession, sf: str) -> DataFrame:
     return sheet.select(
         "dataset_id", fact("original_filename").alias("original_filename"), fact("official_context.ministry").alias("ministry"),
         fact("official_context.title").alias("title"), fact("temporal_range").alias("temporal_range"),
-        fact("granularity").alias("granularity"), fact("sample_rows[0]").alias("first_row"))
+        fact("granularity").alias("granularity"), fact("sample_rows[0]").alias("first_row"), fact("sample_rows[1]").alias("second_row"),
+        fact("columns").alias("columns"), fact("sample_locations").alias("locations"))
+
+
+def page_context(spark: SparkSession, sf: str) -> DataFrame:
+    """Both forms of page records: one per dataset, and one for all."""
+    nation, region = inputs.table(spark, sf, "nation"), inputs.table(spark, sf, "region")
+    datasets = nation.select(F.col("n_name").alias("dataset_id"), "n_nationkey")
+    per_dataset = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("dataset_id"), F.col("r_name").alias("ministry"), F.lit(None).cast("string").alias("title"))
+    single = region.where("r_name = 'AFRICA'").select(F.col("r_name").alias("ministry"), F.lit("All of them").alias("title"))
+    both = [cat.page_context(datasets, scraped, ["ministry", "title"]) for scraped in (per_dataset, single)]
+    return both[0].unionByName(both[1]).select("n_nationkey", F.col("dataset_id").alias("n_name"), "ministry", "title")
 
 
 # ---- consistency, union, sinks --------------------------------------------------------------------------------
@@ -504,6 +521,22 @@ def write_datasets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def write_sidecars(spark: SparkSession, sf: str) -> DataFrame:
+    """One record file per dataset, read back with the dataset's name from its folder."""
+    folder = new_path(spark, "sidecars")
+    sinks.write_sidecars(cat.technical_record(*_customer_datasets(spark, sf)), folder)
+    back = spark.read.schema("technical_metadata STRUCT<original_filename: STRING, row_count: BIGINT, column_count: BIGINT>, dataset_id STRING").json(folder)
+    return back.select("dataset_id", "technical_metadata.*")
+
+
+def write_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The merged table written and read back."""
+    folder = new_path(spark, "merged")
+    merged = merge.merge_union(_conformed_parts(spark, sf))
+    sinks.write_merged(merged, folder)
+    return spark.read.schema(merged.schema).parquet(folder)
+
+
+def write_records(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_path(spark, "records")
     records = cat.technical_record(*_customer_datasets(spark, sf))
     sinks.write_records(records, folder)
@@ -582,6 +615,27 @@ def harmonize(spark: SparkSession, sf: str) -> DataFrame:
             .join(logged, "dataset_id"))
 
 
+def harmonize_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder of CSV files through the run, one status row per file: two files share their header and have line breaks
+    inside quotes, one has a header only, one only empty rows, and all have the same base names."""
+    customer, supplier = inputs.table(spark, sf, "customer"), inputs.table(spark, sf, "supplier")
+    region = inputs.table(spark, sf, "region").where("r_regionkey = 0")
+    row = F.format_string('%d,%s,"first line\nsecond, ""quoted"" line"', "c_custkey", "c_name")
+    file = F.when(F.col("c_custkey") % 3 == 0, "north").when(F.col("c_custkey") % 3 == 1, "south")
+    rows = customer.select(file.alias("file"), F.col("c_custkey").alias("pos"), row.alias("value")).where("file IS NOT NULL")
+    rows = rows.unionByName(supplier.select(F.lit("suppliers").alias("file"), F.col("s_suppkey").alias("pos"),
+                                            F.format_string("%d,%s", "s_suppkey", "s_name").alias("value")))
+    rows = rows.unionByName(customer.select(F.lit("void").alias("file"), F.col("c_custkey").alias("pos"), F.lit(",,").alias("value")))
+    heads = F.array(*[F.struct(F.lit(f).alias("file"), F.lit(-1).cast("bigint").alias("pos"), F.lit(h).alias("value")) for f, h in
+                      (("north", "id,name,note"), ("south", "id,name,note"), ("suppliers", "id,name"), ("bare", "a,b"), ("void", "x,y,z"))])
+    lines = rows.unionByName(region.select(F.inline(heads)))
+    folder = new_path(spark, "uploads")
+    lines.repartition("file").sortWithinPartitions("file", "pos").select("file", "value").write.partitionBy("file").text(folder)
+    done = run_folder(spark, folder, pattern="*.txt", recursive=True)
+    return done.datasets.select(F.regexp_extract("dataset_id", "file=([^/]*)/", 1).alias("file"), "row_count", "status",
+                                F.when(F.col("columns").isNotNull(), _joined("columns")).alias("columns"))
+
+
 def harmonized_orders(spark: SparkSession, sf: str) -> DataFrame:
     """The conformed rows of the dirty table from the same run."""
     done = run_harmonize(inputs.raw_tables(spark, sf), inputs.HARMONIZE_SCHEMA.to_json())
@@ -596,8 +650,8 @@ QUERIES = {f.__name__: f for f in (
     resolve_standard_name, resolve_columns, mapping_log, missing_required, rename_project, rename_coalesce,
     cast_integer, cast_float, cast_string, conform_table, conform_stream_table,
     temporal_range, spatial_top5, completeness, dataset_stats, profile_long, stats_by_dataset, locations_by_dataset,
-    technical_record, precedence_merge, fallback_record, catalog, fact_sheet,
-    schema_consistency, merge_union, merge_total, run_summary, run_list, write_datasets, write_sidecars,
+    technical_record, precedence_merge, fallback_record, catalog, page_context, fact_sheet,
+    schema_consistency, merge_union, merge_total, run_summary, run_list, write_datasets, write_sidecars, write_records, write_merged,
     title_slug, slug_dedupe, pair_files,
     page_title, page_description, page_label, page_links, page_resources, page_metadata,
-    harmonize, harmonized_orders)}
+    harmonize, harmonize_folder, harmonized_orders)}

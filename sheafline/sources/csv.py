@@ -1,8 +1,8 @@
 """Tolerant CSV source: headers as data, no aborted runs, one scan per distinct header.
 
-A survey reads the folder once as lines and tells, per file, whether every line is valid UTF-8 and
-how many lines there are; header lines are fetched from the start of each file. Files that cannot be
-used are reported, not raised. Data is then read all-text with an explicit schema plus one overflow
+A survey reads the folder once as lines and tells, per file, its first line, whether every line is valid
+UTF-8, how many lines there are, and whether quotes stay open at the end of a line. Files that cannot be
+used are reported, not raised. A file is named by its path below the deepest folder that holds all files. Data is then read all-text with an explicit schema plus one overflow
 column, so rows with too many fields can be told apart from short rows, which are padded with NULL.
 """
 
@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import csv
 import re
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -30,38 +29,24 @@ def parse_header(line: str) -> list[str]:
     return unique_names([c if c.strip() else f"Unnamed: {i}" for i, c in enumerate(cells)])
 
 
-def _lines(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
-    return spark.read.option("pathGlobFilter", pattern).text(paths).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
+def _reader(spark: SparkSession, pattern: str, recursive: bool):
+    return spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
 
 
-def survey(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(path, lines, decodable) per file that is not empty.
+def survey(spark: SparkSession, folder: str, pattern: str = "*.csv", recursive: bool = False) -> DataFrame:
+    """(path, lines, decodable, header, broken) per file that is not empty: number of lines, whether all are
+    valid UTF-8, the first line with text, and whether some line leaves a quote open.
 
-    One hash aggregate over the lines; a huge file costs one partial row per task.
-    """
-    return _lines(spark, folder, pattern).groupBy("path").agg(
-        F.count(F.lit(1)).alias("lines"), F.bool_and(F.is_valid_utf8("value")).alias("decodable"))
-
-
-def header_lines(spark: SparkSession, paths: list[str], few: int = 1000) -> dict[str, str]:
-    """The first line with text of each file.
-
-    Few files: one `first` per file, which reads no further than the line. Many files: one job that
-    takes the first line of every file by position.
+    One aggregate over the lines; a huge file costs one partial row per task.
     """
+    lines = _reader(spark, pattern, recursive).text(folder).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq")).alias("at"))
     has_text = F.trim(F.regexp_replace("value", "^\ufeff", "")) != ""
-    if len(paths) <= few:
-        def first(path: str):
-            row = spark.read.text(_readable(path)).where(has_text).first()
-            return path, row.value if row else None
-
-        with ThreadPoolExecutor(16) as pool:
-            found = list(pool.map(first, paths))
-    else:
-        at_start = _lines(spark, [_readable(p) for p in paths]).withColumn("seq", F.monotonically_increasing_id()).where((F.col("block") == 0) & has_text)
-        found = [(r.path, r.header) for r in at_start.groupBy("path").agg(F.min_by("value", "seq").alias("header")).collect()]
-    return {path: line for path, line in found if line is not None}
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return lines.groupBy("path").agg(
+        F.count(F.lit(1)).alias("lines"), F.bool_and(F.is_valid_utf8("value")).alias("decodable"),
+        F.min_by("value", F.when(has_text, F.col("at"))).alias("header"), F.bool_or(quotes % 2 == 1).alias("broken"))
 
 
 def _readable(uri: str) -> str:
@@ -70,19 +55,21 @@ def _readable(uri: str) -> str:
 
 
 def read_text_table(spark: SparkSession, paths: list[str], columns: list[str], bad_rows: str = "drop_long",
-                    multi_line: bool = False, with_order: bool = False) -> DataFrame:
+                    multi_line: bool = False, with_order: bool = False, root: str | None = None) -> DataFrame:
     """All-text rows of files that share `columns`, tagged with their `dataset_id`.
 
     `bad_rows`: `drop_long` drops rows with more fields than the header, `quarantine` returns only
     those. `multi_line` allows line breaks inside quotes, at the price of unsplittable files.
-    `with_order` adds `row_order`, which sorts the rows of a file as they stand in it.
+    `with_order` adds `row_order`, which sorts the rows of a file as they stand in it. `root` is the folder URI
+    below which paths name the files; without it, base names do.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, OVERFLOW]])
     raw = (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").option("escape", '"')
-           .option("mode", "PERMISSIVE").option("multiLine", multi_line).csv([_readable(p) for p in paths]))
+           .option("mode", "PERMISSIVE").option("maxColumns", max(20480, len(schema) + 1)).option("multiLine", multi_line).csv([_readable(p) for p in paths]))
     keep = F.col(OVERFLOW).isNotNull() if bad_rows == "quarantine" else F.col(OVERFLOW).isNull()
     # The file name comes percent-encoded; a plus sign stands for itself there.
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    named = F.col("_metadata.file_name") if root is None else F.substring(F.col("_metadata.file_path"), len(root) + 1, 1 << 30)
+    name = F.url_decode(F.replace(named, F.lit("+"), F.lit("%2B")))
     tags = [name.alias(DATASET)]
     if with_order:
         tags.append(F.struct(F.col("_metadata.file_block_start").alias("block"),
@@ -99,53 +86,75 @@ class FileState:
     status: str        # `ok`, or why the file is skipped
 
 
+@dataclass(frozen=True)
+class Group:
+    """Files that are read alike: one header, and line breaks inside quotes or not."""
+
+    paths: list[str]
+    columns: list[str]
+    multi_line: bool
+
+
 @dataclass
 class Folder:
-    """`files`: what became of each file. `groups`: (paths, columns) per distinct header."""
+    """`files`: what became of each file. `groups`: the usable ones by how they are read."""
 
     spark: SparkSession
+    root: str
     files: list[FileState]
-    groups: list[tuple[list[str], list[str]]]
+    groups: list[Group]
+
+    def _read(self, group: Group, paths: list[str], options: dict) -> DataFrame:
+        return read_text_table(self.spark, paths, group.columns, root=self.root, **{"multi_line": group.multi_line} | options)
 
     def tables(self, **options) -> list[DataFrame]:
-        """One all-text table per distinct header; `dataset_id` tells the files apart."""
-        return [read_text_table(self.spark, paths, columns, **options) for paths, columns in self.groups]
+        """One all-text table per group; `dataset_id` tells the files apart."""
+        return [self._read(group, group.paths, options) for group in self.groups]
 
     def datasets(self, **options) -> dict[str, DataFrame]:
         """One all-text table per usable file, without tags; nothing is read yet."""
-        drop = [DATASET]
-        return {_name(p): read_text_table(self.spark, [p], columns, **options).drop(*drop)
-                for paths, columns in self.groups for p in paths}
+        return {_name(p, self.root): self._read(group, [p], options).drop(DATASET) for group in self.groups for p in group.paths}
 
 
-def open_folder(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Folder:
-    """Survey a folder and group its usable files by header. Brings one row per file to the driver.
+def open_folder(spark: SparkSession, folder: str, pattern: str = "*.csv", recursive: bool = False) -> Folder:
+    """Survey a folder and group its usable files. Brings one row per file to the driver.
 
     Raises only when the folder holds no usable file.
     """
-    listed = spark.read.option("pathGlobFilter", pattern).text(folder).inputFiles()
-    facts = {_name(r.path): r for r in survey(spark, folder, pattern).collect()}
-    usable = sorted(r.path for r in facts.values() if r.decodable)
-    headers = {_name(path): line for path, line in header_lines(spark, usable).items()}
+    # a local file is listed as file:///x, and file:/x in the metadata of its rows
+    listed = [re.sub("^file:/+", "file:/", uri) for uri in _reader(spark, pattern, recursive).text(folder).inputFiles()]
+    root = _common_folder(listed)
+    facts = {r.path: r for r in survey(spark, folder, pattern, recursive).collect()}
     files, groups = [], {}
-    for name in sorted(_name(path) for path in listed):
-        fact = facts.get(name)
+    for path in sorted(listed, key=lambda p: _name(p, root)):
+        fact = facts.get(path)
         if fact and not fact.decodable:
             status = "skipped: not UTF-8"
-        elif name not in headers:
+        elif not fact or fact.header is None:
             status = "skipped: no columns"
         else:
             status = "ok"
-            groups.setdefault(tuple(parse_header(headers[name])), []).append(fact.path)
-        files.append(FileState(name, fact.path if fact else name, fact.lines if fact else 0, status))
+            groups.setdefault((tuple(parse_header(fact.header)), fact.broken), []).append(path)
+        files.append(FileState(_name(path, root), path, fact.lines if fact else 0, status))
     if not groups:
         raise ValueError(f"no usable file in {folder}")
-    return Folder(spark, files, [(paths, list(columns)) for columns, paths in groups.items()])
+    return Folder(spark, root, files, [Group(paths, list(columns), broken) for (columns, broken), paths in groups.items()])
+
+
+def _common_folder(uris: list[str]) -> str:
+    """The deepest folder URI, with its slash, that holds all files."""
+    folders = [uri.rsplit("/", 1)[0].split("/") for uri in uris] or [[""]]
+    shared = []
+    for steps in zip(*folders):
+        if len(set(steps)) > 1:
+            break
+        shared.append(steps[0])
+    return "/".join(shared) + "/"
 
 
-def _name(path: str) -> str:
-    """File name of a URI, as the file source reports it."""
-    return unquote(path.rsplit("/", 1)[-1])
+def _name(path: str, root: str) -> str:
+    """Path of a file URI below the root, as the file source reports it."""
+    return unquote(path[len(root):])
 
 
 def file_profile(df: DataFrame, dataset_id: str, order: str | None = None, rows: int = 3,

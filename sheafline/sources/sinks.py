@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import PySparkException
@@ -15,7 +16,8 @@ DATASET = "dataset_id"
 
 def write_datasets(frames: dict[str, DataFrame], folder: str, names: dict[str, str] | None = None,
                    fmt: str = "parquet", mode: str = "errorifexists", at_once: int = 8) -> dict[str, str]:
-    """Write each dataset below `folder`; returns its status. One that cannot be written is skipped.
+    """Write each dataset below `folder`; returns its status. One whose target exists or is forbidden is
+    skipped; any other failure is raised.
 
     Up to `at_once` writes run side by side, so many small datasets keep the cluster busy.
     """
@@ -28,13 +30,25 @@ def write_datasets(frames: dict[str, DataFrame], folder: str, names: dict[str, s
         try:
             writer.format(fmt).save(f"{folder}/{names.get(dataset, dataset)}")
             return "ok"
-        except (PySparkException, OSError) as e:
-            return f"skipped: {type(e).__name__}"
+        except (PySparkException, PermissionError) as e:
+            why = _refused(e)
+            if why is None:
+                raise
+            return f"skipped: {why}"
 
     with ThreadPoolExecutor(at_once) as pool:
         return dict(zip(frames, pool.map(write, frames)))
 
 
+def _refused(e: Exception) -> str | None:
+    """Why a target cannot be written, if the target is the reason."""
+    if isinstance(e, PySparkException) and e.getCondition() == "PATH_ALREADY_EXISTS":
+        return "exists"
+    if isinstance(e, PermissionError) or re.search("Permission denied|AccessControlException|AccessDenied", str(e)):
+        return "forbidden"
+    return None
+
+
 def write_merged(merged: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """All datasets in one table, one partition folder per dataset; a large dataset keeps its files."""
     merged.write.mode(mode).partitionBy(DATASET).format(fmt).save(path)

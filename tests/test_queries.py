@@ -13,13 +13,17 @@ def db(sf):
     return compare.connect(sf)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+#: The training-data queries have tests of their own beside their package.
+OWN = [name for name in QUERIES if not name.startswith("op") and name != "pipeline"]
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_sql(spark, sf, db, name):
     assert not compare.differences(QUERIES[name](spark, sf), db, SQL[name])[:3]
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(OWN) <= set(SQL) <= set(QUERIES)
 
 
 def test_entry(spark):

@@ -40,17 +40,64 @@ def test_rows_headers_and_bad_files(spark, folder):
 
 def test_quoted_line_breaks(spark, folder):
     where = folder(q='id,note\n1,"two\nlines"\n2,x\n')
-    table = csv.open_folder(spark, where).datasets(multi_line=True)["q.csv"]
+    table = csv.open_folder(spark, where).datasets()["q.csv"]  # found by the survey, no option needed
     assert sorted(tuple(r) for r in table.collect()) == [("1", "two\nlines"), ("2", "x")]
 
 
 def test_one_scan_per_header(spark, folder):
     found = csv.open_folder(spark, folder(a="x,y\n1,2\n", b="x,y\n3,4\n5,6\n", c="z\n1\n"))
-    assert sorted((len(paths), columns) for paths, columns in found.groups) == [(1, ["z"]), (2, ["x", "y"])]
+    assert sorted((len(g.paths), g.columns) for g in found.groups) == [(1, ["z"]), (2, ["x", "y"])]
     shared = next(t for t in found.tables() if "x" in t.columns)
     assert {r.dataset_id: r["count"] for r in shared.groupBy("dataset_id").count().collect()} == {"a.csv": 1, "b.csv": 2}
-    many = csv.header_lines(spark, [p for paths, _ in found.groups for p in paths], few=0)
-    assert sorted(many.values()) == ["x,y", "x,y", "z"]
+
+
+def test_no_file_is_lost(spark, tmp_path):
+    """Equal base names, rows that are all empty, and headers alone each get a status."""
+    for name, text in {"x/a.csv": "id,v\n1,\"p\nq\"\n2,r\n", "y/a.csv": "id,v\n3,s\n", "y/void.csv": "m,n\n,\n,\n", "bare.csv": "k,l\n"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    done = harmonize_folder(spark, str(tmp_path), recursive=True)
+    assert {r.dataset_id: (r.row_count, r.status) for r in done.datasets.collect()} == {
+        "x/a.csv": (2, "ok"), "y/a.csv": (1, "ok"), "y/void.csv": (None, "skipped: no data"), "bare.csv": (None, "skipped: no rows")}
+    assert sorted(map(tuple, done.frames["x/a.csv"].collect())) == [("1", "p q"), ("2", "r")]
+    assert tuple(done.summary().first()) == (2, 4)
+
+
+def test_headers_only(spark, folder):
+    done = harmonize_folder(spark, folder(a="x,y\n", b="z\n"))
+    assert done.frames == {} and {r.status for r in done.datasets.collect()} == {"skipped: no rows"}
+    assert done.catalog.collect() == []
+
+
+def test_failing_write_raises(spark, tmp_path):
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    from sheafline.sources import sinks
+    good = spark.range(2)
+    bad = good.select(F.raise_error(F.lit("broken")).alias("x"))
+    assert sinks.write_datasets({"a": good}, str(tmp_path)) == {"a": "ok"}
+    assert sinks.write_datasets({"a": good}, str(tmp_path)) == {"a": "skipped: exists"}
+    with pytest.raises(PySparkException):
+        sinks.write_datasets({"b": bad}, str(tmp_path))
+
+
+def test_answers_that_are_no_objects(spark):
+    from pyspark.sql import functions as F
+
+    from sheafline.operators import unify
+    answers = ['{"a": 1}', "[1]", "3", "null", '"x"', "no json", None, '```json [1] ```']
+    got = unify.parse_proposals(spark.createDataFrame([(i, a) for i, a in enumerate(answers)], "i INT, response STRING")).orderBy("i")
+    assert [(r.parsed, r.other) for r in got.select("parsed", F.coalesce("other", F.lit(False)).alias("other")).collect()] == [
+        (True, False), (False, True), (False, True), (False, True), (False, True), (False, False), (False, False), (False, True)]
+
+
+def test_flags_with_blanks_count_the_same_in_profile_and_table(spark):
+    from sheafline.operators.clean import apply_profile, profile
+    df = spark.createDataFrame([("not   available",), (" x ",)], "a STRING")
+    opts = CleanOptions(null_flags=("not available",))
+    found = profile(df, (), opts)
+    assert found.rows == apply_profile(df, found, (), opts).count() == 1
 
 
 def test_no_usable_file(spark, folder):
