@@ -1,7 +1,8 @@
 """HTML expressions: elements, attributes, visible text, labelled values, links.
 
-Regular expressions over the page source, meant for flat label/value markup. An element ends at the
-first closing tag of its kind, so text behind a nested element of the same kind is not reached.
+Regular expressions over the page source, meant for label/value markup. Comments, scripts and styles
+are taken out first (`bare`). An element ends where the tags of its kind balance, so its text includes
+nested elements of the same kind.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from .bind import bind
 from .text import text_strip
 
-_ENTITY = r"(?s)&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);|[^&]+|&"
+_ENTITY = r"(?s)&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?|[^&]+|&"
+# References that need no semicolon; the longest that fits counts.
+_BARE_NAMES = "|".join(sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n)))
 # All named references in one text, "\x01name\x02character\x01", from the standard library's table.
 _NAMED = "\x01" + "\x01".join(f"{name[:-1]}\x02{char}" for name, char in html5.items() if name.endswith(";")) + "\x01"
 
@@ -23,25 +26,37 @@ def decode_entities(c: Column) -> Column:
     """Character references to characters, each read once (`&amp;lt;` becomes `&lt;`)."""
     common = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\xa0"}
 
-    def code_point(digits: Column) -> Column:  # 8 hex digits -> one character
-        return F.decode(F.unhex(digits), "UTF-32")
+    def character(number: Column) -> Column:
+        """A code point as text; numbers that are none become U+FFFD."""
+        valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
 
-    def named(body: Column, whole: Column) -> Column:
-        key = F.concat(F.lit("\x01"), body, F.lit("\x02"))
+    def numeric(digits: Column, base: int) -> Column:
+        short = F.regexp_replace(digits, "^0+(?=.)", "")
+        return character(F.when(F.length(short) > 8, F.lit(-1).cast("bigint")).otherwise(F.conv(short, base, 10).cast("bigint")))
+
+    def known(name: Column) -> Column:
+        key = F.concat(F.lit("\x01"), name, F.lit("\x02"))
         at = F.call_function("instr", F.lit(_NAMED), key)
         tail = F.substring(F.lit(_NAMED), at + F.length(key), F.lit(8))
-        return F.when(at > 0, F.substring_index(tail, "\x01", 1)).otherwise(whole)
+        return F.when(at > 0, F.substring_index(tail, "\x01", 1))
+
+    def named(body: Column, closed: Column, whole: Column) -> Column:
+        def legacy(prefix: Column) -> Column:
+            return F.when(prefix != "", F.concat(known(prefix), F.substring(whole, F.length(prefix) + 2, F.length(whole))))
+
+        return F.coalesce(F.when(closed, known(body)), bind(F.regexp_extract(body, f"^(?:{_BARE_NAMES})", 0), legacy), whole)
 
     def token(t: Column) -> Column:
-        body = F.substring(t, F.lit(2), F.length(t) - 2)
+        closed = F.endswith(t, F.lit(";"))
+        body = F.substring(t, F.lit(2), F.length(t) - F.when(closed, 2).otherwise(1))
         special = F.when(F.length(t) < 3, t)
         for entity, char in common.items():
             special = special.when(t == entity, F.lit(char))
         special = (
-            special.when(body.rlike("^#[xX]"), code_point(F.lpad(F.substring(body, 3, 8), 8, "0")))
-            .when(F.startswith(body, F.lit("#")),
-                  code_point(F.lpad(F.hex(F.substring(body, 2, 8).try_cast("bigint")), 8, "0")))
-            .otherwise(named(body, t)))
+            special.when(body.rlike("^#[xX]"), numeric(F.substring(body, F.lit(3), F.length(body)), 16))
+            .when(F.startswith(body, F.lit("#")), numeric(F.substring(body, F.lit(2), F.length(body)), 10))
+            .otherwise(named(body, closed, t)))
         return F.when(F.startswith(t, F.lit("&")), special).otherwise(t)
 
     def decoded(v: Column) -> Column:
@@ -51,10 +66,40 @@ def decode_entities(c: Column) -> Column:
     return bind(c, decoded)
 
 
+def bare(html: Column) -> Column:
+    """A page without comments, scripts and styles."""
+    return F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>", "")
+
+
 def visible_text(c: Column) -> Column:
     """Text of a piece of markup: comments, scripts and tags removed, references decoded, stripped."""
-    bare = F.regexp_replace(c, r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|<[^>]+>", "")
-    return text_strip(decode_entities(bare))
+    return text_strip(decode_entities(F.regexp_replace(bare(c), "<[^>]+>", "")))
+
+
+def _inside(rest: Column, tag: Column, open_ended: bool) -> Column:
+    """Visible text of an element of kind `tag` whose start tag stands just before `rest`: up to the end tag that
+    balances it. Without one, all of `rest` if `open_ended`, else NULL."""
+    def read(kind: Column) -> Column:
+        marks = F.regexp_extract_all(rest, kind, F.lit(0))
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
+        change = lambda m: F.when(F.startswith(m, F.lit("</")), -1).when(F.endswith(m, F.lit("/>")), 0).otherwise(1)
+        end = F.aggregate(marks, start, lambda s, m: F.when(s["depth"] == 0, s).otherwise(
+            F.struct((s["depth"] + change(m)).alias("depth"), (s["taken"] + 1).alias("taken"))))
+
+        def cut(found: Column) -> Column:
+            text = F.array_join(F.slice(F.split(rest, kind), F.lit(1), found["taken"]), "")
+            return F.when(found["depth"] == 0, text).otherwise(rest if open_ended else F.lit(None).cast("string"))
+
+        return visible_text(bind(end, cut))
+
+    return bind(F.concat(F.lit("(?i)</?"), tag, F.lit(r"(?=[\s/>])[^>]*>")), read)
+
+
+def _element(html: Column, tag: str, opening: str) -> Column:
+    """Text of the first element whose start tag matches `opening`; NULL when absent."""
+    chunk = _match(html, rf"(?is){opening}.*")
+    return bind(chunk, lambda m: F.when(m.isNotNull(), bind(
+        F.substring(m, F.call_function("instr", m, F.lit(">")) + 1, F.length(m)), lambda rest: _inside(rest, F.lit(tag), True))))
 
 
 def _match(html: Column, pattern: str) -> Column:
@@ -68,14 +113,13 @@ def _value(attr: str, value: str) -> str:
 
 def element_by_id(html: Column, tag: str, value: str) -> Column:
     """Text of the first `tag` with this id; NULL when absent."""
-    found = _match(html, rf"(?is)<{tag}\b[^>]*{_value('id', value)}[^>]*>.*?</{tag}\s*>")
-    return visible_text(found)
+    return _element(html, tag, rf"<{tag}\b[^>]*{_value('id', value)}[^>]*>")
 
 
 def element_by_class(html: Column, tag: str, value: str) -> Column:
     """Text of the first `tag` whose class list holds `value`; NULL when absent."""
     quoted = rf"""\sclass\s*=\s*(?:"(?:[^"]*\s)?{value}(?:\s[^"]*)?"|'(?:[^']*\s)?{value}(?:\s[^']*)?'|{value}(?=[\s>]))"""
-    return visible_text(_match(html, rf"(?is)<{tag}\b[^>]*{quoted}[^>]*>.*?</{tag}\s*>"))
+    return _element(html, tag, rf"<{tag}\b[^>]*{quoted}[^>]*>")
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -97,7 +141,9 @@ def page_title(html: Column) -> Column:
 
 
 _HOLDERS = "th|label|div|span"
-_INLINE = rf"[^<]*(?:<(?!/?(?i:{_HOLDERS})\b)[^>]*>[^<]*){{0,20}}"
+_VOID = "area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr"
+# Text and inline tags; taken without going back, so their number is not limited.
+_INLINE = rf"(?:[^<]|<(?!/?(?i:{_HOLDERS})\b)[^>]*>)*+"
 
 
 def labelled_value(html: Column, label: str) -> Column:
@@ -107,7 +153,8 @@ def labelled_value(html: Column, label: str) -> Column:
     rest of its parent's text when that is longer than two characters. NULL when nothing is found.
     """
     quoted = "\\Q" + label + "\\E"
-    holder = rf"<((?i:{_HOLDERS}))\b[^>]*>({_INLINE}{quoted}{_INLINE})</\3\s*>"
+    before = _INLINE.replace("[^<]", f"(?!{quoted})[^<]")
+    holder = rf"<((?i:{_HOLDERS}))\b[^>]*>({before}{quoted}{_INLINE})</\3\s*>"
     whole = rf"(?s)(?:<((?i:div|li))\b[^>]*>([^<]*))?{holder}(.*)"
     chunk = F.when(F.contains(html, F.lit(label)), _match(html, whole))
 
@@ -121,14 +168,15 @@ def labelled_value(html: Column, label: str) -> Column:
 def _beside(part: Column, label: str) -> Column:
     """The value for the pieces (parent tag, text before, holder tag, holder text, rest)."""
     parent, before, holder, held, rest = (part[i] for i in range(5))
-    cell = _match(rest, r"(?is)^\s*<td\b[^>]*>.*?</td\s*>")
-    sibling = _match(rest, r"(?is)^[^<]*<([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>")
-    sibling = F.regexp_replace(sibling, r"^[^<]*", "")
+    opened = rf"(?is)^[^<]*<(?!(?:{_VOID})\b)([a-z][a-z0-9]*)\b[^>]*>"
+    tag = F.regexp_extract(rest, opened, 1)
+    sibling = bind(tag, lambda t: F.when(t != "", bind(F.regexp_replace(rest, opened, ""), lambda r: _inside(r, t, False))))
+    beside = F.lower(F.regexp_extract(rest, r"(?is)^\s*<(td)\b", 1)) == "td"
     tail = _match(rest, r"(?is)^[^<]*</(?:div|li)\s*>")
     own = F.replace(F.concat(visible_text(before), visible_text(held), visible_text(tail)), F.lit(label), F.lit(""))
     own = text_strip(F.replace(own, F.lit(":"), F.lit("")))
     inside = F.when(parent != "", bind(own, lambda o: F.when(F.length(o) > 2, o)))
-    return F.coalesce(F.when(F.lower(holder) == "th", visible_text(cell)), visible_text(sibling), inside)
+    return F.coalesce(F.when((F.lower(holder) == "th") & beside, sibling), sibling, inside)
 
 
 def links(html: Column) -> Column:

@@ -8,9 +8,19 @@ from pyspark.sql import functions as F
 from .. import defaults
 from ..functions import html as h
 from ..functions import text
+from ..functions.bind import bind
+
+
+def _whole(read, html: Column) -> Column:
+    """`read` applied to the page without comments, scripts and styles, which are taken out once."""
+    return bind(h.bare(html), read)
 
 
 def title(html: Column) -> Column:
+    return _whole(_title, html)
+
+
+def _title(html: Column) -> Column:
     """h1#title, h1.node-title, h1.title, og:title, `<title>` before `|`, else a fixed text."""
     return F.coalesce(
         h.element_by_id(html, "h1", "title"), h.element_by_class(html, "h1", "node-title"),
@@ -19,6 +29,10 @@ def title(html: Column) -> Column:
 
 
 def description(html: Column) -> Column:
+    return _whole(_description, html)
+
+
+def _description(html: Column) -> Column:
     return F.coalesce(
         h.element_by_class(html, "div", "field-name-body"), h.element_by_class(html, "div", "notes"),
         h.meta_content(html, "property", "og:description"), h.meta_content(html, "name", "description"),
@@ -27,12 +41,20 @@ def description(html: Column) -> Column:
 
 def label_value(html: Column, labels: list[str]) -> Column:
     """The value of the first label that has one."""
+    return _whole(lambda page: _label_value(page, labels), html)
+
+
+def _label_value(html: Column, labels: list[str]) -> Column:
     return F.coalesce(*[h.labelled_value(html, label) for label in labels])
 
 
 def ministry(html: Column, labels=None) -> Column:
+    return _whole(lambda page: _ministry(page, labels), html)
+
+
+def _ministry(html: Column, labels=None) -> Column:
     return F.coalesce(h.element_by_class(html, "div", "og-group-ref"),
-                      label_value(html, labels or defaults.MINISTRY_LABELS))
+                      _label_value(html, labels or defaults.MINISTRY_LABELS))
 
 
 def sector(html: Column, labels=None) -> Column:
@@ -40,14 +62,14 @@ def sector(html: Column, labels=None) -> Column:
 
 
 def page_metadata(pages: DataFrame, portal: str = defaults.PORTAL_NAME) -> DataFrame:
-    """One record per page with its provenance; a projection without a shuffle."""
+    """One record per page with its provenance; projections without a shuffle."""
     html = F.col("html")
-    return pages.select(
+    return pages.withColumn("html", h.bare(html)).select(
         "page_id", F.col("url").alias("scraped_url"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("scraped_timestamp"),
         F.lit(portal).alias("source_portal"),
-        title(html).alias("title"), description(html).alias("description"),
-        ministry(html).alias("ministry"), sector(html).alias("sector"))
+        _title(html).alias("title"), _description(html).alias("description"),
+        _ministry(html).alias("ministry"), _label_value(html, defaults.SECTOR_LABELS).alias("sector"))
 
 
 def page_links(pages: DataFrame, keyword: str = defaults.LINK_KEYWORD,
@@ -58,7 +80,7 @@ def page_links(pages: DataFrame, keyword: str = defaults.LINK_KEYWORD,
 
 def _wanted_links(pages: DataFrame, keyword: str, base: str) -> DataFrame:
     # Distinct within the page: the array never leaves its row, so nothing is shuffled.
-    wanted = F.filter(h.links(F.col("html")), lambda a:
+    wanted = F.filter(h.links(h.bare(F.col("html"))), lambda a:
                       F.contains(F.lower(a["href"]), F.lit(keyword)) | F.contains(F.lower(a["text"]), F.lit(keyword)))
     urls = F.array_distinct(F.transform(wanted, lambda a: h.absolute_url(a["href"], base)))
     rest = [c for c in pages.columns if c != "html"]

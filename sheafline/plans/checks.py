@@ -182,8 +182,8 @@ def inner(html: str, pattern: str) -> str:
 
 
 def decode(c: str) -> str:
-    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        c = f"replace({c}, '{entity}', '{char}')"
+    for entity, char in (("&quot", '"'), ("&copy", "©"), ("&middot", "·"), ("&lt", "<"), ("&gt", ">"), ("&amp", "&")):
+        c = f"regexp_replace({c}, '{entity};?', '{char}', 'g')"
     return c
 
 
@@ -194,7 +194,7 @@ def visible(c: str) -> str:
 PAGE_TITLE = visible(inner("html", "<title[^>]*>(.*?)</title>"))
 PORTAL_TITLE = f"""CASE page_id % 6 WHEN 0 THEN 'Data & Facts ' || id WHEN 1 THEN 'Node ' || id WHEN 2 THEN 'Plain ' || id
   WHEN 3 THEN 'Graph "' || id || '"' ELSE trim(split_part({decode(inner('html', '<title[^>]*>(.*?)</title>'))}, '|', 1)) END"""
-PORTAL_DESCRIPTION = f"""CASE page_id % 5 WHEN 0 THEN 'Body of ' || id WHEN 1 THEN 'Notes ' || id WHEN 2 THEN 'About ' || id
+PORTAL_DESCRIPTION = f"""CASE page_id % 5 WHEN 0 THEN 'Body:of ' || id || ' all end' WHEN 1 THEN 'Notes ' || id WHEN 2 THEN 'About ' || id
   WHEN 3 THEN 'Meta ' || id ELSE '' END"""
 PORTAL_MINISTRY = """CASE page_id % 7 WHEN 0 THEN 'Org ' || id WHEN 1 THEN 'Health ' || id WHEN 2 THEN 'Roads ' || id
   WHEN 3 THEN 'Survey ' || id END"""

@@ -144,6 +144,7 @@ def page_context(spark: SparkSession, sf: str) -> DataFrame:
 # ---- portal pages: the given pages with portal markup in front of their text -----------------------
 
 PORTAL_BLOCK = """concat(
+    '<!-- <h1 id="title">Old</h1><a href="/old.csv">old csv</a><div class="notes">Old</div> -->',
     CASE page_id % 6
         WHEN 0 THEN concat('<h1 class="page" id="title"> Data &amp; Facts <b>', id, '</b></h1>')
         WHEN 1 THEN concat('<h1 class="big node-title">Node ', id, '</h1>')
@@ -151,20 +152,20 @@ PORTAL_BLOCK = """concat(
         WHEN 3 THEN concat('<meta property="og:title" content="Graph &quot;', id, '&quot; ">')
         ELSE '' END,
     CASE page_id % 5
-        WHEN 0 THEN concat('<div class="field-name-body">Body of <i>', id, '</i></div>')
+        WHEN 0 THEN concat('<div class="field-name-body"><div class="label">Body:</div><div class="items">of <i>', id, '</i> all</div> end</div>')
         WHEN 1 THEN concat('<div class="x notes">Notes ', id, '</div>')
         WHEN 2 THEN concat('<meta property="og:description" content="About ', id, '">')
         WHEN 3 THEN concat('<meta name="description" content="Meta ', id, '">')
         ELSE '' END,
     CASE page_id % 7
-        WHEN 0 THEN concat('<div class="og-group-ref"> Org ', id, ' </div>')
+        WHEN 0 THEN concat('<div class="og-group-ref"> <div>Org</div> ', id, ' </div>')
         WHEN 1 THEN concat('<table><tr><th>Ministry/Department</th> <td>Health ', id, '</td></tr></table>')
         WHEN 2 THEN concat('<div><label>Department:</label> <span>Roads ', id, '</span></div>')
         WHEN 3 THEN concat('<li><span>Source:</span> Survey ', id, '</li>')
         ELSE '' END,
     CASE page_id % 4
         WHEN 0 THEN concat('<table><tr><th>Sector</th><td>Farm ', id, '</td></tr></table>')
-        WHEN 1 THEN concat('<div><span>Category</span><b>Cat ', id, '</b></div>')
+        WHEN 1 THEN concat('<div><span>', repeat('<i>', 30), 'Category', repeat('</i>', 30), '</span><b>Cat <b>', id, '</b></b></div>')
         ELSE '' END,
     CASE page_id % 3
         WHEN 0 THEN concat('<a class="r" href="/files/', id, '.CSV">get</a><a href="/files/', id, '.CSV">again</a>',

@@ -4,6 +4,8 @@ import random
 from urllib.parse import urljoin
 
 import brute
+from html import unescape
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,8 +110,9 @@ def test_names():
 
 
 def test_entities(one):
-    cells = ["a &amp;lt; b", "&#2325;&#x915;", "&middot;&copy;", "&unknown; & x", "none", "&vert;", None]
-    assert one(html.decode_entities, *cells) == ["a &lt; b", "कक", "·©", "&unknown; & x", "none", "|", None]
+    cells = ["a &amp;lt; b", "&#2325;&#x915;", "&middot;&copy;", "&unknown; & x", "none", "&vert;", "&#000000065;&#x0000000041;", "&amp B &ampc &notit; &copy",
+             "&#0;&#xD800;&#99999999999;&#x110000;", "&", "&am", "&#65 &#x41z", None]
+    assert one(html.decode_entities, *cells) == [None if c is None else unescape(c) for c in cells]
 
 
 def test_absolute_url(one):
@@ -123,6 +126,8 @@ def test_labelled_value(one):
              "<div><label>Ministry:</label><span>Roads</span></div>",
              "<li><span>Ministry</span>: Rail</li>",
              "<div><span><b>Ministry</b> name</span> <p>Farms</p></div>",
-             "<div>Ministry</div>", "<p>Ministry of nothing</p>", "<div><span>Ministry:</span> ab</div>"]
+             "<div>Ministry</div>", "<p>Ministry of nothing</p>", "<div><span>Ministry:</span> ab</div>",
+             "<div><span>" + "<i>" * 300 + "Ministry" + "</i>" * 300 + "</span><div>a<div>b</div>c</div></div>",
+             "<tr><th>x Ministry</th><td>o<table><tr><td>in</td></tr></table>ut</td></tr>", "<div><span>" + "Ministr " * 20_000 + "Ministry</span><b>v</b></div>"]
     assert one(lambda c: html.labelled_value(c, "Ministry"), *pages) == [
-        "Health & Care", "Roads", "Rail", "Farms", None, None, None]
+        "Health & Care", "Roads", "Rail", "Farms", None, None, None, "abc", "oinut", "v"]

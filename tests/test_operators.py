@@ -350,18 +350,22 @@ def test_title_cascade(one):
             "<meta content='og &amp; x' property='og:title'><title>t</title>", "<title> Page | Site </title>", "<p>none</p>",
             '<h1 data-id="title">no</h1><title>yes</title>', "<h1 id=title></h1><title>t</title>"]
     assert one(pages.title, *html) == ["A B", "N", "P", "og & x", "Page", "Unknown Dataset", "yes", ""]
+    assert one(pages.title, '<!-- <h1 id="title">Old</h1> --><h1 id="title">New</h1>', "<h1 id='title'>open <b>end") == ["New", "open end"]
 
 
 def test_description_cascade(one):
     html = ['<div class="notes">n</div><div class="field-name-body">b</div>', '<div class="a notes b">n</div>',
             '<meta name="description" content="m"><meta property="og:description" content="o">', "<meta name=description>", ""]
     assert one(pages.description, *html) == ["b", "n", "o", "", ""]
+    nested = ['<div class="field field-name-body"><div class="label">Body:</div><div class="items">Crop <div>x</div>yields</div> all</div><div>no</div>',
+              '<script>"<div class=notes>no</div>"</script><div class="notes">yes</div>']
+    assert one(pages.description, *nested) == ["Body:Crop xyields all", "yes"]
 
 
 def test_ministry_and_sector(one):
-    html = ["<div class='og-group-ref'>Org</div>", "<table><tr><th>Department</th><td>D</td></tr><tr><th>Ministry</th><td>M</td></tr></table>",
+    html = ["<div class='og-group-ref'><div>Ministry</div> Org</div>", "<table><tr><th>Department</th><td>D</td></tr><tr><th>Ministry</th><td>M</td></tr></table>",
             "<div><label>Source</label><span>S</span></div>", "<p>x</p>"]
-    assert one(pages.ministry, *html) == ["Org", "M", "S", None]
+    assert one(pages.ministry, *html) == ["Ministry Org", "M", "S", None]
     assert one(pages.sector, "<tr><th>Category</th><td>C</td></tr>", "<p>Sector</p>") == ["C", None]
 
 
