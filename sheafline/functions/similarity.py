@@ -1,9 +1,9 @@
 """Similarity of two names: 0-100 from their longest common subsequence (LCS).
 
-score = 100 * 2*LCS / (len a + len b), rounded half to even. The LCS runs as one loop of 64-bit
-operations per pair (bit-parallel LCS, Hyyrö 2004): for each character of the left name a bit mask
-holds its positions, and the loop over the right name's characters updates one BIGINT. Names over
-61 characters take a table-row loop instead. Everything is a built-in expression.
+score = 100 * 2*LCS / (len a + len b), rounded half to even. The LCS is bit-parallel (Hyyrö 2004): for
+each character of the left name bit masks hold its positions, WORD to a BIGINT, and the loop over the
+right name's characters updates as many BIGINTs as the left name fills, passing on the carry. One that
+fills a single BIGINT needs no carry. Everything is a built-in expression.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .bind import bind
 
-MASK_CHARS = 61
+WORD = 60
 
 
 def chars(c: Column) -> Column:
@@ -21,61 +21,70 @@ def chars(c: Column) -> Column:
 
 
 def char_masks(c: Column) -> Column:
-    """MAP<character, BIGINT of its positions>; NULL for empty names and beyond `MASK_CHARS`."""
-    def mask(letters: Column, places: Column, ch: Column) -> Column:
+    """MAP<character, ARRAY<BIGINT>> of its positions, WORD positions to a number; NULL for empty names."""
+    def mask(letters: Column, word: Column, ch: Column) -> Column:
+        first = word * WORD
         return F.aggregate(
-            places, F.lit(0).cast("bigint"),
-            lambda m, i: F.when(F.get(letters, i) == ch, m.bitwiseOR(_bit(i))).otherwise(m))
+            F.sequence(first, F.least(first + WORD, F.size(letters)) - 1), F.lit(0).cast("bigint"),
+            lambda m, i: F.when(F.get(letters, i) == ch, m.bitwiseOR(_bit(i - first))).otherwise(m))
 
     def masks(letters: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(letters) - 1)
+        words = F.sequence(F.lit(0), _words(F.size(letters)) - 1)
         return bind(F.array_distinct(letters), lambda kinds: F.map_from_arrays(
-            kinds, F.transform(kinds, lambda ch: mask(letters, places, ch))))
+            kinds, F.transform(kinds, lambda ch: F.transform(words, lambda w: mask(letters, w, ch)))))
 
-    return F.when(F.length(c).between(1, MASK_CHARS), bind(F.split(c, ""), masks))
+    return F.when(F.length(c) > 0, bind(F.split(c, ""), masks))
+
+
+def _words(length: Column) -> Column:
+    return F.ceil(length / WORD).cast("int")
 
 
 def _bit(i: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), i)
 
 
-def _lcs_by_masks(masks: Column, la: Column, b: Column) -> Column:
-    full = _bit(la) - F.lit(1).cast("bigint")
-    steps = F.transform(chars(b), lambda ch: F.coalesce(F.try_element_at(masks, ch),
-                                                         F.lit(0).cast("bigint")))
+def _full(length: Column) -> Column:
+    return _bit(length) - F.lit(1).cast("bigint")
+
+
+def _lcs_one_word(masks: Column, la: Column, b: Column) -> Column:
+    steps = F.transform(chars(b), lambda ch: F.coalesce(F.get(F.try_element_at(masks, ch), F.lit(0)), F.lit(0).cast("bigint")))
     left = F.aggregate(
-        steps, full,
-        lambda v, m: (v + v.bitwiseAND(m)).bitwiseOR(v.bitwiseAND(F.bitwise_not(m))).bitwiseAND(full))
+        steps, _full(la),
+        lambda v, m: (v + v.bitwiseAND(m)).bitwiseOR(v.bitwiseAND(F.bitwise_not(m))).bitwiseAND(_full(la)))
     return la - F.bit_count(left)
 
 
-def _lcs_by_rows(a: Column, b: Column) -> Column:
-    lb = F.length(b)
-    zeros = F.array_repeat(F.lit(0), lb + 1)
+def _lcs_many_words(masks: Column, la: Column, b: Column) -> Column:
+    words = F.sequence(F.lit(0), _words(la) - 1)
+    zero, none = F.lit(0).cast("bigint"), F.array().cast("array<bigint>")
+    start = F.transform(words, lambda w: _full(F.least(F.lit(WORD), la - w * WORD)))
 
-    def row(prev: Column, ch: Column) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(1), lb), F.array(F.lit(0)),
-            lambda cur, j: F.array_append(
-                cur,
-                F.when(F.substring(b, j, F.lit(1)) == ch, F.get(prev, j - 1) + 1)
-                .otherwise(F.greatest(F.get(prev, j), F.get(cur, j - 1)))))
+    def step(state: Column, ch: Column) -> Column:
+        def word(done: Column, w: Column) -> Column:
+            v, m = F.get(state, w), F.coalesce(F.get(F.try_element_at(masks, ch), w), zero)
+            total = v + v.bitwiseAND(m) + done["carry"]
+            new = total.bitwiseOR(v.bitwiseAND(F.bitwise_not(m))).bitwiseAND(_full(F.least(F.lit(WORD), la - w * WORD)))
+            return F.struct(F.shiftright(total, WORD).alias("carry"), F.array_append(done["out"], new).alias("out"))
+
+        return F.aggregate(words, F.struct(zero.alias("carry"), none.alias("out")), word, lambda done: done["out"])
 
-    return F.get(F.aggregate(chars(a), zeros, row), lb)
+    left = F.aggregate(chars(b), start, step)
+    return la - F.aggregate(left, F.lit(0), lambda n, v: n + F.bit_count(v))
 
 
 def lcs_length(a: Column, b: Column, masks: Column | None = None) -> Column:
     """Length of the longest common subsequence; `masks` may be a column with `char_masks(a)`."""
     la = F.length(a)
-    if masks is None:
-        short = bind(char_masks(a), lambda m: _lcs_by_masks(m, la, b))
-    else:
-        short = _lcs_by_masks(masks, la, b)
+
+    def by_masks(m: Column) -> Column:
+        return F.when(la <= WORD, _lcs_one_word(m, la, b)).otherwise(_lcs_many_words(m, la, b))
+
     return (
         F.when((la == 0) | (F.length(b) == 0), F.lit(0))
         .when(a == b, la)
-        .when(la <= MASK_CHARS, short)
-        .otherwise(_lcs_by_rows(a, b))
+        .otherwise(bind(char_masks(a), by_masks) if masks is None else by_masks(masks))
     )
 
 

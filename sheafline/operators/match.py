@@ -21,10 +21,6 @@ from ..functions import text
 from ..functions.session import materialize
 
 
-# At most this many unfolded parts (some 60 bytes each) are broadcast.
-BROADCAST_PARTS = 200_000
-
-
 def _slack(min_score: int) -> int:
     """Per-mille of len a + len b that the distance may reach at a rounded score of `min_score`."""
     return 1005 - 10 * min_score
@@ -79,10 +75,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame, min_score: int) -> DataFr
     right = right.select("b", sim.letter_bits(F.col("b")).alias("b_bits"))
     probes = left.select("a", "a_bits", F.explode(left_pieces(F.col("a"), min_score)).alias("p")).select("a", "a_bits", "p.*")
     parts = right_parts(right, "b", min_score, "b_bits")
-    # Unfolding multiplies the rows a thousandfold, which size estimates do not see: broadcast only
-    # after counting, else shuffle both sides.
-    few = parts.limit(BROADCAST_PARTS + 1).count() <= BROADCAST_PARTS
-    met = probes.join(F.broadcast(parts) if few else parts.hint("merge"), ["la", "piece", "part"])
+    # Unfolding multiplies the rows a thousandfold, which size estimates do not see: never broadcast.
+    met = probes.join(parts.hint("merge"), ["la", "piece", "part"])
     met = met.where(sim.may_reach(min_score, F.col("a"), F.col("a_bits"), F.col("b"), F.col("b_bits"))).select("a", "b")
     # A pair is a few bytes but costs a scoring loop: a fixed number of partitions keeps the scoring
     # spread out, where merging partitions by size would put it into one task.

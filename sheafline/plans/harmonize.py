@@ -102,7 +102,9 @@ def harmonize(raw: dict[str, DataFrame], proposal: str | None = None, responses:
     schema = build_schema(spark, unify.column_union(columns), proposal)
     mappings = match.resolve_columns(columns, schema.variations(spark))
     by_dataset: dict[str, dict[str, str]] = {name: {} for name in cleaned}
-    for m in mappings.orderBy("dataset_id", "col_pos").collect():  # one row per column
+    found = mappings.orderBy("dataset_id", "col_pos").collect()  # one row per column
+    mappings = spark.createDataFrame(found, mappings.schema)  # names are matched once; what follows reads the answer
+    for m in found:
         by_dataset[m.dataset_id][m.original] = m.standard
 
     def facts(name: str) -> tuple:

@@ -383,13 +383,12 @@ def test_links_and_resources(spark):
     assert (record.title, record.source_portal, record.scraped_url) == ("My Data-Set, 2020!", "data.gov.in", "u")
 
 
-def test_fuzzy_join_without_broadcast(spark, monkeypatch):
-    a = spark.createDataFrame([("bedcapacity",), ("year",)], "a STRING")
-    b = spark.createDataFrame([("bedcapacty",), ("years",), ("other",)], "b STRING")
-    want = {tuple(r) for r in match.similar_pairs(a, b, 85).collect()}
-    monkeypatch.setattr(match, "BROADCAST_PARTS", 0)
-    assert {tuple(r) for r in match.similar_pairs(a, b, 85).collect()} == want == {
-        ("bedcapacity", "bedcapacty", brute.similarity("bedcapacity", "bedcapacty")), ("year", "years", 89)}
+def test_fuzzy_join_of_long_names(spark):
+    long = ["a" * 40 + "b" * 90, "ab" * 65, "x" * 200, "the same long column name again and again " * 4]
+    near = [n[:60] + n[62:] for n in long]
+    a, b = (spark.createDataFrame([(n,) for n in names], f"{c} STRING") for names, c in ((long, "a"), (near, "b")))
+    got = {(r.a, r.b, r.score) for r in match.similar_pairs(a, b, 85).collect()}
+    assert got == {(x, y, brute.similarity(x, y)) for x in long for y in near if brute.similarity(x, y) >= 85} and len(got) >= 4
 
 
 def test_row_test_equals_cleaning(spark):
