@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import omh
+from .shared import store
+
 
 def held_out(doc_id: Column) -> Column:
     """One fourth of the ids; labels are learnt from the others only. A null id counts as the empty text."""
@@ -28,3 +31,16 @@ def labelled(documents: DataFrame, labels: DataFrame, label: Column, classes: ra
     # The broadcast side has at most `most` rows of 12 bytes per class.
     rows = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")), counts
+
+
+def without_copies(sample: DataFrame) -> DataFrame:
+    """A sample (doc_id, label, text) without the documents that share an order min-hash with an earlier one, in hashed
+    order of their ids. What a bounded sample says about words should not come from many copies of one text."""
+    sample = store(sample, "examples")
+    keys = (sample.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+            .mapInArrow(omh._describe, "doc_id BIGINT, text_key BIGINT, node BIGINT, words INT, keys ARRAY<BIGINT>")
+            .select("doc_id", F.explode(F.array_append("keys", F.col("node"))).alias("key"))
+            .withColumn("turn", F.struct(F.xxhash64("doc_id").alias("turn"), F.col("doc_id").alias("id"))))
+    first = keys.groupBy("key").agg(F.min("turn").alias("first"))
+    later = keys.join(first, "key").where(F.col("first") < F.col("turn")).select("doc_id").distinct()
+    return sample.join(later, "doc_id", "left_anti")

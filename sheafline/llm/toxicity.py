@@ -2,8 +2,10 @@
 
 Terms are words and word beginnings (BEGINNINGS letters) of the lower-cased text, a word being a run of letters and
 digits. The vector space holds the TERMS terms that are most significantly more frequent among toxic examples
-(log-likelihood ratio of at least SIGNIFICANT); a weight is (1 + log tf) * idf with idf from the examples. The
-examples, at most PER_CLASS documents a class, form an inverted index: postings of a term are grouped in blocks of
+(log-likelihood ratio of at least SIGNIFICANT), LEAST_RATIO times as frequent (in a large sample the common words of a
+language that toxic texts use a little more are significant too) and in LEAST_SHARE of them (so are the words of a passage
+that a few of them share); a weight is (1 + log tf) * idf with idf from the examples. The
+examples, at most PER_CLASS documents a class and near copies once (else one text's words would look typical), form an inverted index: postings of a term are grouped in blocks of
 BLOCK examples, each with the largest weight in it. A query sums, per block, its weights times these maxima; blocks
 are opened from the largest bound down until no bound beats the NEIGHBOURS-th best cosine. The result is exact; equal
 cosines are taken in example order.
@@ -34,8 +36,11 @@ from .passing import with_text
 PER_CLASS = 4000
 TERMS = 4096
 SIGNIFICANT = 13.0
+LEAST_RATIO = 4.0
+LEAST_SHARE = 0.01
 BEGINNINGS = (3, 4, 5, 6)
-BLOCK = 128
+BLOCK = 64
+FIRST_BLOCKS = 4
 NEIGHBOURS = 15
 SOFT = 0.05
 EVIDENCE = 3
@@ -137,22 +142,32 @@ class Index:
         self.top = self.top.reshape(len(self.terms), blocks)
 
     def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine above 0, exactly: (example, cosine), best first, ties by example."""
+        """The k examples of largest cosine above 0, exactly: (example, cosine), best first, ties by example.
+
+        The most promising blocks are opened first, then all whose bound reaches the k-th best of these."""
         bound = weight @ self.top[terms]
-        best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bound, kind="stable"):
-            # a small slack keeps blocks whose sums differ from the bound by rounding only
-            if bound[block] <= 0 or len(best) == k and bound[block] < best[-1] - 1e-9:
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms, weight):
-                a, b = self.starts[t, block]
-                score[self.example[a:b] - block * BLOCK] += w * self.weight[a:b]
-            own = np.flatnonzero(score)
-            at, score = np.concatenate([best_at, own + block * BLOCK]), np.concatenate([best, np.minimum(score[own], 1.0)])
-            order = np.lexsort((at, -np.round(score, 12)))[:k]
-            best_at, best = at[order], score[order]
-        return best_at, best
+        order = np.argsort(-bound, kind="stable")
+        at, score = self._open(terms, weight, order[:FIRST_BLOCKS], k)
+        # a small slack keeps blocks whose sums differ from the bound by rounding only
+        least = max(score[-1] - 1e-9, 1e-12) if len(score) == k else 1e-12
+        more = order[FIRST_BLOCKS:]
+        more = more[bound[more] >= least]
+        if len(more):
+            at2, score2 = self._open(terms, weight, more, k)
+            at, score = np.concatenate([at, at2]), np.concatenate([score, score2])
+            order = np.lexsort((at, -score))[:k]
+            at, score = at[order], score[order]
+        return at, score
+
+    def _open(self, terms: np.ndarray, weight: np.ndarray, blocks: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        bounds = self.starts[terms[:, None], blocks[None, :]].reshape(-1, 2)
+        count = bounds[:, 1] - bounds[:, 0]
+        posting = np.repeat(bounds[:, 0] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        factor = np.repeat(np.repeat(weight, len(blocks)), count)
+        at, of = np.unique(self.example[posting], return_inverse=True)
+        score = np.round(np.minimum(np.bincount(of, weights=factor * self.weight[posting], minlength=len(at)), 1.0), 12)
+        order = np.lexsort((at, -score))[:k]
+        return at[order], score[order]
 
     def raw(self, at: np.ndarray, cosine: np.ndarray) -> float:
         votes = self.vote[at] / (1 - cosine + SOFT)
@@ -180,6 +195,7 @@ def _isotonic(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[n
 def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Index:
     """Learns from `labels` (doc_id, toxic 0 or 1) and the documents they belong to."""
     sample, totals = examples.labelled(documents, labels, F.col("toxic"), range(2), per_class)
+    sample = examples.without_copies(sample)
     rows = sample.select("label", "text")
     size = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
@@ -189,7 +205,7 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
     counted = (rows.mapInArrow(_count_terms, "term STRING, toxic BIGINT, clean BIGINT")
                .groupBy("term").agg(F.sum("toxic").cast("double").alias("toxic"), F.sum("clean").cast("double").alias("clean")))
     chosen = (counted.withColumn("g", _likelihood_ratio(toxic, clean, n1, n0))
-              .where(toxic / n1 > clean / max(n0, 1)).where(F.col("g") >= SIGNIFICANT)
+              .where((toxic + 0.5) / n1 >= LEAST_RATIO * (clean + 0.5) / max(n0, 1)).where(toxic >= LEAST_SHARE * n1).where(F.col("g") >= SIGNIFICANT)
               .orderBy(F.desc("g"), "term").limit(TERMS).collect())
     terms = sorted(r.term for r in chosen)
     idf = {r.term: math.log((n1 + n0 + 1) / (r.toxic + r.clean + 1)) + 1 for r in chosen}
