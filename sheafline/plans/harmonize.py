@@ -54,6 +54,17 @@ class Harmonized:
     def summary(self) -> DataFrame:
         return merge.run_summary(self.datasets)
 
+    def facts(self, scraped: DataFrame | None = None) -> DataFrame:
+        """(dataset_id, facts JSON): what an external writer of records may rely on, with two sample rows each."""
+        spark = self.datasets.sparkSession
+        shown = spark.createDataFrame([], "dataset_id STRING, shown STRING")
+        for name, df in self.frames.items():
+            row = F.to_json(F.struct(*[col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+            shown = shown.unionByName(df.limit(2).select(F.lit(name).alias("dataset_id"), row.alias("shown")))
+        sample = shown.groupBy("dataset_id").agg(F.collect_list("shown").alias("sample"))
+        known = self.datasets.where("status = 'ok'").join(sample, "dataset_id", "left")
+        return cat.fact_sheet(known, self.stats, scraped)
+
     def names(self) -> DataFrame:
         """Output name per dataset, from the record titles."""
         slugs = naming.title_slugs(self.catalog.select("dataset_id", F.col("catalog_info.title").alias("title")))

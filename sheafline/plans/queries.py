@@ -71,7 +71,7 @@ def file_profile(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found).select(
         "dataset_id", "row_count", F.size("columns").cast("bigint").alias("n_columns"),
         F.concat_ws(",", "columns").alias("columns"),
-        F.substring(F.concat_ws(" ", "sample"), 1, 500).alias("sample"))
+        csv.sample_text(F.col("sample")).alias("sample"))
 
 
 # ---- cleaning ----------------------------------------------------------------------------------

@@ -13,10 +13,11 @@ import re
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import defaults
 from ..functions.names import unique_names
 
 OVERFLOW = "_overflow"
@@ -157,7 +158,12 @@ def _name(path: str, root: str) -> str:
     return unquote(path[len(root):])
 
 
-def file_profile(df: DataFrame, dataset_id: str, order: str | None = None, rows: int = 3,
+def sample_text(sample: Column, chars: int = defaults.SAMPLE_CHARS) -> Column:
+    """The sample rows of `file_profile` as one text of at most `chars` characters."""
+    return F.substring(F.concat_ws(" ", sample), 1, chars)
+
+
+def file_profile(df: DataFrame, dataset_id: str, order: str | None = None, rows: int = defaults.SAMPLE_ROWS,
                  path: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """One row: dataset_id, path, columns, row_count and the first rows as JSON text.
 

@@ -139,6 +139,9 @@ def test_folder_run_without_proposal(spark, folder):
     assert done.frames["b.csv"].columns == ["district", "year"]
     record = {r.dataset_id: r for r in done.stats.collect()}["b.csv"]
     assert record.temporal.range_str == "2001-2011" and record.spatial.districts == ["Kota", "Pune"]
+    sheet = {r.dataset_id: json.loads(r.facts) for r in done.facts().collect()}["b.csv"]
+    assert (sheet["columns"], sheet["temporal_range"], sheet["sample_locations"]) == (["district", "year"], "2001-2011", ["Kota", "Pune"])
+    assert sorted(json.loads(r)["district"] for r in sheet["sample_rows"]) == ["Kota", "Pune"]
     assert tuple(done.summary().first()) == (2, 3)
     titles = {r.dataset_id: r.name for r in done.names().collect()}
     assert titles == {"a.csv": "government_dataset_acsv", "b.csv": "government_dataset_bcsv"}
