@@ -8,11 +8,11 @@ from runs of SHORT_K words. Two texts are linked if 1 - edit distance / longer l
 distance being over words; classes are connected components.
 
 Large groups do not become all pairs. In each key's group, members are aligned with one leader (the first in hashed
-order, the same one in most of a group's keys). Those that resemble it are linked and done with. By the triangle
-inequality a member farther than FAR times the leader's length resembles none of them; members in between are compared
-with them. Those that do not resemble the leader go through another round with another leader, and what is left after
-ROUNDS is compared pair by pair, if the lengths allow a link. So every candidate pair is either compared, or in one
-class already, or excluded by its distances.
+order, the same one in most of a group's keys). Those that resemble it are linked and done with; those that do not go
+through another round with another leader, and what is left after ROUNDS is compared pair by pair. A pair is compared
+only if its lengths, and its distances to the leaders it has in common, allow a link (the triangle inequality; beyond
+FAR times the leader's length a text resembles none that resembles the leader, so distances are not followed farther).
+So every candidate pair is either compared, or in one class already, or excluded by its distances.
 
 Null texts and texts without words are copies of each other. Repeated rows are copies. A class is named by its
 smallest non-null doc_id (null if it has none). Empty tables give empty results. Nodes are 64-bit hashes, and
@@ -150,7 +150,7 @@ def distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
     least = max(len(a), len(b)) - int(np.minimum(n[i], m[j]).sum())
     if least > band:
         return least
-    return aligned(a.tolist(), b.tolist(), band)
+    return min(aligned(a.tolist(), b.tolist(), band), band + 1)  # beyond the band only that much is sure
 
 
 # ---- the operator -------------------------------------------------------------------------------
@@ -246,24 +246,32 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     def alike(a: str, b: str):
         return F.least(a, b) >= SIMILARITY * F.greatest(a, b)
 
-    near = F.col("distance") <= F.floor((1 - SIMILARITY + 1e-9) * F.greatest("words", "leader_words"))
+    most = (1 - SIMILARITY + 1e-9) * F.greatest("words", "leader_words")  # the largest distance of a link
+    near = F.col("distance") <= F.floor(most)
     links, late = [], []
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         first = active.groupBy("key").agg(F.min(F.struct("turn", "node", "words")).alias("first"))
         first = store(first.select("key", F.col("first.node").alias("leader"), F.col("first.words").alias("leader_words")), "omh-leaders")
         led = store(active.join(first, "key").where("node <> leader"), "omh-led")
         reach = F.col("words").between(F.col("leader_words") * (1 - FAR), F.col("leader_words") * (1 + FAR))
         got = store(measured(led.where(reach)), "omh-distances")
-        judged = store(led.join(got, ["leader", "node"], "left")
-                       .withColumn("near", F.coalesce(near, F.lit(False)))
-                       .withColumn("far", ~F.col("near") & F.coalesce(F.col("distance") > FAR * F.col("leader_words"), F.lit(True))), "omh-judged")
+        judged = store(led.join(got, ["leader", "node"], "left").withColumn("near", F.coalesce(near, F.lit(False))), "omh-judged")
         links.append(judged.where("near").select(F.col("leader").alias("a"), F.col("node").alias("b")))
-        doubtful = judged.where("NOT near AND NOT far").select("key", "node", "words")
-        close = judged.where("near").select("key", F.col("node").alias("leader"), F.col("words").alias("leader_words"))
-        late.append(doubtful.join(close, "key").where(alike("words", "leader_words")).select("leader", "leader_words", "node", "words"))
-        active = judged.where("NOT near").select("key", "node", "words", "turn")
-    other = active.select("key", F.col("node").alias("leader"), F.col("words").alias("leader_words"), F.col("turn").alias("leader_turn"))
-    late.append(active.join(other, "key").where("leader_turn < turn").where(alike("words", "leader_words"))
+        # distances to one leader differ by no more than two texts do; where unknown, the length alone says far
+        doubtful = judged.where("NOT near AND distance IS NOT NULL").select("key", "node", "words", "distance")
+        close = judged.where("near").select("key", F.col("node").alias("leader"), F.col("words").alias("leader_words"),
+                                            F.col("distance").alias("leader_distance"))
+        late.append(doubtful.join(close, "key").where(alike("words", "leader_words") & (F.col("distance") - F.col("leader_distance") <= most))
+                    .select("leader", "leader_words", "node", "words"))
+        exact = F.when(F.col("distance") <= F.floor(FAR * F.col("leader_words")) + 1, F.col("distance"))
+        active = judged.where("NOT near").withColumns({f"low{turn}": F.col("distance"), f"high{turn}": exact}).select(
+            "key", "node", "words", "turn", *[f"{c}{i}" for i in range(turn + 1) for c in ("low", "high")])
+    apart = F.lit(False)
+    for i in range(ROUNDS):
+        apart |= F.coalesce(F.col(f"low{i}") - F.col(f"leader_high{i}") > most, F.lit(False))
+        apart |= F.coalesce(F.col(f"leader_low{i}") - F.col(f"high{i}") > most, F.lit(False))
+    other = active.select("key", F.col("node").alias("leader"), *[F.col(c).alias(f"leader_{c}") for c in active.columns if c not in ("key", "node")])
+    late.append(active.join(other, "key").where("leader_turn < turn").where(alike("words", "leader_words") & ~apart)
                 .select("leader", "leader_words", "node", "words"))
     rest = late[0]
     for more in late[1:]:
