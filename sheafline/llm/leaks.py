@@ -23,7 +23,6 @@ and empty tables give no leaks.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
