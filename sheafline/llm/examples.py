@@ -38,7 +38,7 @@ def without_copies(sample: DataFrame) -> DataFrame:
     order of their ids. What a bounded sample says about words should not come from many copies of one text."""
     sample = store(sample, "examples")
     keys = (sample.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-            .mapInArrow(omh._describe, "doc_id BIGINT, text_key BIGINT, node BIGINT, words INT, keys ARRAY<BIGINT>")
+            .mapInArrow(omh._describe, "doc_id BIGINT, text_key BIGINT, node BIGINT, words INT, keys ARRAY<BIGINT>, bag ARRAY<SMALLINT>")
             .select("doc_id", F.explode(F.array_append("keys", F.col("node"))).alias("key"))
             .withColumn("turn", F.struct(F.xxhash64("doc_id").alias("turn"), F.col("doc_id").alias("id"))))
     first = keys.groupBy("key").agg(F.min("turn").alias("first"))

@@ -10,7 +10,7 @@ distance being over words; classes are connected components.
 Large groups do not become all pairs. In each key's group, members are aligned with one leader (the first in hashed
 order, the same one in most of a group's keys). Those that resemble it are linked and done with; those that do not go
 through another round with another leader, and what is left after ROUNDS is compared pair by pair. A pair is compared
-only if its lengths, and its distances to the leaders it has in common, allow a link (the triangle inequality; beyond
+only if its lengths, its counts of words by hash, and its distances to common leaders allow a link (the triangle inequality; beyond
 FAR times the leader's length a text resembles none that resembles the leader, so distances are not followed farther).
 So every candidate pair is either compared, or in one class already, or excluded by its distances.
 
@@ -40,6 +40,7 @@ SIMILARITY = 0.8
 FAR = 0.5625  # 0.25 + 0.25 / 0.8: see `_far`; follows from SIMILARITY
 ROUNDS = 2
 BITS = 1 << 25
+BAG = 128  # words of a text are counted by hash in so many cells
 _FACTORS = mix(np.arange(101, 101 + SKETCHES + SHORT_SKETCHES, dtype=np.uint64)) | np.uint64(1)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -156,9 +157,9 @@ def distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
 # ---- the operator -------------------------------------------------------------------------------
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text_key, text) -> doc_id, text_key, node, words, order min-hashes."""
+    """(doc_id, text_key, text) -> doc_id, text_key, node, words, order min-hashes, bag."""
     for batch in batches:
-        nodes, sizes, keys = [], [], []
+        nodes, sizes, keys, bags = [], [], [], []
         for x in slices(batch.column(2)):
             size = np.diff(x.bounds)
             nodes.append(_nodes(x))
@@ -168,9 +169,12 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = np.concatenate([long, short], axis=1)
             keep = both != _NONE
             keys += [row[k].view(np.int64) for row, k in zip(both, keep)]
+            bag = np.bincount(x.doc * BAG + (x.hashes >> np.uint64(40)).astype(np.int64) % BAG, minlength=x.count * BAG)
+            bags += list(np.minimum(bag.reshape(x.count, BAG), 32767).astype(np.int16))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes).astype(np.int32)),
-             pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_key", "node", "words", "keys"])
+             pa.array(keys, pa.list_(pa.int64())), pa.array(bags, pa.list_(pa.int16()))],
+            names=["doc_id", "text_key", "node", "words", "keys", "bag"])
 
 
 def _nodes(x: Texts) -> np.ndarray:
@@ -229,7 +233,7 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     class's first row by doc_id, null last, and text_key), node (equal for equal word sequences), words."""
     docs = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
     described = store(docs.mapInArrow(_describe, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key BIGINT, "
-                                                 "node BIGINT, words INT, keys ARRAY<BIGINT>"), "omh-sketches")
+                                                 "node BIGINT, words INT, keys ARRAY<BIGINT>, bag ARRAY<SMALLINT>"), "omh-sketches")
     texts = described.groupBy("node").agg(F.min(_row_key()).alias("first"), F.min("words").alias("words"), F.min("keys").alias("keys"))
     bands = texts.select(F.explode("keys").alias("key"), "node", "words").withColumn("turn", F.xxhash64("node"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
@@ -266,10 +270,12 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         exact = F.when(F.col("distance") <= F.floor(FAR * F.col("leader_words")) + 1, F.col("distance"))
         active = judged.where("NOT near").withColumns({f"low{turn}": F.col("distance"), f"high{turn}": exact}).select(
             "key", "node", "words", "turn", *[f"{c}{i}" for i in range(turn + 1) for c in ("low", "high")])
-    apart = F.lit(False)
+    active = active.join(described.groupBy("node").agg(F.min("bag").alias("bag")), "node")
+    unlike = F.aggregate(F.zip_with("bag", "leader_bag", lambda a, b: F.abs(a.cast("int") - b.cast("int"))), F.lit(0), lambda n, d: n + d)
+    apart = unlike > 2 * most  # an edit changes two counts by one at most
     for i in range(ROUNDS):
-        apart |= F.coalesce(F.col(f"low{i}") - F.col(f"leader_high{i}") > most, F.lit(False))
-        apart |= F.coalesce(F.col(f"leader_low{i}") - F.col(f"high{i}") > most, F.lit(False))
+        for low, high in ((f"low{i}", f"leader_high{i}"), (f"leader_low{i}", f"high{i}")):
+            apart = F.coalesce(F.col(low) - F.col(high) > most, F.lit(False)) | apart
     other = active.select("key", F.col("node").alias("leader"), *[F.col(c).alias(f"leader_{c}") for c in active.columns if c not in ("key", "node")])
     late.append(active.join(other, "key").where("leader_turn < turn").where(alike("words", "leader_words") & ~apart)
                 .select("leader", "leader_words", "node", "words"))
