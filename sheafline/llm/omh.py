@@ -38,7 +38,7 @@ K, PICK, SKETCHES = 5, 3, 48
 SHORT, SHORT_K, SHORT_SKETCHES = 75, 2, 24
 SIMILARITY = 0.8
 FAR = 0.5625  # 0.25 + 0.25 / 0.8: see `_far`; follows from SIMILARITY
-ROUNDS = 2
+ROUNDS = 3
 BITS = 1 << 25
 BAG = 128  # words of a text are counted by hash in so many cells
 _FACTORS = mix(np.arange(101, 101 + SKETCHES + SHORT_SKETCHES, dtype=np.uint64)) | np.uint64(1)
@@ -282,12 +282,17 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rest = late[0]
     for more in late[1:]:
         rest = rest.unionByName(more)
-    rest = store(rest.distinct(), "omh-rest")
-    links.append(rest.join(measured(rest), ["leader", "node"]).where(near).select(F.col("leader").alias("a"), F.col("node").alias("b")))
-    edges = links[0]
+    edges = links[0] if links else active.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     for more in links[1:]:
         edges = edges.unionByName(more)
-    group = components(edges.distinct())
+    edges = store(edges.distinct(), "omh-links")
+    group = components(edges)  # texts that are in one class already need not be compared
+    own = group.withColumnRenamed("component", "of_node")
+    led_by = group.select(F.col("node").alias("leader"), F.col("component").alias("of_leader"))
+    rest = rest.distinct().join(own, "node", "left").join(led_by, "leader", "left")
+    rest = store(rest.where(F.coalesce("of_node", "node") != F.coalesce("of_leader", "leader")).drop("of_node", "of_leader"), "omh-rest")
+    found = rest.join(measured(rest), ["leader", "node"]).where(near).select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    group = components(edges.unionByName(found))
     named = texts.select("node", "first").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("first").alias("first"))
     named = store(named.drop("first").join(least, "component").select("node", "first"), "omh-classes")
