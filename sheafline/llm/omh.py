@@ -3,8 +3,8 @@
 Texts are sequences of words (see `tokens`); equal sequences are one node of a graph. An order min-hash takes, under one
 hash function, the PICK smallest of a text's K-word runs (each labelled with how often it occurred before, so repeats
 count) and keeps the order in which they stand. SKETCHES of them give a text as many keys. Texts that share a key are
-candidates. Texts of at most SHORT words, where one edit breaks most five-word runs, get SHORT_SKETCHES further keys
-from runs of SHORT_K words. Two texts are linked if 1 - edit distance / longer length is at least SIMILARITY, the edit
+candidates. Texts of at most SHORT words, where a few edits leave less than PICK runs, get SHORT_SKETCHES further keys
+from runs of SHORT_K words. The numbers of keys follow from RECALL, see `_sketches`. Two texts are linked if 1 - edit distance / longer length is at least SIMILARITY, the edit
 distance being over words; classes are connected components.
 
 Large groups do not become all pairs. In each key's group, members are aligned with one leader (the first in hashed
@@ -22,6 +22,7 @@ alignments compare 32-bit hashes of words.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +35,26 @@ from .components import components
 from .shared import store
 from .tokens import Texts, mix, pair, slices
 
-K, PICK, SKETCHES = 5, 3, 48
-SHORT, SHORT_K, SHORT_SKETCHES = 75, 2, 24
 SIMILARITY = 0.8
+RECALL = 0.99  # of pairs at exactly SIMILARITY, whatever their length
+
+
+def _sketches(k: int, lengths: range) -> int:
+    """How many keys from runs of k words give RECALL to pairs of such lengths, with as many replaced words as SIMILARITY
+    allows, as far apart as they can be (which breaks the most runs)."""
+    need = 0
+    for words in lengths:
+        edits = math.floor((1 - SIMILARITY) * words + 1e-9)
+        common, union = words - k + 1 - k * edits, words - k + 1 + k * edits
+        found = math.prod((common - i) / (union - i) for i in range(PICK))  # the PICK smallest of both are the same
+        need = max(need, math.ceil(math.log(1 - RECALL) / math.log(1 - found)))
+    return need
+
+
+K, PICK = 2, 3
+SHORT, SHORT_K = 40, 1
+SKETCHES = _sketches(K, range(SHORT + 1, 10 * SHORT))  # 65; longer texts need fewer
+SHORT_SKETCHES = _sketches(SHORT_K, range(5, SHORT + 1))  # 21; texts of less than 5 words resemble equal ones only
 FAR = 0.5625  # 0.25 + 0.25 / 0.8: see `_far`; follows from SIMILARITY
 ROUNDS = 3
 BITS = 1 << 25
@@ -164,11 +182,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = np.diff(x.bounds)
             nodes.append(_nodes(x))
             sizes.append(size)
-            long = sketch(*labelled_grams(x.hashes, x.bounds, K), _FACTORS[:SKETCHES])
-            short = sketch(*_short_grams(x, size), _FACTORS[SKETCHES:])
-            both = np.concatenate([long, short], axis=1)
-            keep = both != _NONE
-            keys += [row[k].view(np.int64) for row, k in zip(both, keep)]
+            keys += _keys(x)
             bag = np.bincount(x.doc * BAG + (x.hashes >> np.uint64(40)).astype(np.int64) % BAG, minlength=x.count * BAG)
             bags += list(np.minimum(bag.reshape(x.count, BAG), 32767).astype(np.int16))
         yield pa.RecordBatch.from_arrays(
@@ -177,6 +191,13 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "text_key", "node", "words", "keys", "bag"])
 
 
+def _keys(x: Texts) -> list[np.ndarray]:
+    long = sketch(*labelled_grams(x.hashes, x.bounds, K), _FACTORS[:SKETCHES])
+    short = sketch(*_short_grams(x, np.diff(x.bounds)), _FACTORS[SKETCHES:])
+    both = np.concatenate([long, short], axis=1)
+    return [row[k].view(np.int64) for row, k in zip(both, both != _NONE)]
+
+
 def _nodes(x: Texts) -> np.ndarray:
     data = [hashlib.blake2b(x.hashes[a:b].tobytes(), digest_size=8).digest() for a, b in zip(x.bounds[:-1], x.bounds[1:])]
     return np.frombuffer(b"".join(data), dtype="<i8")

@@ -5,9 +5,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sheafline.llm import omh
+from sheafline.llm.tokens import slices
 
 SCHEMA = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG, node LONG, key STRING"
 
@@ -113,6 +115,41 @@ def test_classes_match_all_pairs(spark):
     assert not wrong, wrong
 
 
+def pairs(n, share, even, count, rng):
+    """Texts of n different words, then the same with a share of the words replaced, at random places or evenly spread."""
+    edits, out = int(share * n + 1e-9), []
+    for _ in range(count):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+        other = list(words)
+        for at in [(2 * i + 1) * n // (2 * edits) for i in range(edits)] if even else rng.sample(range(n), edits):
+            other[at] = f"x{rng.randrange(10**9)}"
+        out += [" ".join(words), " ".join(other)]
+    return out
+
+
+@pytest.mark.parametrize("even", [False, True])
+@pytest.mark.parametrize("share", [0.2, 0.15, 0.1])
+def test_near_pairs_share_a_key(share, even):
+    """Recall of candidates at similarity 0.8, 0.85 and 0.9, by length; with 75 words or more there were no short runs."""
+    rng = random.Random(11)
+    for n in (5, 10, 33, 40, 41, 45, 75, 76, 300, 1000):
+        if int(share * n + 1e-9):
+            texts = pairs(n, share, even, 200, rng)
+            keys = [set(k.tolist()) for x in slices(pa.array(texts)) for k in omh._keys(x)]
+            found = np.mean([bool(keys[i] & keys[i + 1]) for i in range(0, len(keys), 2)])
+            assert found >= 0.96, (n, found)  # 0.99 promised; 200 pairs
+
+
+def test_pairs_at_the_limit_are_linked(spark):
+    """By brute force every pair is one class: each replaces a fifth of its words."""
+    rng = random.Random(12)
+    texts = [t for n in (5, 20, 76, 300) for t in pairs(n, 0.2, False, 25, rng)]
+    got = {r.doc_id: r.class_id for r in omh.classes(table(spark, list(enumerate(texts)))).collect()}
+    want = brute(list(enumerate(texts)))
+    assert all(want[i] == i - i % 2 for i in want)
+    assert np.mean([got[i] == want[i] for i in want]) >= 0.98 and all(got[i] in (want[i], i) for i in want)
+
+
 def test_corner_cases(spark):
     long = " ".join(f"t{i}" for i in range(30_000))
     rows = [(0, None), (1, ""), (2, "one"), (3, "One"), (4, long), (5, long + " more"), (5, long + " more"), (None, "one"),
