@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import omh
 from .shared import store
+from .tokens import slices
 
 
 def held_out(doc_id: Column) -> Column:
@@ -33,14 +39,47 @@ def labelled(documents: DataFrame, labels: DataFrame, label: Column, classes: ra
     return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")), counts
 
 
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, label, text) -> doc_id, label, keys, tokens: the order min-hashes, those of equal texts, and the words."""
+    for batch in batches:
+        keys, tokens = [], []
+        for x in slices(batch.column(2)):
+            keys += [np.append(k, n) for k, n in zip(omh._keys(x), omh._nodes(x))]
+            tokens += [(x.hashes[a:b] >> np.uint64(32)).astype("<u4").tobytes() for a, b in zip(x.bounds[:-1], x.bounds[1:])]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64())), pa.array(tokens, pa.binary())],
+                                         names=["doc_id", "label", "keys", "tokens"])
+
+
+def _firsts(table: pa.Table) -> pa.Table:
+    """The smallest doc_id of each class of near copies. Texts that share a key are aligned unless in one class already."""
+    table = table.sort_by("doc_id")
+    words = [np.frombuffer(t.as_buffer(), "<u4") for t in table.column("tokens")]
+    parent, sharing = list(range(len(words))), {}
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    for i, keys in enumerate(table.column("keys").to_pylist()):
+        compared = set()
+        for key in keys:
+            for j in sharing.setdefault(key, []):
+                if j in compared or root(i) == root(j):
+                    continue
+                compared.add(j)
+                most = math.floor((1 - omh.SIMILARITY + 1e-9) * max(len(words[i]), len(words[j])))
+                if abs(len(words[i]) - len(words[j])) <= most and omh.distance(words[i], words[j], most) <= most:
+                    a, b = sorted((root(i), root(j)))
+                    parent[b] = a
+            sharing[key].append(i)
+    return table.select(["doc_id"]).take([i for i in range(len(words)) if root(i) == i])
+
+
 def without_copies(sample: DataFrame) -> DataFrame:
-    """A sample (doc_id, label, text) without the documents that share an order min-hash with an earlier one, in hashed
-    order of their ids. What a bounded sample says about words should not come from many copies of one text."""
+    """A sample (doc_id, label, text) with one document, the first by id, of each class of verified near copies within a
+    label. What a bounded sample says about words should not come from many copies of one text. A label, being bounded,
+    is one task."""
     sample = store(sample, "examples")
-    keys = (sample.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-            .mapInArrow(omh._describe, "doc_id BIGINT, text_key BIGINT, node BIGINT, words INT, keys ARRAY<BIGINT>, bag ARRAY<SMALLINT>")
-            .select("doc_id", F.explode(F.array_append("keys", F.col("node"))).alias("key"))
-            .withColumn("turn", F.struct(F.xxhash64("doc_id").alias("turn"), F.col("doc_id").alias("id"))))
-    first = keys.groupBy("key").agg(F.min("turn").alias("first"))
-    later = keys.join(first, "key").where(F.col("first") < F.col("turn")).select("doc_id").distinct()
-    return sample.join(later, "doc_id", "left_anti")
+    described = sample.select("doc_id", "label", "text").mapInArrow(_described, "doc_id BIGINT, label INT, keys ARRAY<BIGINT>, tokens BINARY")
+    return sample.join(described.groupBy("label").applyInArrow(_firsts, "doc_id BIGINT"), "doc_id", "left_semi")

@@ -69,3 +69,13 @@ def test_held_out_labels_are_not_learnt(spark):
     sample, counts = examples.labelled(docs, labels, labels.toxic, range(2), 4000)
     import zlib
     assert all(zlib.crc32(str(r.doc_id).encode()) % 4 != 2 for r in sample.collect()) and set(counts) == {0, 1}
+
+
+def test_only_verified_copies_of_one_label_leave(spark):
+    """A shared passage is no copy, and a toxic edit of a clean text stays."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    own = {i: " ".join(f"{i}x{j}" for j in range(30)) for i in range(6)}
+    rows = [(1, 0, f"{passage} {own[1]}"), (2, 0, f"{passage} {own[2]}"), (3, 0, f"{passage} {own[1]} more"), (4, 1, f"{passage} {own[1]} idiot"),
+            (5, 1, f"{passage} {own[5]}")]
+    sample = spark.createDataFrame(rows, "doc_id LONG, label INT, text STRING")
+    assert sorted(r.doc_id for r in examples.without_copies(sample).collect()) == [1, 2, 4, 5]
