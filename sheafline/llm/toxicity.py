@@ -2,9 +2,7 @@
 
 Terms are words and word beginnings (BEGINNINGS letters) of the lower-cased text, a word being a run of letters and
 digits. The vector space holds the TERMS terms that are most significantly more frequent among toxic examples
-(log-likelihood ratio of at least SIGNIFICANT), LEAST_RATIO times as frequent (in a large sample the common words of a
-language that toxic texts use a little more are significant too) and in LEAST_SHARE of them (so are the words of a passage
-that a few of them share); a weight is (1 + log tf) * idf with idf from the examples. The
+(log-likelihood ratio of at least SIGNIFICANT); a weight is (1 + log tf) * idf with idf from the examples. The
 examples, at most PER_CLASS documents a class and near copies once (else one text's words would look typical), form an inverted index: postings of a term are grouped in blocks of
 BLOCK examples, each with the largest weight in it. A query sums, per block, its weights times these maxima; blocks
 are opened from the largest bound down until no bound beats the NEIGHBOURS-th best cosine. The result is exact; equal
@@ -36,8 +34,6 @@ from .passing import with_text
 PER_CLASS = 4000
 TERMS = 4096
 SIGNIFICANT = 13.0
-LEAST_RATIO = 4.0
-LEAST_SHARE = 0.01
 BEGINNINGS = (3, 4, 5, 6)
 BLOCK = 64
 FIRST_BLOCKS = 4
@@ -205,7 +201,7 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
     counted = (rows.mapInArrow(_count_terms, "term STRING, toxic BIGINT, clean BIGINT")
                .groupBy("term").agg(F.sum("toxic").cast("double").alias("toxic"), F.sum("clean").cast("double").alias("clean")))
     chosen = (counted.withColumn("g", _likelihood_ratio(toxic, clean, n1, n0))
-              .where((toxic + 0.5) / n1 >= LEAST_RATIO * (clean + 0.5) / max(n0, 1)).where(toxic >= LEAST_SHARE * n1).where(F.col("g") >= SIGNIFICANT)
+              .where((toxic + 0.5) / n1 >= (clean + 0.5) / max(n0, 1)).where(F.col("g") >= SIGNIFICANT)
               .orderBy(F.desc("g"), "term").limit(TERMS).collect())
     terms = sorted(r.term for r in chosen)
     idf = {r.term: math.log((n1 + n0 + 1) / (r.toxic + r.clean + 1)) + 1 for r in chosen}

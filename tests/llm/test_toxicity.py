@@ -1,5 +1,7 @@
 """Toxicity: exact nearest neighbours, held-out accuracy, and corner cases."""
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -79,3 +81,13 @@ def test_only_verified_copies_of_one_label_leave(spark):
             (5, 1, f"{passage} {own[5]}")]
     sample = spark.createDataFrame(rows, "doc_id LONG, label INT, text STRING")
     assert sorted(r.doc_id for r in examples.without_copies(sample).collect()) == [1, 2, 4, 5]
+
+
+def test_rare_significant_terms_are_kept(spark):
+    """A word of 12 in about 1,500 toxic examples and of no clean one is significant, though below 1 % of them."""
+    ids = [i for i in range(4200) if zlib.crc32(str(i).encode()) % 4 != 2][:3000]
+    rare = set(ids[0:240:20])
+    docs = [(i, f"a{i} b{i} c{i} d{i} e{i} f{i}" + (" rareinsult" if i in rare else "")) for i in ids]
+    labels = [(i, int(n % 2 == 0)) for n, i in enumerate(ids)]
+    index = toxicity.train(spark.createDataFrame(docs, "doc_id LONG, text STRING"), spark.createDataFrame(labels, "doc_id LONG, toxic INT"))
+    assert " rareinsult " in index.terms and len(index.ids) == 12
