@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import examples, leaks, lm, mixing, multiindex, omh, quality, toxicity, urlrules, warc, wrappers
+from . import codes, examples, leaks, lexical, lm, mixing, multiindex, omh, pieces, quality, toxicity, urlrules, warc, wrappers
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -82,4 +82,26 @@ def op10_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return urlrules.judge(_table(spark, sf, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_language_model, op3_quality, op4_order_minhash, op5_decontamination, op6_multi_index, op7_mixing, op8_html_extraction, op9_toxicity, op10_url_filters)}
+def op11_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten documents that fit each benchmark item best, by BM25 in whole numbers."""
+    index = lexical.build(_table(spark, sf, "documents"))
+    return lexical.search(index, _table(spark, sf, "benchmark"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text as ids and back again."""
+    coded = pieces.encode(_table(spark, sf, "documents"))
+    back = pieces.decode(coded, keep=("doc_id", "ids"), text="decoded")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every embedding as a code of 16 bytes, with its error and that of its label."""
+    coded, books = codes.compress(_table(spark, sf, "embeddings"), keep=("vec_id", "label"))
+    return codes.grouped_error(coded).select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_language_model, op3_quality, op4_order_minhash, op5_decontamination, op6_multi_index, op7_mixing, op8_html_extraction, op9_toxicity, op10_url_filters, op11_lexical_search,
+    op12_sentencepiece, op13_vector_codes)}
