@@ -110,6 +110,13 @@ def table_facts(df: DataFrame, prof: TableProfile) -> tuple:
 
     Only the place columns of `df` are read; everything else is in the profile.
     """
+    wanted = [c for c in spatial_columns([c.name for c in prof.kept]) if c]
+    # at most TOP_LOCATIONS values come back
+    return profile_facts(prof, {c: [r.location for r in top_locations(df, c).collect()] for c in wanted})
+
+
+def profile_facts(prof: TableProfile, places: dict[str, list[str]]) -> tuple:
+    """The facts of one cleaned table from its profile and the first names of its place columns."""
     kept = prof.kept
     rows, cells = prof.rows, prof.rows * len(kept)
     missing = cells - sum(c.values for c in kept)
@@ -117,11 +124,8 @@ def table_facts(df: DataFrame, prof: TableProfile) -> tuple:
     highs = [c.years[1] for c in kept if c.years[1] is not None]
     low, high = (int(min(lows)), int(max(highs))) if lows else (None, None)
     names = [c.name for c in kept]
-    places = {}
-    for kind, column in zip(("states", "districts"), spatial_columns(names)):
-        # at most TOP_LOCATIONS values come back
-        places[kind] = [r.location for r in top_locations(df, column).collect()] if column else []
-    return (rows, len(kept), low, high, places["states"], places["districts"], granularity(names), missing, cells)
+    states, districts = [places.get(c, []) if c else [] for c in spatial_columns(names)]
+    return (rows, len(kept), low, high, states, districts, granularity(names), missing, cells)
 
 
 def stats_table(spark: SparkSession, facts: dict[str, tuple]) -> DataFrame:

@@ -472,5 +472,13 @@ SQL = {
     "harmonized_orders": with_(MESSY, CLEANED) + f"""SELECT row_id AS id, district_raw AS district, {YEAR_NUMBER} AS year,
       {as_double(bare('amount_raw'))} AS amount, priority_raw FROM cleaned""",
 }
+SQL["merge_folder"] = """SELECT c_custkey AS customer_id, c_name AS name, c_acctbal AS balance, lower(c_mktsegment) AS segment,
+  c_nationkey::BIGINT AS nation FROM customer"""
+SQL["incremental_folder"] = """SELECT lower(c_mktsegment) AS segment, c_nationkey::BIGINT AS nation, count(*) AS row_count, 'customer_id,name,balance' AS columns,
+  'ok' AS status, 1.0::DOUBLE AS completeness_score, 0::BIGINT AS missing_cells FROM customer GROUP BY ALL"""
+SQL["quarantine"] = """WITH o AS (SELECT o_orderkey % 10 AS k, o_totalprice AS p FROM orders)
+  SELECT 'kept' AS reason, NULL::VARCHAR AS "column", count(*) AS n, round(sum(CASE WHEN k <> 2 THEN p END), 2) AS total FROM o WHERE k > 1
+  UNION ALL SELECT CASE k WHEN 0 THEN 'too many fields' WHEN 1 THEN 'no values' WHEN 2 THEN 'not a number' ELSE 'not an integer' END,
+    CASE k WHEN 2 THEN 'total' WHEN 3 THEN 'id' END, count(*), NULL FROM o WHERE k < 4 GROUP BY k"""
 SQL["conform_stream_table"] = SQL["conform_table"]
 SQL["write_datasets"] = SQL["merge_union"]

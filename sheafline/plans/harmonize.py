@@ -1,35 +1,84 @@
 """End to end: raw tables -> unified schema, conformed tables, statistics, catalog.
 
-Per dataset (or per group of files with one header) a single profiling job reads the data; cleaning
-and conforming are projections on top of it. Names, profiles and mappings - rows per column, not per
-record - are all that reaches the driver.
+Tables given as DataFrames are profiled by a job each. Files of a folder are profiled together, in one job for any
+number of files and headers (see `operators.tables`), their places are found in a second one, and their conformed rows come
+out of one scan. Names, profiles and mappings - rows per column, not per record - are all that reaches the driver.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import col
+from ..functions.session import new_path
 from ..operators import catalog as cat
 from ..operators import conform as con
-from ..operators import match, merge, naming, stats, unify
+from ..operators import match, merge, naming, stats, tables, unify
 from ..operators.clean import CleanOptions, TableProfile, apply_profile, profile, profile_each
+from ..operators.tables import Step
 from ..operators.unify import UnifiedSchema
 from ..sources import csv
+from . import progress
 
 CONCURRENT_JOBS = 8
 
 
+class Lazy(Mapping):
+    """A dictionary whose values are made when they are asked for, once."""
+
+    def __init__(self, names: list[str], make: Callable[[str], DataFrame]):
+        self._names, self._make, self._made = dict.fromkeys(names), make, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._made:
+            self._made[name] = self._make(name)
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+@dataclass
+class Scan:
+    """The rows of all files at once, and what becomes of their cells."""
+
+    rows: DataFrame                    # dataset_id, cells, extra, at
+    steps: dict[str, list[Step]]       # by dataset
+    widths: dict[str, int]
+    options: CleanOptions
+
+    @cached_property
+    def plan(self) -> tuple[DataFrame, int]:
+        return tables.steps_table(self.rows.sparkSession, self.steps, self.widths)
+
+    def values(self) -> DataFrame:
+        return tables.conformed(self.rows, self.plan, self.options, carry=("at",))
+
+    def audited(self) -> DataFrame:
+        """Every row with its values, or why it is refused, written once and read back."""
+        path = new_path(self.rows.sparkSession, "audited")
+        found = tables.conformed(self.rows, self.plan, self.options, carry=("at",), refused=True)
+        found.write.parquet(path)
+        return self.rows.sparkSession.read.schema(found.schema).parquet(path)
+
+
 @dataclass
 class Harmonized:
     schema: UnifiedSchema
-    frames: dict[str, DataFrame]
+    frames: Mapping[str, DataFrame]
     profiles: dict[str, TableProfile]
     mappings: DataFrame
     datasets: DataFrame          # dataset_id, row_count, columns, status
@@ -37,12 +86,15 @@ class Harmonized:
     catalog: DataFrame
     issues: list[tuple[str, str, str]] = field(default_factory=list)   # dataset, column, type not given
     null_as_text: str | None = None
+    scan: Scan | None = None     # of a folder run
 
     def consistency(self) -> DataFrame:
         return merge.schema_consistency(self.datasets.where("status = 'ok'"))
 
     def merged(self, allow_missing: bool = False) -> DataFrame:
-        """All conformed rows; text that stands for NULL becomes NULL again."""
+        """All conformed rows; text that stands for NULL becomes NULL again. Of a folder, one scan."""
+        if self.scan:
+            return tables.columns_of(self.scan.values(), tables.merged_kinds(self.scan.steps, allow_missing))
         parts = self.frames
         if self.null_as_text is not None:
             parts = {name: df.select(*[
@@ -51,17 +103,28 @@ class Harmonized:
                 for name, df in parts.items()}
         return merge.merge_union(parts, allow_missing)
 
+    def quarantine(self, allow_missing: bool = True) -> tuple[DataFrame, DataFrame]:
+        """Of a folder run: the merged rows, and (dataset_id, at, pos, column, raw, reason) of all that was refused - rows
+        with too many fields or no values (pos -1), and cells that lost their value to a target type. One scan gives both."""
+        found = self.scan.audited()
+        kept = tables.columns_of(found.where("reason IS NULL"), tables.merged_kinds(self.scan.steps, allow_missing), (tables.DATASET, "at"))
+        return kept, tables.refused_cells(found, ("at",))
+
     def summary(self) -> DataFrame:
         return merge.run_summary(self.datasets)
 
     def facts(self, scraped: DataFrame | None = None) -> DataFrame:
         """(dataset_id, facts JSON): what an external writer of records may rely on, with two sample rows each."""
-        spark = self.datasets.sparkSession
-        shown = spark.createDataFrame([], "dataset_id STRING, shown STRING")
-        for name, df in self.frames.items():
-            row = F.to_json(F.struct(*[col(c) for c in df.columns]), {"ignoreNullFields": "false"})
-            shown = shown.unionByName(df.limit(2).select(F.lit(name).alias("dataset_id"), row.alias("shown")))
-        sample = shown.groupBy("dataset_id").agg(F.collect_list("shown").alias("sample"))
+        if self.scan:
+            shown = tables.row_json(self.scan.values(), (tables.DATASET, "at"), self.null_as_text)
+            sample = tables.first_rows(shown, 2, "shown").withColumnRenamed("shown", "sample")
+        else:
+            spark = self.datasets.sparkSession
+            shown = spark.createDataFrame([], "dataset_id STRING, shown STRING")
+            for name, df in self.frames.items():
+                row = F.to_json(F.struct(*[col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+                shown = shown.unionByName(df.limit(2).select(F.lit(name).alias("dataset_id"), row.alias("shown")))
+            sample = shown.groupBy("dataset_id").agg(F.collect_list("shown").alias("sample"))
         known = self.datasets.where("status = 'ok'").join(sample, "dataset_id", "left")
         return cat.fact_sheet(known, self.stats, scraped)
 
@@ -107,16 +170,7 @@ def harmonize(raw: dict[str, DataFrame], proposal: str | None = None, responses:
     raw = {name: df for name, df in raw.items() if profiles[name].kept}
     cleaned = {name: apply_profile(df, profiles[name], ids, opts) for name, df in raw.items()}
 
-    columns = spark.createDataFrame(
-        [(name, i, c.name) for name in cleaned for i, c in enumerate(profiles[name].kept)],
-        "dataset_id STRING, col_pos BIGINT, name STRING")
-    schema = build_schema(spark, unify.column_union(columns), proposal)
-    mappings = match.resolve_columns(columns, schema.variations(spark))
-    by_dataset: dict[str, dict[str, str]] = {name: {} for name in cleaned}
-    found = mappings.orderBy("dataset_id", "col_pos").collect()  # one row per column
-    mappings = spark.createDataFrame(found, mappings.schema)  # names are matched once; what follows reads the answer
-    for m in found:
-        by_dataset[m.dataset_id][m.original] = m.standard
+    schema, mappings, by_dataset = resolve(spark, {name: profiles[name] for name in cleaned}, proposal)
 
     def facts(name: str) -> tuple:
         places = [c for c in stats.spatial_columns([p.name for p in profiles[name].kept]) if c]
@@ -131,19 +185,102 @@ def harmonize(raw: dict[str, DataFrame], proposal: str | None = None, responses:
         done = con.conform(df, schema, by_dataset[name], ids, null_as_text, failing=failing)
         frames[name] = done.df
         issues += [(name, c, t) for c, t in done.issues]
+    columns = {name: [c for c in df.columns if c not in ids] for name, df in frames.items()}
+    datasets, records = describe(spark, profiles, columns, skipped, table_stats, mappings, responses, scraped)
+    return Harmonized(schema, frames, profiles, mappings, datasets, table_stats, records, issues, null_as_text)
+
+
+def resolve(spark: SparkSession, profiles: dict[str, TableProfile], proposal: str | None) -> tuple[UnifiedSchema, DataFrame, dict[str, dict[str, str]]]:
+    """The unified schema of all datasets, their mappings as a table, and as original -> standard by dataset."""
+    columns = spark.createDataFrame(
+        [(name, i, c.name) for name, prof in profiles.items() for i, c in enumerate(prof.kept)],
+        "dataset_id STRING, col_pos BIGINT, name STRING")
+    schema = build_schema(spark, unify.column_union(columns), proposal)
+    mappings = match.resolve_columns(columns, schema.variations(spark))
+    by_dataset: dict[str, dict[str, str]] = {name: {} for name in profiles}
+    found = mappings.orderBy("dataset_id", "col_pos").collect()  # one row per column
+    mappings = spark.createDataFrame(found, mappings.schema)  # names are matched once; what follows reads the answer
+    for m in found:
+        by_dataset[m.dataset_id][m.original] = m.standard
+    return schema, mappings, by_dataset
 
+
+def describe(spark: SparkSession, profiles: dict[str, TableProfile], columns: dict[str, list[str]], skipped: dict[str, str], table_stats: DataFrame,
+             mappings: DataFrame, responses: DataFrame | None, scraped: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The datasets with their status, and the catalog."""
     datasets = spark.createDataFrame(
-        [(name, profiles[name].rows, [c for c in df.columns if c not in ids], "ok") for name, df in frames.items()]
+        [(name, profiles[name].rows, own, "ok") for name, own in columns.items()]
         + [(name, None, None, why) for name, why in skipped.items()],
         "dataset_id STRING, row_count BIGINT, columns ARRAY<STRING>, status STRING")
-    records = cat.catalog(datasets.where("status = 'ok'"), table_stats, match.mapping_log(mappings), responses, scraped)
-    return Harmonized(schema, frames, profiles, mappings, datasets, table_stats, records, issues, null_as_text)
+    return datasets, cat.catalog(datasets.where("status = 'ok'"), table_stats, match.mapping_log(mappings), responses, scraped)
+
 
+def harmonize_folder(spark: SparkSession, folder: str, options: CleanOptions | None = None, pattern: str = "*.csv", recursive: bool = False,
+                     proposal: str | None = None, responses: DataFrame | None = None, scraped: DataFrame | None = None,
+                     null_as_text: str | None = None, since: str | None = None, state: str | None = None) -> Harmonized:
+    """Harmonize all CSV files of a folder, with a status for each.
 
-def harmonize_folder(spark: SparkSession, folder: str, options: CleanOptions | None = None, pattern: str = "*.csv",
-                     recursive: bool = False, **more) -> Harmonized:
-    """Harmonize all CSV files of a folder, with a status for each. Files with one header are profiled in one job."""
+    The number of jobs does not grow with the files. `state` is a new path to which the run writes what it knows of each
+    file; given as `since` to a later run, only files that are new or changed are profiled again. When columns are judged
+    by their first values (`options.sample_size`), each file takes jobs of its own and there is no state.
+    """
     opts = options or CleanOptions(infer=True)
+    if opts.sample_size:
+        return _folder_by_sample(spark, folder, opts, pattern, recursive, proposal=proposal, responses=responses, scraped=scraped, null_as_text=null_as_text)
+    before = progress.read(spark, since, opts) if since else {}
+    source = csv.open_folder(spark, folder, pattern, recursive, {key: row for key, row in before.items()})
+    files = {f.dataset_id: f for f in source.files if f.status == "ok"}
+    heads = source.heads()
+    old = {name: before[key] for name, f in files.items() if (key := (f.path, f.modified, f.size)) in before}
+    new = set(files) - set(old)
+    facts = [r for name, row in old.items() for r in progress.facts(name, row)]
+    if new:
+        own = {name: heads[name] for name in new}
+        known = tables.heads_table(spark, own)
+        facts += tables.profile_facts(tables.within(source.rows(new), known), opts).collect()  # one row per column
+    profiles = tables.read_profiles(facts, heads, opts)
+    skipped = {f.dataset_id: f.status for f in source.files if f.status != "ok"}
+    skipped |= {name: "skipped: no rows" if name not in profiles else "skipped: no data" for name in files
+                if name not in profiles or not profiles[name].kept}
+    kept = {name: profiles[name] for name in files if name not in skipped}
+    places = {name: progress.places(old[name]) for name in kept if name in old}
+    places |= _places(spark, source, {name: kept[name] for name in kept if name in new}, heads, opts)
+    if state:
+        progress.write(spark, state, opts, source.files, facts, places)
+    schema, mappings, by_dataset = resolve(spark, kept, proposal)
+    table_stats = stats.stats_table(spark, {name: stats.profile_facts(prof, places.get(name, {})) for name, prof in kept.items()})
+    steps, issues = {}, []
+    for name, prof in kept.items():
+        steps[name], failed = tables.conforming_steps(prof, by_dataset[name], schema.column_types, list(schema.column_mappings))
+        issues += [(name, c, t) for c, t in failed]
+
+    def frame(name: str) -> DataFrame:
+        cleaned = apply_profile(source.dataset(name), kept[name], (), opts)
+        return con.conform(cleaned, schema, by_dataset[name], (), null_as_text, failing=con.failing_by_profile(kept[name], by_dataset[name])).df
+
+    datasets, records = describe(spark, profiles, {name: [s.name for s in own] for name, own in steps.items()}, skipped, table_stats, mappings, responses, scraped)
+    scan = Scan(source.rows(set(kept)), steps, {name: len(heads[name]) for name in kept}, opts) if kept else None
+    return Harmonized(schema, Lazy(list(kept), frame), kept, mappings, datasets, table_stats, records, issues, null_as_text, scan)
+
+
+def _places(spark: SparkSession, source: csv.Folder, profiles: dict[str, TableProfile], heads: dict[str, list[str]], opts: CleanOptions) -> dict[str, dict[str, list[str]]]:
+    """The first place names by dataset and cleaned column, in one job."""
+    steps = {}
+    for name, prof in profiles.items():
+        wanted = {c for c in stats.spatial_columns([c.name for c in prof.kept]) if c}
+        if wanted:
+            steps[name] = [s for s in tables.cleaning_steps(prof) if s.name in wanted]
+    if not steps:
+        return {}
+    plan = tables.steps_table(spark, steps, {name: len(heads[name]) for name in steps})
+    out: dict[str, dict[str, list[str]]] = {}
+    for r in tables.top_places(source.rows(set(steps)), plan, opts).collect():  # one row per place column
+        column = next(s.name for s in steps[r.dataset_id] if s.pos == r.pos)
+        out.setdefault(r.dataset_id, {})[column] = r.places
+    return out
+
+
+def _folder_by_sample(spark: SparkSession, folder: str, opts: CleanOptions, pattern: str, recursive: bool, **more) -> Harmonized:
     source = csv.open_folder(spark, folder, pattern, recursive)
     profiles: dict[str, TableProfile] = {}
     for table in source.tables(with_order=bool(opts.order_by)):

@@ -636,6 +636,69 @@ def harmonize_folder(spark: SparkSession, sf: str) -> DataFrame:
                                 F.when(F.col("columns").isNotNull(), _joined("columns")).alias("columns"))
 
 
+def _segment_files(spark: SparkSession, sf: str, folder: str, regions: list[int]) -> None:
+    """Customers of some nations as CSV files, one per nation and market segment; each segment has its own header."""
+    customer = inputs.table(spark, sf, "customer").where(F.pmod("c_nationkey", F.lit(5)).isin(regions))
+    key, name, balance = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_acctbal").cast("string")
+    layouts = {"AUTOMOBILE": ("Cust ID,customer name,Acctbal", [key, name, balance]), "BUILDING": ("Account_Balance,Cust_ID,CUSTOMER NAME", [balance, key, name]),
+               "FURNITURE": ("Customer-Name,CustomerKey,acct bal", [name, key, balance]), "HOUSEHOLD": ("customer key,account balance,customername", [key, balance, name]),
+               "MACHINERY": ("custid,Customer Names,AcctBal.", [key, name, balance])}
+    line = reduce(lambda c, s: c.when(F.col("c_mktsegment") == s, F.concat_ws(",", *layouts[s][1])), layouts, F.when(F.lit(False), F.lit("")))
+    head = reduce(lambda c, s: c.when(F.col("c_mktsegment") == s, F.lit(layouts[s][0])), layouts, F.when(F.lit(False), F.lit("")))
+    where = [F.lower("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation")]
+    rows = customer.select(*where, F.col("c_custkey").alias("pos"), line.alias("value"))
+    heads = customer.select(*where, F.lit(-1).cast("bigint").alias("pos"), head.alias("value")).distinct()
+    (rows.unionByName(heads).repartition("segment", "nation").sortWithinPartitions("segment", "nation", "pos")
+     .select("segment", "nation", "value").write.mode("append").partitionBy("segment", "nation").text(folder))
+
+
+SEGMENT_SCHEMA = UnifiedSchema(
+    {"customer_id": ["Cust ID", "Cust_ID", "CustomerKey", "customer key", "custid"],
+     "name": ["customer name", "CUSTOMER NAME", "Customer-Name", "customername", "Customer Names"],
+     "balance": ["Acctbal", "Account_Balance", "acct bal", "account balance", "AcctBal."]}, MERGE_SCHEMA.column_types)
+
+
+def _segment(c: str) -> list[Column]:
+    return [F.regexp_extract(c, "segment=([^/]*)/", 1).alias("segment"), F.regexp_extract(c, "nation=([^/]*)/", 1).cast("bigint").alias("nation")]
+
+
+def merge_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """125 files with five headers, conformed and merged by one scan."""
+    folder = new_path(spark, "segments")
+    _segment_files(spark, sf, folder, [0, 1, 2, 3, 4])
+    done = run_folder(spark, folder, pattern="*.txt", recursive=True, proposal=SEGMENT_SCHEMA.to_json())
+    return done.merged().select("customer_id", "name", "balance", *_segment("dataset_id"))
+
+
+def incremental_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """A run, more files, and a second run that profiles only those: the datasets of all files."""
+    folder, state = new_path(spark, "segments"), new_path(spark, "state")
+    options = {"pattern": "*.txt", "recursive": True, "proposal": SEGMENT_SCHEMA.to_json()}
+    _segment_files(spark, sf, folder, [0, 1, 2])
+    run_folder(spark, folder, state=state, **options)
+    _segment_files(spark, sf, folder, [3, 4])
+    done = run_folder(spark, folder, since=state, **options)
+    facts = done.stats.select("dataset_id", "quality.completeness_score", "quality.missing_cells")
+    return (done.datasets.join(facts, "dataset_id").select(*_segment("dataset_id"), "row_count", _joined("columns"), "status", "completeness_score", "missing_cells"))
+
+
+def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """What a folder run keeps of dirty order files, and what it refuses, by reason."""
+    k, price = F.col("o_orderkey"), F.col("o_totalprice").cast("string")
+    line = (F.when(k % 10 == 0, F.concat_ws(",", k, price, F.lit("x"), F.lit("surplus"))).when(k % 10 == 1, F.lit(" ,-,NA"))
+            .when(k % 10 == 2, F.concat_ws(",", k, F.concat(F.lit("about "), price), F.lit("x")))
+            .when(k % 10 == 3, F.concat_ws(",", F.concat(F.lit("no. "), k), price, F.lit("x"), F.lit("")))
+            .otherwise(F.concat_ws(",", k, price, F.col("o_orderpriority"))))
+    folder = new_path(spark, "orders")
+    (inputs.table(spark, sf, "orders").select(line.alias("Order ID,Total,Note")).write
+     .option("header", True).option("sep", "\x01").option("quote", "\x00").csv(folder))
+    schema = UnifiedSchema({"id": ["Order ID"], "total": ["Total"], "note": ["Note"]}, {"id": "integer", "total": "float", "note": "string"})
+    kept, refused = run_folder(spark, folder, proposal=schema.to_json()).quarantine()
+    counted = kept.agg(F.lit("kept").alias("reason"), F.lit(None).cast("string").alias("column"), F.count(F.lit(1)).alias("n"), F.round(F.sum("total"), 2).alias("total"))
+    why = refused.groupBy("reason", "column").agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("total"))
+    return counted.unionByName(why.select("reason", "column", "n", "total"))
+
+
 def harmonized_orders(spark: SparkSession, sf: str) -> DataFrame:
     """The conformed rows of the dirty table from the same run."""
     done = run_harmonize(inputs.raw_tables(spark, sf), inputs.HARMONIZE_SCHEMA.to_json())
@@ -654,4 +717,4 @@ QUERIES = {f.__name__: f for f in (
     schema_consistency, merge_union, merge_total, run_summary, run_list, write_datasets, write_sidecars, write_records, write_merged,
     title_slug, slug_dedupe, pair_files,
     page_title, page_description, page_label, page_links, page_resources, page_metadata,
-    harmonize, harmonize_folder, harmonized_orders)}
+    harmonize, harmonize_folder, harmonized_orders, merge_folder, incremental_folder, quarantine)}
