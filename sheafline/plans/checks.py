@@ -472,6 +472,8 @@ SQL = {
     "harmonized_orders": with_(MESSY, CLEANED) + f"""SELECT row_id AS id, district_raw AS district, {YEAR_NUMBER} AS year,
       {as_double(bare('amount_raw'))} AS amount, priority_raw FROM cleaned""",
 }
+SQL["write_tables"] = with_(MESSY) + """SELECT 'group_' || (o_custkey % 200) || '.csv' AS dataset_id, count(*) AS row_count,
+  count(priority_raw) AS n_priority, count(district_raw) AS n_district, max(amount_raw) AS amount FROM messy GROUP BY o_custkey % 200"""
 SQL["merge_folder"] = """SELECT c_custkey AS customer_id, c_name AS name, c_acctbal AS balance, lower(c_mktsegment) AS segment,
   c_nationkey::BIGINT AS nation FROM customer"""
 SQL["incremental_folder"] = """SELECT lower(c_mktsegment) AS segment, c_nationkey::BIGINT AS nation, count(*) AS row_count, 'customer_id,name,balance' AS columns,

@@ -25,7 +25,7 @@ from ..operators import match, merge, naming, stats, tables, unify
 from ..operators.clean import CleanOptions, TableProfile, apply_profile, profile, profile_each
 from ..operators.tables import Step
 from ..operators.unify import UnifiedSchema
-from ..sources import csv
+from ..sources import csv, sinks
 from . import progress
 
 CONCURRENT_JOBS = 8
@@ -110,6 +110,24 @@ class Harmonized:
         kept = tables.columns_of(found.where("reason IS NULL"), tables.merged_kinds(self.scan.steps, allow_missing), (tables.DATASET, "at"))
         return kept, tables.refused_cells(found, ("at",))
 
+    def write(self, folder: str, fmt: str = "csv") -> DataFrame:
+        """Of a folder run, everything to disk: `datasets/` and `metadata/` by output name, `catalog/`, `schema/`, and `merged/`
+        if all datasets have the same columns. Returns (dataset_id, name, file, row_count, status) per data file."""
+        names = {r.dataset_id: r.name for r in self.names().collect()}  # one row per dataset
+        known = tables.merged_kinds(self.scan.steps, allow_missing=True)
+        rows = tables.columns_of(self.scan.values(), known, (tables.DATASET, "at", "steps"))
+        if self.null_as_text is not None:
+            rows = rows.withColumns({c: F.when(F.array_contains(F.transform("steps", lambda s: s["name"]), c), F.coalesce(col(c), F.lit(self.null_as_text)))
+                                     for c, (kind, _) in known.items() if kind == "string"})
+        rows = rows.withColumn("_own", F.transform("steps", lambda s: s["name"])).drop("steps")
+        done = sinks.write_tables(rows, f"{folder}/datasets", {d: f"{n}_harmonized" for d, n in names.items()}, fmt, "at", "_own")
+        sinks.write_sidecars(self.catalog, f"{folder}/metadata", names)
+        sinks.write_records(self.catalog, f"{folder}/catalog")
+        sinks.write_schema(self.datasets.sparkSession, self.schema, f"{folder}/schema")
+        if len({tuple(s.name for s in own) for own in self.scan.steps.values()}) == 1:
+            sinks.write_merged(self.merged(), f"{folder}/merged")
+        return done.join(self.names().select("dataset_id", "name"), "dataset_id", "left").select("dataset_id", "name", "file", "row_count", "status")
+
     def summary(self) -> DataFrame:
         return merge.run_summary(self.datasets)
 

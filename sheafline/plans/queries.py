@@ -521,11 +521,24 @@ def write_datasets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def write_sidecars(spark: SparkSession, sf: str) -> DataFrame:
-    """One record file per dataset, read back with the dataset's name from its folder."""
+    """One record file per dataset, all written by one job and read back by the manifest."""
     folder = new_path(spark, "sidecars")
     sinks.write_sidecars(cat.technical_record(*_customer_datasets(spark, sf)), folder)
-    back = spark.read.schema("technical_metadata STRUCT<original_filename: STRING, row_count: BIGINT, column_count: BIGINT>, dataset_id STRING").json(folder)
-    return back.select("dataset_id", "technical_metadata.*")
+    kind = "technical_metadata STRUCT<original_filename: STRING, row_count: BIGINT, column_count: BIGINT>"
+    return sinks.read_sidecars(spark, folder).select("dataset_id", F.from_json("record", kind).alias("r")).select("dataset_id", "r.technical_metadata.*")
+
+
+def write_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Two hundred datasets, each below its own folder, written by one job; all files read back."""
+    folder = new_path(spark, "tables")
+    rows = inputs.messy(spark, sf).withColumn("dataset_id", F.concat(F.lit("group_"), (F.col("o_custkey") % 200).cast("string"), F.lit(".csv"))).drop("o_custkey")
+    manifest = sinks.write_tables(rows, folder, order="row_id")
+    back = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").schema(
+        "priority_raw STRING, amount_raw STRING, census_year STRING, district_raw STRING").parquet(*[f"{folder}/{r.dataset_id}" for r in manifest.select("dataset_id").distinct().collect()])
+    listed = manifest.groupBy("dataset_id").agg(F.sum("row_count").alias("row_count"))
+    found = back.groupBy(F.regexp_extract("_metadata.file_path", "(group_[0-9]+.csv)/", 1).alias("dataset_id")).agg(
+        F.count("priority_raw").alias("n_priority"), F.count("district_raw").alias("n_district"), F.max("amount_raw").alias("amount"))
+    return listed.join(found, "dataset_id")
 
 
 def write_merged(spark: SparkSession, sf: str) -> DataFrame:
@@ -714,7 +727,7 @@ QUERIES = {f.__name__: f for f in (
     cast_integer, cast_float, cast_string, conform_table, conform_stream_table,
     temporal_range, spatial_top5, completeness, dataset_stats, profile_long, stats_by_dataset, locations_by_dataset,
     technical_record, precedence_merge, fallback_record, catalog, page_context, fact_sheet,
-    schema_consistency, merge_union, merge_total, run_summary, run_list, write_datasets, write_sidecars, write_records, write_merged,
+    schema_consistency, merge_union, merge_total, run_summary, run_list, write_datasets, write_sidecars, write_tables, write_records, write_merged,
     title_slug, slug_dedupe, pair_files,
     page_title, page_description, page_label, page_links, page_resources, page_metadata,
     harmonize, harmonize_folder, harmonized_orders, merge_folder, incremental_folder, quarantine)}

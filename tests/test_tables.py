@@ -11,7 +11,7 @@ from sheafline.operators import merge, tables
 from sheafline.operators.clean import CleanOptions
 from sheafline.operators.unify import UnifiedSchema
 from sheafline.plans.harmonize import harmonize_folder
-from sheafline.sources import csv
+from sheafline.sources import csv, sinks
 
 SCHEMA = UnifiedSchema(
     {"id": ["ID", "No"], "district": ["Dist", "Zilla"], "amount": ["Amount", "Amt"], "year": ["Census Year"], "flag": ["Flag"], "note": ["Note", "Remark"]},
@@ -136,3 +136,40 @@ def test_wide_and_narrow_files(spark, tmp_path):
     done = harmonize_folder(spark, str(tmp_path))
     rows = {r.dataset_id: r for r in done.merged(allow_missing=True).collect()}
     assert rows["wide.csv"].h199 == "199" and rows["flat.csv"].a == "3" and rows["narrow.csv"].b == "two lines"
+
+
+def test_everything_is_written(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in", 6)
+    done = harmonize_folder(spark, str(tmp_path / "in"), proposal=SCHEMA)
+    out = str(tmp_path / "out")
+    manifest = done.write(out).collect()
+    names = {r.dataset_id: r.name for r in manifest}
+    assert {r.status for r in manifest} == {"ok"} and set(names) == set(done.frames)
+    for dataset in ("f000.csv", "f003.csv"):
+        frame = done.frames[dataset]
+        back = spark.read.option("header", True).csv(f"{out}/datasets/{names[dataset]}_harmonized")
+        assert back.columns == frame.columns and back.count() == frame.count()
+        record = json.loads((tmp_path / "out" / "metadata" / f"{names[dataset]}_metadata.json").read_text())
+        assert "catalog_info" in record
+    assert spark.read.json(f"{out}/catalog").count() == 6 and not (tmp_path / "out" / "merged").exists()
+
+
+def test_existing_targets_are_skipped(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a/b.csv", 1, "x"), ("a/b.csv", 2, None), ("c d.csv", 3, "z")], "dataset_id STRING, n INT, v STRING").repartition(3)
+    first = sinks.write_tables(rows, folder, {"c d.csv": "c"})
+    assert sorted((r.dataset_id, r.status) for r in first.select("dataset_id", "status").distinct().collect()) == [("a/b.csv", "ok"), ("c d.csv", "ok")]
+    assert sorted(map(tuple, spark.read.parquet(f"{folder}/a%2Fb.csv").collect())) == [(1, "x"), (2, None)]
+    more = rows.unionByName(spark.createDataFrame([("new", 4, "w")], rows.schema))
+    again = sinks.write_tables(more, folder, {"c d.csv": "c"})
+    assert sorted((r.dataset_id, r.status) for r in again.select("dataset_id", "status").distinct().collect()) == [
+        ("a/b.csv", "ok"), ("a/b.csv", "skipped: exists"), ("c d.csv", "ok"), ("c d.csv", "skipped: exists"), ("new", "ok")]
+    assert spark.read.parquet(f"{folder}/c").count() == 1
+
+
+def test_hot_dataset_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("d"), (F.col("id") % 50).cast("string"))).alias("dataset_id"), "id", F.col("id").alias("n"))
+    manifest = sinks.write_tables(rows, str(tmp_path / "h"), order="id").collect()
+    assert sum(r.row_count for r in manifest) == 20_000 and sum(r.dataset_id == "hot" for r in manifest) > 3
+    assert spark.read.parquet(str(tmp_path / "h" / "hot")).distinct().count() == sum(r.row_count for r in manifest if r.dataset_id == "hot")
