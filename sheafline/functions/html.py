@@ -1,12 +1,13 @@
 """HTML expressions: elements, attributes, visible text, labelled values, links.
 
-Regular expressions over the page source, meant for label/value markup. Comments, scripts and styles
-are taken out first (`bare`). An element ends where the tags of its kind balance, so its text includes
-nested elements of the same kind.
+Meant for label/value markup. Comments, scripts and styles are taken out first (`bare`), then the page is cut once into an
+index of tags and texts (`indexed`), which all lookups share. An element ends where the tags of its kind balance, so its text
+includes nested elements of the same kind.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -36,16 +37,22 @@ def decode_entities(c: Column) -> Column:
         return character(F.when(F.length(short) > 8, F.lit(-1).cast("bigint")).otherwise(F.conv(short, base, 10).cast("bigint")))
 
     def known(name: Column) -> Column:
+        """The characters of a name and the length of the name; NULL for other names."""
         key = F.concat(F.lit("\x01"), name, F.lit("\x02"))
-        at = F.call_function("instr", F.lit(_NAMED), key)
-        tail = F.substring(F.lit(_NAMED), at + F.length(key), F.lit(8))
-        return F.when(at > 0, F.substring_index(tail, "\x01", 1))
 
-    def named(body: Column, closed: Column, whole: Column) -> Column:
-        def legacy(prefix: Column) -> Column:
-            return F.when(prefix != "", F.concat(known(prefix), F.substring(whole, F.length(prefix) + 2, F.length(whole))))
+        def find(table: Column) -> Column:
+            at = F.call_function("instr", table, key)
+            tail = F.substring(table, at + F.length(key), F.lit(8))
+            return F.when(at > 0, F.struct(F.substring_index(tail, "\x01", 1).alias("char"), F.length(name).alias("size")))
+
+        return F.when(name != "", bind(F.lit(_NAMED), find))
 
-        return F.coalesce(F.when(closed, known(body)), bind(F.regexp_extract(body, f"^(?:{_BARE_NAMES})", 0), legacy), whole)
+    def named(body: Column, closed: Column, whole: Column) -> Column:
+        # a closed name as a whole, else the longest name in front that needs no semicolon
+        tried = F.array(F.when(closed, body), F.regexp_extract(body, f"^(?:{_BARE_NAMES})", 0))
+        found = F.get(F.filter(F.transform(tried, known), lambda k: k.isNotNull()), F.lit(0))
+        return bind(found, lambda k: F.coalesce(F.concat(k["char"], F.when(closed & (k["size"] == F.length(body)), F.lit("")).otherwise(
+            F.substring(whole, k["size"] + 2, F.length(whole)))), whole))
 
     def token(t: Column) -> Column:
         closed = F.endswith(t, F.lit(";"))
@@ -76,107 +83,169 @@ def visible_text(c: Column) -> Column:
     return text_strip(decode_entities(F.regexp_replace(bare(c), "<[^>]+>", "")))
 
 
-def _inside(rest: Column, tag: Column, open_ended: bool) -> Column:
-    """Visible text of an element of kind `tag` whose start tag stands just before `rest`: up to the end tag that
-    balances it. Without one, all of `rest` if `open_ended`, else NULL."""
-    def read(kind: Column) -> Column:
-        marks = F.regexp_extract_all(rest, kind, F.lit(0))
-        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
-        change = lambda m: F.when(F.startswith(m, F.lit("</")), -1).when(F.endswith(m, F.lit("/>")), 0).otherwise(1)
-        end = F.aggregate(marks, start, lambda s, m: F.when(s["depth"] == 0, s).otherwise(
-            F.struct((s["depth"] + change(m)).alias("depth"), (s["taken"] + 1).alias("taken"))))
+def _match(html: Column, pattern: str) -> Column:
+    """The first match, NULL when there is none."""
+    return bind(F.regexp_extract(html, pattern, 0), lambda m: F.when(m != "", m))
 
-        def cut(found: Column) -> Column:
-            text = F.array_join(F.slice(F.split(rest, kind), F.lit(1), found["taken"]), "")
-            return F.when(found["depth"] == 0, text).otherwise(rest if open_ended else F.lit(None).cast("string"))
 
-        return visible_text(bind(end, cut))
+def _value(attr: str, value: str) -> str:
+    return rf"""\s{attr}\s*=\s*(?:"{value}"|'{value}'|{value}(?=[\s>/]))"""
 
-    return bind(F.concat(F.lit("(?i)</?"), tag, F.lit(r"(?=[\s/>])[^>]*>")), read)
 
+# ---- index of a page -----------------------------------------------------------------------------
 
-def _element(html: Column, tag: str, opening: str) -> Column:
-    """Text of the first element whose start tag matches `opening`; NULL when absent."""
-    chunk = _match(html, rf"(?is){opening}.*")
-    return bind(chunk, lambda m: F.when(m.isNotNull(), bind(
-        F.substring(m, F.call_function("instr", m, F.lit(">")) + 1, F.length(m)), lambda rest: _inside(rest, F.lit(tag), True))))
+_HOLDERS = ("th", "label", "div", "span")
+_VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+_MARKED = ("h1", "div", "meta")  # kinds that are looked up by an attribute
 
 
-def _match(html: Column, pattern: str) -> Column:
-    """The first match, NULL when there is none."""
-    return bind(F.regexp_extract(html, pattern, 0), lambda m: F.when(m != "", m))
+def indexed(html: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(index)` of a page without comments, scripts and styles, which is cut into tags and the texts between them once.
 
+    The index: `html`, `low` (in lower case), `tags` in page order, `texts` (one more than tags: text k stands before tag k),
+    `kinds` (`div`, `/div`), `marks` (place, kind and source of the tags that are looked up by an attribute), `holders` (places
+    of the tags that hold labels, opening and closing). Lookups work on these arrays; none goes through the page again.
+    """
+    def kind(tag: Column) -> Column:
+        return F.lower(F.regexp_extract(tag, r"^<(/?[A-Za-z][^\s/>]*)", 1))
 
-def _value(attr: str, value: str) -> str:
-    return rf"""\s{attr}\s*=\s*(?:"{value}"|'{value}'|{value}(?=[\s>/]))"""
+    def cut(page: Column) -> Column:
+        tags = F.regexp_extract_all(page, F.lit("<[^>]+>"), F.lit(0))
+        return F.struct(page.alias("html"), F.lower(page).alias("low"), tags.alias("tags"), F.split(page, "<[^>]+>", -1).alias("texts"))
 
+    def known(c: Column) -> Column:
+        return F.struct(c["html"].alias("html"), c["low"].alias("low"), c["tags"].alias("tags"), c["texts"].alias("texts"), F.transform(c["tags"], kind).alias("kinds"))
 
-def element_by_id(html: Column, tag: str, value: str) -> Column:
-    """Text of the first `tag` with this id; NULL when absent."""
-    return _element(html, tag, rf"<{tag}\b[^>]*{_value('id', value)}[^>]*>")
+    def listed(c: Column) -> Column:
+        placed = F.transform(c["kinds"], lambda k, i: F.struct(i.alias("at"), k.alias("kind")))
+        marks = F.transform(F.filter(placed, lambda m: m["kind"].isin(*_MARKED)), lambda m: F.struct(m["at"], m["kind"], F.get(c["tags"], m["at"]).alias("tag")))
+        holders = F.transform(F.filter(placed, lambda m: m["kind"].isin(*_HOLDERS, *["/" + h for h in _HOLDERS])), lambda m: m["at"])
+        return F.struct(*[c[f] for f in ("html", "low", "tags", "texts", "kinds")], marks.alias("marks"), holders.alias("holders"))
 
+    return bind(bind(bind(bind(bare(html), cut), known), listed), use)
 
-def element_by_class(html: Column, tag: str, value: str) -> Column:
-    """Text of the first `tag` whose class list holds `value`; NULL when absent."""
-    quoted = rf"""\sclass\s*=\s*(?:"(?:[^"]*\s)?{value}(?:\s[^"]*)?"|'(?:[^']*\s)?{value}(?:\s[^']*)?'|{value}(?=[\s>]))"""
-    return _element(html, tag, rf"<{tag}\b[^>]*{quoted}[^>]*>")
 
+def _joined(page: Column, first: Column, last: Column) -> Column:
+    """The texts from number `first` up to `last`."""
+    return F.array_join(F.slice(page["texts"], first + 1, F.greatest(last - first + 1, F.lit(0))), "")
 
-def attribute(tag: Column, name: str) -> Column:
-    """Decoded attribute of a single tag's source; NULL when the tag has no such attribute."""
-    found = _match(tag, rf"""(?is)\s{name}\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)""")
-    raw = F.regexp_replace(found, rf"(?is)^\s{name}\s*=\s*", "")
-    return decode_entities(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2"))
 
+def _held(page: Column, at: Column, open_ended: bool) -> Column:
+    """Source text, without tags, of the element whose start tag is number `at`: up to the end tag that balances it. Without
+    one, all that follows if `open_ended`, else NULL."""
+    def read(kind: Column) -> Column:
+        later = F.filter(F.sequence(at + 1, F.greatest(F.size(page["tags"]) - 1, at + 1)),
+                         lambda j: (F.get(page["kinds"], j) == kind) | (F.get(page["kinds"], j) == F.concat(F.lit("/"), kind)))
+        change = lambda j: (F.when(F.startswith(F.get(page["kinds"], j), F.lit("/")), -1)
+                            .when(F.endswith(F.get(page["tags"], j), F.lit("/>")), 0).otherwise(1))
+        begin = F.struct(F.lit(1).alias("depth"), F.lit(-1).alias("end"))
+        found = F.aggregate(later, begin, lambda s, j: F.when(s["depth"] == 0, s).otherwise(F.struct((s["depth"] + change(j)).alias("depth"), j.alias("end"))))
 
-def meta_content(html: Column, attr: str, value: str) -> Column:
-    """Content of the first `<meta attr="value">`; '' without content, NULL without the tag."""
-    tag = _match(html, rf"(?is)<meta\b[^>]*{_value(attr, value)}[^>]*>")
-    return bind(tag, lambda t: F.when(t.isNotNull(), text_strip(F.coalesce(attribute(t, "content"), F.lit("")))))
+        def cut(f: Column) -> Column:
+            last = F.when(f["depth"] == 0, f["end"])
+            whole = _joined(page, at + 1, F.size(page["tags"])) if open_ended else F.lit(None).cast("string")
+            return F.when(last.isNotNull(), _joined(page, at + 1, last)).otherwise(whole)
 
+        return bind(found, cut)
 
-def page_title(html: Column) -> Column:
-    found = _match(html, r"(?is)<title\b[^>]*>.*?</title\s*>")
-    return decode_entities(F.regexp_replace(found, r"(?is)^<title\b[^>]*>|</title\s*>$", ""))
+    return bind(F.get(page["kinds"], at), read)
 
 
-_HOLDERS = "th|label|div|span"
-_VOID = "area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr"
-# Text and inline tags; taken without going back, so their number is not limited.
-_INLINE = rf"(?:[^<]|<(?!/?(?i:{_HOLDERS})\b)[^>]*>)*+"
+def _marked(page: Column, kind: str, value: str, pattern: str, read: Callable[[Column], Column]) -> Column:
+    """`read` of the first marked tag of a kind that matches; NULL when there is none. Pages that nowhere have the value
+    are done at once."""
+    found = F.get(F.filter(page["marks"], lambda m: (m["kind"] == kind) & m["tag"].rlike(pattern)), F.lit(0))
+    return F.when(F.contains(page["low"], F.lit(value.lower())), bind(found, lambda m: F.when(m.isNotNull(), read(m))))
 
 
-def labelled_value(html: Column, label: str) -> Column:
-    """Value next to the first innermost th/label/div/span that holds the label text.
+# The lookups return source text; `read` decodes it. A page's expression holds one decoding for all its lookups, as the table of
+# named references makes each one large.
+
+def read(source: Column) -> Column:
+    """Source text without tags as visible text."""
+    return text_strip(decode_entities(source))
 
-    A `th` gives the next cell, any holder the next sibling element, and a holder without one the
-    rest of its parent's text when that is longer than two characters. NULL when nothing is found.
+
+def by_id(page: Column, kind: str, value: str) -> Column:
+    """Source text of the first element of this kind with this id; NULL when absent."""
+    return _marked(page, kind, value, rf"(?is)^<[^>]*{_value('id', value)}", lambda m: _held(page, m["at"], True))
+
+
+def by_class(page: Column, kind: str, value: str) -> Column:
+    """Source text of the first element of this kind whose class list holds `value`; NULL when absent."""
+    quoted = rf"""\sclass\s*=\s*(?:"(?:[^"]*\s)?{value}(?:\s[^"]*)?"|'(?:[^']*\s)?{value}(?:\s[^']*)?'|{value}(?=[\s>]))"""
+    return _marked(page, kind, value, rf"(?is)^<[^>]*{quoted}", lambda m: _held(page, m["at"], True))
+
+
+def meta(page: Column, attr: str, value: str) -> Column:
+    """Source of the content of the first `<meta attr="value">`; '' without content, NULL without the tag."""
+    return _marked(page, "meta", value, rf"(?is)^<[^>]*{_value(attr, value)}", lambda m: F.coalesce(raw_attribute(m["tag"], "content"), F.lit("")))
+
+
+def title_of(page: Column) -> Column:
+    """Source of the text of `<title>`; NULL without one."""
+    found = _match(page["html"], r"(?is)<title\b[^>]*>.*?</title\s*>")
+    return F.when(F.contains(page["low"], F.lit("<title")), F.regexp_replace(found, r"(?is)^<title\b[^>]*>|</title\s*>$", ""))
+
+
+def beside(page: Column, labels: list[str], before: Column | None = None) -> Column:
+    """The first value next to one of `labels`, tried in order: next to the first innermost th/label/div/span that holds the
+    label text. `before` is the source of a value that comes first if there is one.
+
+    It is the text of the holder's next sibling element or, for a holder without one, the rest of its parent's text when
+    that is longer than two characters. NULL when nothing is found.
     """
-    quoted = "\\Q" + label + "\\E"
-    before = _INLINE.replace("[^<]", f"(?!{quoted})[^<]")
-    holder = rf"<((?i:{_HOLDERS}))\b[^>]*>({before}{quoted}{_INLINE})</\3\s*>"
-    whole = rf"(?s)(?:<((?i:div|li))\b[^>]*>([^<]*))?{holder}(.*)"
-    chunk = F.when(F.contains(html, F.lit(label)), _match(html, whole))
-
-    def value(found: Column) -> Column:
-        parts = F.array(*[F.regexp_extract(found, "^" + whole, i) for i in range(1, 6)])
-        return F.when(found.isNotNull(), bind(parts, lambda p: _beside(p, label)))
-
-    return bind(chunk, value)
-
-
-def _beside(part: Column, label: str) -> Column:
-    """The value for the pieces (parent tag, text before, holder tag, holder text, rest)."""
-    parent, before, holder, held, rest = (part[i] for i in range(5))
-    opened = rf"(?is)^[^<]*<(?!(?:{_VOID})\b)([a-z][a-z0-9]*)\b[^>]*>"
-    tag = F.regexp_extract(rest, opened, 1)
-    sibling = bind(tag, lambda t: F.when(t != "", bind(F.regexp_replace(rest, opened, ""), lambda r: _inside(r, t, False))))
-    beside = F.lower(F.regexp_extract(rest, r"(?is)^\s*<(td)\b", 1)) == "td"
-    tail = _match(rest, r"(?is)^[^<]*</(?:div|li)\s*>")
-    own = F.replace(F.concat(visible_text(before), visible_text(held), visible_text(tail)), F.lit(label), F.lit(""))
-    own = text_strip(F.replace(own, F.lit(":"), F.lit("")))
-    inside = F.when(parent != "", bind(own, lambda o: F.when(F.length(o) > 2, o)))
-    return F.coalesce(F.when((F.lower(holder) == "th") & beside, sibling), sibling, inside)
+    def around(j: Column) -> Column:
+        """The holder of text number j: places of its start and end tag, NULL if the nearest tags are no such pair."""
+        start = F.element_at(F.filter(page["holders"], lambda h: h < j), -1)
+        end = F.get(F.filter(page["holders"], lambda h: h >= j), F.lit(0))
+        pair = F.get(page["kinds"], end) == F.concat(F.lit("/"), F.get(page["kinds"], start))
+        return F.when(pair, F.struct(start.alias("start"), end.alias("end")))
+
+    def sources(h: Column, label: Column) -> Column:
+        """STRUCT<parts, label>: the sibling's text, or the three parts of the parent's with the label to take out."""
+        following = F.get(page["kinds"], h["end"] + 1)
+        element = following.rlike("^[a-z][a-z0-9]*$") & ~following.isin(*_VOID)
+        parent = F.get(page["kinds"], F.when(h["start"] > 0, h["start"] - 1)).isin("div", "li") & following.isin("/div", "/li")
+        own = F.array(F.get(page["texts"], h["start"]), _joined(page, h["start"] + 1, h["end"]), F.get(page["texts"], h["end"] + 1))
+        sibling = F.when(element, F.array(_held(page, h["end"] + 1, False)))
+        return F.struct(F.when(element, sibling).when(parent, own).alias("parts"), F.when(~element, label).alias("label"))
+
+    def found(label: Column) -> Column:
+        runs = F.filter(F.transform(page["texts"], lambda t, i: F.when(F.contains(t, label), i)), lambda i: i.isNotNull())
+        first = F.get(F.filter(F.transform(runs, around), lambda h: h.isNotNull()), F.lit(0))
+        return F.when(F.contains(page["html"], label), bind(first, lambda h: F.when(h.isNotNull(), sources(h, label))))
+
+    def value(c: Column) -> Column:
+        def rest(whole: Column) -> Column:
+            own = text_strip(F.replace(F.replace(whole, c["label"], F.lit("")), F.lit(":"), F.lit("")))
+            return F.when(c["label"].isNull(), whole).otherwise(bind(own, lambda o: F.when(F.length(o) > 2, o)))
+
+        whole = F.when(~F.exists(c["parts"], lambda p: p.isNull()), F.array_join(F.transform(c["parts"], read), ""))
+        return bind(whole, rest)
+
+    tried = F.transform(F.array(*map(F.lit, labels)), found)
+    if before is not None:
+        head = F.struct(F.array(before).alias("parts"), F.lit(None).cast("string").alias("label"))
+        tried = F.concat(F.array(head), tried)
+    return F.get(F.filter(F.transform(tried, value), lambda v: v.isNotNull()), F.lit(0))
+
+
+def labelled_value(html: Column, label: str) -> Column:
+    """`beside` of a single label on a page."""
+    return indexed(html, lambda page: beside(page, [label]))
+
+
+def raw_attribute(tag: Column, name: str) -> Column:
+    """Source of an attribute of a single tag; NULL when the tag has no such attribute."""
+    found = _match(tag, rf"""(?is)\s{name}\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)""")
+    raw = F.regexp_replace(found, rf"(?is)^\s{name}\s*=\s*", "")
+    return F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2")
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Decoded attribute of a single tag's source; NULL when the tag has no such attribute."""
+    return decode_entities(raw_attribute(tag, name))
 
 
 def links(html: Column) -> Column:

@@ -11,65 +11,58 @@ from ..functions import text
 from ..functions.bind import bind
 
 
-def _whole(read, html: Column) -> Column:
-    """`read` applied to the page without comments, scripts and styles, which are taken out once."""
-    return bind(h.bare(html), read)
-
-
 def title(html: Column) -> Column:
-    return _whole(_title, html)
+    """h1#title, h1.node-title, h1.title, og:title, `<title>` before `|`, else a fixed text."""
+    return h.indexed(html, _title)
 
 
-def _title(html: Column) -> Column:
-    """h1#title, h1.node-title, h1.title, og:title, `<title>` before `|`, else a fixed text."""
-    return F.coalesce(
-        h.element_by_id(html, "h1", "title"), h.element_by_class(html, "h1", "node-title"),
-        h.element_by_class(html, "h1", "title"), h.meta_content(html, "property", "og:title"),
-        text.text_strip(F.substring_index(h.page_title(html), "|", 1)), F.lit(defaults.UNKNOWN_TITLE))
+def _title(page: Column) -> Column:
+    heading = F.coalesce(h.by_id(page, "h1", "title"), h.by_class(page, "h1", "node-title"), h.by_class(page, "h1", "title"),
+                         h.meta(page, "property", "og:title"))
+    source = bind(heading, lambda c: F.struct(F.coalesce(c, h.title_of(page)).alias("text"), c.isNull().alias("plain")))
+    shown = bind(source, lambda c: bind(h.decode_entities(c["text"]), lambda t: F.when(c["plain"], F.substring_index(t, "|", 1)).otherwise(t)))
+    return F.coalesce(text.text_strip(shown), F.lit(defaults.UNKNOWN_TITLE))
 
 
 def description(html: Column) -> Column:
-    return _whole(_description, html)
+    return h.indexed(html, _description)
 
 
-def _description(html: Column) -> Column:
-    return F.coalesce(
-        h.element_by_class(html, "div", "field-name-body"), h.element_by_class(html, "div", "notes"),
-        h.meta_content(html, "property", "og:description"), h.meta_content(html, "name", "description"),
-        F.lit(""))
+def _description(page: Column) -> Column:
+    return F.coalesce(h.read(F.coalesce(
+        h.by_class(page, "div", "field-name-body"), h.by_class(page, "div", "notes"),
+        h.meta(page, "property", "og:description"), h.meta(page, "name", "description"))), F.lit(""))
 
 
 def label_value(html: Column, labels: list[str]) -> Column:
     """The value of the first label that has one."""
-    return _whole(lambda page: _label_value(page, labels), html)
-
-
-def _label_value(html: Column, labels: list[str]) -> Column:
-    return F.coalesce(*[h.labelled_value(html, label) for label in labels])
+    return h.indexed(html, lambda page: h.beside(page, labels))
 
 
 def ministry(html: Column, labels=None) -> Column:
-    return _whole(lambda page: _ministry(page, labels), html)
+    return h.indexed(html, lambda page: _ministry(page, labels))
 
 
-def _ministry(html: Column, labels=None) -> Column:
-    return F.coalesce(h.element_by_class(html, "div", "og-group-ref"),
-                      _label_value(html, labels or defaults.MINISTRY_LABELS))
+def _ministry(page: Column, labels=None) -> Column:
+    return h.beside(page, labels or defaults.MINISTRY_LABELS, h.by_class(page, "div", "og-group-ref"))
 
 
 def sector(html: Column, labels=None) -> Column:
     return label_value(html, labels or defaults.SECTOR_LABELS)
 
 
+def page_record(html: Column) -> Column:
+    """STRUCT<title, description, ministry, sector>, all read off one index of the page."""
+    return h.indexed(html, lambda page: F.struct(_title(page).alias("title"), _description(page).alias("description"), _ministry(page).alias("ministry"),
+                                                 h.beside(page, defaults.SECTOR_LABELS).alias("sector")))
+
+
 def page_metadata(pages: DataFrame, portal: str = defaults.PORTAL_NAME) -> DataFrame:
     """One record per page with its provenance; projections without a shuffle."""
-    html = F.col("html")
-    return pages.withColumn("html", h.bare(html)).select(
+    return pages.select(
         "page_id", F.col("url").alias("scraped_url"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("scraped_timestamp"),
-        F.lit(portal).alias("source_portal"),
-        _title(html).alias("title"), _description(html).alias("description"),
-        _ministry(html).alias("ministry"), _label_value(html, defaults.SECTOR_LABELS).alias("sector"))
+        F.lit(portal).alias("source_portal"), F.inline(F.array(page_record(F.col("html")))))
 
 
 def page_links(pages: DataFrame, keyword: str = defaults.LINK_KEYWORD,
