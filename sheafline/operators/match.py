@@ -2,12 +2,11 @@
 
 Tables: `columns(dataset_id, col_pos, name)`, `variations(std_pos, standard, var_pos, variation)`.
 
-The fuzzy step never compares every name with every variation. If two names score at least `m`,
-their insert/delete distance is at most d, so of d+1 pieces of one name at least one occurs
-unchanged in the other, near its old place (the pigeonhole filter of segment joins, e.g. Pass-Join,
-Li et al. 2011). Pieces and nearby substrings meet in an equi-join; pairs with too few characters in
-common are dropped inside it, and only the rest is scored. Neither filter loses a pair that reaches
-the threshold.
+The fuzzy step never compares every name with every variation. If two names of given lengths score at least `m`, they share
+at least o characters, counted with repeats. With the counted characters of every name in one order, the rarest first, the two
+then share two of them among their first length - o + 2 (a prefix filter with two matches, as in AdaptJoin, Wang et al. 2012).
+So names meet in an equi-join over pairs of rare characters; pairs with too few characters in common are dropped inside
+it, and only the rest is scored. Neither filter loses a pair that reaches the threshold.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import defaults
 from ..functions import similarity as sim
 from ..functions import text
+from ..functions.bind import bind
 from ..functions.session import materialize
 
 
@@ -30,53 +30,49 @@ def _div(a: Column, b) -> Column:
     return F.floor(a / b).cast("int")
 
 
-def _pieces(length: Column, slack: int) -> Column:
-    """Number of pieces for a left name of this length: one more than its largest distance."""
-    longest = _div(length * (1000 + slack), 1000 - slack)
-    return _div((length + longest) * slack, 1000) + 1
+SHORT_PAIR = 80  # characters of two names together up to which they must share two counted characters, not one
 
 
-def left_pieces(name: Column, min_score: int) -> Column:
-    """ARRAY<STRUCT<la, piece, part>> of a left name."""
-    la = F.length(name)
-    n = _pieces(la, _slack(min_score))
+def counted_characters(name: Column) -> Column:
+    """ARRAY<STRING>: every character with how often it has occurred so far, so repeats differ. An empty name has one of its own."""
+    def counted(chars: Column) -> Column:
+        return F.transform(chars, lambda c, i: F.concat(c, F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x == c)).cast("string")))
 
-    def piece(i: Column) -> Column:
-        start, end = _div(i * la, n), _div((i + 1) * la, n)
-        return F.struct(la.alias("la"), i.alias("piece"),
-                        F.substring(name, start + 1, end - start).alias("part"))
+    return F.when(name == "", F.array(F.lit(""))).otherwise(bind(F.regexp_extract_all(name, F.lit("(?s)."), F.lit(0)), counted))
 
-    return F.transform(F.sequence(F.lit(0), n - 1), piece)
 
+def _rarest_first(names: DataFrame, name: str, often: DataFrame, *carry: str) -> DataFrame:
+    """Rows (name, carry, chars): the counted characters in the order of (frequency, character)."""
+    long = names.select(name, *carry, F.explode(counted_characters(F.col(name))).alias("char")).join(often, "char")
+    return long.groupBy(name, *carry).agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "char"))), lambda t: t["char"]).alias("chars"))
 
-def right_parts(names: DataFrame, name: str, min_score: int, *carry: str) -> DataFrame:
-    """Rows (`name`, `carry`, la, piece, part): every substring that a left piece may meet."""
+
+def _probes(ranked: DataFrame, name: str, own: str, other: str, min_score: int, *carry: str) -> DataFrame:
+    """Rows (name, carry, own length, other length, key): what a name and one of the other length must have in common."""
     slack = _slack(min_score)
-    lb = F.length(name)
-    lengths = F.sequence(F.ceil(lb * (1000 - slack) / (1000 + slack)).cast("int"),
-                         _div(lb * (1000 + slack), 1000 - slack))
-    by_length = names.select(name, *carry, F.explode(lengths).alias("la")).withColumn(
-        "n", _pieces(F.col("la"), slack))
-    by_piece = by_length.select(name, *carry, "la", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("piece"))
-    start, end = _div(F.col("piece") * F.col("la"), F.col("n")), _div((F.col("piece") + 1) * F.col("la"), F.col("n"))
-    gap = lb - F.col("la")
-    budget = _div((lb + F.col("la")) * slack, 1000)
-    first = F.greatest(F.lit(0), F.col("start") + F.ceil((gap - budget) / 2).cast("int"))
-    last = F.least(lb - F.col("size"), F.col("start") + _div(gap + budget, 2))
-    placed = by_piece.withColumn("start", start).withColumn("size", end - start)
-    parts = F.when(first <= last, F.array_distinct(F.transform(
-        F.sequence(first, last), lambda p: F.substring(F.col(name), p + 1, F.col("size")))))
-    return placed.select(name, *carry, "la", "piece", F.explode(parts).alias("part"))
+    size = F.length(name)
+    lengths = F.sequence(F.ceil(size * (1000 - slack) / (1000 + slack)).cast("int"), _div(size * (1000 + slack), 1000 - slack))
+    pairs = ranked.select(name, *carry, "chars", size.alias(own), F.explode(lengths).alias(other))
+    total = F.col(own) + F.col(other)
+    shared = F.ceil((total - _div(total * slack, 1000)) / 2).cast("int")
+    pairs = pairs.withColumn("shared", shared).withColumn("two", (total <= SHORT_PAIR) & (F.col("shared") >= 2))
+    first = F.slice("chars", F.lit(1), F.greatest(F.col(own) - F.col("shared") + F.when(F.col("two"), 2).otherwise(1), F.lit(0)))
+    couples = F.flatten(F.transform("first", lambda x, i: F.transform(
+        F.slice("first", i + 2, F.size("first")), lambda y: F.concat(x, F.lit("\x00"), y))))
+    pairs = pairs.withColumn("first", first)
+    return pairs.select(name, *carry, own, other, F.explode(F.when(F.col("two"), couples).otherwise(F.col("first"))).alias("key"))
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, min_score: int) -> DataFrame:
     """Distinct pairs (a, b) of distinct names `a` and distinct names `b` that may reach the score."""
     left = left.select("a", sim.letter_bits(F.col("a")).alias("a_bits"))
     right = right.select("b", sim.letter_bits(F.col("b")).alias("b_bits"))
-    probes = left.select("a", "a_bits", F.explode(left_pieces(F.col("a"), min_score)).alias("p")).select("a", "a_bits", "p.*")
-    parts = right_parts(right, "b", min_score, "b_bits")
-    # Unfolding multiplies the rows a thousandfold, which size estimates do not see: never broadcast.
-    met = probes.join(parts.hint("merge"), ["la", "piece", "part"])
+    every = left.select(F.col("a").alias("c")).unionByName(right.select(F.col("b").alias("c")))
+    often = every.select(F.explode(counted_characters(F.col("c"))).alias("char")).groupBy("char").agg(F.count(F.lit(1)).alias("n"))
+    probes = _probes(_rarest_first(left, "a", often, "a_bits"), "a", "la", "lb", min_score, "a_bits")
+    parts = _probes(_rarest_first(right, "b", often, "b_bits"), "b", "lb", "la", min_score, "b_bits")
+    # Unfolding multiplies the rows many times, which size estimates do not see: never broadcast.
+    met = probes.join(parts.hint("merge"), ["la", "lb", "key"])
     met = met.where(sim.may_reach(min_score, F.col("a"), F.col("a_bits"), F.col("b"), F.col("b_bits"))).select("a", "b")
     # A pair is a few bytes but costs a scoring loop: a fixed number of partitions keeps the scoring
     # spread out, where merging partitions by size would put it into one task.
