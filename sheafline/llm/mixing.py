@@ -2,12 +2,15 @@
 
 Every source is a stream of its documents in hashed order, cut into blocks of equal length in words (the last may
 be shorter). The mix is a list of slots. Slot i takes the i-th van der Corput point (the bits of i mirrored),
-laid over the sources' targets side by side, so any stretch of the schedule holds every source in its share, and a
-source gets its target to within one block. The k-th slot of a source takes its k-th block, beginning anew after
+laid over the sources' numbers of blocks side by side, so any stretch of the schedule holds every source in its share, and
+a source gets its target to within one block. The k-th slot of a source takes its k-th block, beginning anew after
 the last one, twice at most.
 
+All sources have blocks of one length, but for small ones: a block is never longer than a share 1 / LEAST_SLOTS of its
+source's target, so the smallest source comes as near to its target as the largest, whatever the corpus.
+
 All work is DataFrame functions. Running sums over a source are taken in two steps (per hashed range, then within
-it), so a hot source is many tasks; the schedule has at most SLOTS slots whatever the corpus.
+it), so a hot source is many tasks; the schedule has at most SLOTS slots plus LEAST_SLOTS for every source.
 
 Null texts are empty. Null sources are one source, sorted last. Equal rows are counted each. A document of no words
 is never taken. Empty tables give empty results. Only the named columns are read. The documents are numbered by
@@ -21,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .shared import store
 
-BITS = 20
-SLOTS = 1 << BITS
+SLOTS = 1 << 20
+LEAST_SLOTS = 256
 RANGES = 4096
 BUCKETS = 1 << 10
 EPOCHS = 2
@@ -55,23 +58,25 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float) -> DataF
         .over(Window.partitionBy()))
     total = total.withColumn("target", F.coalesce(F.least(F.col("water") * F.col("weight"), "limit"), "limit"))
     side = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    block = F.greatest(F.lit(1), F.ceil(F.col("goal") / SLOTS)).cast("long")
-    return (total.withColumn("block_words", block).withColumn("to", F.sum("target").over(side))
+    block = F.greatest(F.lit(1), F.least(F.ceil(F.col("goal") / SLOTS), F.floor(F.col("target") / LEAST_SLOTS))).cast("long")
+    return (total.withColumn("block_words", block).withColumn("width", F.col("target") / F.col("block_words"))
+            .withColumn("to", F.sum("width").over(side))
             .select("source", "place", "source_size", "target", "block_words",
-                    F.ceil((F.col("to") - F.col("target")) / F.col("block_words")).alias("first_point"),
-                    F.ceil(F.col("to") / F.col("block_words")).alias("end_point"),
+                    F.ceil(F.col("to") - F.col("width")).alias("first_point"), F.ceil("to").alias("end_point"),
                     F.ceil(F.col("source_size") / F.col("block_words")).alias("blocks")))
 
 
 def schedule(sources: DataFrame) -> DataFrame:
     """The mix in order: slot, place (of the source), epoch, block. `sources` comes from `targets`."""
     spark = sources.sparkSession
-    width = SLOTS // BUCKETS
-    points = spark.range(SLOTS).select(F.col("id").alias("point"), F.floor(F.col("id") / width).alias("bucket"))
+    points = sources.agg(F.max("end_point")).first()[0] or 0
+    bits = max(int(points) - 1, BUCKETS - 1).bit_length()
+    width = (1 << bits) // BUCKETS
+    points = spark.range(1 << bits).select(F.col("id").alias("point"), F.floor(F.col("id") / width).alias("bucket"))
     spans = (sources.where("end_point > first_point")
              .withColumn("bucket", F.explode(F.sequence(F.floor(F.col("first_point") / width),
                                                         F.floor((F.col("end_point") - 1) / width)))))
-    mirrored = F.conv(F.reverse(F.lpad(F.bin("point"), BITS, "0")), 2, 10).cast("long")
+    mirrored = F.conv(F.reverse(F.lpad(F.bin("point"), bits, "0")), 2, 10).cast("long")
     slots = (points.join(spans, "bucket").where("point >= first_point AND point < end_point")
              .select(mirrored.alias("slot"), "place", "blocks")
              .withColumn("stretch", F.floor(F.col("slot") / width)))

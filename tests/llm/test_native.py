@@ -102,7 +102,6 @@ def test_mix_reaches_targets_and_agrees(spark):
 
 def test_mix_in_large_blocks(spark, monkeypatch):
     """Blocks of many words: any stretch of the schedule holds every source in its share."""
-    monkeypatch.setattr(mixing, "BITS", 10)
     monkeypatch.setattr(mixing, "SLOTS", 1 << 10)
     monkeypatch.setattr(mixing, "BUCKETS", 1 << 4)
     rows = [(i, "w " * (50 + i % 40), "abc"[i % 3]) for i in range(900)]
@@ -116,6 +115,20 @@ def test_mix_in_large_blocks(spark, monkeypatch):
     assert len({(r.place, r.epoch, r.block) for r in slots}) == len(slots)
 
 
+def test_small_sources_beside_a_huge_one(spark, monkeypatch):
+    """Every source comes near its target, whatever the length of the blocks of the others."""
+    monkeypatch.setattr(mixing, "SLOTS", 1 << 9)
+    monkeypatch.setattr(mixing, "LEAST_SLOTS", 64)
+    rows = [(i, "w " * 3000, "huge") for i in range(400)] + [(1000 + i, "w " * (i % 7 + 1), f"s{i % 60:02}") for i in range(900)]
+    got = mixed(spark, rows)["documents"].collect()
+    taken, target = defaultdict(int), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert 0 <= r.taken <= 2 * r.size
+    assert len(target) == 61 and all(abs(taken[s] - t) <= max(1, 0.03 * t) for s, t in target.items()), (taken, target)
+
+
 def test_odd_mixes(spark):
     rows = [(1, None, "a"), (None, "", "a"), (None, "", "a"), (2, "\x0b \t", None)]
     assert [r.taken for r in mixed(spark, rows)["documents"].collect()] == [0] * 4
