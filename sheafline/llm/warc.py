@@ -249,11 +249,12 @@ def parse_record(data: bytes) -> dict:
     out |= {"record_id": head.get("warc-record-id"), "record_type": head.get("warc-type"), "target": head.get("warc-target-uri"),
             "date": head.get("warc-date"), "refers_to": head.get("warc-refers-to")}
     length = head.get("content-length", "")
-    if not re.fullmatch("[0-9]+", length):
+    if not re.fullmatch("0*[0-9]{1,18}", length):
         wrong("bad content-length")
         return out
-    block, tail = data[end + 4:end + 4 + int(length)], data[end + 4 + int(length):]
-    if len(block) != int(length):
+    stated = int(length[-18:])  # more digits are zeros in front
+    block, tail = data[end + 4:end + 4 + stated], data[end + 4 + stated:]
+    if len(block) != stated:
         wrong("block shorter than content-length")
     elif tail != b"\r\n\r\n":
         wrong("block longer than content-length, or bytes after the record")
@@ -272,11 +273,11 @@ def parse_record(data: bytes) -> dict:
             payload = block[cut + 4:]
             size = len(payload)
             stated = http.get("content-length")
-            if stated is not None and not re.fullmatch("[0-9]+", stated):
+            if stated is not None and not re.fullmatch("0*[0-9]{1,18}", stated):
                 wrong("HTTP: bad content-length")
             elif stated is not None and head.get("warc-type") == "revisit":
-                size = int(stated)
-            elif stated is not None and int(stated) != size:
+                size = int(stated[-18:])
+            elif stated is not None and int(stated[-18:]) != size:
                 wrong("payload length differs from HTTP content-length")
     said = head.get("warc-payload-digest", "")
     if head.get("warc-type") == "revisit":

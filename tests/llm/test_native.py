@@ -197,3 +197,13 @@ def test_damage_is_reported(spark, tmp_path):
         assert r.error and name.replace("version", "version line") in r.error, (name, r.error)
     assert got[-1].error == "truncated frame"
     assert read(spark, tmp_path, b"") == [] and read(spark, tmp_path, b"junk that is no archive")[0].error
+
+
+def test_lengths_of_thousands_of_digits(spark, tmp_path):
+    good = warc._record(1, "u", b"body", 4, warc.digest_of(b"body"), None)
+    outer, inner = rb"(type=response\r\nContent-Length: )\d+", rb"(utf-8\r\nContent-Length: )4"
+    plain = re.sub(rb"WARC-(Block|Payload)-Digest: .*?\r\n", b"", good)
+    size = re.search(outer.replace(rb"\d+", rb"(\d+)"), good)[2]
+    cases = [re.sub(outer, rb"\g<1>" + b"9" * 5000, good), re.sub(outer, rb"\g<1>" + b"0" * 5000 + size, good), re.sub(inner, rb"\g<1>" + b"7" * 5000, plain)]
+    errors = [r.error for r in read(spark, tmp_path, b"".join(map(frame, cases)))]
+    assert "bad content-length" in errors[0] and errors[1] is None and errors[2]
