@@ -3,9 +3,14 @@
 Vectors are scaled to unit length; equal ones are one node with a count. Both halves of the vectors have a codebook of
 their own, so the two nearest centroids of a vector name a cell of a product grid with about CELL nodes each. A node
 looks into the cells nearest to it, in the order of the sum of both halves' squared distances (the multi-sequence
-order). How many it visits is measured, not guessed: for PROBED nodes the links are found by brute force over all nodes,
-and the number of cells is the smallest that reaches TARGET of these links. What is found is verified by cosine in double
-precision; a pair counts for both its nodes when either visits the other's cell.
+order). What is found is verified by cosine in double precision; a pair counts for both its nodes when either visits the
+other's cell.
+
+How many cells a node visits is measured, not guessed, in two ways, and the larger number counts. Hardest case: PROBED nodes
+each get a partner at exactly the threshold in a random direction, and TARGET of these pairs must be found. Real links: the
+other nodes that PROBED nodes link with are found by brute force over all nodes; each probe that has any counts the same,
+and on average TARGET of a probe's links must be found by its own visits alone. So neither equal vectors, which are one node,
+nor a dense cluster can hide what sparse links need.
 
 Codebooks are fitted on at most SAMPLE nodes; all nodes are indexed, and all are queries. Nodes of a cell and the queries
 to it are dealt out in blocks of at most about SIDE each, so a crowded cell is many tasks; a block returns sums per node
@@ -35,7 +40,7 @@ MOST_CENTROIDS = 1024
 SAMPLE = 20_000
 ROUNDS = 12
 PROBED = 512
-TARGET = 0.995
+TARGET = 0.95
 LEAST_CELLS = 4
 SIDE = 4096
 CHUNK = 512
@@ -124,7 +129,9 @@ class Index:
 
 
 def _links_of(queries: list[tuple[int, bytes]], index: Index):
-    """(node, unit) -> query, cell of every node that a query links with."""
+    """(node, unit) -> query, cell of every other node that a query links with."""
+    asked = np.array([n for n, _ in queries], dtype=np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrices = {}
         for size in {len(u) for _, u in queries}:
@@ -134,13 +141,14 @@ def _links_of(queries: list[tuple[int, bytes]], index: Index):
             for at in range(0, batch.num_rows, SIDE):
                 part = batch.slice(at, SIDE)
                 units = part.column(1).to_pylist()
+                nodes = part.column(0).to_numpy()
                 cells = index.cells(units, 1)
                 found_q, found_c = [], []
                 for size, (own, matrix) in matrices.items():
                     rows = [i for i, u in enumerate(units) if len(u) == size]
                     if rows:
                         points = np.frombuffer(b"".join(units[i] for i in rows)).reshape(len(rows), size // 8)
-                        q, p = np.nonzero(matrix @ points.T >= THRESHOLD)
+                        q, p = np.nonzero((matrix @ points.T >= THRESHOLD) & (asked[own][:, None] != nodes[rows][None, :]))
                         found_q += own[q].tolist()
                         found_c += [int(cells[rows[i]][0]) for i in p]
                 yield pa.RecordBatch.from_pydict({"query": pa.array(found_q, pa.int32()), "cell": pa.array(found_c, pa.int64())})
@@ -163,19 +171,36 @@ def build(nodes: DataFrame) -> Index:
         return index
     rows = (nodes.select("node", "unit").mapInArrow(_links_of(queries, index), "query INT, cell BIGINT")
             .groupBy("query", "cell").agg(F.count(F.lit(1)).alias("n")).collect())
-    most = max((len(g.first) * len(g.second) for g in grids.values()), default=1)
-    order = index.cells([u for _, u in queries], min(most, 4096))
-    ranks, weights = [], []
+    most = min(max(len(g.first) * len(g.second) for g in grids.values()), 4096)
+    order = index.cells([u for _, u in queries], most)
+    share: dict[int, np.ndarray] = {}  # of a probe's links, by the rank of their cells
     for r in rows:
         place = np.flatnonzero(order[r.query] == r.cell)
-        ranks.append(int(place[0]) if len(place) else len(order[r.query]))
-        weights.append(r.n)
-    by = np.bincount(ranks, weights=weights)
-    share = np.cumsum(by) / by.sum()
-    index.visits = max(LEAST_CELLS, int(np.searchsorted(share, TARGET)) + 1)
+        share.setdefault(r.query, np.zeros(most + 1))[int(place[0]) if len(place) else most] += r.n
+    found = [np.cumsum(s) / s.sum() for s in share.values()]
+    real = int(np.searchsorted(np.mean(found, axis=0), TARGET)) + 1 if found else 0
+    ranks = _hardest(index, [np.frombuffer(u) for _, u in queries], order, most)
+    hard = int(np.quantile(ranks, TARGET, method="higher")) + 1 if len(ranks) else 0
+    index.visits = max(LEAST_CELLS, min(most, max(real, hard)))
     return index
 
 
+def _hardest(index: Index, units: list[np.ndarray], order: list[np.ndarray], most: int) -> np.ndarray:
+    """For each vector and a partner at the threshold: the rank at which one first visits the other's cell."""
+    rng, out = np.random.default_rng(0), []
+    for unit, own in zip(units, order):
+        away = rng.normal(size=len(unit))
+        away -= (away @ unit) * unit
+        length = np.sqrt(away @ away)
+        if length < 1e-9:
+            continue  # of one dimension: nothing lies at the threshold
+        partner = THRESHOLD * unit + np.sqrt(1 - THRESHOLD ** 2) * away / length
+        other = index.cells([partner.tobytes()], most)[0]
+        places = [np.flatnonzero(a == b) for a, b in ((other, own[0]), (own, other[0]))]
+        out.append(min(int(p[0]) if len(p) else most for p in places))
+    return np.array(out)
+
+
 # ---- links --------------------------------------------------------------------------------------
 
 def _visited(index: Index):

@@ -3,6 +3,8 @@
 import math
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from sheafline.llm import multiindex
 from sheafline.llm.queries import op6_multi_index
@@ -42,6 +44,29 @@ def test_query_matches_all_pairs(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("dense", [False, True])
+def test_recall_of_sparse_links(spark, dense):
+    """Planted pairs close to the threshold among vectors without links, also beside a cluster of a quarter of all."""
+    rng, size = np.random.default_rng(7), 64
+    points = rng.normal(size=(40_000, size))
+    if dense:
+        points[:10_000] = rng.normal(size=size) + rng.normal(size=(10_000, size)) * 0.05
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    first = points[-600:]
+    away = rng.normal(size=first.shape)
+    away -= (away * first).sum(1)[:, None] * first
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    cosine = np.where(np.arange(600) % 2, 0.905, 0.92)[:, None]
+    points = np.concatenate([points, cosine * first + np.sqrt(1 - cosine ** 2) * away])
+    if dense:
+        points = points[7_500:]  # the cluster shrinks, its links stay many
+    table = pa.table({"vec_id": np.arange(len(points)), "embedding": list(points)})
+    frame = spark.createDataFrame(table).repartition(8)
+    got = {r.vec_id: r.n_links for r in multiindex.links(frame).where(f"vec_id >= {len(points) - 600}").collect()}
+    found = np.array([got[len(points) - 600 + i] for i in range(600)])
+    assert found[::2].mean() >= 0.9 and found[1::2].mean() >= 0.9 and found.max() == 1
+
+
 def test_crowded_cells_are_cut(spark, monkeypatch):
     """Blocks, copies and one-sided visits give the same numbers."""
     monkeypatch.setattr(multiindex, "SIDE", 16)
