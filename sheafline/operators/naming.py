@@ -82,6 +82,56 @@ def free_names(items: DataFrame, slug: str = "slug", order: str = "dataset_id",
     return final.withColumn(name, _numbered(F.col(slug), F.col("_k"))).drop("_k", "_rank")
 
 
+def stable_names(items: DataFrame, ledger: DataFrame | None = None, slug: str = "slug", order: str = "dataset_id") -> DataFrame:
+    """Names that stay between runs: (`order`, slug, name, fate) of every item and of every dataset of the ledger.
+
+    `ledger(order, slug, name)` is the outcome of the run before. An item whose slug is the ledger's keeps its name (`kept`).
+    Other items are named in `order` by the first free suffix (`new`, or `renamed` if the ledger had another slug), where names
+    kept in this run and names of datasets not in it (`absent`) are taken, and the old name of a renamed dataset is free.
+
+    Slugs that no other slug or name can meet need no rounds: their j-th item gets the j-th number that is free.
+    """
+    items = materialize(items.select(order, slug))
+    if ledger is None:
+        return free_names(items, slug, order).select(order, slug, "name", F.lit("new").alias("fate"))
+    old = ledger.select(F.col(order).alias("_order"), F.col(slug).alias("_slug"), F.col("name").alias("_name"))
+    met = materialize(items.join(old, F.col(order) == F.col("_order"), "full"))
+    same = F.col(slug) == F.col("_slug")
+    kept = met.where(same).select(order, slug, F.col("_name").alias("name"), F.lit("kept").alias("fate"))
+    absent = met.where(F.col(order).isNull()).select(F.col("_order").alias(order), F.col("_slug").alias(slug), F.col("_name").alias("name"), F.lit("absent").alias("fate"))
+    stay = kept.unionByName(absent)
+    open_ = met.where(F.col(order).isNotNull() & ~F.coalesce(same, F.lit(False))).select(
+        order, slug, F.when(F.col("_order").isNull(), F.lit("new")).otherwise(F.lit("renamed")).alias("fate"))
+    named = _first_free(open_.select(order, slug), stay.select("name"), slug, order)
+    return stay.unionByName(open_.join(named, [order, slug]).select(order, slug, "name", "fate"))
+
+
+def _first_free(items: DataFrame, taken: DataFrame, slug: str, order: str) -> DataFrame:
+    """(order, slug, name): the first free suffix in order. Slugs with relatives go through `free_names`."""
+    slugs = items.select(slug).distinct()
+    # A taken name belongs to the slug that it is, or that it numbers: those are the two ways to meet it.
+    number = F.regexp_extract("name", r"_([1-9][0-9]{0,17})$", 1)
+    taken = taken.select("name", number.alias("_digits"))
+    stem = F.expr("substring(name, 1, length(name) - length(_digits) - 1)")
+    used = taken.select(F.col("name").alias(slug), F.lit(0).cast("bigint").alias("k")).unionByName(
+        taken.where("_digits <> ''").select(stem.alias(slug), F.col("_digits").cast("bigint").alias("k"))).distinct()
+    numbered = slugs.withColumn("stem", F.regexp_extract(slug, r"^(.+)_[0-9]+$", 1)).where("stem <> ''")
+    parents = numbered.join(slugs.select(F.col(slug).alias("stem")), "stem")
+    related = materialize(parents.select(slug).union(parents.select("stem")).distinct())
+    calm = items.join(related, slug, "left_anti")
+    used = materialize(used.join(calm.select(slug).distinct(), slug, "left_semi"))
+    size = (calm.groupBy(slug).agg(F.count(F.lit(1)).alias("n"))
+            .join(used.groupBy(slug).agg(F.count(F.lit(1)).alias("gone")), slug, "left"))
+    numbers_ = size.select(slug, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") + F.coalesce("gone", F.lit(0)) - 1)).alias("k"))
+    free = rank_in_group(numbers_.join(used, [slug, "k"], "left_anti"), slug, "k", "_rank")
+    placed = rank_in_group(calm, slug, order, "_rank").join(free, [slug, "_rank"])
+    out = placed.select(order, slug, _numbered(F.col(slug), F.col("k")).alias("name"))
+    tense = items.join(related, slug, "left_semi")
+    if tense.isEmpty():
+        return out
+    return out.unionByName(free_names(tense, slug, order, taken.select("name")).select(order, slug, "name"))
+
+
 def pair_files(metadata: DataFrame, files: DataFrame) -> DataFrame:
     """Pair each metadata stem with `<base>.csv`, else `<base>_harmonized.csv`; unpaired ones skip.
 

@@ -97,3 +97,30 @@ def page_resources(pages: DataFrame, keyword: str = defaults.LINK_KEYWORD,
     return links.select("page_id", number.alias("link_no"), "url",
                         F.concat("_name", F.lit("_"), number.cast("string"), F.lit(".csv")).alias("file_name"))
 
+
+def dataset_pages(datasets: DataFrame, pages: DataFrame, keyword: str = defaults.LINK_KEYWORD, base: str = defaults.PORTAL_BASE) -> DataFrame:
+    """(dataset_id, page_id, how, status): the page that each file of `datasets(dataset_id)` comes from.
+
+    A file belongs to a page whose resource would get its name (`file_name`, with the link's number), else to one that links to
+    a file of its name (`url`); case does not count. Several such pages: `ambiguous`, and none is named. None: `no page`.
+
+    Links are aggregated by key before the join, so a name that a third of all pages link to is one row.
+    """
+    links = page_resources(pages, keyword, base, 1 << 30)
+    linked = F.regexp_extract("url", r"([^/?#]+)(?:[?#].*)?$", 1)
+    keys = F.array(F.struct(F.lit(0).alias("level"), F.lower("file_name").alias("key")), F.struct(F.lit(1).alias("level"), F.lower(linked).alias("key")))
+    known = links.select("page_id", F.inline(keys)).groupBy("level", "key").agg(F.min("page_id").alias("least"), F.max("page_id").alias("most"))
+    named = datasets.select("dataset_id", F.lower(F.regexp_extract("dataset_id", "[^/]*$", 0)).alias("key"))
+    best = named.join(known, "key").groupBy("dataset_id").agg(F.min_by(F.struct("level", "least", "most"), "level").alias("m")).select("dataset_id", "m.*")
+    one = F.col("least") == F.col("most")
+    return datasets.select("dataset_id").join(best, "dataset_id", "left").select(
+        "dataset_id", F.when(one, F.col("least")).alias("page_id"),
+        F.when(F.col("level") == 0, F.lit("file_name")).when(F.col("level") == 1, F.lit("url")).alias("how"),
+        F.when(F.col("level").isNull(), F.lit("no page")).when(one, F.lit("matched")).otherwise(F.lit("ambiguous")).alias("status"))
+
+
+def dataset_context(datasets: DataFrame, pages: DataFrame, **how) -> DataFrame:
+    """(dataset_id, title, description, ministry, sector): the page record of every dataset with a page of its own, as the
+    `scraped` table of a run."""
+    found = dataset_pages(datasets, pages, **how).where("status = 'matched'").select("dataset_id", "page_id")
+    return found.join(page_metadata(pages).select("page_id", "title", "description", "ministry", "sector"), "page_id").drop("page_id")

@@ -472,6 +472,27 @@ SQL = {
     "harmonized_orders": with_(MESSY, CLEANED) + f"""SELECT row_id AS id, district_raw AS district, {YEAR_NUMBER} AS year,
       {as_double(bare('amount_raw'))} AS amount, priority_raw FROM cleaned""",
 }
+SQL["stable_names"] = """WITH p AS (SELECT p_partkey AS k, format('part_{:09d}', p_partkey) AS dataset_id, replace(p_name, ' ', '_') AS base FROM part),
+  first AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY k) - 1 AS n FROM p WHERE k % 2 = 0),
+  stay AS (SELECT k, dataset_id, base AS slug, n FROM first WHERE k % 14 = 2 OR k % 10 <> 0),
+  fresh AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY dataset_id) AS r FROM (
+    SELECT dataset_id, CASE WHEN k % 10 = 0 THEN 'renamed_' || base ELSE base END AS slug FROM p WHERE k % 14 <> 2 AND (k % 2 = 1 OR k % 10 = 0))),
+  free AS (SELECT slug, n, row_number() OVER (PARTITION BY slug ORDER BY n) AS r FROM (
+    SELECT slug, unnest(range(0, count(*) + (SELECT count(*) FROM stay WHERE stay.slug = f.slug))) AS n FROM fresh f GROUP BY slug) x
+    WHERE NOT EXISTS (SELECT 1 FROM stay WHERE stay.slug = x.slug AND stay.n = x.n))
+  SELECT dataset_id, slug, CASE WHEN n = 0 THEN slug ELSE slug || '_' || n END AS name FROM (
+    SELECT dataset_id, slug, n FROM stay UNION ALL SELECT dataset_id, slug, n FROM fresh JOIN free USING (slug, r))"""
+SQL["dataset_pages"] = with_(PORTAL, PORTAL_LINKS) + f""", res AS (SELECT page_id, url, link_no, lower({SAFE.format(t='title')} || '_' || link_no || '.csv') AS file_name FROM (
+    SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY url) AS link_no FROM portal_links)
+    JOIN (SELECT page_id, {PORTAL_TITLE} AS title FROM portal) USING (page_id)),
+  d AS (SELECT DISTINCT 'dl/' || {SAFE.format(t='title')} || '_1.csv' AS dataset_id FROM (SELECT page_id, {PORTAL_TITLE} AS title FROM portal) WHERE page_id IN (SELECT page_id FROM portal_links)
+    UNION ALL SELECT 'in/' || page_id || '.csv' FROM pages UNION ALL SELECT unnest(['a.csv', 'B.csv', 'zzz.csv'])),
+  hit AS (SELECT dataset_id, 0 AS level, page_id FROM d JOIN res ON lower(split_part(dataset_id, '/', -1)) = file_name
+    UNION ALL SELECT dataset_id, 1, page_id FROM d JOIN res ON lower(split_part(dataset_id, '/', -1)) = lower(regexp_extract(split_part(split_part(url, '#', 1), '?', 1), '[^/]*$')))
+  SELECT dataset_id, CASE WHEN min(page_id) = max(page_id) THEN min(page_id) END AS page_id,
+    CASE any_value(level) WHEN 0 THEN 'file_name' WHEN 1 THEN 'url' END AS how,
+    CASE WHEN any_value(level) IS NULL THEN 'no page' WHEN min(page_id) = max(page_id) THEN 'matched' ELSE 'ambiguous' END AS status
+  FROM d LEFT JOIN (SELECT * FROM hit h WHERE level = (SELECT min(level) FROM hit WHERE hit.dataset_id = h.dataset_id)) USING (dataset_id) GROUP BY dataset_id"""
 SQL["write_tables"] = with_(MESSY) + """SELECT 'group_' || (o_custkey % 200) || '.csv' AS dataset_id, count(*) AS row_count,
   count(priority_raw) AS n_priority, count(district_raw) AS n_district, max(amount_raw) AS amount FROM messy GROUP BY o_custkey % 200"""
 SQL["merge_folder"] = """SELECT c_custkey AS customer_id, c_name AS name, c_acctbal AS balance, lower(c_mktsegment) AS segment,

@@ -15,7 +15,7 @@ from ..functions.session import materialize, new_path
 from ..operators import catalog as cat
 from ..operators import clean, conform, infer, match, merge, naming, pages, stats, unify
 from ..operators.unify import UnifiedSchema
-from ..sources import csv, sinks
+from ..sources import csv, ledger, sinks
 from ..streaming.incremental import conform_stream
 from . import inputs
 from .harmonize import harmonize as run_harmonize
@@ -576,6 +576,29 @@ def slug_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     return named.select("dataset_id", "slug", "name")
 
 
+def stable_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs with a ledger: the second has new parts, others renamed and some gone; all other names stay."""
+    folder = new_path(spark, "ledger")
+    part = inputs.table(spark, sf, "part").select(F.col("p_partkey").alias("k"), "p_name")
+    dataset = F.format_string("part_%09d", "k").alias("dataset_id")
+    first = naming.title_slugs(part.where("k % 2 = 0").select(dataset, F.col("p_name").alias("title")))
+    ledger.write(naming.stable_names(first.where("status = 'ok'"), ledger.read(spark, folder)), folder)
+    title = F.when(F.col("k") % 10 == 0, F.concat(F.lit("renamed "), "p_name")).otherwise(F.col("p_name"))
+    second = naming.title_slugs(part.where("k % 14 <> 2").select(dataset, title.alias("title")))
+    ledger.write(naming.stable_names(second.where("status = 'ok'"), ledger.read(spark, folder)), folder)
+    return ledger.read(spark, folder)
+
+
+def dataset_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages of files named as downloads are, of files named as links are, and of others."""
+    portal = inputs.portal_pages(spark, sf)
+    downloads = pages.page_resources(portal).where("link_no = 1").select(F.concat(F.lit("dl/"), "file_name").alias("dataset_id")).distinct()
+    linked = portal.select(F.concat(F.lit("in/"), F.col("page_id").cast("string"), F.lit(".csv")).alias("dataset_id"))
+    region = inputs.table(spark, sf, "region").where("r_regionkey < 3").select(
+        F.element_at(F.array(F.lit("a.csv"), F.lit("B.csv"), F.lit("zzz.csv")), F.col("r_regionkey").cast("int") + 1).alias("dataset_id"))
+    return pages.dataset_pages(downloads.unionByName(linked).unionByName(region), portal)
+
+
 def pair_files(spark: SparkSession, sf: str) -> DataFrame:
     part = inputs.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("k"), (F.col("p_partkey") % 5).alias("m"))
     metadata = part.select(F.concat(F.lit("part_"), "k", F.lit("_metadata")).alias("stem"))
@@ -728,6 +751,6 @@ QUERIES = {f.__name__: f for f in (
     temporal_range, spatial_top5, completeness, dataset_stats, profile_long, stats_by_dataset, locations_by_dataset,
     technical_record, precedence_merge, fallback_record, catalog, page_context, fact_sheet,
     schema_consistency, merge_union, merge_total, run_summary, run_list, write_datasets, write_sidecars, write_tables, write_records, write_merged,
-    title_slug, slug_dedupe, pair_files,
-    page_title, page_description, page_label, page_links, page_resources, page_metadata,
+    title_slug, slug_dedupe, stable_names, pair_files,
+    page_title, page_description, page_label, page_links, page_resources, page_metadata, dataset_pages,
     harmonize, harmonize_folder, harmonized_orders, merge_folder, incremental_folder, quarantine)}

@@ -7,11 +7,11 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from sheafline.operators import merge, tables
+from sheafline.operators import merge, naming, pages, tables
 from sheafline.operators.clean import CleanOptions
 from sheafline.operators.unify import UnifiedSchema
 from sheafline.plans.harmonize import harmonize_folder
-from sheafline.sources import csv, sinks
+from sheafline.sources import csv, ledger, sinks
 
 SCHEMA = UnifiedSchema(
     {"id": ["ID", "No"], "district": ["Dist", "Zilla"], "amount": ["Amount", "Amt"], "year": ["Census Year"], "flag": ["Flag"], "note": ["Note", "Remark"]},
@@ -173,3 +173,28 @@ def test_hot_dataset_is_written_by_many_tasks(spark, tmp_path):
     manifest = sinks.write_tables(rows, str(tmp_path / "h"), order="id").collect()
     assert sum(r.row_count for r in manifest) == 20_000 and sum(r.dataset_id == "hot" for r in manifest) > 3
     assert spark.read.parquet(str(tmp_path / "h" / "hot")).distinct().count() == sum(r.row_count for r in manifest if r.dataset_id == "hot")
+
+
+def test_names_of_related_slugs_stay(spark, tmp_path):
+    folder = str(tmp_path / "ledger")
+    items = lambda rows: spark.createDataFrame(rows, "dataset_id STRING, slug STRING")
+    assert ledger.read(spark, folder) is None
+    ledger.write(naming.stable_names(items([("a", "x"), ("b", "x"), ("c", "x_1"), ("d", "y")]), None), folder)
+    first = {r.dataset_id: r.name for r in ledger.read(spark, folder).collect()}
+    assert first == {"a": "x", "b": "x_1", "c": "x_1_1", "d": "y"}
+    again = naming.stable_names(items([("b", "x"), ("c", "z"), ("e", "x"), ("f", "x_1"), ("g", "y"), ("h", "x_1")]), ledger.read(spark, folder))
+    assert {r.dataset_id: (r.name, r.fate) for r in again.collect()} == {
+        "a": ("x", "absent"), "d": ("y", "absent"), "b": ("x_1", "kept"), "c": ("z", "renamed"), "e": ("x_2", "new"), "f": ("x_1_1", "new"),
+        "g": ("y_1", "new"), "h": ("x_1_2", "new")}
+    ledger.write(again, folder)
+    assert ledger.versions(folder) == [1, 2] and ledger.read(spark, folder, 1).count() == 4
+
+
+def test_pages_of_datasets(spark):
+    page = lambda title, *links: f"<title>{title}</title>" + "".join(f'<a href="{u}">csv</a>' for u in links)
+    table = spark.createDataFrame([(1, "u", page("One", "/f/a.csv", "/f/b.csv?x=1")), (2, "u", page("Two", "/g/A.CSV")), (3, "u", None)], "page_id INT, url STRING, html STRING")
+    files = spark.createDataFrame([("x/one_2.csv",), ("a.csv",), ("b.csv",), ("none.csv",), ("two_1.csv",)], "dataset_id STRING")
+    got = {r.dataset_id: (r.page_id, r.how, r.status) for r in pages.dataset_pages(files, table).collect()}
+    assert got == {"x/one_2.csv": (1, "file_name", "matched"), "a.csv": (None, "url", "ambiguous"), "b.csv": (1, "url", "matched"),
+                   "none.csv": (None, None, "no page"), "two_1.csv": (2, "file_name", "matched")}
+    assert {r.dataset_id: r.title for r in pages.dataset_context(files, table).collect()} == {"x/one_2.csv": "One", "b.csv": "One", "two_1.csv": "Two"}
