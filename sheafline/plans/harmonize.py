@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import col
-from ..functions.session import new_path
+from ..functions.session import materialize, new_path
 from ..operators import catalog as cat
 from ..operators import conform as con
 from ..operators import match, merge, naming, stats, tables, unify
@@ -162,7 +162,9 @@ def build_schema(spark: SparkSession, names: DataFrame, proposal: str | None) ->
     if not parsed:
         return unify.fallback_document(names)
     schema = UnifiedSchema.from_json(json.dumps(parsed, ensure_ascii=False))
-    missing = unify.unmapped_names(names, schema.variations(spark))
+    missing = materialize(unify.unmapped_names(names, schema.variations(spark)))
+    if missing.isEmpty():
+        return schema
     added = unify.assign_unmapped(missing, schema.standards(spark)).orderBy("name").collect()
     if any(r.is_new for r in added) and "column_types" not in parsed:
         return unify.fallback_document(names)
