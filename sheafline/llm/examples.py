@@ -81,5 +81,6 @@ def without_copies(sample: DataFrame) -> DataFrame:
     label. What a bounded sample says about words should not come from many copies of one text. A label, being bounded,
     is one task."""
     sample = store(sample, "examples")
-    described = sample.select("doc_id", "label", "text").mapInArrow(_described, "doc_id BIGINT, label INT, keys ARRAY<BIGINT>, tokens BINARY")
-    return sample.join(described.groupBy("label").applyInArrow(_firsts, "doc_id BIGINT"), "doc_id", "left_semi")
+    ids = f"doc_id {sample.schema['doc_id'].dataType.simpleString()}"
+    described = sample.select("doc_id", "label", "text").mapInArrow(_described, f"{ids}, label INT, keys ARRAY<BIGINT>, tokens BINARY")
+    return sample.join(described.groupBy("label").applyInArrow(_firsts, ids), "doc_id", "left_semi")

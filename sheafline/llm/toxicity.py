@@ -1,16 +1,17 @@
 """Toxicity of texts by their nearest labelled examples under TF-IDF cosine.
 
 Terms are words and word beginnings (BEGINNINGS letters) of the lower-cased text, a word being a run of letters and
-digits. The vector space holds the TERMS terms that are most significantly more frequent among toxic examples
-(log-likelihood ratio of at least SIGNIFICANT); a weight is (1 + log tf) * idf with idf from the examples. The
-examples, at most PER_CLASS documents a class and near copies once (else one text's words would look typical), form an inverted index: postings of a term are grouped in blocks of
-BLOCK examples, each with the largest weight in it. A query sums, per block, its weights times these maxima; blocks
-are opened from the largest bound down until no bound beats the NEIGHBOURS-th best cosine. The result is exact; equal
-cosines are taken in example order.
+digits. The vector space holds every term whose frequencies among toxic and among clean examples differ, in either
+direction, by a log-likelihood ratio of at least SIGNIFICANT; there is no other bound on terms. A weight is
+(1 + log tf) * idf with idf from the examples. The examples, at most PER_CLASS documents a class and near copies once
+(else one text's words would look typical), form an inverted index: postings of a term are grouped in blocks of BLOCK
+examples, each with the largest weight in it. A query sums, per block, its weights times these maxima; the FIRST_BLOCKS blocks of the
+largest bounds are opened, then all whose bound reaches the NEIGHBOURS-th best cosine of these. The result is exact;
+equal cosines are taken in example order.
 
 Neighbours vote with 1 / (distance + SOFT), a class counting in proportion to its real number. The votes of the
 examples themselves, each without its own, are turned into probabilities by isotonic regression. Texts with no term
-in common with any toxic example, empty and null ones too, get the share of toxic examples among such texts. Equal
+in common with any example, empty and null ones too, get the share of toxic examples among texts without terms. Equal
 texts get equal scores: ids and labels of the scored rows are never inputs. Without toxic examples all scores are 0.
 """
 
@@ -32,7 +33,6 @@ from . import examples
 from .passing import with_text
 
 PER_CLASS = 4000
-TERMS = 4096
 SIGNIFICANT = 13.0
 BEGINNINGS = (3, 4, 5, 6)
 BLOCK = 64
@@ -42,7 +42,8 @@ SOFT = 0.05
 EVIDENCE = 3
 THRESHOLD = 0.3
 _SPLIT = re.compile(r"[\W_]+")
-_KEPT_VECTORS = 50_000
+_KEPT_BYTES = 16 << 20  # of judged vectors, per worker
+_ENTRY = 400  # bytes of an entry besides its key
 
 
 def plain(text: str | None) -> str:
@@ -115,14 +116,19 @@ class Index:
     starts: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.int64))
     top: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     none: float = 0.0
+    size: int = 0
     steps: tuple[np.ndarray, np.ndarray] = (np.zeros(0), np.zeros(0))
 
+    def id_type(self) -> str:
+        return "BIGINT" if self.ids.dtype.kind == "i" else "STRING"
+
     def vector(self, counts: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
         terms = np.array([t for t, _ in counts], dtype=np.int64)
         weight = (1 + np.log([n for _, n in counts])) * self.idf[terms]
         return terms, weight / math.sqrt(float(weight @ weight))
 
     def build(self, vectors: list[tuple[tuple[int, int], ...]]) -> None:
+        self.size = len(vectors)
         blocks = -(-len(vectors) // BLOCK)
         found = [self.vector(v) for v in vectors]
         term = np.concatenate([t for t, _ in found])
@@ -142,28 +148,33 @@ class Index:
 
         The most promising blocks are opened first, then all whose bound reaches the k-th best of these."""
         bound = weight @ self.top[terms]
-        order = np.argsort(-bound, kind="stable")
-        at, score = self._open(terms, weight, order[:FIRST_BLOCKS], k)
+        if len(bound) <= FIRST_BLOCKS:
+            return self._best(self._open(terms, weight, np.arange(len(bound))), k)
+        order = np.argpartition(-bound, FIRST_BLOCKS - 1)
+        cosine = self._open(terms, weight, order[:FIRST_BLOCKS])
+        kth = np.partition(cosine, -k)[-k] if len(cosine) >= k else 0.0
         # a small slack keeps blocks whose sums differ from the bound by rounding only
-        least = max(score[-1] - 1e-9, 1e-12) if len(score) == k else 1e-12
         more = order[FIRST_BLOCKS:]
-        more = more[bound[more] >= least]
+        more = more[bound[more] >= max(kth - 1e-9, 1e-12)]
         if len(more):
-            at2, score2 = self._open(terms, weight, more, k)
-            at, score = np.concatenate([at, at2]), np.concatenate([score, score2])
-            order = np.lexsort((at, -score))[:k]
-            at, score = at[order], score[order]
-        return at, score
+            cosine = np.maximum(cosine, self._open(terms, weight, more))
+        return self._best(cosine, k)
 
-    def _open(self, terms: np.ndarray, weight: np.ndarray, blocks: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _open(self, terms: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """The cosine with every example of these blocks; 0 elsewhere."""
         bounds = self.starts[terms[:, None], blocks[None, :]].reshape(-1, 2)
-        count = bounds[:, 1] - bounds[:, 0]
-        posting = np.repeat(bounds[:, 0] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        start, count = bounds[:, 0], bounds[:, 1] - bounds[:, 0]
+        posting = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
         factor = np.repeat(np.repeat(weight, len(blocks)), count)
-        at, of = np.unique(self.example[posting], return_inverse=True)
-        score = np.round(np.minimum(np.bincount(of, weights=factor * self.weight[posting], minlength=len(at)), 1.0), 12)
-        order = np.lexsort((at, -score))[:k]
-        return at[order], score[order]
+        cosine = np.bincount(self.example[posting], weights=factor * self.weight[posting], minlength=self.size)
+        return np.round(np.minimum(cosine, 1.0), 12)
+
+    @staticmethod
+    def _best(cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
+        at = np.flatnonzero((cosine >= least) & (cosine > 1e-12))
+        at = at[np.argsort(-cosine[at], kind="stable")][:k]
+        return at, cosine[at]
 
     def raw(self, at: np.ndarray, cosine: np.ndarray) -> float:
         votes = self.vote[at] / (1 - cosine + SOFT)
@@ -200,9 +211,7 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
     toxic, clean = F.col("toxic"), F.col("clean")
     counted = (rows.mapInArrow(_count_terms, "term STRING, toxic BIGINT, clean BIGINT")
                .groupBy("term").agg(F.sum("toxic").cast("double").alias("toxic"), F.sum("clean").cast("double").alias("clean")))
-    chosen = (counted.withColumn("g", _likelihood_ratio(toxic, clean, n1, n0))
-              .where((toxic + 0.5) / n1 >= (clean + 0.5) / max(n0, 1)).where(F.col("g") >= SIGNIFICANT)
-              .orderBy(F.desc("g"), "term").limit(TERMS).collect())
+    chosen = counted.where(_likelihood_ratio(toxic, clean, n1, n0) >= SIGNIFICANT).collect()
     terms = sorted(r.term for r in chosen)
     idf = {r.term: math.log((n1 + n0 + 1) / (r.toxic + r.clean + 1)) + 1 for r in chosen}
     index = Index(terms, np.array([idf[t] for t in terms]))
@@ -214,7 +223,8 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
                 [batch.column(0), batch.column(1), pa.array([[x for p in finder(t.as_py()) for x in p] for t in batch.column(2)], pa.list_(pa.int32()))],
                 names=["doc_id", "label", "counts"])
 
-    got = sample.select("doc_id", "label", "text").mapInArrow(found, "doc_id BIGINT, label INT, counts ARRAY<INT>").collect()
+    ids = f"doc_id {sample.schema['doc_id'].dataType.simpleString()}"
+    got = sample.select("doc_id", "label", "text").mapInArrow(found, f"{ids}, label INT, counts ARRAY<INT>").collect()
     share = {c: totals.get(c, 0) / max(size.get(c, 0), 1) for c in (0, 1)}
     bare = [share[r.label] * np.array([1, r.label]) for r in got if not r.counts]
     if bare:
@@ -251,20 +261,22 @@ def _scorer(index: Index, keep: int, place: int, prefix: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not state:
-            state.update(finder=Finder(index.terms), seen=OrderedDict())
+            state.update(finder=Finder(index.terms), seen=OrderedDict(), held=0)
         finder, seen = state["finder"], state["seen"]
         for batch in batches:
             out = []
             for text in batch.column(place):
                 counts = finder(text.as_py())
-                got = seen.get(counts)
+                key = np.array(counts, np.int32).tobytes()
+                got = seen.get(key)
                 if got is None:
-                    got = seen[counts] = judge(counts)
-                    if len(seen) > _KEPT_VECTORS:
-                        seen.popitem(last=False)
+                    got = seen[key] = judge(counts)
+                    state["held"] += len(key) + _ENTRY
+                    while state["held"] > _KEPT_BYTES:
+                        state["held"] -= len(seen.popitem(last=False)[0]) + _ENTRY
                 out.append(got)
             score = pa.array([min(max(s, 0.0), 1.0) for s, _ in out], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:keep], score, pa.array([e for _, e in out], pa.list_(pa.int64()))],
+            yield pa.RecordBatch.from_arrays([*batch.columns[:keep], score, pa.array([e for _, e in out], pa.list_(pa.int64() if index.id_type() == "BIGINT" else pa.string()))],
                                              names=[*batch.schema.names[:keep], prefix + "score", prefix + "evidence"])
 
     return run
@@ -274,4 +286,4 @@ def score(documents: DataFrame, index: Index, keep: tuple[str, ...] = ("doc_id",
     """Columns `keep`, then score (0 to 1) and evidence: the ids of the nearest examples, best first. The names of both
     come after `prefix`."""
     rows, place, kept = with_text(documents, keep, text)
-    return rows.mapInArrow(_scorer(index, len(keep), place, prefix), f"{kept}, {prefix}score DOUBLE, {prefix}evidence ARRAY<BIGINT>")
+    return rows.mapInArrow(_scorer(index, len(keep), place, prefix), f"{kept}, {prefix}score DOUBLE, {prefix}evidence ARRAY<{index.id_type()}>")
