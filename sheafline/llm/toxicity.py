@@ -5,7 +5,9 @@ digits. The vector space holds every term whose frequencies among toxic and amon
 direction, by a log-likelihood ratio of at least SIGNIFICANT; there is no other bound on terms. A weight is
 (1 + log tf) * idf with idf from the examples. The examples, at most PER_CLASS documents a class and near copies once
 (else one text's words would look typical), form an inverted index: postings of a term are grouped in blocks of BLOCK
-examples, each with the largest weight in it. A query sums, per block, its weights times these maxima; the FIRST_BLOCKS blocks of the
+examples, each with the largest weight in it. Postings of terms that fill at least 1 / FULL of the examples are held as
+whole slabs per block, the others as lists; slabs thus take at most FULL times the memory of their postings, and a
+block is opened for many texts by one matrix product. A query sums, per block, its weights times these maxima; the FIRST_BLOCKS blocks of the
 largest bounds are opened, then all whose bound reaches the NEIGHBOURS-th best cosine of these. The result is exact;
 equal cosines are taken in example order.
 
@@ -37,6 +39,8 @@ SIGNIFICANT = 13.0
 BEGINNINGS = (3, 4, 5, 6)
 BLOCK = 64
 FIRST_BLOCKS = 4
+FULL = 16
+TOGETHER = 128  # texts looked up at once
 NEIGHBOURS = 15
 SOFT = 0.05
 EVIDENCE = 3
@@ -143,31 +147,61 @@ class Index:
         np.maximum.at(self.top, cell, self.weight)
         self.top = self.top.reshape(len(self.terms), blocks)
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "slabs"}  # workers make their own
+
+    def _opened(self) -> tuple[np.ndarray, np.ndarray]:
+        """Slot of each term among the filling ones (-1: none), and the weights as (block, slot, example of the block)."""
+        if "slabs" not in self.__dict__:
+            held = self.starts[:, -1, 1] - self.starts[:, 0, 0]
+            filling = np.flatnonzero(held * FULL >= self.size)
+            slot = np.full(len(self.terms), -1)
+            slot[filling] = np.arange(len(filling))
+            at = slot[np.repeat(np.arange(len(self.terms)), held)]
+            slabs = np.zeros((self.top.shape[1], len(filling), BLOCK))
+            there = at >= 0
+            slabs[self.example[there] // BLOCK, at[there], self.example[there] % BLOCK] = self.weight[there]
+            self.slabs = slot, slabs
+        return self.slabs
+
     def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine above 0, exactly: (example, cosine), best first, ties by example.
+        """The k examples of largest cosine above 0, exactly: (example, cosine), best first, ties by example."""
+        return self.nearest_of([(terms, weight)], k)[0]
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """`nearest` for several vectors.
 
         The most promising blocks are opened first, then all whose bound reaches the k-th best of these."""
-        bound = weight @ self.top[terms]
-        if len(bound) <= FIRST_BLOCKS:
-            return self._best(self._open(terms, weight, np.arange(len(bound))), k)
-        order = np.argpartition(-bound, FIRST_BLOCKS - 1)
-        cosine = self._open(terms, weight, order[:FIRST_BLOCKS])
-        kth = np.partition(cosine, -k)[-k] if len(cosine) >= k else 0.0
+        slot, slabs = self._opened()
+        many, blocks = len(vectors), len(slabs)
+        filling, bound = np.zeros((many, slabs.shape[1])), np.zeros((many, blocks))
+        listed = np.zeros((many, blocks * BLOCK))
+        for i, (terms, weight) in enumerate(vectors):
+            at = slot[terms]
+            filling[i, at[at >= 0]] = weight[at >= 0]
+            bound[i] = weight @ self.top[terms]
+            rest, factor = terms[at < 0], weight[at < 0]
+            if len(rest):
+                start = self.starts[rest, 0, 0]
+                count = self.starts[rest, -1, 1] - start
+                posting = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+                listed[i] = np.bincount(self.example[posting], weights=np.repeat(factor, count) * self.weight[posting], minlength=blocks * BLOCK)
+        listed, cosine = listed.reshape(many, blocks, BLOCK), np.zeros((many, blocks, BLOCK))
+
+        def open_blocks(wanted: np.ndarray) -> None:
+            for block in np.flatnonzero(wanted.any(axis=0)):
+                rows = np.flatnonzero(wanted[:, block])
+                cosine[rows, block] = np.round(np.minimum(filling[rows] @ slabs[block] + listed[rows, block], 1.0), 12)
+
+        first = np.zeros((many, blocks), dtype=bool)
+        if blocks > FIRST_BLOCKS:
+            np.put_along_axis(first, np.argpartition(-bound, FIRST_BLOCKS - 1, axis=1)[:, :FIRST_BLOCKS], True, axis=1)
+            open_blocks(first)
+        flat = cosine.reshape(many, -1)
+        kth = np.partition(flat, -k, axis=1)[:, -k] if flat.shape[1] >= k else np.zeros(many)
         # a small slack keeps blocks whose sums differ from the bound by rounding only
-        more = order[FIRST_BLOCKS:]
-        more = more[bound[more] >= max(kth - 1e-9, 1e-12)]
-        if len(more):
-            cosine = np.maximum(cosine, self._open(terms, weight, more))
-        return self._best(cosine, k)
-
-    def _open(self, terms: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-        """The cosine with every example of these blocks; 0 elsewhere."""
-        bounds = self.starts[terms[:, None], blocks[None, :]].reshape(-1, 2)
-        start, count = bounds[:, 0], bounds[:, 1] - bounds[:, 0]
-        posting = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
-        factor = np.repeat(np.repeat(weight, len(blocks)), count)
-        cosine = np.bincount(self.example[posting], weights=factor * self.weight[posting], minlength=self.size)
-        return np.round(np.minimum(cosine, 1.0), 12)
+        open_blocks(~first & (bound >= np.maximum(kth - 1e-9, 1e-12)[:, None]))
+        return [self._best(flat[i, :self.size], k) for i in range(many)]
 
     @staticmethod
     def _best(cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -237,12 +271,13 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
     index.vote = np.array([share[g[2]] for g in got])
     index.build([g[0] for g in got])
     raw, own = [], []
-    for i, (counts, _, _) in enumerate(got):
-        at, cosine = index.nearest(*index.vector(counts), NEIGHBOURS + 1)
-        others = np.flatnonzero(at != i)[:NEIGHBOURS]
-        if len(others):
-            raw.append(index.raw(at[others], cosine[others]))
-            own.append(i)
+    for start in range(0, len(got), TOGETHER):
+        found_ = index.nearest_of([index.vector(g[0]) for g in got[start:start + TOGETHER]], NEIGHBOURS + 1)
+        for i, (at, cosine) in enumerate(found_, start):
+            others = np.flatnonzero(at != i)[:NEIGHBOURS]
+            if len(others):
+                raw.append(index.raw(at[others], cosine[others]))
+                own.append(i)
     if raw:
         index.steps = _isotonic(np.array(raw), index.label[own], index.vote[own])
     return index
@@ -251,33 +286,35 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
 def _scorer(index: Index, keep: int, place: int, prefix: str):
     state: dict = {}
 
-    def judge(counts) -> tuple[float, list[int]]:
-        if not counts:
-            return index.none, []
-        at, cosine = index.nearest(*index.vector(counts), NEIGHBOURS)
-        if not len(at):
-            return index.none, []
-        return index.calibrated(index.raw(at, cosine)), index.ids[at[:EVIDENCE]].tolist()
+    def judged(vectors: list) -> list[tuple[float, list[int]]]:
+        out = []
+        for at, cosine in index.nearest_of([index.vector(v) for v in vectors], NEIGHBOURS):
+            out.append((index.calibrated(index.raw(at, cosine)), index.ids[at[:EVIDENCE]].tolist()) if len(at) else (index.none, []))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not state:
             state.update(finder=Finder(index.terms), seen=OrderedDict(), held=0)
         finder, seen = state["finder"], state["seen"]
-        for batch in batches:
-            out = []
-            for text in batch.column(place):
-                counts = finder(text.as_py())
-                key = np.array(counts, np.int32).tobytes()
-                got = seen.get(key)
-                if got is None:
-                    got = seen[key] = judge(counts)
+        for whole in batches:
+            for start in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(start, TOGETHER)
+                found = [finder(t.as_py()) for t in batch.column(place)]
+                keys = [np.array(v, np.int32).tobytes() for v in found]
+                counts = dict(zip(keys, found))
+                new = [key for key in counts if key and key not in seen]
+                got = {key: seen[key] for key in counts if key in seen} | {b"": (index.none, [])}
+                got.update(zip(new, judged([counts[key] for key in new]) if new else []))
+                for key in new:
+                    seen[key] = got[key]
                     state["held"] += len(key) + _ENTRY
-                    while state["held"] > _KEPT_BYTES:
-                        state["held"] -= len(seen.popitem(last=False)[0]) + _ENTRY
-                out.append(got)
-            score = pa.array([min(max(s, 0.0), 1.0) for s, _ in out], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:keep], score, pa.array([e for _, e in out], pa.list_(pa.int64() if index.id_type() == "BIGINT" else pa.string()))],
-                                             names=[*batch.schema.names[:keep], prefix + "score", prefix + "evidence"])
+                while state["held"] > _KEPT_BYTES:
+                    state["held"] -= len(seen.popitem(last=False)[0]) + _ENTRY
+                out = [got[key] for key in keys]
+                score = pa.array([min(max(s, 0.0), 1.0) for s, _ in out], pa.float64())
+                evidence = pa.array([e for _, e in out], pa.list_(pa.int64() if index.id_type() == "BIGINT" else pa.string()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:keep], score, evidence],
+                                                 names=[*batch.schema.names[:keep], prefix + "score", prefix + "evidence"])
 
     return run
 
