@@ -9,8 +9,8 @@ distance being over words; classes are connected components.
 
 Large groups do not become all pairs. In each key's group, members are aligned with one leader (the first in hashed
 order, the same one in most of a group's keys). Those that resemble it are linked and done with; those that do not go
-through another round with another leader, and what is left after ROUNDS is compared pair by pair. A pair is compared
-only if its lengths, its counts of words by hash, and its distances to common leaders allow a link (the triangle inequality; beyond
+through another round with another leader, and what is left after ROUNDS is compared pair by pair. A pair is formed
+only between the classes that the leaders' links make, never within one, and compared only if its lengths, its counts of words by hash, and its distances to common leaders allow a link (the triangle inequality; beyond
 FAR times the leader's length a text resembles none that resembles the leader, so distances are not followed farther).
 So every candidate pair is either compared, or in one class already, or excluded by its distances.
 
@@ -273,7 +273,8 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     most = (1 - SIMILARITY + 1e-9) * F.greatest("words", "leader_words")  # the largest distance of a link
     near = F.col("distance") <= F.floor(most)
-    links, late = [], []
+    links, rounds = [], []
+    whole = active
     for turn in range(ROUNDS):
         first = active.groupBy("key").agg(F.min(F.struct("turn", "node", "words")).alias("first"))
         first = store(first.select("key", F.col("first.node").alias("leader"), F.col("first.words").alias("leader_words")), "omh-leaders")
@@ -286,11 +287,32 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         doubtful = judged.where("NOT near AND distance IS NOT NULL").select("key", "node", "words", "distance")
         close = judged.where("near").select("key", F.col("node").alias("leader"), F.col("words").alias("leader_words"),
                                             F.col("distance").alias("leader_distance"))
-        late.append(doubtful.join(close, "key").where(alike("words", "leader_words") & (F.col("distance") - F.col("leader_distance") <= most))
-                    .select("leader", "leader_words", "node", "words"))
+        rounds.append((doubtful, close))
         exact = F.when(F.col("distance") <= F.floor(FAR * F.col("leader_words")) + 1, F.col("distance"))
         active = judged.where("NOT near").withColumns({f"low{turn}": F.col("distance"), f"high{turn}": exact}).select(
             "key", "node", "words", "turn", *[f"{c}{i}" for i in range(turn + 1) for c in ("low", "high")])
+    edges = links[0]
+    for more in links[1:]:
+        edges = edges.unionByName(more)
+    edges = store(edges.distinct(), "omh-links")
+    # texts that are in one class already need not be compared, so keys within one class are left out before pairs form
+    group = components(edges).withColumnRenamed("component", "of")
+
+    def classed(rows: DataFrame, name: str = "node", of: str = "of") -> DataFrame:
+        known = group.select(F.col("node").alias(name), F.col("of").alias(of))
+        return rows.join(known, name, "left").withColumn(of, F.coalesce(of, name))
+
+    several = (classed(whole.select("key", "node")).groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high"))
+               .where("low <> high").select("key"))
+    several = store(several, "omh-several")
+    late = []
+    for doubtful, close in rounds:
+        doubtful = classed(doubtful.join(several, "key", "left_semi"))
+        close = classed(close.join(several, "key", "left_semi"), "leader", "leader_of")
+        late.append(doubtful.join(close, "key").where(F.col("of") != F.col("leader_of"))
+                    .where(alike("words", "leader_words") & (F.col("distance") - F.col("leader_distance") <= most))
+                    .select("leader", "leader_words", "node", "words"))
+    active = classed(active.join(several, "key", "left_semi"))
     active = active.join(described.groupBy("node").agg(F.min("bag").alias("bag")), "node")
     unlike = F.aggregate(F.zip_with("bag", "leader_bag", lambda a, b: F.abs(a.cast("int") - b.cast("int"))), F.lit(0), lambda n, d: n + d)
     apart = unlike > 2 * most  # an edit changes two counts by one at most
@@ -298,20 +320,12 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         for low, high in ((f"low{i}", f"leader_high{i}"), (f"leader_low{i}", f"high{i}")):
             apart = F.coalesce(F.col(low) - F.col(high) > most, F.lit(False)) | apart
     other = active.select("key", F.col("node").alias("leader"), *[F.col(c).alias(f"leader_{c}") for c in active.columns if c not in ("key", "node")])
-    late.append(active.join(other, "key").where("leader_turn < turn").where(alike("words", "leader_words") & ~apart)
+    late.append(active.join(other, "key").where("leader_turn < turn AND leader_of <> of").where(alike("words", "leader_words") & ~apart)
                 .select("leader", "leader_words", "node", "words"))
     rest = late[0]
     for more in late[1:]:
         rest = rest.unionByName(more)
-    edges = links[0] if links else active.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    for more in links[1:]:
-        edges = edges.unionByName(more)
-    edges = store(edges.distinct(), "omh-links")
-    group = components(edges)  # texts that are in one class already need not be compared
-    own = group.withColumnRenamed("component", "of_node")
-    led_by = group.select(F.col("node").alias("leader"), F.col("component").alias("of_leader"))
-    rest = rest.distinct().join(own, "node", "left").join(led_by, "leader", "left")
-    rest = store(rest.where(F.coalesce("of_node", "node") != F.coalesce("of_leader", "leader")).drop("of_node", "of_leader"), "omh-rest")
+    rest = store(rest.distinct(), "omh-rest")
     found = rest.join(measured(rest), ["leader", "node"]).where(near).select(F.col("leader").alias("a"), F.col("node").alias("b"))
     group = components(edges.unionByName(found))
     named = texts.select("node", "first").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
