@@ -291,8 +291,8 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         exact = F.when(F.col("distance") <= F.floor(FAR * F.col("leader_words")) + 1, F.col("distance"))
         active = judged.where("NOT near").withColumns({f"low{turn}": F.col("distance"), f"high{turn}": exact}).select(
             "key", "node", "words", "turn", *[f"{c}{i}" for i in range(turn + 1) for c in ("low", "high")])
-    edges = links[0]
-    for more in links[1:]:
+    edges = whole.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    for more in links:
         edges = edges.unionByName(more)
     edges = store(edges.distinct(), "omh-links")
     # texts that are in one class already need not be compared, so keys within one class are left out before pairs form
