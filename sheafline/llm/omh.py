@@ -9,10 +9,11 @@ distance being over words; classes are connected components.
 
 Large groups do not become all pairs. In each key's group, members are aligned with one leader (the first in hashed
 order, the same one in most of a group's keys). Those that resemble it are linked and done with; those that do not go
-through another round with another leader, and what is left after ROUNDS is compared pair by pair. A pair is formed
-only between the classes that the leaders' links make, never within one, and compared only if its lengths, its counts of words by hash, and its distances to common leaders allow a link (the triangle inequality; beyond
-FAR times the leader's length a text resembles none that resembles the leader, so distances are not followed farther).
-So every candidate pair is either compared, or in one class already, or excluded by its distances.
+through another round with another leader. What ROUNDS rounds leave are the pairs of different classes in a group, the
+classes being those that the leaders' links make. They are not formed as rows: a group is cut into blocks of about BLOCK
+texts, large classes into blocks of their own, and a task takes two blocks and compares their texts by length and by
+counts of words by hash, which bound the edit distance from below. Only pairs that these allow are aligned, each once,
+at its smallest key. So every candidate pair is either compared, or in one class already, or excluded by a bound.
 
 Null texts and texts without words are copies of each other. Repeated rows are copies. A class is named by its
 smallest non-null doc_id (null if it has none). Empty tables give empty results. Nodes are 64-bit hashes, and
@@ -55,10 +56,10 @@ K, PICK = 2, 3
 SHORT, SHORT_K = 40, 1
 SKETCHES = _sketches(K, range(SHORT + 1, 10 * SHORT))  # 65; longer texts need fewer
 SHORT_SKETCHES = _sketches(SHORT_K, range(5, SHORT + 1))  # 21; texts of less than 5 words resemble equal ones only
-FAR = 0.5625  # 0.25 + 0.25 / 0.8: see `_far`; follows from SIMILARITY
 ROUNDS = 3
 BITS = 1 << 25
-BAG = 128  # words of a text are counted by hash in so many cells
+BAG = 1024  # words of a text are counted by hash in so many cells
+BLOCK = 512  # texts of one key that a task compares with as many others at once
 _FACTORS = mix(np.arange(101, 101 + SKETCHES + SHORT_SKETCHES, dtype=np.uint64)) | np.uint64(1)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -175,20 +176,17 @@ def distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
 # ---- the operator -------------------------------------------------------------------------------
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text_key, text) -> doc_id, text_key, node, words, order min-hashes, bag."""
+    """(doc_id, text_key, text) -> doc_id, text_key, node, words, order min-hashes."""
     for batch in batches:
-        nodes, sizes, keys, bags = [], [], [], []
+        nodes, sizes, keys = [], [], []
         for x in slices(batch.column(2)):
             size = np.diff(x.bounds)
             nodes.append(_nodes(x))
             sizes.append(size)
             keys += _keys(x)
-            bag = np.bincount(x.doc * BAG + (x.hashes >> np.uint64(40)).astype(np.int64) % BAG, minlength=x.count * BAG)
-            bags += list(np.minimum(bag.reshape(x.count, BAG), 32767).astype(np.int16))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes).astype(np.int32)),
-             pa.array(keys, pa.list_(pa.int64())), pa.array(bags, pa.list_(pa.int16()))],
-            names=["doc_id", "text_key", "node", "words", "keys", "bag"])
+             pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_key", "node", "words", "keys"])
 
 
 def _keys(x: Texts) -> list[np.ndarray]:
@@ -226,16 +224,56 @@ def _words_of(bits: np.ndarray):
 
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
+        near = []
         for a, b in zip(batch.column(2), batch.column(3)):
             a, b = (np.frombuffer(v.as_buffer(), "<u4") for v in (a, b))
-            out.append(distance(a, b, _far(len(a))))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.int32())], names=["leader", "node", "distance"])
+            most = int(_most(max(len(a), len(b))))
+            near.append(distance(a, b, most) <= most)
+        near = pa.array(near, pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["a", "b"])
 
 
-def _far(words: int) -> int:
-    """A text farther than this from a leader of `words` words resembles no text that resembles the leader."""
-    return int(FAR * words) + 1
+def _most(words):
+    """The largest edit distance of a link, of texts whose longer one has so many words."""
+    return (1 - SIMILARITY + 1e-9) * words
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, tokens) -> node, bag: how many words fall into each of BAG cells, 255 at most. A replaced word changes
+    two counts by one, a new or lost word one count and the length: the sum of all differences is at most twice the edits."""
+    for batch in batches:
+        bags = [np.minimum(np.bincount(np.frombuffer(v.as_buffer(), "<u4") % BAG, minlength=BAG), 255).astype(np.uint8).tobytes()
+                for v in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], names=["node", "bag"])
+
+
+def _candidates(table: pa.Table) -> pa.Table:
+    """The pairs of one cell that may be linked: of different classes, sharing no key smaller than the cell's, and
+    allowed by their lengths and counts. A cell is a block with itself (left and right are true) or two blocks."""
+    key = table.column("key")[0].as_py()
+    node, of, words = (table.column(c).to_numpy() for c in ("node", "of", "words"))
+    left, right = (np.flatnonzero(table.column(c).to_numpy()) for c in ("left", "right"))
+    alone = len(left) == len(node) == len(right)  # then each pair would stand twice
+    lists = table.column("keys").combine_chunks()
+    row = np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy()))
+    own = lists.flatten().to_numpy()
+    row, own = row[own < key], own[own < key]
+    order = np.argsort(own, kind="stable")
+    earlier = np.zeros((len(node), len(node)), dtype=bool)
+    for rows in np.split(row[order], np.flatnonzero(np.diff(own[order])) + 1):
+        earlier[np.ix_(rows, rows)] = True
+    bag = np.stack([np.frombuffer(v.as_buffer(), np.uint8) for c in table.column("bag").chunks for v in c])
+    a, b = [node[:0]], [node[:0]]  # a block may have no texts
+    for i in left:
+        longer = np.maximum(words[right], words[i])
+        ok = (of[right] != of[i]) & (np.minimum(words[right], words[i]) >= SIMILARITY * longer) & (right > i if alone else True)
+        at = right[ok]
+        at = at[~earlier[i, at]]
+        unlike = np.abs(bag[at].astype(np.int16) - bag[i]).sum(axis=1, dtype=np.int64) + np.abs(words[at] - words[i])
+        at = at[unlike <= 2 * _most(np.maximum(words[at], words[i]))]
+        a.append(np.full(len(at), node[i]))
+        b.append(node[at])
+    return pa.table({"leader": pa.array(np.concatenate(a), pa.int64()), "node": pa.array(np.concatenate(b), pa.int64())})
 
 
 def _bits(nodes: DataFrame) -> np.ndarray:
@@ -254,80 +292,45 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     class's first row by doc_id, null last, and text_key), node (equal for equal word sequences), words."""
     docs = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
     described = store(docs.mapInArrow(_describe, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key BIGINT, "
-                                                 "node BIGINT, words INT, keys ARRAY<BIGINT>, bag ARRAY<SMALLINT>"), "omh-sketches")
+                                                 "node BIGINT, words INT, keys ARRAY<BIGINT>"), "omh-sketches")
     texts = described.groupBy("node").agg(F.min(_row_key()).alias("first"), F.min("words").alias("words"), F.min("keys").alias("keys"))
-    bands = texts.select(F.explode("keys").alias("key"), "node", "words").withColumn("turn", F.xxhash64("node"))
+    bands = texts.select(F.explode("keys").alias("key"), "node", "words")
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
-    active = store(bands.join(store(shared, "omh-keys"), "key"), "omh-bands")
-    tokens = store(docs.select("text").mapInArrow(_words_of(_bits(active.select("node").distinct())), "node BIGINT, tokens BINARY")
+    whole = store(bands.join(store(shared, "omh-keys"), "key"), "omh-bands")
+    tokens = store(docs.select("text").mapInArrow(_words_of(_bits(whole.select("node").distinct())), "node BIGINT, tokens BINARY")
                    .groupBy("node").agg(F.min("tokens").alias("tokens")), "omh-tokens")
 
-    def measured(pairs: DataFrame) -> DataFrame:
-        """leader, node, distance of the given pairs."""
-        one = pairs.select("leader", "node").distinct().join(tokens, "node")
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Those of the given pairs (leader, node) that resemble each other, as a, b."""
+        one = pairs.join(tokens, "node")
         both = one.join(tokens.select(F.col("node").alias("leader"), F.col("tokens").alias("leading")), "leader")
-        return both.select("leader", "node", "leading", "tokens").mapInArrow(_check, "leader BIGINT, node BIGINT, distance INT")
+        return both.select("leader", "node", "leading", "tokens").mapInArrow(_check, "a BIGINT, b BIGINT")
 
-    def alike(a: str, b: str):
-        return F.least(a, b) >= SIMILARITY * F.greatest(a, b)
-
-    most = (1 - SIMILARITY + 1e-9) * F.greatest("words", "leader_words")  # the largest distance of a link
-    near = F.col("distance") <= F.floor(most)
-    links, rounds = [], []
-    whole = active
-    for turn in range(ROUNDS):
+    links = []
+    active = whole.withColumn("turn", F.xxhash64("node"))
+    for _ in range(ROUNDS):
         first = active.groupBy("key").agg(F.min(F.struct("turn", "node", "words")).alias("first"))
-        first = store(first.select("key", F.col("first.node").alias("leader"), F.col("first.words").alias("leader_words")), "omh-leaders")
-        led = store(active.join(first, "key").where("node <> leader"), "omh-led")
-        reach = F.col("words").between(F.col("leader_words") * (1 - FAR), F.col("leader_words") * (1 + FAR))
-        got = store(measured(led.where(reach)), "omh-distances")
-        judged = store(led.join(got, ["leader", "node"], "left").withColumn("near", F.coalesce(near, F.lit(False))), "omh-judged")
-        links.append(judged.where("near").select(F.col("leader").alias("a"), F.col("node").alias("b")))
-        # distances to one leader differ by no more than two texts do; where unknown, the length alone says far
-        doubtful = judged.where("NOT near AND distance IS NOT NULL").select("key", "node", "words", "distance")
-        close = judged.where("near").select("key", F.col("node").alias("leader"), F.col("words").alias("leader_words"),
-                                            F.col("distance").alias("leader_distance"))
-        rounds.append((doubtful, close))
-        exact = F.when(F.col("distance") <= F.floor(FAR * F.col("leader_words")) + 1, F.col("distance"))
-        active = judged.where("NOT near").withColumns({f"low{turn}": F.col("distance"), f"high{turn}": exact}).select(
-            "key", "node", "words", "turn", *[f"{c}{i}" for i in range(turn + 1) for c in ("low", "high")])
+        led = store(active.join(first, "key").where("node <> first.node")
+                    .select("key", "node", "words", "turn", F.col("first.node").alias("leader"), F.col("first.words").alias("leader_words")), "omh-led")
+        alike = F.least("words", "leader_words") >= SIMILARITY * F.greatest("words", "leader_words")
+        links.append(store(linked(led.where(alike).select("leader", "node").distinct()), "omh-near"))
+        active = led.join(links[-1].select(F.col("a").alias("leader"), F.col("b").alias("node")), ["leader", "node"], "left_anti").select(
+            "key", "node", "words", "turn")
     edges = whole.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     for more in links:
         edges = edges.unionByName(more)
     edges = store(edges.distinct(), "omh-links")
-    # texts that are in one class already need not be compared, so keys within one class are left out before pairs form
-    group = components(edges).withColumnRenamed("component", "of")
-
-    def classed(rows: DataFrame, name: str = "node", of: str = "of") -> DataFrame:
-        known = group.select(F.col("node").alias(name), F.col("of").alias(of))
-        return rows.join(known, name, "left").withColumn(of, F.coalesce(of, name))
-
-    several = (classed(whole.select("key", "node")).groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high"))
-               .where("low <> high").select("key"))
-    several = store(several, "omh-several")
-    late = []
-    for doubtful, close in rounds:
-        doubtful = classed(doubtful.join(several, "key", "left_semi"))
-        close = classed(close.join(several, "key", "left_semi"), "leader", "leader_of")
-        late.append(doubtful.join(close, "key").where(F.col("of") != F.col("leader_of"))
-                    .where(alike("words", "leader_words") & (F.col("distance") - F.col("leader_distance") <= most))
-                    .select("leader", "leader_words", "node", "words"))
-    active = classed(active.join(several, "key", "left_semi"))
-    active = active.join(described.groupBy("node").agg(F.min("bag").alias("bag")), "node")
-    unlike = F.aggregate(F.zip_with("bag", "leader_bag", lambda a, b: F.abs(a.cast("int") - b.cast("int"))), F.lit(0), lambda n, d: n + d)
-    apart = unlike > 2 * most  # an edit changes two counts by one at most
-    for i in range(ROUNDS):
-        for low, high in ((f"low{i}", f"leader_high{i}"), (f"leader_low{i}", f"high{i}")):
-            apart = F.coalesce(F.col(low) - F.col(high) > most, F.lit(False)) | apart
-    other = active.select("key", F.col("node").alias("leader"), *[F.col(c).alias(f"leader_{c}") for c in active.columns if c not in ("key", "node")])
-    late.append(active.join(other, "key").where("leader_turn < turn AND leader_of <> of").where(alike("words", "leader_words") & ~apart)
-                .select("leader", "leader_words", "node", "words"))
-    rest = late[0]
-    for more in late[1:]:
-        rest = rest.unionByName(more)
-    rest = store(rest.distinct(), "omh-rest")
-    found = rest.join(measured(rest), ["leader", "node"]).where(near).select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    group = components(edges.unionByName(found))
+    # each text keeps the link to its smallest leader, which is linked with the text's other leaders
+    least = edges.groupBy("b").agg(F.min("a").alias("least"))
+    leaders = edges.join(least, "b").where("a <> least").select(F.col("least").alias("a"), F.col("a").alias("b")).distinct()
+    group = components(least.select(F.col("least").alias("a"), "b").unionByName(leaders)).withColumnRenamed("component", "of")
+    found = linked(_rest(whole, group, tokens))
+    for end in ("a", "b"):  # links between classes, which are far fewer than those between texts
+        own = group.select(F.col("node").alias(end), "of")
+        found = found.join(own, end, "left").withColumn(end, F.coalesce("of", end)).drop("of")
+    joined = components(found).withColumnRenamed("node", "of")
+    alone = joined.join(group, joined["of"] == group["node"], "left_anti").withColumn("node", F.col("of"))  # texts without links before
+    group = group.unionByName(alone.select("node", "of")).join(joined, "of", "left").select("node", F.coalesce("component", "of").alias("component"))
     named = texts.select("node", "first").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("first").alias("first"))
     named = store(named.drop("first").join(least, "component").select("node", "first"), "omh-classes")
@@ -335,6 +338,37 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             .select("doc_id", "text_key", F.col("first.doc_id").alias("class_id"), "first", "node", "words"))
 
 
+def _rest(bands: DataFrame, group: DataFrame, tokens: DataFrame) -> DataFrame:
+    """leader, node: the pairs that share a key, are in different classes (`of`, by `group`) and may be linked."""
+    members = bands.join(group, "node", "left").withColumn("of", F.coalesce("of", "node"))
+    several = members.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low <> high").select("key")
+    members = store(members.join(several, "key", "left_semi"), "omh-several")
+    keys = members.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    bags = tokens.join(keys, "node").select("node", "tokens").mapInArrow(_bags, "node BIGINT, bag BINARY")
+    about = store(keys.join(bags, "node"), "omh-bags")
+    # blocks: of one large class (its name in `only`), or of many small ones
+    sizes = members.groupBy("key", "of").agg(F.count(F.lit(1)).alias("n")).withColumn("only", F.expr(f"if(n >= {BLOCK}, of, null)"))
+    counts = store(sizes.groupBy("key", "only").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks")), "omh-blocks")
+    blocks = counts.select("key", "only", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    other = blocks.select("key", F.col("only").alias("only2"), F.col("block").alias("block2"))
+    first, second = F.struct(F.col("only").isNull(), "only", "block"), F.struct(F.col("only2").isNull(), F.col("only2"), F.col("block2"))
+    cells = (blocks.join(other, "key").where((first <= second) & ~F.coalesce(F.col("only") == F.col("only2"), F.lit(False)))
+             .withColumn("cell", F.xxhash64("only", "block", "only2", "block2")).withColumn("same", first == second))
+    left = cells.select("key", "cell", "only", "block", F.lit(True).alias("left"), F.col("same").alias("right"))
+    right = cells.where("NOT same").select("key", "cell", F.col("only2").alias("only"), F.col("block2").alias("block"),
+                                           F.lit(False).alias("left"), F.lit(True).alias("right"))
+    large = counts.where("only IS NOT NULL").select("key", F.col("only").alias("of"), F.col("blocks").alias("own"))
+    small = counts.where("only IS NULL").select("key", F.col("blocks").alias("shared"))
+    # a small class stays in one block
+    placed = (members.join(large, ["key", "of"], "left").join(small, "key", "left")
+              .withColumn("only", F.expr("if(own IS NULL, null, of)"))
+              .withColumn("block", F.expr("pmod(if(own IS NULL, xxhash64(of), xxhash64(node)), coalesce(own, shared))")))
+    sides = left.unionByName(right)
+    dealt = placed.join(sides, (placed["key"] == sides["key"]) & placed["only"].eqNullSafe(sides["only"]) & (placed["block"] == sides["block"]))
+    dealt = dealt.select(placed["key"], "cell", "left", "right", "node", "of", "words").join(about, "node")
+    return store(dealt.groupBy("key", "cell").applyInArrow(_candidates, "leader BIGINT, node BIGINT"), "omh-rest")
+
+
 def _row_key():
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
 

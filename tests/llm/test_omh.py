@@ -180,3 +180,28 @@ def test_rounds_do_not_change_the_result(spark, monkeypatch, rounds):
     rows = fixture()
     monkeypatch.setattr(omh, "ROUNDS", rounds)
     assert {r.doc_id: r.class_id for r in omh.classes(table(spark, rows)).collect()} == expected()
+
+
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_blocks_do_not_change_the_result(spark, monkeypatch, rounds):
+    """Small blocks: groups of several cells, classes with blocks of their own, pairs in more than one key."""
+    monkeypatch.setattr(omh, "ROUNDS", rounds)
+    monkeypatch.setattr(omh, "BLOCK", 4)
+    assert {r.doc_id: r.class_id for r in omh.classes(table(spark, fixture())).collect()} == expected()
+
+
+def test_texts_that_only_share_a_long_run_do_not_become_pairs(spark, monkeypatch):
+    """Most of each text is one word pair, the rest its own words: similarity 0.71, all in one group."""
+    rng, formed, store = random.Random(13), {}, omh.store
+
+    def counted(df, label):
+        out = store(df, label)
+        formed[label] = out.count()
+        return out
+
+    monkeypatch.setattr(omh, "store", counted)
+    rows = [(i, " ".join(["up", "down"] * 300 + [f"w{rng.randrange(10**9)}" for _ in range(240)])) for i in range(40)]
+    rows.append((40, rows[7][1] + " one more"))
+    got = {r.doc_id: r.class_id for r in omh.classes(table(spark, rows)).collect()}
+    assert got == {i: 7 if i == 40 else i for i in range(41)}
+    assert formed["omh-rest"] <= 1  # all 780 pairs were formed before
