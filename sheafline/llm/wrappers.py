@@ -7,14 +7,22 @@ Where they mismatch, the wrapper is made more general, and never by a choice bet
 * texts that differ become a text slot;
 * labels that stand once on one side and several times on the other become a repeated group (groups of up to PERIOD
   labels that follow each other are folded first);
-* labels that only one side has become optional.
-
-From at most PAGES different pages a host (by hash), the wrapper then knows which parts vary and which belong to the
-template. The main part is the element whose slots hold the articles: an `article` or `main` element where there is one,
-else the deepest element with most of the varying text. A page is read by walking it along its host's wrapper to the
-main part. There, everything is kept but elements known by tag or name as menus, adverts, notices, forms, comments and
-the like, and texts that the template repeats word for word on all of at least CONSTANT different pages. A page that the
-wrapper does not fit is judged by its own elements in the same way.
+* labels that only one side has become optional;
+* labels between the common beginning and end of sequences of more than LONG items become one repeated group of optional
+  labels, in which classes are no longer told apart beyond LABELS different ones. So neither a page with very many mixed
+  children nor a host with very many templates makes alignment quadratic or lets a wrapper grow without end.
+
+Every different page of a host takes part. A page's own wrapper, with texts as digests, is made where the page is read;
+wrappers are joined along the binary tree of the pages' hashes: shares of large hosts first, then what the shares gave. So
+the order of joining depends on the pages alone, not on copies, partitions or the size of a share, and no task gets a
+large host as a whole.
+
+The wrapper then knows which parts vary and which belong to the template. The main part is the element whose slots hold
+the articles: an `article` or `main` element where there is one, else the deepest element with most of the varying text;
+where pages have it at different places, all of them. A page is read by walking it along its host's wrapper to the main
+part. There, everything is kept but elements known by tag or name as menus, adverts, notices, forms, comments and the
+like, and texts that the template repeats word for word on all pages that have their element, at least CONSTANT
+different ones. A page that the wrapper does not fit is judged by its own elements in the same way.
 
 Text is cut into blocks at block elements; a line break is white space. Null and empty pages have an empty text. Pages
 without a host are one host. Pages may repeat; equal pages count once in the inference. All pages are read whole.
@@ -23,8 +31,13 @@ without a host are one host. Pages may repeat; equal pages count once in the inf
 from __future__ import annotations
 
 import json
+from base64 import b85encode
+from bisect import bisect_left
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from hashlib import blake2b
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,8 +47,12 @@ from .markup import INLINE, RAW, Element, decoded, parse
 from .shared import store
 from .urlrules import host_of
 
-PAGES = 12
+SHARE_PAGES = 128  # a host with more rows is joined in shares of about so many
+STEP = 6  # so many halvings of a host per level of joining
+SEEN = 200_000  # a task remembers so many pages, to leave out their copies before the shuffle; the rest go after it
 PERIOD = 3
+LONG = 64
+LABELS = 1000
 CONSTANT = 4
 DEPTH = 60  # elements nested deeper are one slot to the inference; reading has no such limit
 SHARE = 0.6
@@ -59,8 +76,11 @@ def is_out(element: Element, in_main: bool) -> bool:
 
 
 # ---- inference ----------------------------------------------------------------------------------
-# A wrapper is a dict: l label, q one of 1 ? + *, and either k (its items) or, for a text, t (the text, null for a slot).
-# n counts the pages that had it, c the characters of its texts.
+# A wrapper is a dict: l label, q one of 1 ? + *, and either k (its items) or, for a text, t (its digest, null for a slot).
+# n counts the pages that had it, c the characters of its texts; g marks a group of labels, which has the label * if its
+# labels come in any order.
+ANY = "*"
+
 
 def _flat(element: Element) -> list[tuple[str, object]]:
     """Labelled children; neighbouring texts are one, blank ones none, inline markup is text."""
@@ -115,12 +135,16 @@ def _folded(children: list[tuple[str, object]]) -> list[tuple[str, list[list]]]:
     return out
 
 
+def _digest(text: str) -> str:
+    return b85encode(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()).decode()
+
+
 def _new(label: str, group: list, depth: int) -> dict:
     """The wrapper of one group: an item per label, in a sequence if there are several."""
     parts = []
     for name, child in zip(label.split(" "), group):
         if isinstance(child, str):
-            parts.append({"l": "#text", "q": "1", "t": child, "n": 1, "c": len(child)})
+            parts.append({"l": "#text", "q": "1", "t": _digest(child), "n": 1, "c": len(child)})
         else:
             node = {"l": name, "q": "1", "k": [], "n": 1, "o": int(is_out(child, True)), "a": int(child.tag == "a")}
             if depth < DEPTH and child.tag not in RAW:
@@ -133,8 +157,7 @@ def _new(label: str, group: list, depth: int) -> dict:
 def _item(label: str, groups: list[list], depth: int) -> dict:
     item = _new(label, groups[0], depth)
     for group in groups[1:]:
-        item = _join(item, _new(label, group, depth))
-        item["n"] = 1
+        item = _join(item, _new(label, group, depth), True)
     if len(groups) > 1:
         item["q"] = "+"
     return item
@@ -145,21 +168,25 @@ def _quantifier(a: str, b: str) -> str:
     return ("*" if optional else "+") if several else ("?" if optional else "1")
 
 
-def _join(a: dict, b: dict) -> dict:
-    """The most special wrapper that fits what `a` and `b` fit; their labels are equal."""
-    out = {"l": a["l"], "q": _quantifier(a["q"], b["q"]), "n": a["n"] + b["n"]}
+def _join(a: dict, b: dict, same: bool = False) -> dict:
+    """The most special wrapper that fits what `a` and `b` fit; their labels are equal. `same`: they have the same pages."""
+    out = {"l": a["l"], "q": _quantifier(a["q"], b["q"]), "n": max(a["n"], b["n"]) if same else a["n"] + b["n"]}
     if "k" not in a:
         return out | {"t": a["t"] if a["t"] == b["t"] else None, "c": a["c"] + b["c"]}
     for flag in "oag":
         if flag in a:
-            out[flag] = a[flag]
+            out[flag] = min(a[flag], b[flag])
+    if a["l"] == ANY:
+        return out | {"k": _any_order(a["k"] + b["k"], same)}
     if "g" in a:  # groups have the same labels throughout
-        return out | {"k": [_join(x, y) for x, y in zip(a["k"], b["k"])]}
-    return out | {"k": _aligned(a["k"], b["k"])}
+        return out | {"k": [_join(x, y, same) for x, y in zip(a["k"], b["k"])]}
+    return out | {"k": _aligned(a["k"], b["k"], same)}
 
 
-def _aligned(a: list[dict], b: list[dict]) -> list[dict]:
+def _aligned(a: list[dict], b: list[dict], same: bool) -> list[dict]:
     """Two sequences of items by a longest common subsequence of labels; items of one side only become optional."""
+    if max(len(a), len(b)) > LONG or any(k["l"] == ANY for k in a + b):
+        return _generalized(a, b, same)
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -167,7 +194,7 @@ def _aligned(a: list[dict], b: list[dict]) -> list[dict]:
     out, i, j = [], 0, 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and a[i]["l"] == b[j]["l"]:
-            out.append(_join(a[i], b[j]))
+            out.append(_join(a[i], b[j], same))
             i, j = i + 1, j + 1
         elif j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
             out.append(a[i] | {"q": _quantifier(a[i]["q"], "?")})
@@ -175,21 +202,85 @@ def _aligned(a: list[dict], b: list[dict]) -> list[dict]:
         else:
             out.append(b[j] | {"q": _quantifier(b[j]["q"], "?")})
             j += 1
-    return out
+    return out if len(out) <= LONG else _generalized(a, b, same)
+
+
+def _generalized(a: list[dict], b: list[dict], same: bool) -> list[dict]:
+    """Two long sequences: the common beginning and end item by item, all between as a group in any order."""
+    least, head, tail = min(len(a), len(b)), 0, 0
+    while head < least and a[head]["l"] == b[head]["l"] != ANY:
+        head += 1
+    while tail < least - head and a[-1 - tail]["l"] == b[-1 - tail]["l"] != ANY:
+        tail += 1
+    out = [_join(x, y, same) for x, y in zip(a[:head], b)]
+    between = [_any_order(side[head:len(side) - tail], True) for side in (a, b)]
+    if any(between):
+        items = _any_order(between[0] + between[1], same)
+        out.append({"l": ANY, "q": "*", "n": max(k["n"] for k in items), "g": 1, "k": items})
+    return out + [_join(x, y, same) for x, y in zip(a[len(a) - tail:], b[len(b) - tail:])]
+
+
+def _any_order(items: list[dict], same: bool) -> list[dict]:
+    """One item per label, any number of times, groups taken apart; beyond LABELS of them, one per tag with a class."""
+    todo = [x for k in items for x in (k["k"] if "g" in k else (k,))]
+    wide = any(k["l"].endswith(".*") for k in todo)
+    while True:
+        found: dict[str, dict] = {}
+        for k in todo:
+            label = k["l"].partition(".")[0] + ".*" if wide and "." in k["l"] else k["l"]
+            k = k | {"l": label, "q": "*"}
+            found[label] = _join(found[label], k, same) if label in found else k
+        if wide or len(found) <= LABELS:
+            return list(found.values())
+        wide = True
+
+
+def of_page(page: str) -> dict:
+    """The wrapper of one page: its own tree."""
+    return {"l": "", "q": "1", "n": 1, "k": [_item(key, groups, 0) for key, groups in _folded(_flat(parse(page)))]}
 
 
 def infer(pages: list[str]) -> dict:
-    """The wrapper of some pages, with its main part marked (m)."""
-    trees = [parse(p) for p in pages]
-    wrapper = {"l": "", "q": "1", "n": 0, "k": []}
-    for i, tree in enumerate(trees):
-        own = {"l": "", "q": "1", "n": 1, "k": [_item(key, groups, 0) for key, groups in _folded(_flat(tree))]}
-        wrapper = own if not i else _join(wrapper, own)
+    """The wrapper of some pages, joined in their order, with its main part marked (m)."""
+    wrapper = reduce(_join, map(of_page, pages))
     _mark(wrapper)
     return wrapper
 
 
+def _joined(keyed: Iterable[tuple[int, dict]]) -> tuple[int, dict]:
+    """Wrappers in order of their keys, joined along the binary tree of the keys' bits, with the first key. Equal keys are
+    the same page."""
+    stack: list[tuple[int, dict]] = []
+
+    def close():
+        (first, a), (_, b) = stack[-2:]
+        stack[-2:] = [(first, _join(a, b))]
+
+    for key, wrapper in keyed:
+        if stack and stack[-1][0] == key:
+            continue
+        while len(stack) > 1 and stack[-2][0] ^ stack[-1][0] < stack[-1][0] ^ key:
+            close()
+        stack.append((key, wrapper))
+    while len(stack) > 1:
+        close()
+    return stack[0]
+
+
 def _mark(wrapper: dict) -> None:
+    """Marks the main part, and the same place where other pages have it in another order."""
+    main, order = _main_part(wrapper)
+    main["m"] = 1
+    paths: dict[int, tuple] = {}
+    for node, parent in order:
+        paths[id(node)] = paths.get(id(parent), ()) + (() if "g" in node else (node["l"],))
+    same = [n for n, _ in order if "k" in n and "g" not in n and paths[id(n)] == paths[id(main)]]
+    if sum(n["n"] for n in same) <= wrapper["n"]:  # no page has two of them
+        for n in same:
+            n["m"] = 1
+
+
+def _main_part(wrapper: dict) -> tuple[dict, list[tuple[dict, dict | None]]]:
     order, todo = [], [(wrapper, None)]
     while todo:
         node, parent = todo.pop()
@@ -213,15 +304,21 @@ def _mark(wrapper: dict) -> None:
         most = max(chars[id(n)] for n, _ in named)
         # of nested candidates with nearly as much, the innermost
         chosen = [n for n, _ in named if chars[id(n)] >= max(1, SHARE * most)] or [named[0][0]]
-        chosen[-1]["m"] = 1
-        return
+        return chosen[-1], order
     at = wrapper
     while True:
-        inner = [k for k in at["k"] if "k" in k and not k.get("o") and k["q"] in "1?" and chars[id(k)] >= max(1, SHARE * chars[id(at)])]
-        if not inner or inner[0]["l"] == "a":
+        places: dict[object, list[dict]] = {}
+        for k in at["k"]:
+            if "k" in k and not k.get("o") and k["q"] in "1?":
+                places.setdefault(k["l"], []).append(k)
+        for label, several in list(places.items()):
+            if sum(k["n"] for k in several) > at["n"]:  # a page has two of them, so they are not one part at different places
+                places |= {label: several[:1]} | {id(k): [k] for k in several[1:]}
+        inner = [p for p in places.values() if sum(chars[id(k)] for k in p) >= max(1, SHARE * chars[id(at)])]
+        if not inner or inner[0][0]["l"] == "a":
             break
-        at = inner[0]
-    at["m"] = 1
+        at = max(inner[0], key=lambda k: chars[id(k)])
+    return at, order
 
 
 # ---- reading ------------------------------------------------------------------------------------
@@ -242,14 +339,18 @@ def _matched(element: Element, known: dict | None) -> list[tuple[object, dict |
     """Every child with the item of the wrapper that it fits, taken in order; repeated groups may be entered again."""
     items = [x for k in (known["k"] if known else ()) for x in (k["k"] if "g" in k else (k,))]
     groups = [g for g, k in enumerate(known["k"] if known else ()) for _ in (k["k"] if "g" in k else (k,))]
+    places: dict[str, list[int]] = {}
+    for i, item in enumerate(items):
+        places.setdefault(item["l"], []).append(i)
     out, at = [], 0
     for child in element.children:
         label = "#text" if isinstance(child, str) else child.label
-        place = next((i for i in range(at, len(items)) if items[i]["l"] == label), None)
-        if place is None and at < len(items):  # back to the beginning of the group
-            place = next((i for i in range(at) if groups[i] == groups[at] and items[i]["l"] == label), None)
-        if place is None:
-            place = next((i for i in range(max(at - 1, 0), at) if items[i]["l"] == label), None)
+        own = places.get(label) or places.get(label.partition(".")[0] + ".*") or ()
+        next_ = bisect_left(own, at)
+        if next_ < len(own):
+            place = own[next_]
+        else:  # back to the beginning of the group, or by one
+            place = next((i for i in own if groups[i] == groups[at]), own[-1] if own and own[-1] == at - 1 else None)
         out.append((child, None if place is None else items[place]))
         if place is not None:
             at = place
@@ -310,7 +411,7 @@ def _constant(element: Element, own: dict | None) -> bool:
         return False
     items = own["k"]
     return len(items) == 1 and "k" not in items[0] and items[0]["n"] >= CONSTANT and items[0]["t"] is not None \
-        and items[0]["t"] == decoded(_inner(element))
+        and items[0]["t"] == _digest(decoded(_inner(element)))
 
 
 def main_text(page: str | None, wrapper: dict | None) -> str:
@@ -327,17 +428,85 @@ def main_text(page: str | None, wrapper: dict | None) -> str:
 
 # ---- jobs ---------------------------------------------------------------------------------------
 
-def _infer_host(table: pa.Table) -> pa.Table:
-    pages = sorted(set(table.column("html").to_pylist()))
-    return pa.table({"host": table.column("host").slice(0, 1).cast(pa.string()), "wrapper": pa.array([json.dumps(infer(pages))], pa.string())})
+_PARTIAL = "host STRING, share BIGINT, key STRING, wrapper STRING"
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of _PARTIAL, about 4 MB of wrappers at a time."""
+    types = {"host": pa.string(), "share": pa.int64(), "key": pa.string(), "wrapper": pa.string()}
+    out, size = [], 0
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types.values())], names=list(types))
+
+    for row in rows:
+        out.append(row)
+        size += len(row[3])
+        if size > 4_000_000 or len(out) == 10_000:
+            yield batch()
+            out, size = [], 0
+    if out:
+        yield batch()
+
+
+def _page_wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """host, bits, html -> the wrapper of every page, its key, and the share of its host: the first bits of the key."""
+    def rows():
+        seen: set[bytes] = set()
+        for batch in batches:
+            for host, bits, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                hashed = blake2b(f"{len(host)} {host}".encode(), digest_size=16)
+                hashed.update(page.as_buffer())
+                key = hashed.digest()
+                if key in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(key)
+                yield host, int.from_bytes(key) >> 128 - bits, key.hex(), json.dumps(of_page(page.as_py()))
+
+    return _batches(rows())
+
+
+def _join_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One wrapper per host and share, of rows in order of host, share and key."""
+    def rows():
+        for (host, share), group in groupby(_rows(batches), key=lambda r: r[:2]):
+            key, wrapper = _joined((int(key, 16), json.loads(own)) for _, _, key, own in group)
+            yield host, share, f"{key:032x}", json.dumps(wrapper)
+
+    return _batches(rows())
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows():
+        for host, share, key, text in _rows(batches):
+            wrapper = json.loads(text)
+            _mark(wrapper)
+            yield host, share, key, json.dumps(wrapper)
+
+    return _batches(rows())
 
 
 def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """host, wrapper (JSON): one row per host. A host gives at most PAGES pages, the first by hash in as many shares."""
-    rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("html")).where(F.length("html") > 0)
-    rows = rows.withColumn("turn", F.xxhash64("html"))
-    sample = rows.groupBy("host", F.pmod("turn", F.lit(PAGES)).alias("share")).agg(F.min(F.struct("turn", "html")).alias("page"))
-    return sample.select("host", "page.html").groupBy("host").applyInArrow(_infer_host, "host STRING, wrapper STRING")
+    """host, wrapper (JSON): one row per host, of all its different pages."""
+    rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("html"))
+    large = rows.groupBy("host").count().where(F.col("count") > SHARE_PAGES)
+    large = store(large.select("host", F.ceil(F.log2(F.col("count") / SHARE_PAGES)).cast("int").alias("bits")), "hosts")
+    bits = large.agg(F.max("bits")).first()[0] or 0
+    rows = rows.where(F.length("html") > 0).join(large, "host", "left").select("host", F.coalesce("bits", F.lit(0)).alias("bits"), "html")
+    found = rows.mapInArrow(_page_wrappers, _PARTIAL)
+    while True:
+        found = found.repartition("host", "share").sortWithinPartitions("host", "share", "key").mapInArrow(_join_shares, _PARTIAL)
+        if not bits:
+            return found.mapInArrow(_marked, _PARTIAL).select("host", "wrapper")
+        bits = max(bits - STEP, 0)
+        found = found.withColumn("share", F.shiftright("share", STEP))
 
 
 def _reader():

@@ -1,6 +1,7 @@
 """Main text of pages: given tables against their markup, made-up templates against their parts, and corner cases."""
 
 import html
+import json
 import re
 
 from sheafline.llm import wrappers
@@ -72,3 +73,68 @@ def test_odd_tables(spark):
     assert sorted(((r.page_id, r.text[:9], r.n_chars) for r in got), key=repr) == sorted(
         [(1, "", 0), (2, "", 0), (3, "a", 1), (3, "a", 1), (None, "b", 1), (4, "word\n\nwor", 6 * 50_000 - 2)], key=repr)
     assert wrappers.extract(spark.createDataFrame([], "page_id LONG, url STRING, html STRING")).collect() == []
+
+
+def hosted(spark, pages, host="h"):
+    return spark.createDataFrame([(i, f"http://{host}/{i}", p) for i, p in enumerate(pages)], "page_id LONG, url STRING, html STRING")
+
+
+def items(node):
+    yield node
+    for k in node.get("k", ()):
+        yield from items(k)
+
+
+def test_every_page_of_a_host_counts(spark):
+    same = [f"<article><h1>T{i}</h1><div class=lead>Same words</div><p>Own {i}</article>" for i in range(200)]
+    rare = "<article><h1>T</h1><div class=lead>Other words</div><p>Own</p><table><tr><td>x</table></article>"
+    wrapper = json.loads(wrappers.infer_wrappers(hosted(spark, [*same, rare, *same[:50], rare])).first().wrapper)
+    (article,) = wrapper["k"]
+    assert wrapper["n"] == article["n"] == 201 and [(k["l"], k["q"]) for k in article["k"]] == [("h1", "1"), ("div.lead", "1"), ("p", "1"), ("table", "?")]
+    got = {r.page_id: r.text for r in wrappers.extract(hosted(spark, [*same, rare])).collect()}
+    assert got == {i: f"T{i}\n\nSame words\n\nOwn {i}" for i in range(200)} | {200: "T\n\nOther words\n\nOwn\n\nx"}
+    got = {r.page_id: r.text for r in wrappers.extract(hosted(spark, same)).collect()}
+    assert got == {i: f"T{i}\n\nOwn {i}" for i in range(200)}
+
+
+def test_joining_depends_on_pages_alone(spark, monkeypatch):
+    pages = [page(i, [f"Text {i} {k}" for k in range(i % 5)], menu=i % 4, comments=i % 3, extra="<hr>" * (i % 7 == 0)) for i in range(60)]
+    several = hosted(spark, pages).union(hosted(spark, pages[:30], "www.h")).union(hosted(spark, pages[:1], ""))
+    whole = sorted(wrappers.infer_wrappers(several.coalesce(1)).collect())
+    monkeypatch.setattr(wrappers, "SHARE_PAGES", 2)
+    monkeypatch.setattr(wrappers, "STEP", 2)
+    assert sorted(wrappers.infer_wrappers(several.union(several).repartition(7)).collect()) == whole
+    assert [(r.host, json.loads(r.wrapper)["n"]) for r in whole] == [("", 1), ("h", 60), ("www.h", 30)]
+
+
+def test_main_part_at_two_places():
+    text, notes = "<div class=text><p>Text {0} with a number of words in it</p></div>", "<div class=tips><p>Tip {0}</p></div>"
+    pages = [f"<body>{notes if i % 2 else text}{text if i % 2 else notes}</body>".replace("{0}", str(i)) for i in range(10)]
+    wrapper = wrappers.infer(pages)
+    assert [wrappers.main_text(p, wrapper) for p in pages] == [f"Text {i} with a number of words in it" for i in range(10)]
+
+
+def test_repeats_on_one_page_are_not_the_templates():
+    rows = "<article><p>Start</p>" + "<div class=row><p>Yes</p></div>" * 5 + "</article>"
+    assert wrappers.main_text(rows, wrappers.infer([rows])) == "\n\n".join(["Start"] + ["Yes"] * 5)
+
+
+def test_long_mixed_children():
+    tags = ["p", "h2", "ul", "pre", "dl", "table"]
+    pages = []
+    for seed in (7, 11, 13):
+        order = [tags[(i * i * seed + i // seed) % 6] for i in range(20_000)]
+        pages.append("<article><h1>T</h1>" + "".join(f"<{t} class=c{'abcdef'[i % 6]}>w{i}</{t}>" for i, t in enumerate(order)) + "<div class=end>End</div></article>")
+    wrapper = wrappers.infer(pages)
+    (article,) = wrapper["k"]
+    labels = [k["l"] for k in article["k"]]
+    assert (labels[0], labels.count("*"), labels[-1], article["n"]) == ("h1", 1, "div.end", 3) and sum(1 for _ in items(wrapper)) < 200
+    assert wrappers.main_text(pages[0], wrapper) == "\n\n".join(["T", *(f"w{i}" for i in range(20_000)), "End"])
+
+
+def test_very_many_labels():
+    names = ["".join("abcdefghij"[int(d)] for d in f"{i:04d}") for i in range(3000)]
+    pages = [f"<body>{''.join(f'<div class={n}>a</div>' for n in names[i * 100:i * 100 + 100])}<article><p>Text {i}</article></body>" for i in range(30)]
+    wrapper = wrappers.infer(pages)
+    assert sum(1 for _ in items(wrapper)) < 100
+    assert [wrappers.main_text(p, wrapper) for p in pages] == [f"Text {i}" for i in range(30)]
