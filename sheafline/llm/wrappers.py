@@ -9,8 +9,10 @@ Where they mismatch, the wrapper is made more general, and never by a choice bet
   labels that follow each other are folded first);
 * labels that only one side has become optional;
 * labels between the common beginning and end of sequences of more than LONG items become one repeated group of optional
-  labels, in which classes are no longer told apart beyond LABELS different ones. So neither a page with very many mixed
-  children nor a host with very many templates makes alignment quadratic or lets a wrapper grow without end.
+  labels, in which classes are no longer told apart beyond LABELS different ones;
+* elements at the level that brings a wrapper above NODES parts become slots of any content, save those around an
+  `article` or `main`. So neither a page with very many mixed children nor a host with very many templates makes alignment
+  quadratic or lets a wrapper grow without end; reading still takes all text.
 
 Every different page of a host takes part. A page's own wrapper, with texts as digests, is made where the page is read;
 wrappers are joined along the binary tree of the pages' hashes: shares of large hosts first, then what the shares gave. So
@@ -52,7 +54,8 @@ STEP = 6  # so many halvings of a host per level of joining
 SEEN = 200_000  # a task remembers so many pages, to leave out their copies before the shuffle; the rest go after it
 PERIOD = 3
 LONG = 64
-LABELS = 1000
+LABELS = 100
+NODES = 10_000
 CONSTANT = 4
 DEPTH = 60  # elements nested deeper are one slot to the inference; reading has no such limit
 SHARE = 0.6
@@ -78,7 +81,7 @@ def is_out(element: Element, in_main: bool) -> bool:
 # ---- inference ----------------------------------------------------------------------------------
 # A wrapper is a dict: l label, q one of 1 ? + *, and either k (its items) or, for a text, t (its digest, null for a slot).
 # n counts the pages that had it, c the characters of its texts; g marks a group of labels, which has the label * if its
-# labels come in any order.
+# labels come in any order; s marks an element that is a slot, with c.
 ANY = "*"
 
 
@@ -176,6 +179,8 @@ def _join(a: dict, b: dict, same: bool = False) -> dict:
     for flag in "oag":
         if flag in a:
             out[flag] = min(a[flag], b[flag])
+    if "s" in a or "s" in b:
+        return out | {"k": [], "s": 1, "c": _chars(a) + _chars(b)}
     if a["l"] == ANY:
         return out | {"k": _any_order(a["k"] + b["k"], same)}
     if "g" in a:  # groups have the same labels throughout
@@ -235,6 +240,30 @@ def _any_order(items: list[dict], same: bool) -> list[dict]:
         wide = True
 
 
+def _chars(node: dict) -> int:
+    return sum(map(_chars, node["k"])) if "k" in node and "s" not in node else node["c"]
+
+
+def _holds_main(node: dict) -> bool:
+    return any(k["l"].partition(".")[0] in MAIN_TAGS or "k" in k and _holds_main(k) for k in node["k"])
+
+
+def _bounded(wrapper: dict) -> int:
+    """Makes elements of a wrapper slots where it has more than NODES parts; the number of its parts."""
+    def below(level):
+        return [x for node in level if "k" in node and "g" not in node for k in node["k"] for x in (k, *(k["k"] if "g" in k else ()))]
+
+    level, size = [wrapper], 0
+    while level:
+        size += len(level)
+        if size + len(below(level)) > NODES:
+            for node in level:
+                if node.get("k") and "g" not in node and node is not wrapper and not _holds_main(node):
+                    node.update(c=_chars(node), k=[], s=1)
+        level = below(level)
+    return size
+
+
 def of_page(page: str) -> dict:
     """The wrapper of one page: its own tree."""
     return {"l": "", "q": "1", "n": 1, "k": [_item(key, groups, 0) for key, groups in _folded(_flat(parse(page)))]}
@@ -243,28 +272,30 @@ def of_page(page: str) -> dict:
 def infer(pages: list[str]) -> dict:
     """The wrapper of some pages, joined in their order, with its main part marked (m)."""
     wrapper = reduce(_join, map(of_page, pages))
+    _bounded(wrapper)
     _mark(wrapper)
     return wrapper
 
 
-def _joined(keyed: Iterable[tuple[int, dict]]) -> tuple[int, dict]:
-    """Wrappers in order of their keys, joined along the binary tree of the keys' bits, with the first key. Equal keys are
-    the same page."""
-    stack: list[tuple[int, dict]] = []
+def _joined(keyed: Iterable[tuple[int, str]]) -> tuple[int, dict]:
+    """Wrappers (JSON) in order of their keys, joined along the binary tree of the keys' bits, with the first key. Equal
+    keys are the same page."""
+    stack: list[tuple[int, dict, int]] = []  # the last: no fewer than its parts
 
     def close():
-        (first, a), (_, b) = stack[-2:]
-        stack[-2:] = [(first, _join(a, b))]
+        (first, a, m), (_, b, n) = stack[-2:]
+        wrapper, size = _join(a, b), m + n
+        stack[-2:] = [(first, wrapper, size if size <= NODES else _bounded(wrapper))]
 
-    for key, wrapper in keyed:
+    for key, text in keyed:
         if stack and stack[-1][0] == key:
             continue
         while len(stack) > 1 and stack[-2][0] ^ stack[-1][0] < stack[-1][0] ^ key:
             close()
-        stack.append((key, wrapper))
+        stack.append((key, json.loads(text), text.count('"l": ')))
     while len(stack) > 1:
         close()
-    return stack[0]
+    return stack[0][:2]
 
 
 def _mark(wrapper: dict) -> None:
@@ -294,6 +325,8 @@ def _main_part(wrapper: dict) -> tuple[dict, list[tuple[dict, dict | None]]]:
             own = 0 if node["t"] is not None and node["n"] >= 2 else node["c"]
         elif node.get("a"):
             own = 0
+        elif "s" in node:
+            own = node["c"]
         chars[id(node)] = own
         if parent is not None:
             chars[id(parent)] = chars.get(id(parent), 0) + own
@@ -477,7 +510,7 @@ def _join_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One wrapper per host and share, of rows in order of host, share and key."""
     def rows():
         for (host, share), group in groupby(_rows(batches), key=lambda r: r[:2]):
-            key, wrapper = _joined((int(key, 16), json.loads(own)) for _, _, key, own in group)
+            key, wrapper = _joined((int(key, 16), own) for _, _, key, own in group)
             yield host, share, f"{key:032x}", json.dumps(wrapper)
 
     return _batches(rows())

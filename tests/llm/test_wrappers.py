@@ -138,3 +138,22 @@ def test_very_many_labels():
     wrapper = wrappers.infer(pages)
     assert sum(1 for _ in items(wrapper)) < 100
     assert [wrappers.main_text(p, wrapper) for p in pages] == [f"Text {i}" for i in range(30)]
+
+
+def test_wrapper_stays_small(monkeypatch):
+    monkeypatch.setattr(wrappers, "NODES", 60)
+    tags = ["p", "h2", "ul", "pre", "dl", "div class=x", "div class=y"]
+
+    def body(i, depth=0):
+        inner = [f"<{tags[(i + k * depth) % 7]}>{body(i * 3 + k, depth + 1) if depth < 3 else f'w{i} '}</{tags[(i + k * depth) % 7].split()[0]}>" for k in range(3)]
+        return "".join(inner)
+
+    pages = [f"<div class=top>Top</div><div><section>{body(i)}</section></div><div><main><p>{i}</p></main></div>" for i in range(40)]
+    own = [json.dumps(wrappers.of_page(p)) for p in pages]
+    _, wrapper = wrappers._joined(enumerate(own))
+    assert any("s" in k for k in items(wrapper)) and sum(1 for _ in items(wrapper)) < 100 < sum(1 for _ in items(json.loads(own[0])))
+    wrappers._mark(wrapper)
+    assert [wrappers.main_text(p, wrapper) for p in pages] == [str(i) for i in range(40)]
+    whole = [p.partition("<div><main>")[0].replace("<div>", "<div><main>") for p in pages]
+    wrapper = wrappers.infer(whole)
+    assert [wrappers.main_text(p, wrapper).split() for p in whole] == [wrappers.main_text(p, None).split() for p in whole]
