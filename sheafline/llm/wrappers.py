@@ -11,8 +11,14 @@ Where they mismatch, the wrapper is made more general, and never by a choice bet
 * labels between the common beginning and end of sequences of more than LONG items become one repeated group of optional
   labels, in which classes are no longer told apart beyond LABELS different ones;
 * elements at the level that brings a wrapper above NODES parts become slots of any content, save those around an
-  `article` or `main`. So neither a page with very many mixed children nor a host with very many templates makes alignment
-  quadratic or lets a wrapper grow without end; reading still takes all text.
+  `article` or `main`, as do elements below DEPTH others. So neither a page with very many mixed children nor a host with
+  very many templates makes alignment quadratic or lets a wrapper grow without end.
+
+What slots and groups in any order no longer tell apart is settled exactly by a table of places, for the hosts that have
+them: an element's place is its item in the wrapper, or below slots and such groups its label in its parent's place. Over
+all different pages, Spark counts for every place the pages that have it, how often a page has it, and the varying text.
+The main part and the template's texts are then found in that table by the rules below, without bounds on labels,
+elements or depth.
 
 Every different page of a host takes part. A page's own wrapper, with texts as digests, is made where the page is read;
 wrappers are joined along the binary tree of the pages' hashes: shares of large hosts first, then what the shares gave. So
@@ -36,7 +42,8 @@ import json
 from base64 import b85encode
 from bisect import bisect_left
 from collections import OrderedDict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 from hashlib import blake2b
 from itertools import groupby
@@ -57,7 +64,7 @@ LONG = 64
 LABELS = 100
 NODES = 10_000
 CONSTANT = 4
-DEPTH = 60  # elements nested deeper are one slot to the inference; reading has no such limit
+DEPTH = 60
 SHARE = 0.6
 #: Elements that never hold main text, by tag and by words of class, id or role.
 OUT_TAGS = {"nav", "footer", "aside", "form", "button", "input", "head", "dialog", "menu", "object", "embed", "audio", "video", "canvas", *RAW}
@@ -81,7 +88,7 @@ def is_out(element: Element, in_main: bool) -> bool:
 # ---- inference ----------------------------------------------------------------------------------
 # A wrapper is a dict: l label, q one of 1 ? + *, and either k (its items) or, for a text, t (its digest, null for a slot).
 # n counts the pages that had it, c the characters of its texts; g marks a group of labels, which has the label * if its
-# labels come in any order; s marks an element that is a slot, with c.
+# labels come in any order; s marks an element that is a slot, with c; i is the place of an item.
 ANY = "*"
 
 
@@ -153,6 +160,8 @@ def _new(label: str, group: list, depth: int) -> dict:
             if depth < DEPTH and child.tag not in RAW:
                 for key, groups in _folded(_flat(child)):
                     node["k"].append(_item(key, groups, depth + 1))
+            elif child.tag not in RAW and child.children:
+                node |= {"s": 1, "c": len(decoded(_inner(child)))}
             parts.append(node)
     return parts[0] if len(parts) == 1 else {"l": label, "q": "1", "k": parts, "n": 1, "g": 1}
 
@@ -298,8 +307,9 @@ def _joined(keyed: Iterable[tuple[int, str]]) -> tuple[int, dict]:
     return stack[0][:2]
 
 
-def _mark(wrapper: dict) -> None:
-    """Marks the main part, and the same place where other pages have it in another order."""
+def _mark(wrapper: dict) -> bool:
+    """Marks the main part, and the same place where other pages have it in another order. Is the wrapper without slots
+    and groups in any order, where the main part may be?"""
     main, order = _main_part(wrapper)
     main["m"] = 1
     paths: dict[int, tuple] = {}
@@ -309,6 +319,7 @@ def _mark(wrapper: dict) -> None:
     if sum(n["n"] for n in same) <= wrapper["n"]:  # no page has two of them
         for n in same:
             n["m"] = 1
+    return not any(n["l"] == ANY or "s" in n and not n.get("o") for n, _ in order)
 
 
 def _main_part(wrapper: dict) -> tuple[dict, list[tuple[dict, dict | None]]]:
@@ -369,22 +380,26 @@ def _main(tree: Element, wrapper: dict) -> list[tuple[Element, dict | None]]:
 
 
 def _matched(element: Element, known: dict | None) -> list[tuple[object, dict | None]]:
-    """Every child with the item of the wrapper that it fits, taken in order; repeated groups may be entered again."""
+    """Every child with the item of the wrapper that it fits."""
+    return list(zip(element.children, _fitted(["#text" if isinstance(c, str) else c.label for c in element.children], known)))
+
+
+def _fitted(labels: list[str], known: dict | None) -> list[dict | None]:
+    """The item of the wrapper that each label fits, taken in order; repeated groups may be entered again."""
     items = [x for k in (known["k"] if known else ()) for x in (k["k"] if "g" in k else (k,))]
     groups = [g for g, k in enumerate(known["k"] if known else ()) for _ in (k["k"] if "g" in k else (k,))]
     places: dict[str, list[int]] = {}
     for i, item in enumerate(items):
         places.setdefault(item["l"], []).append(i)
     out, at = [], 0
-    for child in element.children:
-        label = "#text" if isinstance(child, str) else child.label
+    for label in labels:
         own = places.get(label) or places.get(label.partition(".")[0] + ".*") or ()
         next_ = bisect_left(own, at)
         if next_ < len(own):
             place = own[next_]
         else:  # back to the beginning of the group, or by one
             place = next((i for i in own if groups[i] == groups[at]), own[-1] if own and own[-1] == at - 1 else None)
-        out.append((child, None if place is None else items[place]))
+        out.append(None if place is None else items[place])
         if place is not None:
             at = place
     return out
@@ -405,7 +420,8 @@ def _own_main(tree: Element) -> list[Element]:
     return [tree]
 
 
-def _blocks(element: Element, known: dict | None, in_main: bool) -> list[str]:
+def _blocks(element: Element, known: dict | None, in_main: bool, constant: frozenset[int] = frozenset()) -> list[str]:
+    """`constant`: the template's elements by id, where `known` does not tell."""
     out, text = [], []
 
     def close():
@@ -427,7 +443,7 @@ def _blocks(element: Element, known: dict | None, in_main: bool) -> list[str]:
         elif at is not element and is_out(at, in_main):
             if at.tag not in INLINE and at.tag not in RAW:
                 close()
-        elif at is not element and _constant(at, own):
+        elif at is not element and (id(at) in constant or _constant(at, own)):
             close()
         else:
             if at.tag not in INLINE:
@@ -452,13 +468,123 @@ def main_text(page: str | None, wrapper: dict | None) -> str:
         return ""
     tree = parse(page)
     parts = _main(tree, wrapper) if wrapper else []
-    blocks = [b for element, known in parts for b in _blocks(element, known, True)]
+    return _text(tree, [b for element, known in parts for b in _blocks(element, known, True)])
+
+
+def _text(tree: Element, blocks: list[str]) -> str:
     if not blocks:
         own = _own_main(tree)
         blocks = [b for element in own for b in _blocks(element, None, element is not tree)]
     return "\n\n".join(blocks)
 
 
+# ---- places -------------------------------------------------------------------------------------
+ROOT = b""
+
+
+@dataclass
+class Spot:
+    """An element of a page: its place, its parent's number on the page, the labels from the root on (hashed), its depth,
+    the places and texts directly in it, whether it has no more than one text, and whether it or one around it is out."""
+    element: Element
+    place: bytes
+    parent: int
+    path: bytes
+    depth: int
+    texts: list[tuple[bytes, str]]
+    plain: bool
+    out: bool
+
+
+def _under(place: bytes, label: str) -> bytes:
+    return blake2b(label.encode("utf-8", "surrogatepass"), key=place, digest_size=16).digest()
+
+
+def _with_places(wrapper: dict) -> dict:
+    """Gives every item its place, save those in slots and in groups in any order."""
+    todo, n = [wrapper], 0
+    while todo:
+        node = todo.pop()
+        if node["l"] != ANY:
+            node["i"] = b"%d" % n
+            n += 1
+            todo.extend(node.get("k", ()))
+    return wrapper
+
+
+def _spots(tree: Element, wrapper: dict) -> list[Spot]:
+    """All elements of a page, in page order."""
+    out: list[Spot] = []
+    todo: list[tuple] = [(tree, wrapper, ROOT, -1, ROOT, 0, False)]
+    while todo:
+        element, known, place, parent, path, depth, is_outside = todo.pop()
+        children = _flat(element) if element.tag not in RAW else []
+        spot = Spot(element, place, parent, path, depth, [], True, is_outside)
+        below = []
+        for (label, child), own in zip(children, _fitted([c[0] for c in children], known) if known else [None] * len(children)):
+            if own and "i" not in own:
+                own = None
+            where = own["i"] if own else _under(place, label)
+            if isinstance(child, str):
+                spot.texts.append((where, child))
+            else:
+                below.append((child, own, where, len(out), _under(path, child.label), depth + 1, is_outside or is_out(child, True)))
+        spot.plain = not below and len(spot.texts) <= 1
+        out.append(spot)
+        todo.extend(reversed(below))
+    return out
+
+
+def _texts_by_place(spots: list[Spot]) -> Iterator[tuple[bytes, bool, int, bytes | None]]:
+    """place, is it an element, how often the page has it, digest of its text: null without text, empty where there is more
+    than one text."""
+    found: dict[tuple[bytes, bool], list] = {}
+
+    def add(place, is_element, digest):
+        known = found.setdefault((place, is_element), [0, digest])
+        known[0] += 1
+        if digest is not None and known[1] != digest:
+            known[1] = digest if known[1] is None else b""
+
+    for spot in spots:
+        if not spot.out:
+            digests = [blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest() for _, text in spot.texts]
+            add(spot.place, True, (digests[0] if digests else None) if spot.plain else b"")
+            for (place, _), digest in zip(spot.texts, digests):
+                add(place, False, digest)
+    return ((place, is_element, times, digest) for (place, is_element), (times, digest) in found.items())
+
+
+def _chars_by_place(spots: list[Spot], same: set[bytes]) -> Iterator[tuple[bytes, bytes | None, bytes, str, int, int, int]]:
+    """place, its parent, path, label, depth, how often the page has it, characters that are not the template's."""
+    chars = [sum(len(text) for place, text in spot.texts if place not in same) for spot in spots]
+    found: dict[bytes, list] = {}
+    for at in range(len(spots) - 1, -1, -1):
+        spot = spots[at]
+        if spot.out or spot.element.tag == "a":
+            chars[at] = 0
+        if spot.parent >= 0:
+            chars[spot.parent] += chars[at]
+        if not spot.out:
+            known = found.setdefault(spot.place, [spots[spot.parent].place if spot.parent >= 0 else None, spot.path, spot.element.label, spot.depth, 0, 0])
+            known[-2] += 1
+            known[-1] += chars[at]
+    return ((place, *known) for place, known in found.items())
+
+
+def _text_by_places(page: str, wrapper: dict, main: set[bytes], same: set[bytes]) -> str:
+    tree = parse(page)
+    spots = _spots(tree, wrapper)
+    constant = frozenset(id(s.element) for s in spots if s.place in same and s.element.tag not in INLINE and s.element.tag != "h1")
+    blocks, inside = [], [False] * len(spots)
+    for at, spot in enumerate(spots):
+        inside[at] = spot.parent >= 0 and inside[spot.parent]
+        if not inside[at] and spot.place in main:
+            inside[at] = True
+            blocks += _blocks(spot.element, None, True, constant)
+    return _text(tree, blocks)
+
+
 # ---- jobs ---------------------------------------------------------------------------------------
 
 _PARTIAL = "host STRING, share BIGINT, key STRING, wrapper STRING"
@@ -520,14 +646,15 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows():
         for host, share, key, text in _rows(batches):
             wrapper = json.loads(text)
-            _mark(wrapper)
-            yield host, share, key, json.dumps(wrapper)
+            whole = _mark(wrapper)
+            yield host, share, key if whole else None, json.dumps(wrapper)  # no key: not whole
 
     return _batches(rows())
 
 
 def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """host, wrapper (JSON): one row per host, of all its different pages."""
+    """host, wrapper (JSON), whole (false: it has slots or groups in any order, see `by_places`): one row per host, of all
+    its different pages."""
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("html"))
     large = rows.groupBy("host").count().where(F.col("count") > SHARE_PAGES)
     large = store(large.select("host", F.ceil(F.log2(F.col("count") / SHARE_PAGES)).cast("int").alias("bits")), "hosts")
@@ -537,33 +664,159 @@ def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> Da
     while True:
         found = found.repartition("host", "share").sortWithinPartitions("host", "share", "key").mapInArrow(_join_shares, _PARTIAL)
         if not bits:
-            return found.mapInArrow(_marked, _PARTIAL).select("host", "wrapper")
+            return found.mapInArrow(_marked, _PARTIAL).select("host", "wrapper", F.col("key").isNotNull().alias("whole"))
         bits = max(bits - STEP, 0)
         found = found.withColumn("share", F.shiftright("share", STEP))
 
 
-def _reader():
+def _wrappers() -> Callable[[str, pa.Scalar], dict | None]:
+    """The wrapper of a host from its JSON, kept for the next pages."""
     known: OrderedDict = OrderedDict()
 
+    def of(host, wrapper):
+        if host not in known:
+            text = wrapper.as_py()
+            known[host] = _with_places(json.loads(text)) if text else None
+            if len(known) > 1000:
+                known.popitem(last=False)
+        return known[host]
+
+    return of
+
+
+_OUT = "page_id BIGINT, url STRING, text STRING, n_chars BIGINT"
+
+
+def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """page_id, url, html, host, wrapper and, for wrappers with places, their main places and the page's places of template
+    texts."""
+    wrapper_of = _wrappers()
+    for batch in batches:
+        out = []
+        lists = [c.to_pylist() for c in batch.columns[5:]]
+        for at, (page, host, text) in enumerate(zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4))):
+            wrapper, page = wrapper_of(host, text), page.as_py()
+            if lists and page:
+                out.append(_text_by_places(page, wrapper, *(set(c[at] or ()) for c in lists)))
+            else:
+                out.append(main_text(page, wrapper))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
+                                         names=["page_id", "url", "text", "n_chars"])
+
+
+def _each_page(schema: pa.Schema, rows_of: Callable[..., Iterator[tuple]]):
+    """host, key, html, wrapper[, same] -> host, key and the rows of every page, by its elements."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for page, host, wrapper in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4)):
-                if host not in known:
-                    text = wrapper.as_py()
-                    known[host] = json.loads(text) if text else None
-                    if len(known) > 1000:
-                        known.popitem(last=False)
-                out.append(main_text(page.as_py(), known[host]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
-                                             names=["page_id", "url", "text", "n_chars"])
+        wrapper_of = _wrappers()
+
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+        out = []
+        for b in batches:
+            lists = [c.to_pylist() for c in b.columns[4:]]
+            for at, (host, key, page, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3))):
+                spots = _spots(parse(page.as_py()), wrapper_of(host, text))
+                for row in rows_of(spots, *(set(c[at] or ()) for c in lists)):
+                    out.append((host, key, *row))
+                    if len(out) == 20_000:
+                        yield batch(out)
+                        out = []
+        if out:
+            yield batch(out)
 
     return run
 
 
+_TEXTS = pa.schema([("host", pa.string()), ("key", pa.binary()), ("place", pa.binary()), ("is_element", pa.bool_()), ("times", pa.int64()),
+                    ("digest", pa.binary())])
+_CHARS = pa.schema([("host", pa.string()), ("key", pa.binary()), ("place", pa.binary()), ("parent", pa.binary()), ("path", pa.binary()),
+                    ("label", pa.string()), ("depth", pa.int64()), ("times", pa.int64()), ("chars", pa.int64())])
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """host, depth, place, parent in order of host and depth -> the place where the way down from the root ends."""
+    hosts, tips = [], []
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(tips, pa.binary())], names=["host", "place"])
+
+    for host, group in groupby(_rows(batches), key=lambda r: r[0]):
+        tip = ROOT
+        for _, _, place, parent in group:
+            if parent == tip:
+                tip = place
+        hosts.append(host)
+        tips.append(tip)
+        if len(hosts) == 10_000:
+            yield batch()
+            hosts, tips = [], []
+    if hosts:
+        yield batch()
+
+
+def _main_places(places: DataFrame) -> DataFrame:
+    """host, main: the places of the main part, found as in `_main_part` and `_mark`. places: one row per host and place."""
+    name = F.split("label", r"\.")
+    rank = F.when(name[0].isin(*MAIN_TAGS), 2).when(F.get(name, F.lit(1)).isin(*MAIN_NAMES), 1).otherwise(0)
+    named = places.withColumn("rank", rank).where("rank > 0")
+    most = named.groupBy("host").agg(F.max(F.struct("rank", "chars")).alias("most"))
+    named = named.join(most, "host").where(
+        (F.col("rank") == F.col("most.rank")) & (F.col("chars") >= F.least("most.chars", F.greatest(F.lit(1), SHARE * F.col("most.chars")))))
+    named = named.groupBy("host").agg(F.max(F.struct("depth", "chars", "place"))["place"].alias("place"))
+    # Without such a name: down from the root, as long as one part has most of the varying text. Parts of one label that no
+    # page has twice are one part at different places.
+    around = places.select("host", F.col("place").alias("parent"), F.col("n").alias("pages"), F.col("chars").alias("all_chars"))
+    steps = (places.where("parent IS NOT NULL").groupBy("host", "parent", "label", "depth")
+             .agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.max(F.struct("chars", "place", "times")).alias("top"))
+             .join(around, ["host", "parent"])
+             .where((F.col("top.times") == 1) & (F.when(F.col("n") <= F.col("pages"), F.col("chars")).otherwise(F.col("top.chars"))
+                                                 >= F.greatest(F.lit(1), SHARE * F.col("all_chars")))))
+    steps = steps.select("host", "depth", F.col("top.place").alias("place"), "parent").unionByName(
+        places.where("parent IS NULL").select("host", "depth", "place", "parent"))
+    walked = steps.repartition("host").sortWithinPartitions("host", "depth").mapInArrow(_walked, "host STRING, place BINARY")
+    chosen = store(named.unionByName(walked.join(named, "host", "left_anti")), "chosen")
+    paths = places.join(chosen, ["host", "place"]).select("host", "path", F.col("place").alias("chosen"))
+    pages = places.where("parent IS NULL").select("host", F.col("n").alias("pages"))
+    return (places.join(paths, ["host", "path"]).groupBy("host", "chosen").agg(F.sum("n").alias("n"), F.collect_set("place").alias("same"))
+            .join(pages, "host").select("host", F.when(F.col("n") <= F.col("pages"), F.col("same")).otherwise(F.array("chosen")).alias("main")))
+
+
+def by_places(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """page_id, url, text, n_chars of pages (page_id, url, html, host) by the places of their elements.
+
+    wrappers: host, wrapper; pages of other hosts are left out. Pages are aligned with the wrapper as far as it goes, and
+    judged by counts over all different pages of the host.
+    """
+    key = F.substring(F.unhex(F.sha2("html", 256)), 1, 16)
+    rows = pages.join(wrappers.select("host", "wrapper"), "host").withColumn("key", key)
+    # Not stored: that would be a copy of the input beside its shuffle.
+    different = rows.where(F.length("html") > 0).groupBy("host", "key").agg(F.first("html").alias("html"))
+    different = different.join(wrappers.select("host", "wrapper"), "host").select("host", "key", "html", "wrapper")
+    texts = store(different.mapInArrow(_each_page(_TEXTS, _texts_by_place), "host STRING, key BINARY, place BINARY, is_element BOOLEAN, times BIGINT, digest BINARY"),
+                  "place-texts")
+    same = (texts.groupBy("host", "place", "is_element")
+            .agg(F.count("digest").alias("n"), F.max("times").alias("times"), F.min("digest").alias("least"), F.max("digest").alias("most"))
+            .where("least = most AND length(least) > 0").where(f"n >= IF(is_element, {CONSTANT}, 2) AND (times = 1 OR NOT is_element)")
+            .select("host", "place", "is_element"))
+    same = store(texts.join(same, ["host", "place", "is_element"]).groupBy("host", "key").agg(F.collect_list("place").alias("same")), "template-texts")
+    chars = different.join(same, ["host", "key"], "left").select("host", "key", "html", "wrapper", "same").mapInArrow(
+        _each_page(_CHARS, _chars_by_place),
+        "host STRING, key BINARY, place BINARY, parent BINARY, path BINARY, label STRING, depth BIGINT, times BIGINT, chars BIGINT")
+    places = store(chars.groupBy("host", "place").agg(*(F.max(c).alias(c) for c in ("parent", "path", "label", "depth", "times")),
+                                                      F.count("*").alias("n"), F.sum("chars").alias("chars")), "places")
+    main = store(_main_places(places), "main-places")
+    rows = rows.join(main, "host", "left").join(same, ["host", "key"], "left")
+    return rows.select("page_id", "url", "html", "host", "wrapper", "main", "same").mapInArrow(_reader, _OUT)
+
+
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars (code points)."""
     pages = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
     wrappers = store(infer_wrappers(pages), "wrappers")  # as a table: the join can then split a hot host or broadcast what is small
-    rows = pages.withColumn("host", host_of(F.col("url"))).join(wrappers, "host", "left").select("page_id", "url", "html", "host", "wrapper")
-    return rows.mapInArrow(_reader(), "page_id BIGINT, url STRING, text STRING, n_chars BIGINT")
+    pages = pages.withColumn("host", host_of(F.col("url")))
+    general = wrappers.where("NOT whole")
+    if general.isEmpty():
+        return pages.join(wrappers, "host", "left").select("page_id", "url", "html", "host", "wrapper").mapInArrow(_reader, _OUT)
+    rows = pages.join(wrappers, "host", "left").where("coalesce(whole, true)").select("page_id", "url", "html", "host", "wrapper")
+    return rows.mapInArrow(_reader, _OUT).unionByName(by_places(pages, general))

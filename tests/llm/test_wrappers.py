@@ -157,3 +157,76 @@ def test_wrapper_stays_small(monkeypatch):
     whole = [p.partition("<div><main>")[0].replace("<div>", "<div><main>") for p in pages]
     wrapper = wrappers.infer(whole)
     assert [wrappers.main_text(p, wrapper).split() for p in whole] == [wrappers.main_text(p, None).split() for p in whole]
+
+
+def words(i, k=""):
+    return " ".join([f"Text {i}{k}", *[f"with many words {i}"] * 30])
+
+
+def extracted(spark, pages):
+    got = {r.page_id: r.text for r in wrappers.extract(hosted(spark, pages + pages[:3])).collect()}
+    assert [got.pop(len(pages) + k) for k in range(3)] == [got[k] for k in range(3)]
+    return got
+
+
+def test_main_part_among_very_many_parts(spark):
+    names = ["".join("abcdefghij"[int(d)] for d in f"{i:03d}") for i in range(1000)]
+
+    def one(i, parts):
+        around = [f"<div class={n}>Hint {n} {i}</div>" for n in parts]
+        text = f"<div class=zz><h1>T{i}</h1><p>{words(i) * 3}</p><div class=note>Same words</div><p>{words(i, 'b') * 3}</p></div>"
+        return "<body>" + "".join(around[:40]) + text + "".join(around[40:]) + "</body>"
+
+    want = {i: f"T{i}\n\n{words(i) * 3}\n\n{words(i, 'b') * 3}" for i in range(30)}
+    for parts in (lambda i: names[:20], lambda i: names[:120], lambda i: names[i * 30:i * 30 + 50]):
+        pages = [one(i, parts(i)) for i in range(30)]
+        assert extracted(spark, pages) == want
+
+
+def test_template_texts_in_long_mixed_articles(spark):
+    def one(i):
+        mixed = "".join(f"<{t}>{t}{k} {i}</{t}>" for k in range(60) for t in ("p", "h2", "ul", "pre")[:1 + (k * (i + 1)) % 4])
+        return f"<article><h1>T{i}</h1>{mixed}<div class=follow>Read us daily</div>{mixed}<div class=row><p>Yes</p></div><div class=row><p>Yes</p></div></article>"
+
+    pages = [one(i) for i in range(12)]
+    got = extracted(spark, pages)
+    assert got == {i: "\n\n".join(b for b in plain_blocks(p) if b != "Read us daily") for i, p in enumerate(pages)}
+
+
+def plain_blocks(page):
+    return [b for b in re.split(r"(?:<[^>]+>)+", page) if b]
+
+
+def test_main_part_below_very_many_elements(spark):
+    def one(i):
+        notes = "<div class=tips><p>Tip {0}</p></div>".replace("{0}", str(i))
+        return "<div>" * 90 + f"{notes}<section class=zz><p>{words(i)}</p><blockquote>Same words</blockquote></section>" + "</div>" * 90
+
+    assert extracted(spark, [one(i) for i in range(10)]) == {i: words(i) for i in range(10)}
+
+
+def test_main_part_in_slots(spark):
+    names = ["".join("abcdefghij"[int(d)] for d in f"{i:03d}") for i in range(7)]
+
+    def body(i, depth):
+        own = sorted({(i * (k + 3) + depth * k + i // 7) % 7 for k in range(4)})
+        return "".join(f"<div class={names[n]}>{body(i * 5 + n * 3 + depth, depth + 1) if depth < 6 else f'x {i}'}</div>" for n in own)
+
+    pages = [f"<div class=top>{body(i, 0)}</div>{'<div class=deep>' * 8}<div class=tips>Tip {i}</div><section class=zz><p>{words(i, 'a') * 300}</p>"
+             f"<p class=follow>Read us daily</p><p>{words(i, 'b') * 300}</p></section>{'</div>' * 8}" for i in range(24)]
+    wrapper = json.loads(wrappers.infer_wrappers(hosted(spark, pages)).first().wrapper)
+    assert any("s" in k for k in items(wrapper))
+    assert extracted(spark, pages) == {i: words(i, "a") * 300 + "\n\n" + words(i, "b") * 300 for i in range(24)}
+
+
+def test_places_agree_with_whole_wrappers(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    bodies = [page(i, [words(i, k) for k in range(1 + i % 3)], menu=i % 4, comments=i % 3, extra="<p class=promo>Buy now</p>" if i % 2 else "") for i in range(40)]
+    article = [page(i, [words(i, k) for k in range(i % 3)], comments=i % 3, body="main") for i in range(40)]
+    made = hosted(spark, bodies, "a").union(hosted(spark, article, "b")).union(hosted(spark, bodies[:2], ""))
+    for pages in (given, made):
+        pages = pages.withColumn("host", wrappers.host_of(pages.url))
+        found = wrappers.infer_wrappers(pages)
+        assert found.where("NOT whole").isEmpty()
+        got = wrappers.by_places(pages, found)
+        assert sorted(got.collect()) == sorted(wrappers.extract(pages).collect())
